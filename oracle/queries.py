@@ -47,3 +47,127 @@ ORACLE_SQL["recency_segment"] = with_ctes(
     "SELECT recency_segment, COUNT(*) AS customers, MIN(days_since_last_order) AS min_days, "
     "MAX(days_since_last_order) AS max_days FROM int_customer_lifetime_metrics GROUP BY recency_segment"
 )
+
+
+# --- data tests ------------------------------------------------------------------
+# The list of test applications is the reference's declarations (data); each
+# test type is rendered from its own SQL template below.
+from tidemart.operators.quality import DECLARED_TESTS, MODEL_KEYS  # noqa: E402
+from tidemart.plans.catalog import recent_timestamp_specs, within_range_specs  # noqa: E402
+
+from oracle.duckdb_sql import AS_OF  # noqa: E402
+
+
+def _key_sql(model: str) -> str:
+    keys = MODEL_KEYS[model]
+    if len(keys) == 1:
+        return f"CAST({keys[0]} AS VARCHAR)"
+    return "concat_ws('|', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in keys) + ")"
+
+
+def _where(spec) -> str:
+    c = spec.column
+    if spec.test == "not_null":
+        return f"{c} IS NULL"
+    if spec.test == "non_negative":
+        return f"{c} < 0"
+    if spec.test == "values_in_set":
+        vals = ", ".join(f"'{v}'" for v in spec.args["values"])
+        return f"{c} IS NOT NULL AND {c} NOT IN ({vals})"
+    if spec.test == "recent_timestamp":
+        return f"{c} < {AS_OF} - INTERVAL {int(spec.args.get('max_age_days', 1))} DAY"
+    if spec.test == "within_range":
+        return f"{c} NOT BETWEEN {spec.args['min_value']} AND {spec.args['max_value']}"
+    raise ValueError(spec.test)
+
+
+def _label(spec) -> str:
+    return f"'{spec.model}' AS model, '{spec.test}' AS test_name, '{spec.column}' AS column_name"
+
+
+def row_test_sql(spec) -> str:
+    return f"SELECT {_label(spec)}, {_key_sql(spec.model)} AS row_id FROM {spec.model} WHERE {_where(spec)}"
+
+
+def duplicate_sql(spec) -> str:
+    cols = spec.column.split(",")
+    if spec.test == "unique":
+        c = cols[0]
+        return (
+            f"SELECT {_label(spec)}, CAST({c} AS VARCHAR) AS key_value, COUNT(*) AS n_rows "
+            f"FROM {spec.model} WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1"
+        )
+    kv = "concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in cols) + ")"
+    return (
+        f"SELECT {_label(spec)}, {kv} AS key_value, COUNT(*) AS n_rows "
+        f"FROM {spec.model} GROUP BY {', '.join(cols)} HAVING COUNT(*) > 1"
+    )
+
+
+def relationship_sql(spec) -> str:
+    col, parent, fld = spec.column, spec.args["to"], spec.args["field"]
+    return (
+        f"SELECT {_label(spec)}, {_key_sql(spec.model)} AS row_id, CAST(c.{col} AS VARCHAR) AS key_value "
+        f"FROM {spec.model} c WHERE c.{col} IS NOT NULL "
+        f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{fld} = c.{col})"
+    )
+
+
+def _union(parts) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def _of(test):
+    return [s for s in DECLARED_TESTS if s.test == test]
+
+
+ORACLE_SQL["test_not_null"] = with_ctes(_union(row_test_sql(s) for s in _of("not_null")))
+ORACLE_SQL["test_non_negative"] = with_ctes(_union(row_test_sql(s) for s in _of("non_negative")))
+ORACLE_SQL["test_values_in_set"] = with_ctes(_union(row_test_sql(s) for s in _of("values_in_set")))
+ORACLE_SQL["test_recent_timestamp"] = with_ctes(_union(row_test_sql(s) for s in recent_timestamp_specs()))
+ORACLE_SQL["test_within_range"] = with_ctes(_union(row_test_sql(s) for s in within_range_specs()))
+ORACLE_SQL["test_unique"] = with_ctes(_union(duplicate_sql(s) for s in _of("unique")))
+ORACLE_SQL["test_unique_combination"] = with_ctes(
+    _union(duplicate_sql(s) for s in _of("unique_combination"))
+)
+ORACLE_SQL["test_relationships"] = with_ctes(_union(relationship_sql(s) for s in _of("relationships")))
+ORACLE_SQL["test_no_orphaned_order_items"] = with_ctes(
+    """SELECT oi.order_id, oi.line_item_id, oi.order_item_sk
+FROM stg_order_items oi LEFT JOIN stg_orders o ON oi.order_id = o.order_id
+WHERE o.order_id IS NULL OR o.order_status = 'cancelled'
+ORDER BY oi.order_id ASC NULLS FIRST, oi.line_item_id ASC NULLS FIRST, oi.order_item_sk ASC NULLS FIRST
+LIMIT 100"""
+)
+ORACLE_SQL["test_revenue_reconciliation"] = with_ctes(
+    """SELECT CAST(ROUND(l.total, 4) AS DOUBLE) AS ledger_total,
+       CAST(ROUND(f.total, 4) AS DOUBLE) AS fact_total,
+       CAST(ROUND(l.total - f.total, 4) AS DOUBLE) AS delta
+FROM (SELECT SUM(gross_revenue) AS total FROM revenue_ledger) l,
+     (SELECT SUM(order_total_amount) AS total FROM fct_orders
+      WHERE order_status IN ('paid', 'shipped', 'delivered')) f
+WHERE ABS(l.total - f.total) > 0.01"""
+)
+ORACLE_SQL["test_discount_below_one"] = with_ctes(
+    "SELECT order_item_sk FROM fct_order_items WHERE discount_pct >= 1.0"
+)
+
+
+def _summary_sql() -> str:
+    specs = list(DECLARED_TESTS) + recent_timestamp_specs() + within_range_specs()
+    parts = []
+    for s in specs:
+        if s.test in ("unique", "unique_combination"):
+            inner = duplicate_sql(s)
+        elif s.test == "relationships":
+            inner = relationship_sql(s)
+        else:
+            inner = row_test_sql(s)
+        parts.append(f"SELECT {_label(s)}, COUNT(*) AS failing_rows FROM ({inner}) t")
+    return (
+        "SELECT *, CASE WHEN failing_rows = 0 THEN 'pass' ELSE 'fail' END AS status FROM (\n"
+        + _union(parts)
+        + "\n) s"
+    )
+
+
+ORACLE_SQL["dq_summary"] = with_ctes(_summary_sql())

@@ -96,3 +96,112 @@ def q_recency_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("days_since_last_order").alias("min_days"),
         F.max("days_since_last_order").alias("max_days"),
     )
+
+
+# --- data tests ------------------------------------------------------------------
+
+
+class _Models(dict):
+    """Model name -> DataFrame, built on demand from a ModelGraph."""
+
+    def __init__(self, graph: ModelGraph):
+        super().__init__()
+        self.graph = graph
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = self.graph.model(name)
+        self[name] = df
+        return df
+
+
+def _specs_of(test: str):
+    from tidemart.operators.quality import DECLARED_TESTS
+
+    return [s for s in DECLARED_TESTS if s.test == test]
+
+
+# Applications of the tests the reference defines but applies nowhere.
+def recent_timestamp_specs():
+    from tidemart.operators.quality import CheckSpec
+
+    return [
+        CheckSpec(m, "recent_timestamp", "_loaded_at", {"max_age_days": 1})
+        for m in ("stg_orders", "stg_customers", "stg_products", "stg_order_items", "stg_sessions")
+    ]
+
+
+def within_range_specs():
+    from tidemart.operators.quality import CheckSpec
+
+    return [CheckSpec("stg_order_items", "within_range", "discount_pct", {"min_value": 0, "max_value": 1})]
+
+
+def _row_test_query(test: str, specs_fn=None) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tidemart.operators.quality import failing_rows
+
+        g = _graph(spark, sf_dir)
+        specs = specs_fn() if specs_fn else _specs_of(test)
+        return failing_rows(_Models(g), specs, g.as_of)
+
+    return run
+
+
+QUERIES["test_not_null"] = _row_test_query("not_null")
+QUERIES["test_non_negative"] = _row_test_query("non_negative")
+QUERIES["test_values_in_set"] = _row_test_query("values_in_set")
+QUERIES["test_recent_timestamp"] = _row_test_query("recent_timestamp", recent_timestamp_specs)
+QUERIES["test_within_range"] = _row_test_query("within_range", within_range_specs)
+
+
+@register("test_unique")
+def q_test_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.operators.quality import duplicate_keys
+
+    return duplicate_keys(_Models(_graph(spark, sf_dir)), _specs_of("unique"))
+
+
+@register("test_unique_combination")
+def q_test_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.operators.quality import duplicate_keys
+
+    return duplicate_keys(_Models(_graph(spark, sf_dir)), _specs_of("unique_combination"))
+
+
+@register("test_relationships")
+def q_test_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.operators.quality import orphan_keys
+
+    return orphan_keys(_Models(_graph(spark, sf_dir)), _specs_of("relationships"))
+
+
+@register("test_no_orphaned_order_items")
+def q_test_no_orphaned_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.operators.quality import no_orphaned_order_items
+
+    g = _graph(spark, sf_dir)
+    return no_orphaned_order_items(g.stg_order_items, g.stg_orders)
+
+
+@register("test_revenue_reconciliation")
+def q_test_revenue_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.operators.quality import revenue_reconciliation
+
+    g = _graph(spark, sf_dir)
+    return for_compare(revenue_reconciliation(g.revenue_ledger, g.fct_orders))
+
+
+@register("test_discount_below_one")
+def q_test_discount_below_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.operators.quality import discount_below_one
+
+    return discount_below_one(_graph(spark, sf_dir).fct_order_items)
+
+
+@register("dq_summary")
+def q_dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.operators.quality import DECLARED_TESTS, dq_summary
+
+    g = _graph(spark, sf_dir)
+    specs = list(DECLARED_TESTS) + recent_timestamp_specs() + within_range_specs()
+    return dq_summary(_Models(g), specs, g.as_of)
