@@ -171,3 +171,67 @@ def _summary_sql() -> str:
 
 
 ORACLE_SQL["dq_summary"] = with_ctes(_summary_sql())
+
+
+# --- freshness and run metadata ---------------------------------------------------
+_RAW_SOURCES = ("customers", "products", "orders", "order_items", "sessions")
+ORACLE_SQL["source_freshness"] = with_ctes(
+    f"""SELECT source, max_loaded_at, age_in_seconds,
+       CASE WHEN age_in_seconds IS NULL THEN 'error'
+            WHEN age_in_seconds > 24 * 3600 THEN 'error'
+            WHEN age_in_seconds > 6 * 3600 THEN 'warn'
+            ELSE 'pass' END AS status
+FROM (SELECT source, max_loaded_at, date_sub('second', max_loaded_at, {AS_OF}) AS age_in_seconds
+      FROM ("""
+    + _union(f"SELECT '{s}' AS source, MAX(_loaded_at) AS max_loaded_at FROM raw_{s}" for s in _RAW_SOURCES)
+    + ") x) y"
+)
+_MARTS = ("dim_customer", "dim_product", "fct_orders", "fct_order_items", "revenue_ledger",
+          "customer_ltv", "session_funnel")
+ORACLE_SQL["last_refresh"] = with_ctes(
+    _union(
+        f"SELECT '{m}' AS model, MAX(_built_at) AS last_built_at, COUNT(*) AS row_count FROM {m}"
+        for m in _MARTS
+    )
+)
+
+# --- metrics ----------------------------------------------------------------------
+from oracle.duckdb_sql import div4  # noqa: E402
+
+_GROSS = "CAST(ROUND(SUM(order_total_amount), 4) AS DOUBLE)"
+_NET = "CAST(ROUND(SUM(items_net_amount), 4) AS DOUBLE)"
+_ORDERS = "COUNT(DISTINCT order_sk)"
+_AOV = f"CAST(ROUND({div4('SUM(order_total_amount)', 'COUNT(DISTINCT order_sk)')}, 4) AS DOUBLE)"
+_UPO = "SUM(total_quantity) / NULLIF(COUNT(DISTINCT order_sk), 0)"
+
+
+def _daily(expr: str, name: str) -> str:
+    return with_ctes(
+        f"SELECT order_date AS order_date__day, {expr} AS {name} FROM fct_orders GROUP BY order_date"
+    )
+
+
+ORACLE_SQL["metric_gross_revenue"] = _daily(_GROSS, "gross_revenue")
+ORACLE_SQL["metric_net_revenue"] = _daily(_NET, "net_revenue")
+ORACLE_SQL["metric_orders"] = _daily(_ORDERS, "orders")
+ORACLE_SQL["metric_item_quantity"] = _daily("CAST(SUM(total_quantity) AS BIGINT)", "item_quantity")
+ORACLE_SQL["metric_average_order_value"] = _daily(_AOV, "average_order_value")
+ORACLE_SQL["metric_units_per_order"] = _daily(_UPO, "units_per_order")
+ORACLE_SQL["metric_revenue_by_country"] = with_ctes(
+    f"""SELECT customer_country, customer_tier AS tier, {_GROSS} AS gross_revenue, {_NET} AS net_revenue,
+       {_ORDERS} AS orders, {_AOV} AS average_order_value
+FROM fct_orders GROUP BY customer_country, customer_tier"""
+)
+ORACLE_SQL["metric_revenue_by_status"] = with_ctes(
+    f"""SELECT CAST(date_trunc('month', order_date) AS DATE) AS order_date__month, order_status,
+       {_GROSS} AS gross_revenue, {_ORDERS} AS orders, {_UPO} AS units_per_order
+FROM fct_orders GROUP BY CAST(date_trunc('month', order_date) AS DATE), order_status"""
+)
+ORACLE_SQL["time_spine"] = with_ctes(
+    f"""SELECT s.date_day, COALESCE(d.orders, 0) AS orders,
+       CAST(ROUND(COALESCE(d.gross, 0), 4) AS DOUBLE) AS gross_revenue
+FROM (SELECT CAST(unnest(generate_series(MIN(order_date), MAX(order_date), INTERVAL 1 DAY)) AS DATE) AS date_day
+      FROM fct_orders) s
+LEFT JOIN (SELECT order_date, {_ORDERS} AS orders, SUM(order_total_amount) AS gross
+           FROM fct_orders GROUP BY order_date) d ON s.date_day = d.order_date"""
+)

@@ -205,3 +205,63 @@ def q_dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = _graph(spark, sf_dir)
     specs = list(DECLARED_TESTS) + recent_timestamp_specs() + within_range_specs()
     return dq_summary(_Models(g), specs, g.as_of)
+
+
+# --- freshness and run metadata ---------------------------------------------------
+
+
+@register("source_freshness")
+def q_source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.operators.freshness import source_freshness
+
+    g = _graph(spark, sf_dir)
+    return source_freshness(g.raw, g.as_of)
+
+
+@register("last_refresh")
+def q_last_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.operators.freshness import last_refresh
+
+    g = _graph(spark, sf_dir)
+    names = ("dim_customer", "dim_product", "fct_orders", "fct_order_items", "revenue_ledger",
+             "customer_ltv", "session_funnel")
+    return last_refresh({n: g.model(n) for n in names})
+
+
+# --- metrics ----------------------------------------------------------------------
+
+
+def _metric_query(metrics, group_by=("order_date",), grain="day") -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tidemart.operators.metrics import query_metrics
+
+        return for_compare(query_metrics(_graph(spark, sf_dir).fct_orders, metrics, group_by, grain))
+
+    return run
+
+
+QUERIES["metric_gross_revenue"] = _metric_query(["gross_revenue"])
+QUERIES["metric_net_revenue"] = _metric_query(["net_revenue"])
+QUERIES["metric_orders"] = _metric_query(["orders"])
+QUERIES["metric_item_quantity"] = _metric_query(["item_quantity"])
+QUERIES["metric_average_order_value"] = _metric_query(["average_order_value"])
+QUERIES["metric_units_per_order"] = _metric_query(["units_per_order"])
+QUERIES["metric_revenue_by_country"] = _metric_query(
+    ["gross_revenue", "net_revenue", "orders", "average_order_value"], ("customer_country", "tier"), "day"
+)
+QUERIES["metric_revenue_by_status"] = _metric_query(
+    ["gross_revenue", "orders", "units_per_order"], ("order_date", "order_status"), "month"
+)
+
+
+@register("time_spine")
+def q_time_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily orders and gross revenue on the dense spine of the order-date
+    range: days without orders appear with zeros."""
+    from tidemart.operators.metrics import query_metrics
+    from tidemart.sources.spine import dense_daily
+
+    daily = query_metrics(_graph(spark, sf_dir).fct_orders, ["orders", "gross_revenue"])
+    return for_compare(dense_daily(spark, daily, "order_date__day", {"orders": 0}).fillna(
+        0, subset=["gross_revenue"]
+    ))
