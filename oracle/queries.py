@@ -235,3 +235,132 @@ FROM (SELECT CAST(unnest(generate_series(MIN(order_date), MAX(order_date), INTER
 LEFT JOIN (SELECT order_date, {_ORDERS} AS orders, SUM(order_total_amount) AS gross
            FROM fct_orders GROUP BY order_date) d ON s.date_day = d.order_date"""
 )
+
+
+# --- incremental upsert (UNION ALL form of MERGE) ------------------------------------
+from tidemart.plans.marts import FCT_ORDER_ITEMS_COLUMNS, FCT_ORDERS_COLUMNS  # noqa: E402
+from tidemart.operators.upsert import FCT_ORDERS_UPDATE_COLUMNS  # noqa: E402
+
+_B1 = "TIMESTAMP '2001-01-01 00:00:00'"
+_B2 = "TIMESTAMP '2001-08-02 00:00:00'"
+
+
+def merge_sql(target: str, source: str, key: str, cols, update_cols=None) -> str:
+    upd = set(cols) if update_cols is None else set(update_cols)
+    matched = ", ".join(f"s.{c}" if c in upd else f"t.{c}" for c in cols)
+    plain_t = ", ".join(f"t.{c}" for c in cols)
+    plain_s = ", ".join(f"s.{c}" for c in cols)
+    return f"""SELECT {matched} FROM {target} t JOIN {source} s ON t.{key} = s.{key}
+UNION ALL
+SELECT {plain_t} FROM {target} t WHERE NOT EXISTS (SELECT 1 FROM {source} s WHERE s.{key} = t.{key})
+UNION ALL
+SELECT {plain_s} FROM {source} s WHERE NOT EXISTS (SELECT 1 FROM {target} t WHERE t.{key} = s.{key})"""
+
+
+_UPSERT_CTES = {
+    "orders_batch1": f"SELECT * REPLACE ({_B1} AS _built_at) FROM fct_orders WHERE order_date < DATE '2001-01-01'",
+    "orders_batch2": f"""SELECT * REPLACE (
+    CASE WHEN order_id % 20 = 0 THEN 'delivered' ELSE order_status END AS order_status,
+    CAST(CASE WHEN order_id % 20 = 0 THEN order_total_amount + 1 ELSE order_total_amount END AS DECIMAL(18,4))
+        AS order_total_amount,
+    CASE WHEN order_id % 20 = 0 THEN {_B2} ELSE updated_at END AS updated_at,
+    'ZZ' AS customer_country,
+    {_B2} AS _built_at) FROM fct_orders""",
+    "orders_source": """SELECT * FROM orders_batch2
+WHERE updated_at > (SELECT MAX(_built_at) FROM orders_batch1) - INTERVAL 3 DAY""",
+    "items_batch1": f"SELECT * REPLACE ({_B1} AS _built_at) FROM fct_order_items WHERE order_date < DATE '2001-01-01'",
+    "items_batch2": f"""SELECT * REPLACE (
+    CASE WHEN order_id % 20 = 0 AND line_item_id = 1 THEN quantity + 1 ELSE quantity END AS quantity,
+    CASE WHEN order_id % 50 = 0 THEN order_date + 1 ELSE order_date END AS order_date,
+    {_B2} AS _built_at) FROM fct_order_items""",
+    "items_source": """SELECT * FROM items_batch2
+WHERE order_date >= (SELECT MAX(order_date) FROM items_batch1) - 3""",
+}
+_UPSERT_CTES["orders_merged"] = merge_sql(
+    "orders_batch1", "orders_source", "order_sk", FCT_ORDERS_COLUMNS, FCT_ORDERS_UPDATE_COLUMNS
+)
+_UPSERT_CTES["items_merged"] = merge_sql("items_batch1", "items_source", "order_item_sk", FCT_ORDER_ITEMS_COLUMNS)
+
+ORACLE_SQL["fct_orders_incremental"] = with_ctes(
+    select_model("orders_merged", MONEY_COLUMNS["fct_orders"]), _UPSERT_CTES
+)
+ORACLE_SQL["fct_order_items_incremental"] = with_ctes(
+    select_model("items_merged", MONEY_COLUMNS["fct_order_items"]), _UPSERT_CTES
+)
+
+
+# --- SCD2 (UNION ALL form) ------------------------------------------------------------
+_S1 = "TIMESTAMP '2001-01-01 00:00:00'"
+_S2 = "TIMESTAMP '2001-02-01 00:00:00'"
+_S3 = "TIMESTAMP '2001-03-01 00:00:00'"
+_CUST_COLS = ("customer_id", "email", "country", "tier", "created_at", "updated_at")
+_CUST_CHECK = ("email", "country", "tier")
+_PROD_COLS = ("product_id", "sku", "product_name", "description", "category", "list_price", "is_active",
+              "updated_at")
+_PROD_CHECK = ("sku", "product_name", "category", "list_price", "is_active")
+
+
+def _scd_id(key_expr: str, as_of: str) -> str:
+    return f"sha256(COALESCE(CAST({key_expr} AS VARCHAR), '∅') || '||' || CAST({as_of} AS VARCHAR))"
+
+
+def scd2_first_sql(current: str, key: str, cols, as_of: str) -> str:
+    c = ", ".join(f"c.{x}" for x in cols)
+    return f"SELECT {c}, {_scd_id('c.' + key, as_of)} AS scd_id, {as_of} AS valid_from, " \
+           f"CAST(NULL AS TIMESTAMP) AS valid_to FROM {current} c"
+
+
+def scd2_next_sql(history: str, current: str, key: str, cols, check, as_of: str) -> str:
+    same = " AND ".join(f"h.{x} IS NOT DISTINCT FROM c.{x}" for x in check)
+    hc = ", ".join(f"h.{x}" for x in cols)
+    cc = ", ".join(f"c.{x}" for x in cols)
+    allc = ", ".join(cols)
+    return f"""SELECT {allc}, scd_id, valid_from, valid_to FROM {history} WHERE valid_to IS NOT NULL
+UNION ALL
+SELECT {hc}, h.scd_id, h.valid_from,
+       CASE WHEN c.{key} IS NULL THEN {as_of}
+            WHEN NOT ({same}) THEN {as_of}
+            ELSE NULL END AS valid_to
+FROM (SELECT * FROM {history} WHERE valid_to IS NULL) h LEFT JOIN {current} c ON h.{key} = c.{key}
+UNION ALL
+SELECT {cc}, {_scd_id('c.' + key, as_of)} AS scd_id, {as_of} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to
+FROM {current} c LEFT JOIN (SELECT * FROM {history} WHERE valid_to IS NULL) h ON h.{key} = c.{key}
+WHERE h.{key} IS NULL OR NOT ({same})"""
+
+
+_SCD_CTES = {
+    "customers_v1": "SELECT customer_id, email, country, tier, created_at, updated_at FROM stg_customers",
+    "customers_v2": """SELECT customer_id, email,
+       CASE WHEN customer_id % 10 = 2 THEN NULL ELSE country END AS country,
+       CASE WHEN customer_id % 10 = 1 THEN 'platinum' ELSE tier END AS tier,
+       created_at,
+       CASE WHEN customer_id % 10 = 3 THEN updated_at + INTERVAL '1' DAY ELSE updated_at END AS updated_at
+FROM customers_v1 WHERE customer_id % 50 <> 0
+UNION ALL
+SELECT customer_id + 1000000, 'new' || email, country, tier, created_at, updated_at
+FROM customers_v1 WHERE customer_id % 100 = 5""",
+    "customers_v3": """SELECT * FROM customers_v2 WHERE customer_id % 7 <> 0
+UNION ALL SELECT * FROM customers_v1 WHERE customer_id % 50 = 0""",
+    "products_v1": "SELECT " + ", ".join(_PROD_COLS) + " FROM stg_products",
+    "products_v2": """SELECT product_id, sku,
+       CASE WHEN product_id % 10 = 1 THEN product_name || ' v2' ELSE product_name END AS product_name,
+       CASE WHEN product_id % 10 = 4 THEN description || ' (revised)' ELSE description END AS description,
+       category,
+       CAST(CASE WHEN product_id % 10 = 2 THEN list_price + 1 ELSE list_price END AS DECIMAL(18,4)) AS list_price,
+       CASE WHEN product_id % 10 = 3 THEN NOT is_active ELSE is_active END AS is_active,
+       CASE WHEN product_id % 10 = 4 THEN updated_at + INTERVAL '1' DAY ELSE updated_at END AS updated_at
+FROM products_v1 WHERE product_id % 25 <> 0
+UNION ALL
+SELECT product_id + 1000000, 'NEW-' || sku, product_name, description, category, list_price, is_active, updated_at
+FROM products_v1 WHERE product_id % 100 = 7""",
+}
+_SCD_CTES["cust_h1"] = scd2_first_sql("customers_v1", "customer_id", _CUST_COLS, _S1)
+_SCD_CTES["cust_h2"] = scd2_next_sql("cust_h1", "customers_v2", "customer_id", _CUST_COLS, _CUST_CHECK, _S2)
+_SCD_CTES["cust_h3"] = scd2_next_sql("cust_h2", "customers_v3", "customer_id", _CUST_COLS, _CUST_CHECK, _S3)
+_SCD_CTES["prod_h1"] = scd2_first_sql("products_v1", "product_id", _PROD_COLS, _S1)
+_SCD_CTES["prod_h2"] = scd2_next_sql("prod_h1", "products_v2", "product_id", _PROD_COLS, _PROD_CHECK, _S2)
+
+ORACLE_SQL["snap_customers_initial"] = with_ctes("SELECT * FROM cust_h1", _SCD_CTES)
+ORACLE_SQL["snap_customers_changes"] = with_ctes("SELECT * FROM cust_h2", _SCD_CTES)
+ORACLE_SQL["snap_customers_deletes"] = with_ctes("SELECT * FROM cust_h3", _SCD_CTES)
+ORACLE_SQL["snap_products_changes"] = with_ctes(select_model("prod_h2", ("list_price",)), _SCD_CTES)

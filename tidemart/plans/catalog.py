@@ -265,3 +265,88 @@ def q_time_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_compare(dense_daily(spark, daily, "order_date__day", {"orders": 0}).fillna(
         0, subset=["gross_revenue"]
     ))
+
+
+# --- incremental upsert -------------------------------------------------------------
+
+
+@register("fct_orders_incremental")
+def q_fct_orders_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fct_orders built on 2001-01-01, then the 2001-08-02 batch merged with
+    the updated_at lookback (3 days before the target's last build)."""
+    from tidemart.operators.upsert import FCT_ORDERS_UPDATE_COLUMNS, incremental_upsert
+    from tidemart.sources import revisions as R
+
+    g = _graph(spark, sf_dir)
+    merged = incremental_upsert(
+        R.orders_batch1(g), R.orders_batch2(g), "order_sk", FCT_ORDERS_UPDATE_COLUMNS,
+        lookback_source_column="updated_at", lookback_target_column="_built_at",
+    )
+    return for_compare(merged)
+
+
+@register("fct_order_items_incremental")
+def q_fct_order_items_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fct_order_items built on 2001-01-01, then the later batch merged with
+    the order_date lookback; every column of a matched line is updated."""
+    from tidemart.operators.upsert import incremental_upsert
+    from tidemart.sources import revisions as R
+
+    g = _graph(spark, sf_dir)
+    merged = incremental_upsert(
+        R.items_batch1(g), R.items_batch2(g), "order_item_sk", None,
+        lookback_source_column="order_date", lookback_target_column="order_date", lookback_inclusive=True,
+    )
+    return for_compare(merged)
+
+
+# --- SCD2 snapshots -----------------------------------------------------------------
+
+
+@register("snap_customers_initial")
+def q_snap_customers_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.operators.scd2 import scd2_apply, CUSTOMER_CHECK_COLUMNS
+    from tidemart.sources import revisions as R
+
+    g = _graph(spark, sf_dir)
+    return scd2_apply(None, R.customers_v1(g), "customer_id", R.SNAPSHOT_1, CUSTOMER_CHECK_COLUMNS)
+
+
+def _customer_history(g, runs):
+    from tidemart.operators.scd2 import scd2_apply, CUSTOMER_CHECK_COLUMNS
+
+    h = None
+    for current, as_of in runs:
+        h = scd2_apply(h, current, "customer_id", as_of, CUSTOMER_CHECK_COLUMNS)
+    return h
+
+
+@register("snap_customers_changes")
+def q_snap_customers_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.sources import revisions as R
+
+    g = _graph(spark, sf_dir)
+    return _customer_history(g, [(R.customers_v1(g), R.SNAPSHOT_1), (R.customers_v2(g), R.SNAPSHOT_2)])
+
+
+@register("snap_customers_deletes")
+def q_snap_customers_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs: deletions invalidate open rows, returning keys open new ones."""
+    from tidemart.sources import revisions as R
+
+    g = _graph(spark, sf_dir)
+    return _customer_history(
+        g,
+        [(R.customers_v1(g), R.SNAPSHOT_1), (R.customers_v2(g), R.SNAPSHOT_2), (R.customers_v3(g), R.SNAPSHOT_3)],
+    )
+
+
+@register("snap_products_changes")
+def q_snap_products_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.operators.scd2 import scd2_apply, PRODUCT_CHECK_COLUMNS
+    from tidemart.sources import revisions as R
+
+    g = _graph(spark, sf_dir)
+    h = scd2_apply(None, R.products_v1(g), "product_id", R.SNAPSHOT_1, PRODUCT_CHECK_COLUMNS)
+    h = scd2_apply(h, R.products_v2(g), "product_id", R.SNAPSHOT_2, PRODUCT_CHECK_COLUMNS)
+    return for_compare(h)
