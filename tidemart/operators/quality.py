@@ -296,23 +296,42 @@ def failing_rows(models: dict[str, DataFrame], specs: Sequence[CheckSpec], as_of
 
 def duplicate_keys(models: dict[str, DataFrame], specs: Sequence[CheckSpec]) -> DataFrame:
     """Union of ``unique`` / ``unique_combination`` failures as (model,
-    test_name, column_name, key_value, n_rows)."""
+    test_name, column_name, key_value, n_rows).
+
+    All uniqueness tests of one model share one aggregation: every row emits
+    one (test, key) entry per tested column set, and a single grouped count
+    over (test, key) finds the duplicates — one shuffle per model instead of
+    one per column.  Partial aggregation before the shuffle collapses hot
+    keys map-side.  The key is grouped as an array so NULLs stay distinct
+    from any text.
+    """
     parts = []
+    by_model: dict[str, list[CheckSpec]] = {}
     for sp in specs:
-        df = models[sp.model]
-        if sp.test == "unique":
-            dup = unique(df, sp.column).select(F.col(sp.column).cast("string").alias("key_value"), "n_rows")
-        else:
+        by_model.setdefault(sp.model, []).append(sp)
+    for model, model_specs in by_model.items():
+        entries = []
+        for sp in model_specs:
             cols = sp.column.split(",")
-            dup = unique_combination(df, cols).select(
-                F.concat_ws("|", *[F.col(c).cast("string") for c in cols]).alias("key_value"), "n_rows"
+            key = F.array(*[F.col(c).cast("string") for c in cols])
+            entry = F.struct(
+                F.lit(sp.test).alias("test_name"), F.lit(sp.column).alias("column_name"), key.alias("key")
             )
+            if sp.test == "unique":  # NULL is not a duplicate for ``unique``
+                entry = F.when(F.col(cols[0]).isNotNull(), entry)
+            entries.append(entry)
+        stacked = models[model].select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+        dup = (
+            stacked.groupBy("e.test_name", "e.column_name", "e.key")
+            .agg(F.count(F.lit(1)).alias("n_rows"))
+            .filter(F.col("n_rows") > 1)
+        )
         parts.append(
             dup.select(
-                F.lit(sp.model).alias("model"),
-                F.lit(sp.test).alias("test_name"),
-                F.lit(sp.column).alias("column_name"),
-                "key_value",
+                F.lit(model).alias("model"),
+                "test_name",
+                "column_name",
+                F.concat_ws("|", F.col("key")).alias("key_value"),
                 "n_rows",
             )
         )
@@ -375,13 +394,25 @@ def dq_summary(models: dict[str, DataFrame], specs: Sequence[CheckSpec] = DECLAR
             ).alias("r")
         )
         parts.append(stacked.select(F.lit(model).alias("model"), "r.*"))
+    dup_specs = [s for s in specs if s.test in ("unique", "unique_combination")]
+    if dup_specs:
+        # failing rows per test = number of duplicated keys, zero-filled
+        dups = duplicate_keys(models, dup_specs).groupBy("model", "test_name", "column_name").agg(
+            F.count(F.lit(1)).alias("failing_rows")
+        )
+        all_dup = models[dup_specs[0].model].sparkSession.createDataFrame(
+            [(s.model, s.test, s.column) for s in dup_specs], "model string, test_name string, column_name string"
+        )
+        parts.append(
+            all_dup.join(dups, ["model", "test_name", "column_name"], "left").select(
+                "model", "test_name", "column_name",
+                F.coalesce(F.col("failing_rows"), F.lit(0)).alias("failing_rows"),
+            )
+        )
     for sp in specs:
-        if sp.test in ("unique", "unique_combination"):
-            n = duplicate_keys(models, [sp]).agg(F.count(F.lit(1)).alias("failing_rows"))
-        elif sp.test == "relationships":
-            n = orphan_keys(models, [sp]).agg(F.count(F.lit(1)).alias("failing_rows"))
-        else:
+        if sp.test != "relationships":
             continue
+        n = orphan_keys(models, [sp]).agg(F.count(F.lit(1)).alias("failing_rows"))
         parts.append(
             n.select(
                 F.lit(sp.model).alias("model"),
