@@ -18,6 +18,8 @@ Both rewrite only the date partitions the batch touches.
 from __future__ import annotations
 
 import datetime as dt
+import time
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,20 +90,58 @@ def read_mart(spark: SparkSession, cfg: BuildConfig, name: str) -> DataFrame:
     return _drop_partition_helper(t.read(), t)
 
 
+@contextmanager
+def _timed(timings: dict | None, name: str):
+    t0 = time.perf_counter()
+    yield
+    if timings is not None:
+        timings[name] = round(time.perf_counter() - t0, 3)
+
+
 def build(
     spark: SparkSession,
     raw: dict[str, DataFrame],
     as_of: str,
     cfg: BuildConfig,
     funnel_orders: DataFrame | None = None,
+    timings: dict | None = None,
 ) -> dict[str, int]:
-    """Run one build; returns {mart: published version}."""
+    """Run one build; returns {mart: published version}.  ``timings``, if
+    given, receives the wall time of each step in seconds."""
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     g = ModelGraph(raw, as_of)
     versions: dict[str, int] = {}
 
     # --- facts -------------------------------------------------------------------
     orders_t = _table(spark, cfg, "fct_orders")
+    with _timed(timings, "fct_orders"):
+        _build_fct_orders(spark, g, orders_t, cfg, as_of, versions)
+    items_t = _table(spark, cfg, "fct_order_items")
+    with _timed(timings, "fct_order_items"):
+        _build_fct_order_items(g, items_t, cfg, as_of, versions)
+
+    fct = read_mart(spark, cfg, "fct_orders")
+
+    # --- dimensions and rollups --------------------------------------------------
+    with _timed(timings, "dim_product"):
+        versions["dim_product"] = _table(spark, cfg, "dim_product").overwrite(g.dim_product)
+    with _timed(timings, "dim_customer"):
+        versions["dim_customer"] = _table(spark, cfg, "dim_customer").overwrite(g.dim_customer)
+    dim_c = read_mart(spark, cfg, "dim_customer")
+    with _timed(timings, "customer_ltv"):
+        versions["customer_ltv"] = _table(spark, cfg, "customer_ltv").overwrite(M.customer_ltv(dim_c, as_of))
+    with _timed(timings, "revenue_ledger"):
+        versions["revenue_ledger"] = _table(spark, cfg, "revenue_ledger").overwrite(M.revenue_ledger(fct, as_of))
+    orders_side = funnel_orders if funnel_orders is not None else M.fct_revenue_orders(fct)
+    with _timed(timings, "session_funnel"):
+        versions["session_funnel"] = _table(spark, cfg, "session_funnel").overwrite(
+            M.session_funnel(g.stg_sessions, orders_side, as_of)
+        )
+    _log(spark, cfg, started, versions)
+    return versions
+
+
+def _build_fct_orders(spark, g: ModelGraph, orders_t: VersionedTable, cfg: BuildConfig, as_of: str, versions):
     if cfg.full_refresh or not orders_t.exists():
         versions["fct_orders"] = orders_t.overwrite(g.fct_orders)
     else:
@@ -112,7 +152,8 @@ def build(
         source = M.fct_orders(I.int_orders_enriched(stg_o, items, g.stg_customers, as_of), as_of)
         versions["fct_orders"] = upsert_partitions(orders_t, source, "order_sk", FCT_ORDERS_UPDATE_COLUMNS)
 
-    items_t = _table(spark, cfg, "fct_order_items")
+
+def _build_fct_order_items(g: ModelGraph, items_t: VersionedTable, cfg: BuildConfig, as_of: str, versions):
     if cfg.full_refresh or not items_t.exists():
         versions["fct_order_items"] = items_t.overwrite(g.fct_order_items)
     else:
@@ -122,31 +163,21 @@ def build(
         source = M.fct_order_items(g.stg_order_items, stg_o, as_of)
         versions["fct_order_items"] = upsert_partitions(items_t, source, "order_item_sk", None)
 
-    fct = read_mart(spark, cfg, "fct_orders")
-
-    # --- dimensions and rollups --------------------------------------------------
-    versions["dim_product"] = _table(spark, cfg, "dim_product").overwrite(g.dim_product)
-    versions["dim_customer"] = _table(spark, cfg, "dim_customer").overwrite(g.dim_customer)
-    dim_c = read_mart(spark, cfg, "dim_customer")
-    versions["customer_ltv"] = _table(spark, cfg, "customer_ltv").overwrite(M.customer_ltv(dim_c, as_of))
-    versions["revenue_ledger"] = _table(spark, cfg, "revenue_ledger").overwrite(M.revenue_ledger(fct, as_of))
-    orders_side = funnel_orders if funnel_orders is not None else M.fct_revenue_orders(fct)
-    versions["session_funnel"] = _table(spark, cfg, "session_funnel").overwrite(
-        M.session_funnel(g.stg_sessions, orders_side, as_of)
-    )
 
-    if cfg.run_log:
-        from tidemart.sinks.run_log import log_run
+def _log(spark, cfg: BuildConfig, started, versions) -> None:
+    if not cfg.run_log:
+        return
+    from tidemart.sinks.run_log import log_run
 
-        path = table_path(cfg.warehouse, schema_name("audit", cfg.target_name, cfg.default_schema), "run_log")
-        log_run(
-            spark, path, started, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), cfg.target_name,
-            len(versions), True, cfg.version,
-        )
-    return versions
+    path = table_path(cfg.warehouse, schema_name("audit", cfg.target_name, cfg.default_schema), "run_log")
+    log_run(
+        spark, path, started, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), cfg.target_name,
+        len(versions), True, cfg.version,
+    )
 
 
-def build_testdata(spark: SparkSession, sf_dir: str, cfg: BuildConfig, as_of: str | None = None) -> dict[str, int]:
+def build_testdata(spark: SparkSession, sf_dir: str, cfg: BuildConfig, as_of: str | None = None,
+                   timings: dict | None = None) -> dict[str, int]:
     from tidemart.sources import testdata
 
     return build(
@@ -155,4 +186,5 @@ def build_testdata(spark: SparkSession, sf_dir: str, cfg: BuildConfig, as_of: st
         as_of or testdata.DEFAULT_AS_OF,
         cfg,
         funnel_orders=testdata.funnel_orders(spark, sf_dir),
+        timings=timings,
     )

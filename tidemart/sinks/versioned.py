@@ -23,6 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.session import checkpoint_dir
 from tidemart.sinks import fs
 from tidemart.sinks.layout import clustered, with_partition_column
 
@@ -159,9 +160,13 @@ def upsert_partitions(
 
     if not table.exists():
         return table.overwrite(source)
-    assert_unique_keys(source, key)
+    # The batch is used three times (duplicate check, touched partitions,
+    # merge): materialise it once in the shared checkpoint directory, which
+    # also cuts its lineage back to the raw tables.
+    checkpoint_dir(table.spark)
+    src = table._prepare(source).checkpoint(eager=True)
+    assert_unique_keys(src, key)
     target = table.read()
-    src = table._prepare(source)
     part = table.partition_col
     touched = touched_partitions(target, src, key, part)
     if not touched:
