@@ -76,13 +76,14 @@ def main() -> None:
         times[name] = round(statistics.median(runs), 3)
 
     wh = tempfile.mkdtemp(prefix="tidemart-bench-wh-")
-    cfg = BuildConfig(warehouse=wh, fact_grain="month", run_log=True)
-    t0 = time.perf_counter()
-    build_testdata(spark, sf_dir, cfg)
-    times["build_full"] = round(time.perf_counter() - t0, 3)
-    t0 = time.perf_counter()
-    build_testdata(spark, sf_dir, cfg)
-    times["build_incremental"] = round(time.perf_counter() - t0, 3)
+    cfg = BuildConfig(warehouse=wh, fact_grain="month", run_log=True, run_tests=True, run_snapshots=True)
+    steps: dict[str, dict] = {}
+    for label in ("build_full", "build_incremental"):
+        step_times: dict = {}
+        t0 = time.perf_counter()
+        build_testdata(spark, sf_dir, cfg, timings=step_times)
+        times[label] = round(time.perf_counter() - t0, 3)
+        steps[label] = step_times
 
     sf = Path(sf_dir).name.replace("sf", "")
     out = {
@@ -90,6 +91,7 @@ def main() -> None:
         "value": round(sum(v for k, v in times.items() if not k.startswith("build_")), 3),
         "unit": "sec",
         "queries": times,
+        "build_steps": steps,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "repeats": repeats,

@@ -59,3 +59,26 @@ def test_no_hard_delete_invalidation_option(spark):
     h1 = scd2_apply(None, spark.createDataFrame([(1, "a", "US", "x")], SCHEMA), "id", A1, ["email"])
     h2 = scd2_apply(h1, spark.createDataFrame([], SCHEMA), "id", A2, ["email"], invalidate_hard_deletes=False)
     assert rows(h2, "id", "valid_to") == [(1, None)]
+
+
+def test_snapshot_job_rewrites_only_open_and_current_month(spark, tmp_path):
+    from tidemart.plans.snapshots import history_table, run_snapshot
+
+    t = history_table(spark, str(tmp_path / "snap"))
+    cur = lambda data: spark.createDataFrame(data, SCHEMA)
+    run_snapshot(t, cur([(1, "a", "US", "x"), (2, "b", "FR", "y"), (3, "c", "DE", "z")]), "id", A1, ["email", "country"])
+    run_snapshot(t, cur([(1, "a2", "US", "x"), (2, "b", "FR", "y"), (3, "c", "DE", "z")]), "id", A2, ["email", "country"])
+    feb_path = t.manifest()["paths"]["2024-02-01"]
+    # a second run in March and a third one later in March keep both closures
+    run_snapshot(t, cur([(1, "a2", "US", "x"), (2, "b", "FR", "y")]), "id", A3, ["email", "country"])
+    run_snapshot(t, cur([(1, "a2", "US", "x")]), "id", "2024-03-15 00:00:00", ["email", "country"])
+    m = t.manifest()
+    assert m["paths"]["2024-02-01"] == feb_path          # closed history untouched
+    h = t.read()
+    assert rows(h, "id", "email", "valid_from", "valid_to") == [
+        (1, "a", T(A1), T(A2)),
+        (1, "a2", T(A2), None),
+        (2, "b", T(A1), T("2024-03-15 00:00:00")),
+        (3, "c", T(A1), T(A3)),
+    ]
+    assert overlapping_periods(h.drop("valid_to_month"), "id").count() == 0

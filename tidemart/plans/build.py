@@ -65,6 +65,8 @@ class BuildConfig:
     lookback_days: int = LOOKBACK_DAYS
     full_refresh: bool = False
     run_log: bool = True
+    run_tests: bool = True
+    run_snapshots: bool = False
     version: str = "tidemart-0.1"
     grain_override: dict[str, str] = field(default_factory=dict)
 
@@ -105,9 +107,11 @@ def build(
     cfg: BuildConfig,
     funnel_orders: DataFrame | None = None,
     timings: dict | None = None,
+    report: dict | None = None,
 ) -> dict[str, int]:
     """Run one build; returns {mart: published version}.  ``timings``, if
-    given, receives the wall time of each step in seconds."""
+    given, receives the wall time of each step in seconds; ``report``
+    receives the number of failing data tests."""
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     g = ModelGraph(raw, as_of)
     versions: dict[str, int] = {}
@@ -137,10 +141,49 @@ def build(
         versions["session_funnel"] = _table(spark, cfg, "session_funnel").overwrite(
             M.session_funnel(g.stg_sessions, orders_side, as_of)
         )
+    if cfg.run_snapshots:
+        with _timed(timings, "snapshots"):
+            _snapshots(spark, cfg, g, as_of, versions)
+    if cfg.run_tests:
+        with _timed(timings, "tests"):
+            failed = _tests(spark, cfg, g, as_of, started)
+        if report is not None:
+            report["failed_tests"] = failed
     _log(spark, cfg, started, versions)
     return versions
 
 
+def _snapshots(spark, cfg: BuildConfig, g: ModelGraph, as_of: str, versions) -> None:
+    from tidemart.plans.snapshots import history_table, snapshot_customers, snapshot_products
+
+    schema = schema_name("snapshots", cfg.target_name, cfg.default_schema)
+    versions["snap_customers_scd2"] = snapshot_customers(
+        history_table(spark, table_path(cfg.warehouse, schema, "snap_customers_scd2")), g.stg_customers, as_of
+    )
+    versions["snap_products_scd2"] = snapshot_products(
+        history_table(spark, table_path(cfg.warehouse, schema, "snap_products_scd2")), g.stg_products, as_of
+    )
+
+
+def _tests(spark, cfg: BuildConfig, g: ModelGraph, as_of: str, started) -> int:
+    """Run every declared data test against the published marts (staging
+    models are evaluated from raw), append the summary to the audit layer and
+    return the number of failing tests."""
+    from tidemart.operators.quality import DECLARED_TESTS, dq_summary
+
+    models = {name: getattr(g, name) for name in
+              ("stg_orders", "stg_customers", "stg_products", "stg_order_items", "stg_sessions")}
+    models.update({name: read_mart(spark, cfg, name) for name in MART_LAYOUT})
+    summary = dq_summary(models, DECLARED_TESTS, as_of).select(
+        "*", F.lit(started).cast("timestamp_ntz").alias("run_started_at"),
+        F.to_date(F.lit(started)).alias("run_date"),
+    )
+    path = table_path(cfg.warehouse, schema_name("audit", cfg.target_name, cfg.default_schema), "dq_results")
+    summary.coalesce(1).write.mode("append").partitionBy("run_date").parquet(path)
+    written = spark.read.parquet(path).filter(F.col("run_started_at") == F.lit(started).cast("timestamp_ntz"))
+    return written.filter(F.col("status") == "fail").count()
+
+
 def _build_fct_orders(spark, g: ModelGraph, orders_t: VersionedTable, cfg: BuildConfig, as_of: str, versions):
     if cfg.full_refresh or not orders_t.exists():
         versions["fct_orders"] = orders_t.overwrite(g.fct_orders)
@@ -177,7 +220,7 @@ def _log(spark, cfg: BuildConfig, started, versions) -> None:
 
 
 def build_testdata(spark: SparkSession, sf_dir: str, cfg: BuildConfig, as_of: str | None = None,
-                   timings: dict | None = None) -> dict[str, int]:
+                   timings: dict | None = None, report: dict | None = None) -> dict[str, int]:
     from tidemart.sources import testdata
 
     return build(
@@ -187,4 +230,5 @@ def build_testdata(spark: SparkSession, sf_dir: str, cfg: BuildConfig, as_of: st
         cfg,
         funnel_orders=testdata.funnel_orders(spark, sf_dir),
         timings=timings,
+        report=report,
     )

@@ -28,6 +28,10 @@ from tidemart.sinks import fs
 from tidemart.sinks.layout import clustered, with_partition_column
 
 
+# Directory name Spark gives the partition of NULL values.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, partition_by: str | None = None,
                  grain: str = "day", cluster_by: Sequence[str] = ()):
@@ -125,7 +129,7 @@ class VersionedTable:
         df = self._prepare(df)
         current = self.manifest()
         version = (current["version"] or 0) + 1
-        touched_keys = {str(v) for v in touched}
+        touched_keys = {NULL_PARTITION if v is None else str(v) for v in touched}
         new_paths = self._write_version(df, version) if touched_keys else {}
         paths = {k: v for k, v in current["paths"].items() if k not in touched_keys}
         paths.update({k: v for k, v in new_paths.items() if k in touched_keys})
