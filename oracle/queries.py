@@ -307,7 +307,7 @@ def _scd_id(key_expr: str, as_of: str) -> str:
 def scd2_first_sql(current: str, key: str, cols, as_of: str) -> str:
     c = ", ".join(f"c.{x}" for x in cols)
     return f"SELECT {c}, {_scd_id('c.' + key, as_of)} AS scd_id, {as_of} AS valid_from, " \
-           f"CAST(NULL AS TIMESTAMP) AS valid_to FROM {current} c"
+           f"CAST(NULL AS TIMESTAMP) AS valid_to FROM {current} c WHERE c.{key} IS NOT NULL"
 
 
 def scd2_next_sql(history: str, current: str, key: str, cols, check, as_of: str) -> str:
@@ -325,7 +325,7 @@ FROM (SELECT * FROM {history} WHERE valid_to IS NULL) h LEFT JOIN {current} c ON
 UNION ALL
 SELECT {cc}, {_scd_id('c.' + key, as_of)} AS scd_id, {as_of} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to
 FROM {current} c LEFT JOIN (SELECT * FROM {history} WHERE valid_to IS NULL) h ON h.{key} = c.{key}
-WHERE h.{key} IS NULL OR NOT ({same})"""
+WHERE c.{key} IS NOT NULL AND (h.{key} IS NULL OR NOT ({same}))"""
 
 
 _SCD_CTES = {

@@ -82,3 +82,10 @@ def test_snapshot_job_rewrites_only_open_and_current_month(spark, tmp_path):
         (3, "c", T(A1), T(A3)),
     ]
     assert overlapping_periods(h.drop("valid_to_month"), "id").count() == 0
+
+
+def test_null_keys_are_not_snapshotted(spark):
+    v = [(1, "a", "US", "x"), (None, "z", "US", "x")]
+    h1 = scd2_apply(None, spark.createDataFrame(v, SCHEMA), "id", A1, ["email"])
+    h2 = scd2_apply(h1, spark.createDataFrame(v, SCHEMA), "id", A2, ["email"])
+    assert rows(h2, "id", "valid_to") == [(1, None)]

@@ -75,7 +75,7 @@ def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def relationships(child: DataFrame, column: str, parent: DataFrame, field_name: str) -> DataFrame:
     """Child rows whose non-NULL key is absent from the parent (anti-join;
     AQE broadcasts the parent keys only if their measured size is small)."""
-    keys = parent.select(F.col(field_name).alias("__parent_key"))
+    keys = parent.select(F.col(field_name).alias("__parent_key")).filter(F.col("__parent_key").isNotNull())
     return child.filter(F.col(column).isNotNull()).join(
         keys, F.col(column) == F.col("__parent_key"), "left_anti"
     )

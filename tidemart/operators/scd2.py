@@ -9,7 +9,8 @@ History rows carry ``valid_from``, ``valid_to`` (NULL while open) and
 * a key missing from the current rows has its open row closed at ``as_of``
   (hard-delete invalidation); a key that comes back opens a new row;
 * unchanged keys keep their row untouched (unchecked columns included);
-* closed history passes through.
+* closed history passes through;
+* rows with a NULL key are not snapshotted.
 
 Each joined row yields one or two output rows through ``explode`` of a
 two-element array, so the join runs once.  Rerunning with the same input
@@ -64,6 +65,9 @@ def scd2_apply(
         history = empty_history(current)
     check = [c for c in data_cols if c != key] if check_cols is None else list(check_cols)
     now = ts_literal(as_of)
+    # A row without a key cannot be tracked (it would never match its own
+    # history and would be reopened on every run); it is not snapshotted.
+    current = current.filter(F.col(key).isNotNull())
 
     closed = history.filter(F.col(VALID_TO).isNotNull())
     open_rows = history.filter(F.col(VALID_TO).isNull())
