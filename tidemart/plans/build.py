@@ -118,8 +118,9 @@ def build(
 
     # --- facts -------------------------------------------------------------------
     orders_t = _table(spark, cfg, "fct_orders")
+    touched_orders: list | None = None  # None = full rebuild of fct_orders
     with _timed(timings, "fct_orders"):
-        _build_fct_orders(spark, g, orders_t, cfg, as_of, versions)
+        touched_orders = _build_fct_orders(spark, g, orders_t, cfg, as_of, versions)
     items_t = _table(spark, cfg, "fct_order_items")
     with _timed(timings, "fct_order_items"):
         _build_fct_order_items(g, items_t, cfg, as_of, versions)
@@ -135,7 +136,7 @@ def build(
     with _timed(timings, "customer_ltv"):
         versions["customer_ltv"] = _table(spark, cfg, "customer_ltv").overwrite(M.customer_ltv(dim_c, as_of))
     with _timed(timings, "revenue_ledger"):
-        versions["revenue_ledger"] = _table(spark, cfg, "revenue_ledger").overwrite(M.revenue_ledger(fct, as_of))
+        _build_revenue_ledger(spark, cfg, fct, as_of, touched_orders, versions)
     orders_side = funnel_orders if funnel_orders is not None else M.fct_revenue_orders(fct)
     with _timed(timings, "session_funnel"):
         versions["session_funnel"] = _table(spark, cfg, "session_funnel").overwrite(
@@ -185,15 +186,40 @@ def _tests(spark, cfg: BuildConfig, g: ModelGraph, as_of: str, started) -> int:
 
 
 def _build_fct_orders(spark, g: ModelGraph, orders_t: VersionedTable, cfg: BuildConfig, as_of: str, versions):
+    """Returns the partition values the incremental MERGE rewrote, or None
+    after a full load."""
     if cfg.full_refresh or not orders_t.exists():
         versions["fct_orders"] = orders_t.overwrite(g.fct_orders)
+        return None
     else:
         target = _drop_partition_helper(orders_t.read(), orders_t)
         cutoff = lookback_cutoff(target, BUILT_AT, cfg.lookback_days)
         stg_o = g.stg_orders.filter(F.col("updated_at") > F.lit(cutoff))
         items = g.stg_order_items.join(stg_o.select("order_id"), "order_id", "left_semi")
         source = M.fct_orders(I.int_orders_enriched(stg_o, items, g.stg_customers, as_of), as_of)
-        versions["fct_orders"] = upsert_partitions(orders_t, source, "order_sk", FCT_ORDERS_UPDATE_COLUMNS)
+        touched: list = []
+        versions["fct_orders"] = upsert_partitions(
+            orders_t, source, "order_sk", FCT_ORDERS_UPDATE_COLUMNS, touched_out=touched
+        )
+        return touched
+
+
+def _build_revenue_ledger(spark, cfg: BuildConfig, fct: DataFrame, as_of: str, touched, versions) -> None:
+    """The ledger's rows for a date depend only on that date's orders, so
+    after an incremental fact run only the partitions the MERGE touched are
+    recomputed (fact read with a partition filter) and replaced."""
+    table = _table(spark, cfg, "revenue_ledger")
+    orders_t = _table(spark, cfg, "fct_orders")
+    same_layout = table.grain == orders_t.grain
+    if touched is None or not table.exists() or not same_layout:
+        versions["revenue_ledger"] = table.overwrite(M.revenue_ledger(fct, as_of))
+        return
+    if not touched:
+        versions["revenue_ledger"] = table.current_version()
+        return
+    part = orders_t.partition_col
+    fct_touched = _drop_partition_helper(orders_t.read().filter(F.col(part).isin(*touched)), orders_t)
+    versions["revenue_ledger"] = table.replace_partitions(M.revenue_ledger(fct_touched, as_of), touched)
 
 
 def _build_fct_order_items(g: ModelGraph, items_t: VersionedTable, cfg: BuildConfig, as_of: str, versions):

@@ -152,9 +152,11 @@ def upsert_partitions(
     source: DataFrame,
     key: str,
     update_columns: Sequence[str] | None = None,
+    touched_out: list | None = None,
 ) -> int:
     """MERGE ``source`` into a partitioned versioned table, rewriting only
-    the partitions the source touches.
+    the partitions the source touches (their values are appended to
+    ``touched_out`` when given, for downstream incremental work).
 
     The touched partition values are found from the target's key and
     partition columns only; the merge then reads just those partitions
@@ -173,6 +175,8 @@ def upsert_partitions(
     target = table.read()
     part = table.partition_col
     touched = touched_partitions(target, src, key, part)
+    if touched_out is not None:
+        touched_out.extend(touched)
     if not touched:
         return table.current_version()
     affected = target.filter(F.col(part).isin(*touched))
