@@ -68,3 +68,14 @@ def test_initcap_and_trims(spark):
 def test_ts_literal_is_zone_free(spark):
     r = spark.range(1).select(E.ts_literal("2001-08-02 00:00:00").alias("t")).first()
     assert r["t"] == dt.datetime(2001, 8, 2)
+
+
+def test_value_literal_is_zone_free(spark):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 12),)], "t timestamp_ntz")
+        assert df.filter(F.col("t") == E.value_literal(dt.datetime(2024, 1, 1, 12))).count() == 1
+        assert df.filter(F.col("t") > E.value_literal(dt.datetime(2024, 1, 1, 11, 59))).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)

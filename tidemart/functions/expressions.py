@@ -102,6 +102,17 @@ def ts_literal(value: str) -> Column:
     return F.lit(value).cast(TimestampNTZType())
 
 
+def value_literal(value) -> Column:
+    """Literal for a value collected from a DataFrame.  A ``datetime`` from
+    a TIMESTAMP_NTZ column becomes an NTZ literal again (``F.lit`` of a
+    naive datetime would yield a session-zone TIMESTAMP)."""
+    import datetime as _dt
+
+    if isinstance(value, _dt.datetime):
+        return ts_literal(value.isoformat(sep=" "))
+    return F.lit(value)
+
+
 def is_revenue_status(status: Column | str) -> Column:
     return _col(status).isin(*REVENUE_STATUSES)
 

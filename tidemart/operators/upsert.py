@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.expressions import LOOKBACK_DAYS
+from tidemart.functions.expressions import LOOKBACK_DAYS, value_literal
 
 
 class DuplicateKeyError(ValueError):
@@ -98,7 +98,8 @@ def lookback_filter(
     if cutoff is None:
         return source
     c = F.col(source_column)
-    return source.filter(c >= F.lit(cutoff) if inclusive else c > F.lit(cutoff))
+    lit = value_literal(cutoff)
+    return source.filter(c >= lit if inclusive else c > lit)
 
 
 def incremental_upsert(

@@ -25,7 +25,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.functions.expressions import LOOKBACK_DAYS
+from tidemart.functions.expressions import LOOKBACK_DAYS, value_literal
 from tidemart.operators.upsert import FCT_ORDERS_UPDATE_COLUMNS, lookback_cutoff
 from tidemart.plans import intermediate as I
 from tidemart.plans import marts as M
@@ -176,12 +176,12 @@ def _tests(spark, cfg: BuildConfig, g: ModelGraph, as_of: str, started) -> int:
               ("stg_orders", "stg_customers", "stg_products", "stg_order_items", "stg_sessions")}
     models.update({name: read_mart(spark, cfg, name) for name in MART_LAYOUT})
     summary = dq_summary(models, DECLARED_TESTS, as_of).select(
-        "*", F.lit(started).cast("timestamp_ntz").alias("run_started_at"),
-        F.to_date(F.lit(started)).alias("run_date"),
+        "*", value_literal(started).alias("run_started_at"),
+        F.to_date(value_literal(started)).alias("run_date"),
     )
     path = table_path(cfg.warehouse, schema_name("audit", cfg.target_name, cfg.default_schema), "dq_results")
     summary.coalesce(1).write.mode("append").partitionBy("run_date").parquet(path)
-    written = spark.read.parquet(path).filter(F.col("run_started_at") == F.lit(started).cast("timestamp_ntz"))
+    written = spark.read.parquet(path).filter(F.col("run_started_at") == value_literal(started))
     return written.filter(F.col("status") == "fail").count()
 
 
@@ -194,7 +194,7 @@ def _build_fct_orders(spark, g: ModelGraph, orders_t: VersionedTable, cfg: Build
     else:
         target = _drop_partition_helper(orders_t.read(), orders_t)
         cutoff = lookback_cutoff(target, BUILT_AT, cfg.lookback_days)
-        stg_o = g.stg_orders.filter(F.col("updated_at") > F.lit(cutoff))
+        stg_o = g.stg_orders.filter(F.col("updated_at") > value_literal(cutoff))
         items = g.stg_order_items.join(stg_o.select("order_id"), "order_id", "left_semi")
         source = M.fct_orders(I.int_orders_enriched(stg_o, items, g.stg_customers, as_of), as_of)
         touched: list = []
@@ -228,7 +228,7 @@ def _build_fct_order_items(g: ModelGraph, items_t: VersionedTable, cfg: BuildCon
     else:
         target = _drop_partition_helper(items_t.read(), items_t)
         cutoff = lookback_cutoff(target, "order_date", cfg.lookback_days)
-        stg_o = g.stg_orders.filter(F.col("order_date") >= F.lit(cutoff))
+        stg_o = g.stg_orders.filter(F.col("order_date") >= value_literal(cutoff))
         source = M.fct_order_items(g.stg_order_items, stg_o, as_of)
         versions["fct_order_items"] = upsert_partitions(items_t, source, "order_item_sk", None)
 
