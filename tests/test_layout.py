@@ -50,3 +50,13 @@ def test_run_log_append_and_expiry(spark, tmp_path):
     assert removed == ["started_date=2024-01-01"]
     assert [r.models_run for r in read_run_log(spark, path).collect()] == [3]
     assert expire_partitions(spark, path, "started_date", dt.date(2000, 1, 1)) == []
+
+
+def test_build_persists_column_comments(spark, tmp_path):
+    from tidemart.plans.build import BuildConfig, build_testdata, read_mart
+
+    cfg = BuildConfig(warehouse=str(tmp_path / "wh"), fact_grain="month", run_tests=False)
+    build_testdata(spark, "/root/testdata/sf0.001", cfg)
+    ltv = read_mart(spark, cfg, "customer_ltv")
+    assert "whale" in ltv.schema["ltv_segment"].metadata.get("comment", "")
+    assert read_mart(spark, cfg, "fct_orders").count() > 0

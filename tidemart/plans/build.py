@@ -56,6 +56,33 @@ MART_LAYOUT: dict[str, Layout] = {
 }
 
 
+# Column descriptions persisted with the marts (parquet schema metadata).
+MART_COMMENTS: dict[str, dict[str, str]] = {
+    "fct_orders": {
+        "order_sk": "surrogate key of the order (SHA-256 of order_id)",
+        "has_total_mismatch": "order total differs from the sum of its net line amounts by more than 1 %",
+        "_built_at": "as-of time of the build that last wrote the row",
+    },
+    "fct_order_items": {
+        "line_net_amount": "quantity x unit price x (1 - discount)",
+        "_built_at": "as-of time of the build that last wrote the row",
+    },
+    "dim_customer": {
+        "recency_segment": "active <=30 days, recent <=90, dormant <=365, else churned; never_ordered",
+        "lifetime_gross_revenue": "sum of paid, shipped and delivered order totals",
+    },
+    "customer_ltv": {"ltv_segment": "whale >=5000, high_value >=1000, mid_value >=100, low_value >0, else non_buyer"},
+    "revenue_ledger": {"cancelled_revenue": "always 0: cancelled orders are filtered out before aggregation"},
+    "session_funnel": {
+        "gross_revenue": "same-day revenue of converting customers, counted once per session",
+        "conversion_rate": "converting customers / authenticated customers",
+    },
+}
+
+# Retention of audit tables, in days.
+AUDIT_RETENTION_DAYS = 180
+
+
 @dataclass
 class BuildConfig:
     warehouse: str
@@ -77,7 +104,7 @@ def _table(spark: SparkSession, cfg: BuildConfig, name: str) -> VersionedTable:
     if name.startswith("fct_") or name in ("revenue_ledger", "session_funnel"):
         grain = cfg.grain_override.get(name, cfg.fact_grain)
     path = table_path(cfg.warehouse, schema_name(lay.layer, cfg.target_name, cfg.default_schema), name)
-    return VersionedTable(spark, path, lay.partition_by, grain, lay.cluster_by)
+    return VersionedTable(spark, path, lay.partition_by, grain, lay.cluster_by, MART_COMMENTS.get(name))
 
 
 def _drop_partition_helper(df: DataFrame, table: VersionedTable) -> DataFrame:
@@ -234,15 +261,22 @@ def _build_fct_order_items(g: ModelGraph, items_t: VersionedTable, cfg: BuildCon
 
 
 def _log(spark, cfg: BuildConfig, started, versions) -> None:
+    """Append the run to the run log and expire old audit partitions
+    (directory listing only)."""
     if not cfg.run_log:
         return
+    from tidemart.sinks.layout import expire_partitions
     from tidemart.sinks.run_log import log_run
 
-    path = table_path(cfg.warehouse, schema_name("audit", cfg.target_name, cfg.default_schema), "run_log")
+    audit = schema_name("audit", cfg.target_name, cfg.default_schema)
+    path = table_path(cfg.warehouse, audit, "run_log")
     log_run(
         spark, path, started, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), cfg.target_name,
         len(versions), True, cfg.version,
     )
+    oldest = started.date() - dt.timedelta(days=AUDIT_RETENTION_DAYS)
+    expire_partitions(spark, path, "started_date", oldest)
+    expire_partitions(spark, table_path(cfg.warehouse, audit, "dq_results"), "run_date", oldest)
 
 
 def build_testdata(spark: SparkSession, sf_dir: str, cfg: BuildConfig, as_of: str | None = None,

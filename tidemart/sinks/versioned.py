@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemart.session import checkpoint_dir
 from tidemart.sinks import fs
-from tidemart.sinks.layout import clustered, with_partition_column
+from tidemart.sinks.layout import clustered, with_comments, with_partition_column
 
 
 # Directory name Spark gives the partition of NULL values.
@@ -34,8 +34,9 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, partition_by: str | None = None,
-                 grain: str = "day", cluster_by: Sequence[str] = ()):
+                 grain: str = "day", cluster_by: Sequence[str] = (), comments: dict[str, str] | None = None):
         self.spark = spark
+        self.comments = dict(comments or {})
         self.root = root.rstrip("/")
         self.partition_by = partition_by
         self.grain = grain
@@ -96,6 +97,8 @@ class VersionedTable:
     def _prepare(self, df: DataFrame) -> DataFrame:
         if self.partition_by and self.partition_col not in df.columns:
             df, _ = with_partition_column(df, self.partition_by, self.grain)
+        if self.comments:
+            df = with_comments(df, self.comments)
         return df
 
     def _write_version(self, df: DataFrame, version: int) -> dict[str, str]:
