@@ -9,10 +9,10 @@ from tidemart.sources.spine import time_spine
 
 
 def test_layer_routing():
-    assert schema_name(None, "dev", "dbt_me") == "dbt_me"
-    assert schema_name("gold", "prod", "dbt_me") == "gold"
+    assert schema_name(None, "dev", "dev_me") == "dev_me"
+    assert schema_name("gold", "prod", "dev_me") == "gold"
     assert schema_name(" silver ", "staging", "x") == "silver"
-    assert schema_name("gold", "dev", "dbt_me") == "dbt_me_gold"
+    assert schema_name("gold", "dev", "dev_me") == "dev_me_gold"
 
 
 def test_seed_and_spine(spark):

@@ -49,11 +49,11 @@ def test_freshness_statuses(spark):
 
 def test_cost_per_model(spark):
     log = spark.createDataFrame(
-        [(dt.datetime(2024, 1, 1, 12), "QUERY", "select 1 /* dbt-1.9 | abc | fct_orders */", 2 ** 40),
-         (dt.datetime(2024, 1, 1, 13), "QUERY", "select 2 /* dbt-1.9 | abc | dim_product */", 2 ** 39),
-         (dt.datetime(2024, 1, 1, 14), "QUERY", "select 3 /* dbt-1.9 | abc | fct_orders */", 2 ** 40),
-         (dt.datetime(2023, 1, 1), "QUERY", "select /* dbt-1.9 | abc | old */", 2 ** 40),
-         (dt.datetime(2024, 1, 1, 15), "LOAD", "load /* dbt-x | a | fct_orders */", 2 ** 40)],
+        [(dt.datetime(2024, 1, 1, 12), "QUERY", "select 1 /* tidemart-0.1 | abc | fct_orders */", 2 ** 40),
+         (dt.datetime(2024, 1, 1, 13), "QUERY", "select 2 /* tidemart-0.1 | abc | dim_product */", 2 ** 39),
+         (dt.datetime(2024, 1, 1, 14), "QUERY", "select 3 /* tidemart-0.1 | abc | fct_orders */", 2 ** 40),
+         (dt.datetime(2023, 1, 1), "QUERY", "select /* tidemart-0.1 | abc | old */", 2 ** 40),
+         (dt.datetime(2024, 1, 1, 15), "LOAD", "load /* other-x | a | fct_orders */", 2 ** 40)],
         "creation_time timestamp_ntz, job_type string, query string, total_bytes_billed bigint",
     )
     out = [tuple(r) for r in cost_per_model(log, "2024-01-02 00:00:00").collect()]

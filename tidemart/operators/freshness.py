@@ -71,21 +71,23 @@ def last_refresh(marts: dict[str, DataFrame], stamp: str = "_built_at") -> DataF
 
 
 # Query-log cost report: price per TiB billed, and the pattern that pulls the
-# model name out of the query comment "... | <invocation> | <model> */".
+# model name out of the query comment "<tool>-<version> | <invocation> | <model> */".
 PRICE_PER_TIB_USD = 5
 MODEL_COMMENT_PATTERN = r"\| ([a-z_]+)\s*\*/"
-TOOL_COMMENT_MARKER = "%dbt-%"
+TOOL_COMMENT_MARKER = "%tidemart-%"
 
 
-def cost_per_model(query_log: DataFrame, as_of: str, lookback_days: int = 1) -> DataFrame:
+def cost_per_model(query_log: DataFrame, as_of: str, lookback_days: int = 1,
+                   marker: str = TOOL_COMMENT_MARKER) -> DataFrame:
     """Cost in USD per model over the last ``lookback_days`` from a query log
-    with columns creation_time, job_type, query, total_bytes_billed; sorted by
-    cost, highest first."""
+    with columns creation_time, job_type, query, total_bytes_billed; only
+    queries whose text matches the ``marker`` LIKE pattern (the build tool's
+    query comment) count.  Sorted by cost, highest first."""
     since = F.timestamp_add("DAY", F.lit(-lookback_days), ts_literal(as_of))
     recent = query_log.filter(
         (F.col("creation_time") >= since)
         & (F.col("job_type") == "QUERY")
-        & F.col("query").like(TOOL_COMMENT_MARKER)
+        & F.col("query").like(marker)
     )
     per_model = recent.groupBy(
         F.regexp_extract("query", MODEL_COMMENT_PATTERN, 1).alias("model_name")

@@ -39,10 +39,11 @@ def spine_between(start: Column, end: Column) -> Column:
 
 def dense_daily(spark: SparkSession, daily: DataFrame, date_col: str, fill: dict) -> DataFrame:
     """Left-join a daily series onto the spine of its own date range so that
-    missing days appear with ``fill`` values (MetricFlow's time-spine join).
+    missing days appear with ``fill`` values (the semantic layer's time-spine join).
 
-    The bounds are one aggregate row; the spine is generated by ``range`` and
-    the join is an equi-join on the date.
+    The bounds are one aggregate row; the spine is the exploded date sequence
+    between them (its length is bounded by the calendar span, not by the row
+    count) and the join is an equi-join on the date.
     """
     bounds = daily.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
     days = bounds.select(F.explode(spine_between(F.col("lo"), F.col("hi"))).alias("date_day"))
