@@ -60,3 +60,13 @@ def test_build_persists_column_comments(spark, tmp_path):
     ltv = read_mart(spark, cfg, "customer_ltv")
     assert "whale" in ltv.schema["ltv_segment"].metadata.get("comment", "")
     assert read_mart(spark, cfg, "fct_orders").count() > 0
+
+
+def test_shuffle_partition_sizing(spark):
+    from tidemart.session import input_bytes, shuffle_partitions_for
+
+    assert shuffle_partitions_for(100 * 1024**4) == 400_000
+    assert shuffle_partitions_for(10 * 1024**4) == 40_960
+    assert shuffle_partitions_for(50 * 1024**2) == 8
+    n = input_bytes(spark, ["/root/testdata/sf0.001/lineitem.parquet"])
+    assert n > 0

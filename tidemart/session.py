@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.ui.enabled": "false",
@@ -52,6 +54,45 @@ def build_session(
     return spark
 
 
+TARGET_SHUFFLE_PARTITION_BYTES = 256 * 1024**2
+MAX_SHUFFLE_PARTITIONS = 400_000
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = TARGET_SHUFFLE_PARTITION_BYTES,
+                           min_partitions: int = 8) -> int:
+    """Shuffle partition count that keeps a partition near ``target_bytes``
+    for the largest shuffle (at most the size of the largest input, e.g.
+    line items).  AQE coalesces partitions that come out smaller, and splits
+    skewed ones, so this is the upper bound a stage starts from.
+
+    100 TB of line items -> 409,600 partitions is capped at 400,000; 600 k
+    test rows (tens of MB) -> the minimum.
+    """
+    n = -(-int(input_bytes) // int(target_bytes))
+    return max(min_partitions, min(n, MAX_SHUFFLE_PARTITIONS))
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (listing only, no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffles(spark: SparkSession, largest_input_paths: list[str]) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the size of the largest
+    inputs (a runtime SQL setting); returns the value set."""
+    n = shuffle_partitions_for(input_bytes(spark, largest_input_paths))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
