@@ -364,3 +364,13 @@ ORACLE_SQL["snap_customers_initial"] = with_ctes("SELECT * FROM cust_h1", _SCD_C
 ORACLE_SQL["snap_customers_changes"] = with_ctes("SELECT * FROM cust_h2", _SCD_CTES)
 ORACLE_SQL["snap_customers_deletes"] = with_ctes("SELECT * FROM cust_h3", _SCD_CTES)
 ORACLE_SQL["snap_products_changes"] = with_ctes(select_model("prod_h2", ("list_price",)), _SCD_CTES)
+
+ORACLE_SQL["snap_period_overlaps"] = with_ctes(
+    """SELECT customer_id, scd_id, valid_from, valid_to, prev_valid_from, prev_valid_to FROM (
+  SELECT customer_id, scd_id, valid_from, valid_to,
+         LAG(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from, scd_id) AS prev_valid_from,
+         LAG(valid_to) OVER (PARTITION BY customer_id ORDER BY valid_from, scd_id) AS prev_valid_to
+  FROM cust_h3) x
+WHERE prev_valid_from IS NOT NULL AND (prev_valid_to IS NULL OR prev_valid_to > valid_from)""",
+    _SCD_CTES,
+)

@@ -89,3 +89,15 @@ def test_null_keys_are_not_snapshotted(spark):
     h1 = scd2_apply(None, spark.createDataFrame(v, SCHEMA), "id", A1, ["email"])
     h2 = scd2_apply(h1, spark.createDataFrame(v, SCHEMA), "id", A2, ["email"])
     assert rows(h2, "id", "valid_to") == [(1, None)]
+
+
+def test_period_overlaps_detects_bad_history(spark):
+    from tidemart.operators.scd2 import period_overlaps
+
+    good = _hist(spark, [([(1, "a", "US", "x")], A1), ([(1, "b", "US", "x")], A2)])
+    assert period_overlaps(good, "id").count() == 0
+    bad = spark.createDataFrame(
+        [(1, "s1", T(A1), None), (1, "s2", T(A2), None), (2, "s3", T(A1), T(A3)), (2, "s4", T(A2), None)],
+        "id bigint, scd_id string, valid_from timestamp_ntz, valid_to timestamp_ntz",
+    )
+    assert sorted(r.scd_id for r in period_overlaps(bad, "id").collect()) == ["s2", "s4"]

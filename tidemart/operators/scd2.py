@@ -123,6 +123,24 @@ def overlapping_periods(history: DataFrame, key: str) -> DataFrame:
     )
 
 
+def period_overlaps(history: DataFrame, key: str) -> DataFrame:
+    """Invariant check: history rows whose period starts before the previous
+    period of the same key has ended (or while it is still open).  Empty =
+    valid.  A window per key ordered by valid_from; a key's history is its
+    list of changes, so each window partition stays small."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(key).orderBy(VALID_FROM, SCD_ID)
+    prev_to = F.lag(F.col(VALID_TO)).over(w)
+    prev_from = F.lag(F.col(VALID_FROM)).over(w)
+    with_prev = history.select(key, SCD_ID, VALID_FROM, VALID_TO,
+                               prev_from.alias("prev_valid_from"), prev_to.alias("prev_valid_to"))
+    bad = F.col("prev_valid_from").isNotNull() & (
+        F.col("prev_valid_to").isNull() | (F.col("prev_valid_to") > F.col(VALID_FROM))
+    )
+    return with_prev.filter(bad)
+
+
 # Check columns of the two snapshots.
 CUSTOMER_CHECK_COLUMNS = ("email", "country", "tier")
 PRODUCT_CHECK_COLUMNS = ("sku", "product_name", "category", "list_price", "is_active")

@@ -350,3 +350,18 @@ def q_snap_products_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = scd2_apply(None, R.products_v1(g), "product_id", R.SNAPSHOT_1, PRODUCT_CHECK_COLUMNS)
     h = scd2_apply(h, R.products_v2(g), "product_id", R.SNAPSHOT_2, PRODUCT_CHECK_COLUMNS)
     return for_compare(h)
+
+
+@register("snap_period_overlaps")
+def q_snap_period_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History invariant over three customer snapshot runs: no key has a
+    period starting before its previous one ended (empty = valid)."""
+    from tidemart.operators.scd2 import period_overlaps
+    from tidemart.sources import revisions as R
+
+    g = _graph(spark, sf_dir)
+    h = _customer_history(
+        g,
+        [(R.customers_v1(g), R.SNAPSHOT_1), (R.customers_v2(g), R.SNAPSHOT_2), (R.customers_v3(g), R.SNAPSHOT_3)],
+    )
+    return period_overlaps(h, "customer_id")
