@@ -141,3 +141,20 @@ def test_incremental_build_matches_full_build_after_changes(spark, tmp_path):
         b = read_mart(spark, full, m).drop("_built_at")
         assert rows(a) == rows(b), m
     assert read_mart(spark, inc, "fct_orders").filter(hit & (F.col("order_status") != "cancelled")).count() == 0
+
+
+def test_vacuum_keeps_recent_versions(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "dim"))
+    for i in range(4):
+        t.overwrite(spark.createDataFrame([(i, "a", "US", D1, T0)], SCHEMA))
+    removed = t.vacuum(keep_versions=2)
+    assert sorted(removed) == ["version=1", "version=2"]
+    assert t.versions() == [3, 4]
+    assert [r.k for r in t.read().collect()] == [3]
+
+
+def test_unpartitioned_upsert(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "dim"))
+    t.overwrite(spark.createDataFrame([(1, "a", "US", D1, T0), (2, "b", "US", D1, T0)], SCHEMA))
+    upsert_partitions(t, spark.createDataFrame([(2, "c", "FR", D2, T1)], SCHEMA), "k", ["status"])
+    assert rows(t.read(), "k", "status", "country") == [(1, "a", "US"), (2, "c", "US")]

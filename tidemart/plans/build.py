@@ -94,6 +94,7 @@ class BuildConfig:
     run_log: bool = True
     run_tests: bool = True
     run_snapshots: bool = False
+    keep_versions: int = 2
     version: str = "tidemart-0.1"
     grain_override: dict[str, str] = field(default_factory=dict)
 
@@ -172,6 +173,9 @@ def build(
     if cfg.run_snapshots:
         with _timed(timings, "snapshots"):
             _snapshots(spark, cfg, g, as_of, versions)
+    with _timed(timings, "vacuum"):
+        for name in MART_LAYOUT:
+            _table(spark, cfg, name).vacuum(cfg.keep_versions)
     if cfg.run_tests:
         with _timed(timings, "tests"):
             failed = _tests(spark, cfg, g, as_of, started)
@@ -185,12 +189,12 @@ def _snapshots(spark, cfg: BuildConfig, g: ModelGraph, as_of: str, versions) ->
     from tidemart.plans.snapshots import history_table, snapshot_customers, snapshot_products
 
     schema = schema_name("snapshots", cfg.target_name, cfg.default_schema)
-    versions["snap_customers_scd2"] = snapshot_customers(
-        history_table(spark, table_path(cfg.warehouse, schema, "snap_customers_scd2")), g.stg_customers, as_of
-    )
-    versions["snap_products_scd2"] = snapshot_products(
-        history_table(spark, table_path(cfg.warehouse, schema, "snap_products_scd2")), g.stg_products, as_of
-    )
+    customers = history_table(spark, table_path(cfg.warehouse, schema, "snap_customers_scd2"))
+    products = history_table(spark, table_path(cfg.warehouse, schema, "snap_products_scd2"))
+    versions["snap_customers_scd2"] = snapshot_customers(customers, g.stg_customers, as_of)
+    versions["snap_products_scd2"] = snapshot_products(products, g.stg_products, as_of)
+    customers.vacuum(cfg.keep_versions)
+    products.vacuum(cfg.keep_versions)
 
 
 def _tests(spark, cfg: BuildConfig, g: ModelGraph, as_of: str, started) -> int:

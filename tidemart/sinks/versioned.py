@@ -139,14 +139,25 @@ class VersionedTable:
         self._publish(version, paths, df.schema.json())
         return version
 
-    def vacuum(self) -> list[str]:
-        """Remove version directories not referenced by the current manifest."""
-        live = {p.rsplit("/version=", 1)[1].split("/", 1)[0] for p in self.manifest()["paths"].values()}
+    def vacuum(self, keep_versions: int = 2) -> list[str]:
+        """Remove version directories referenced by none of the last
+        ``keep_versions`` manifests (the previous version stays readable for
+        jobs that listed it before the latest publish).  Older manifests are
+        removed with them.  Listing and deletes only; no data is read."""
+        versions = self.versions()
+        keep = versions[-keep_versions:] if keep_versions > 0 else versions[-1:]
+        live = set()
+        for v in keep:
+            for p in self.manifest(v)["paths"].values():
+                live.add(p.rsplit("/version=", 1)[1].split("/", 1)[0])
         removed = []
         for name in fs.list_dirs(self.spark, self.root):
             if name.startswith("version=") and name.split("=", 1)[1] not in live:
                 fs.delete(self.spark, f"{self.root}/{name}")
                 removed.append(name)
+        for v in versions:
+            if v not in keep:
+                fs.delete(self.spark, f"{self._manifest_dir()}/{v}.json")
         return removed
 
 
@@ -169,6 +180,10 @@ def upsert_partitions(
 
     if not table.exists():
         return table.overwrite(source)
+    if not table.partition_col:
+        src = table._prepare(source)
+        assert_unique_keys(src, key)
+        return table.overwrite(merge_frames(table.read(), src, key, update_columns))
     # The batch is used three times (duplicate check, touched partitions,
     # merge): materialise it once in the shared checkpoint directory, which
     # also cuts its lineage back to the raw tables.
