@@ -79,3 +79,19 @@ def test_value_literal_is_zone_free(spark):
         assert df.filter(F.col("t") > E.value_literal(dt.datetime(2024, 1, 1, 11, 59))).count() == 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_order_items_rollup_null_group_is_exact(spark):
+    from decimal import Decimal
+
+    from tidemart.plans.intermediate import order_items_rollup
+
+    items = spark.createDataFrame(
+        [(None, 1, 2, Decimal(1), Decimal(1)), (None, 2, 1, Decimal(1), Decimal(1)),
+         (0, 1, 1, Decimal(2), Decimal(2)), (5, None, 1, Decimal(1), Decimal(1))],
+        "order_id bigint, product_id bigint, quantity bigint, line_gross_amount decimal(29,4),"
+        " line_net_amount decimal(37,8)",
+    )
+    got = {r.order_id: (r.line_item_count, r.total_quantity, r.distinct_product_count)
+           for r in order_items_rollup(items).collect()}
+    assert got == {None: (2, 3, 2), 0: (1, 1, 1), 5: (1, 1, 0)}
