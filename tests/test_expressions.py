@@ -95,3 +95,21 @@ def test_order_items_rollup_null_group_is_exact(spark):
     got = {r.order_id: (r.line_item_count, r.total_quantity, r.distinct_product_count)
            for r in order_items_rollup(items).collect()}
     assert got == {None: (2, 3, 2), 0: (1, 1, 1), 5: (1, 1, 0)}
+
+
+def test_agg_with_distinct_count_null_groups(spark):
+    from tidemart.functions.aggregates import agg_with_distinct_count
+
+    df = spark.createDataFrame(
+        [("a", None, 1, 10), ("a", None, 1, 11), ("a", "", 2, 10), (None, None, 3, None), (None, None, 3, 12)],
+        "k1 string, k2 string, v bigint, c bigint",
+    )
+    out = agg_with_distinct_count(
+        df, [("k1", F.col("k1")), ("k2", F.col("k2"))], [F.sum("v").alias("s")], "c", "n_c"
+    )
+    got = sorted((tuple(r) for r in out.collect()), key=str)
+    expect = sorted(
+        (tuple(r) for r in df.groupBy("k1", "k2").agg(F.sum("v").alias("s"), F.count_distinct("c").alias("n_c")).collect()),
+        key=str,
+    )
+    assert got == expect and len(got) == 3

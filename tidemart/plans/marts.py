@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from tidemart.functions.aggregates import agg_with_distinct_count
 from tidemart.functions.expressions import (
     exact_avg,
     ltv_segment,
@@ -99,17 +100,25 @@ def revenue_ledger(fct: DataFrame, as_of: str) -> DataFrame:
     orders = filter_revenue_orders(fct)
     amt = F.col("order_total_amount")
     zero = F.lit(0).cast(DecimalType(18, 4))
-    return orders.groupBy(
-        F.col("order_date").alias("revenue_date"), "currency", "customer_country", "customer_tier"
-    ).agg(
+    keys = [
+        ("revenue_date", F.col("order_date")),
+        ("currency", F.col("currency")),
+        ("customer_country", F.col("customer_country")),
+        ("customer_tier", F.col("customer_tier")),
+    ]
+    aggs = [
         F.count(F.lit(1)).alias("order_count"),
-        F.count_distinct("customer_id").alias("unique_customer_count"),
         F.sum(amt).alias("gross_revenue"),
         F.sum("items_net_amount").alias("net_revenue"),
         exact_avg(amt).alias("avg_order_value"),
         F.sum(F.when(F.col("order_status") == "delivered", amt).otherwise(zero)).alias("delivered_revenue"),
         F.sum(F.when(F.col("order_status") == "cancelled", amt).otherwise(zero)).alias("cancelled_revenue"),
-        F.max(ts_literal(as_of)).alias(BUILT_AT),
+    ]
+    out = agg_with_distinct_count(orders, keys, aggs, "customer_id", "unique_customer_count")
+    return out.select(
+        "revenue_date", "currency", "customer_country", "customer_tier", "order_count",
+        "unique_customer_count", "gross_revenue", "net_revenue", "avg_order_value",
+        "delivered_revenue", "cancelled_revenue", ts_literal(as_of).alias(BUILT_AT),
     )
 
 
