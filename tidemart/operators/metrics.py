@@ -1,8 +1,10 @@
 """Metric layer over the ``sales`` semantic model (backed by fct_orders).
 
-A metric request is compiled into one ``groupBy(dimensions).agg(measures)``
-followed by a projection for ratio and derived metrics; measures are
-aggregated once even when several metrics share them.
+A metric request is compiled into one grouped aggregation of the measures it
+needs (the split distinct form of ``functions.aggregates`` when a distinct
+count sits next to other measures), followed by a projection for ratio and
+derived metrics; measures are aggregated once even when several metrics
+share them.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.functions.aggregates import agg_with_distinct_count
 from tidemart.functions.expressions import money_ratio
 
 
@@ -135,14 +138,24 @@ def query_metrics(
     """
     if where is not None:
         fact = fact.filter(F.expr(where) if isinstance(where, str) else where)
-    keys = []
+    keys: list[tuple[str, Column]] = []
     for d in group_by:
         if d == model.time_dimension:
-            keys.append(time_bucket(model.dimensions[d], grain).alias(f"{d}__{grain}"))
+            keys.append((f"{d}__{grain}", time_bucket(model.dimensions[d], grain)))
         else:
-            keys.append(F.col(model.dimensions[d]).alias(d))
+            keys.append((d, F.col(model.dimensions[d])))
     measures = sorted(set().union(*[_measures_of(model, m) for m in metrics]))
-    aggs = [_AGGS[model.measures[n].agg](model.measures[n].expr).alias(f"__m_{n}") for n in measures]
-    grouped = fact.groupBy(*keys).agg(*aggs) if keys else fact.agg(*aggs)
+    distinct = [n for n in measures if model.measures[n].agg == "count_distinct"]
+    plain = [n for n in measures if n not in distinct]
+    aggs = [_AGGS[model.measures[n].agg](model.measures[n].expr).alias(f"__m_{n}") for n in plain]
+    if keys and len(distinct) == 1 and plain:
+        # one distinct measure next to others: the split form shuffles the
+        # other aggregates once, at group level (see functions/aggregates)
+        n = distinct[0]
+        grouped = agg_with_distinct_count(fact, keys, aggs, model.measures[n].expr, f"__m_{n}")
+    else:
+        aggs += [_AGGS["count_distinct"](model.measures[n].expr).alias(f"__m_{n}") for n in distinct]
+        key_cols = [expr.alias(name) for name, expr in keys]
+        grouped = fact.groupBy(*key_cols).agg(*aggs) if keys else fact.agg(*aggs)
     out_keys = [k for k in grouped.columns if not k.startswith("__m_")]
     return grouped.select(*out_keys, *[_metric_column(model, m).alias(m) for m in metrics])
