@@ -101,15 +101,19 @@ def test_agg_with_distinct_count_null_groups(spark):
     from tidemart.functions.aggregates import agg_with_distinct_count
 
     df = spark.createDataFrame(
-        [("a", None, 1, 10), ("a", None, 1, 11), ("a", "", 2, 10), (None, None, 3, None), (None, None, 3, 12)],
+        [("a", None, 1, 10), ("a", None, 1, 11), ("a", "", 2, 10), (None, None, 3, None), (None, None, None, 12)],
         "k1 string, k2 string, v bigint, c bigint",
     )
     out = agg_with_distinct_count(
-        df, [("k1", F.col("k1")), ("k2", F.col("k2"))], [F.sum("v").alias("s")], "c", "n_c"
+        df, [("k1", F.col("k1")), ("k2", F.col("k2"))], {"s": F.col("v")},
+        {"n": F.lit(1), "nv": F.col("v")}, "c", "n_c",
     )
     got = sorted((tuple(r) for r in out.collect()), key=str)
     expect = sorted(
-        (tuple(r) for r in df.groupBy("k1", "k2").agg(F.sum("v").alias("s"), F.count_distinct("c").alias("n_c")).collect()),
+        (tuple(r) for r in df.groupBy("k1", "k2").agg(
+            F.sum("v").alias("s"), F.count(F.lit(1)).alias("n"), F.count("v").alias("nv"),
+            F.count_distinct("c").alias("n_c")).collect()),
         key=str,
     )
     assert got == expect and len(got) == 3
+    assert out.schema["s"].dataType == df.select(F.sum("v")).schema[0].dataType

@@ -147,14 +147,17 @@ def query_metrics(
     measures = sorted(set().union(*[_measures_of(model, m) for m in metrics]))
     distinct = [n for n in measures if model.measures[n].agg == "count_distinct"]
     plain = [n for n in measures if n not in distinct]
-    aggs = [_AGGS[model.measures[n].agg](model.measures[n].expr).alias(f"__m_{n}") for n in plain]
-    if keys and len(distinct) == 1 and plain:
-        # one distinct measure next to others: the split form shuffles the
-        # other aggregates once, at group level (see functions/aggregates)
+    summable = all(model.measures[n].agg == "sum" for n in plain)
+    if keys and len(distinct) == 1 and plain and summable:
+        # one distinct measure next to sums: single-scan form that collapses
+        # the sums to group level before shuffling (see functions/aggregates)
         n = distinct[0]
-        grouped = agg_with_distinct_count(fact, keys, aggs, model.measures[n].expr, f"__m_{n}")
+        grouped = agg_with_distinct_count(
+            fact, keys, {f"__m_{p}": F.col(model.measures[p].expr) for p in plain}, {},
+            model.measures[n].expr, f"__m_{n}",
+        )
     else:
-        aggs += [_AGGS["count_distinct"](model.measures[n].expr).alias(f"__m_{n}") for n in distinct]
+        aggs = [_AGGS[model.measures[n].agg](model.measures[n].expr).alias(f"__m_{n}") for n in measures]
         key_cols = [expr.alias(name) for name, expr in keys]
         grouped = fact.groupBy(*key_cols).agg(*aggs) if keys else fact.agg(*aggs)
     out_keys = [k for k in grouped.columns if not k.startswith("__m_")]

@@ -30,16 +30,20 @@ def order_items_rollup(stg_items: DataFrame) -> DataFrame:
 
     The sums are one aggregation with map-side partial aggregation (a hot
     order costs one row per map task), shuffled once.  The distinct product
-    count is computed apart on (order_id, product_id) only — deduplicated
+    count is computed apart on (order_id, product_id) only: deduplicated
     map-side, shuffled on both columns so a hot order spreads over its
-    products, then counted per order — and joined back on order_id; both
-    sides come out hash-partitioned by order_id, so the join needs no further
-    shuffle.  Compared with one aggregate holding the distinct count, the
-    wide decimal sum buffers cross the network once instead of twice.
+    products, then counted per order.  The two are joined on order_id; both
+    come out hash-partitioned by it, so the join needs no further shuffle and
+    the result keeps that partitioning for the join with orders.  The wide
+    decimal sum buffers cross the network once (a single aggregate with the
+    distinct count would shuffle them per (order, product) and again per
+    order).  The line items are read by both parts; their column sets
+    overlap only in the key.
+
+    Group keys are carried as (coalesce(order_id, 0), isnull(order_id)) so
+    the NULL order id keeps its own group, as in SQL, while the join stays a
+    plain equi-join (a NULL-safe join would re-shuffle both sides).
     """
-    # Group on (coalesce(order_id, 0), isnull(order_id)): NULL order ids keep
-    # their own group (0, true), distinct from a real order 0, and a plain
-    # equi-join on both columns lines up the co-partitioned aggregates.
     keyed = stg_items.select(
         F.coalesce(F.col("order_id"), F.lit(0).cast("bigint")).alias("__k"),
         F.col("order_id").isNull().alias("__null"),
@@ -66,9 +70,9 @@ def order_items_rollup(stg_items: DataFrame) -> DataFrame:
 
 def _order_rollup_for_join(stg_items: DataFrame) -> DataFrame:
     """The rollup as the enriched orders consume it: a NULL order id can
-    never match an order, so those lines are dropped first and both
-    aggregates are keyed on order_id itself.  The result stays
-    hash-partitioned by order_id, which the join with orders reuses."""
+    never match an order, so those lines are dropped first and both parts
+    are keyed on order_id itself; the result stays hash-partitioned by
+    order_id, which the join with orders reuses."""
     items = stg_items.filter(F.col("order_id").isNotNull())
     sums = items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("line_item_count"),

@@ -13,7 +13,6 @@ from pyspark.sql.types import DecimalType
 
 from tidemart.functions.aggregates import agg_with_distinct_count
 from tidemart.functions.expressions import (
-    exact_avg,
     ltv_segment,
     money_ratio,
     ts_literal,
@@ -106,18 +105,23 @@ def revenue_ledger(fct: DataFrame, as_of: str) -> DataFrame:
         ("customer_country", F.col("customer_country")),
         ("customer_tier", F.col("customer_tier")),
     ]
-    aggs = [
-        F.count(F.lit(1)).alias("order_count"),
-        F.sum(amt).alias("gross_revenue"),
-        F.sum("items_net_amount").alias("net_revenue"),
-        exact_avg(amt).alias("avg_order_value"),
-        F.sum(F.when(F.col("order_status") == "delivered", amt).otherwise(zero)).alias("delivered_revenue"),
-        F.sum(F.when(F.col("order_status") == "cancelled", amt).otherwise(zero)).alias("cancelled_revenue"),
-    ]
-    out = agg_with_distinct_count(orders, keys, aggs, "customer_id", "unique_customer_count")
+    out = agg_with_distinct_count(
+        orders,
+        keys,
+        sums={
+            "gross_revenue": amt,
+            "net_revenue": F.col("items_net_amount"),
+            "delivered_revenue": F.when(F.col("order_status") == "delivered", amt).otherwise(zero),
+            "cancelled_revenue": F.when(F.col("order_status") == "cancelled", amt).otherwise(zero),
+        },
+        counts={"order_count": F.lit(1), "__amount_n": amt},
+        distinct_col="customer_id",
+        distinct_alias="unique_customer_count",
+    )
     return out.select(
         "revenue_date", "currency", "customer_country", "customer_tier", "order_count",
-        "unique_customer_count", "gross_revenue", "net_revenue", "avg_order_value",
+        "unique_customer_count", "gross_revenue", "net_revenue",
+        money_ratio("gross_revenue", "__amount_n").alias("avg_order_value"),
         "delivered_revenue", "cancelled_revenue", ts_literal(as_of).alias(BUILT_AT),
     )
 
