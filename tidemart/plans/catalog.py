@@ -313,11 +313,20 @@ def q_snap_customers_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _customer_history(g, runs):
+    """Apply snapshot runs in order.  Between runs the history is
+    checkpointed into the shared checkpoint directory, as a published
+    version would be, so each run starts from materialised rows instead of
+    re-deriving the previous runs (each run reads its history twice: closed
+    rows pass through, open rows are joined)."""
     from tidemart.operators.scd2 import scd2_apply, CUSTOMER_CHECK_COLUMNS
+    from tidemart.session import checkpoint_dir
 
     h = None
-    for current, as_of in runs:
+    for i, (current, as_of) in enumerate(runs):
         h = scd2_apply(h, current, "customer_id", as_of, CUSTOMER_CHECK_COLUMNS)
+        if i < len(runs) - 1:
+            checkpoint_dir(current.sparkSession)
+            h = h.checkpoint(eager=True)
     return h
 
 
@@ -346,8 +355,11 @@ def q_snap_products_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemart.operators.scd2 import scd2_apply, PRODUCT_CHECK_COLUMNS
     from tidemart.sources import revisions as R
 
+    from tidemart.session import checkpoint_dir
+
     g = _graph(spark, sf_dir)
-    h = scd2_apply(None, R.products_v1(g), "product_id", R.SNAPSHOT_1, PRODUCT_CHECK_COLUMNS)
+    checkpoint_dir(spark)
+    h = scd2_apply(None, R.products_v1(g), "product_id", R.SNAPSHOT_1, PRODUCT_CHECK_COLUMNS).checkpoint(eager=True)
     h = scd2_apply(h, R.products_v2(g), "product_id", R.SNAPSHOT_2, PRODUCT_CHECK_COLUMNS)
     return for_compare(h)
 
