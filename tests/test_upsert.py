@@ -158,3 +158,60 @@ def test_unpartitioned_upsert(spark, tmp_path):
     t.overwrite(spark.createDataFrame([(1, "a", "US", D1, T0), (2, "b", "US", D1, T0)], SCHEMA))
     upsert_partitions(t, spark.createDataFrame([(2, "c", "FR", D2, T1)], SCHEMA), "k", ["status"])
     assert rows(t.read(), "k", "status", "country") == [(1, "a", "US"), (2, "c", "US")]
+
+
+def test_failed_publish_keeps_previous_version(spark, tmp_path, monkeypatch):
+    """A job that dies after writing data but before its manifest lands
+    leaves readers on the previous version; a rerun succeeds."""
+    t = VersionedTable(spark, str(tmp_path / "fct"), partition_by="d")
+    t.overwrite(spark.createDataFrame([(1, "a", "US", D1, T0), (2, "b", "US", D2, T0)], SCHEMA))
+    before = rows(t.read())
+
+    def boom(*_a, **_k):
+        raise RuntimeError("executor lost before publish")
+
+    monkeypatch.setattr(VersionedTable, "_publish", boom)
+    with pytest.raises(RuntimeError):
+        upsert_partitions(t, spark.createDataFrame([(2, "c", "US", D2, T1)], SCHEMA), "k", None)
+    monkeypatch.undo()
+    assert t.current_version() == 1 and rows(t.read()) == before
+    upsert_partitions(t, spark.createDataFrame([(2, "c", "US", D2, T1)], SCHEMA), "k", None)
+    assert rows(t.read(), "k", "status") == [(1, "a"), (2, "c")]
+
+
+def test_checkpoint_dir_comes_from_session_conf(spark):
+    from tidemart.session import checkpoint_dir
+
+    configured = spark.conf.get("spark.checkpoint.dir")
+    first = checkpoint_dir(spark)
+    assert first.startswith(configured) or configured in first
+    assert checkpoint_dir(spark) == first  # set once, reused
+
+
+def test_checkpoint_dir_fallback_only_when_unset():
+    from tidemart import session as S
+
+    class Ctx:
+        def __init__(self):
+            self.dir = None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, _k, default=None):
+            return self.value if self.value is not None else default
+
+    class Fake:
+        def __init__(self, value):
+            self.sparkContext, self.conf = Ctx(), Conf(value)
+
+    assert S.checkpoint_dir(Fake("hdfs://shared/ckpt")) == "hdfs://shared/ckpt"
+    local = S.checkpoint_dir(Fake(None))
+    assert "tidemart-ckpt-" in local

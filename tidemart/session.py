@@ -94,16 +94,17 @@ def size_shuffles(spark: SparkSession, largest_input_paths: list[str]) -> int:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and intermediate tables.
+    """Shared folder for checkpoints.
 
-    A cluster names it in ``spark.checkpoint.dir``; that value is always used.
-    Only when it is unset (local tests) a fresh temporary folder is made.
+    A cluster names it in ``spark.checkpoint.dir`` (a static setting, read
+    from the session); that value is always used.  Only when it is unset —
+    local runs and tests — a fresh temporary folder is made.  The context's
+    checkpoint directory is set once; later calls reuse it.
     """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="tidemart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidemart-ckpt-"))
+    return sc.getCheckpointDir()
