@@ -70,3 +70,19 @@ def test_shuffle_partition_sizing(spark):
     assert shuffle_partitions_for(50 * 1024**2) == 8
     n = input_bytes(spark, ["/root/testdata/sf0.001/lineitem.parquet"])
     assert n > 0
+
+
+def test_run_log_records_failed_build(spark, tmp_path):
+    import pytest
+
+    from tidemart.plans.build import BuildConfig, build
+    from tidemart.sinks.run_log import read_run_log
+    from tidemart.sources import testdata
+
+    raw = testdata.raw_tables(spark, "/root/testdata/sf0.001")
+    raw["sessions"] = raw["sessions"].drop("started_at")  # broken input: session model cannot resolve
+    cfg = BuildConfig(warehouse=str(tmp_path / "wh"), fact_grain="month", run_tests=False)
+    with pytest.raises(Exception):
+        build(spark, raw, "2001-08-02 00:00:00", cfg)
+    log = read_run_log(spark, str(tmp_path / "wh" / "analytics_audit" / "run_log")).collect()
+    assert len(log) == 1 and log[0].success is False and log[0].models_run >= 2

@@ -139,10 +139,23 @@ def build(
 ) -> dict[str, int]:
     """Run one build; returns {mart: published version}.  ``timings``, if
     given, receives the wall time of each step in seconds; ``report``
-    receives the number of failing data tests."""
+    receives the number of failing data tests.  The run log records the
+    actual outcome: the marts published and success, or failure (then the
+    error is re-raised; marts not yet published keep their previous
+    version)."""
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    g = ModelGraph(raw, as_of)
     versions: dict[str, int] = {}
+    try:
+        _run_steps(spark, raw, as_of, cfg, funnel_orders, timings, report, versions, started)
+    except Exception:
+        _log(spark, cfg, started, versions, success=False)
+        raise
+    _log(spark, cfg, started, versions, success=True)
+    return versions
+
+
+def _run_steps(spark, raw, as_of, cfg: BuildConfig, funnel_orders, timings, report, versions, started) -> None:
+    g = ModelGraph(raw, as_of)
 
     # --- facts -------------------------------------------------------------------
     orders_t = _table(spark, cfg, "fct_orders")
@@ -181,8 +194,6 @@ def build(
             failed = _tests(spark, cfg, g, as_of, started)
         if report is not None:
             report["failed_tests"] = failed
-    _log(spark, cfg, started, versions)
-    return versions
 
 
 def _snapshots(spark, cfg: BuildConfig, g: ModelGraph, as_of: str, versions) -> None:
@@ -264,7 +275,7 @@ def _build_fct_order_items(g: ModelGraph, items_t: VersionedTable, cfg: BuildCon
         versions["fct_order_items"] = upsert_partitions(items_t, source, "order_item_sk", None)
 
 
-def _log(spark, cfg: BuildConfig, started, versions) -> None:
+def _log(spark, cfg: BuildConfig, started, versions, success: bool = True) -> None:
     """Append the run to the run log and expire old audit partitions
     (directory listing only)."""
     if not cfg.run_log:
@@ -276,7 +287,7 @@ def _log(spark, cfg: BuildConfig, started, versions) -> None:
     path = table_path(cfg.warehouse, audit, "run_log")
     log_run(
         spark, path, started, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), cfg.target_name,
-        len(versions), True, cfg.version,
+        len(versions), success, cfg.version,
     )
     oldest = started.date() - dt.timedelta(days=AUDIT_RETENTION_DAYS)
     expire_partitions(spark, path, "started_date", oldest)
