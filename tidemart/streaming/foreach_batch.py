@@ -60,6 +60,7 @@ def order_fact_batch(
     raw_customers: DataFrame,
     table: VersionedTable,
     as_of: str,
+    keep_versions: int = 2,
 ) -> int:
     """Merge one batch of raw orders into the order fact; returns the
     published version."""
@@ -67,7 +68,9 @@ def order_fact_batch(
     items = S.stg_order_items(raw_items, as_of).join(stg_o.select("order_id"), "order_id", "left_semi")
     enriched = I.int_orders_enriched(stg_o, items, S.stg_customers(raw_customers, as_of), as_of)
     source = latest_per_key(M.fct_orders(enriched, as_of), "order_sk", "updated_at")
-    return upsert_partitions(table, source, "order_sk", FCT_ORDERS_UPDATE_COLUMNS)
+    version = upsert_partitions(table, source, "order_sk", FCT_ORDERS_UPDATE_COLUMNS)
+    table.vacuum(keep_versions)  # each batch publishes a version; keep the last few
+    return version
 
 
 def start_order_fact_stream(
