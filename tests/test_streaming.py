@@ -39,3 +39,11 @@ def test_order_fact_stream_two_batches(spark, tmp_path):
     assert fct.count() == orders.count()
     assert fct.filter((F.col("order_id") % 4 == 0) & (F.col("order_status") != "delivered")).count() == 0
     assert fct.select("order_sk").distinct().count() == orders.count()
+
+
+def test_stream_checkpoint_location_is_stable(spark):
+    from tidemart.session import checkpoint_dir, shared_dir
+
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == configured           # same across application restarts
+    assert checkpoint_dir(spark).startswith(configured.rstrip("/"))  # RDD checkpoints below it

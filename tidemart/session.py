@@ -108,3 +108,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidemart-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """Stable shared folder for state that must survive an application
+    restart (e.g. stream checkpoints): the configured
+    ``spark.checkpoint.dir`` itself.  ``SparkContext.getCheckpointDir`` adds
+    a per-application subfolder and is only right for RDD checkpoints.  Falls
+    back to ``checkpoint_dir`` when nothing is configured (local runs)."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    return configured or checkpoint_dir(spark)

@@ -6,8 +6,9 @@ are read as a file stream; each micro-batch is staged, enriched with its
 line items and customers, and merged into the versioned ``fct_orders``
 table with the same partition-scoped MERGE the batch build uses.
 
-* The stream checkpoint (which files were processed) lives under the shared
-  checkpoint directory, so a restarted job resumes exactly after the last
+* The stream checkpoint (which files were processed) lives under the
+  configured ``spark.checkpoint.dir`` itself (not the per-application
+  subfolder), so a restarted job resumes exactly after the last
   committed batch; ``trigger(availableNow=True)`` processes everything new
   and stops, i.e. the scheduled-batch behaviour.
 * A batch that carries one order several times keeps its latest version
@@ -30,7 +31,7 @@ from tidemart.operators.upsert import FCT_ORDERS_UPDATE_COLUMNS
 from tidemart.plans import intermediate as I
 from tidemart.plans import marts as M
 from tidemart.plans import staging as S
-from tidemart.session import checkpoint_dir
+from tidemart.session import shared_dir
 from tidemart.sinks.versioned import VersionedTable, upsert_partitions
 from tidemart.sources.raw import RAW_COLUMNS
 
@@ -85,7 +86,7 @@ def start_order_fact_stream(
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """Start the stream; the caller may ``awaitTermination()`` on it."""
-    checkpoint = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/fct_orders"
+    checkpoint = checkpoint or f"{shared_dir(spark).rstrip('/')}/streams/fct_orders"
     as_of_fn = as_of_fn or (lambda _batch_id: _utc_now())
     stream = spark.readStream.schema(RAW_ORDERS_SCHEMA).parquet(raw_orders_dir)
 
