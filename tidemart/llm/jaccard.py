@@ -30,7 +30,8 @@ from tidemart.llm.common import filter_by_keys, publish, row_blocks, text_buffer
 from tidemart.llm.components import components
 from tidemart.llm.textkernel import mix, shingle_sets
 
-SIGNATURE = "n int, fp binary, bits array<bigint>, toks array<bigint>, bands array<struct<b:int,u:int>>"
+SIGNATURE = ("n int, fp binary, bits array<bigint>, m array<bigint>, toks array<bigint>, "
+             "bands array<struct<b:int,u:int>>")
 
 
 def allowed_missing(n: int, percent: int) -> int:
@@ -50,7 +51,7 @@ def classes_of(band: int, percent: int) -> int:
 
 def slice_of(band: int, percent: int) -> float:
     """Share of the hash space whose tokens come first in a band's order."""
-    return min(1.0, 1.25 * (100 - percent) / 100 + 16 / 2**band)
+    return min(1.0, 1.15 * (100 - percent) / 100 + 12 / 2**band)
 
 
 def _band_regions(tokens: np.ndarray, percent: int) -> tuple[int, list[dict]]:
@@ -70,8 +71,9 @@ def _band_regions(tokens: np.ndarray, percent: int) -> tuple[int, list[dict]]:
 
 
 def _parity(tokens: np.ndarray) -> np.ndarray:
-    """256 parity bits as four longs."""
-    odd = np.bincount((tokens & np.uint64(255)).astype(np.int64), minlength=256).astype(np.uint8) & 1
+    """Parity bits as longs; at least 256 bits, and at least half as many as tokens."""
+    width = max(256, 1 << (len(tokens).bit_length() - 1))
+    odd = np.bincount((tokens & np.uint64(width - 1)).astype(np.int64), minlength=width).astype(np.uint8) & 1
     return np.packbits(odd).view(np.int64)
 
 
@@ -83,18 +85,21 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
             ids = batch.column("doc_id")
             data, offsets = text_buffers(batch.column("text"))
             for i, j in row_blocks(offsets):
-                rows = {"n": [], "fp": [], "bits": [], "toks": [], "bands": []}
+                rows = {"n": [], "fp": [], "bits": [], "m": [], "toks": [], "bands": []}
                 block = offsets[i : j + 1]
                 for tokens in shingle_sets(data[block[0] : block[-1]], block - block[0], words):
                     keep, bands = _band_regions(tokens, percent)
                     rows["n"].append(len(tokens))
                     rows["fp"].append(xxhash.xxh3_128_digest(tokens.tobytes()) if len(tokens) else None)
-                    rows["bits"].append(_parity(tokens) if keep else None)
+                    bits = _parity(tokens) if keep else None
+                    rows["bits"].append(bits)
+                    rows["m"].append(np.bitwise_xor.reduce(bits.reshape(-1, 4)) if keep else None)
                     rows["toks"].append(tokens[:keep].view(np.int64))
                     rows["bands"].append(bands)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(i, j - i), pa.array(rows["n"], pa.int32()), pa.array(rows["fp"], pa.binary()),
-                     pa.array(rows["bits"], pa.list_(pa.int64())), pa.array(rows["toks"], pa.list_(pa.int64())),
+                     pa.array(rows["bits"], pa.list_(pa.int64())), pa.array(rows["m"], pa.list_(pa.int64())),
+                     pa.array(rows["toks"], pa.list_(pa.int64())),
                      pa.array(rows["bands"], pa.list_(pa.struct([("b", pa.int32()), ("u", pa.int32())])))],
                     ["doc_id", *rows])
 
@@ -102,78 +107,110 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id bigint, {SIGNATURE}")
 
 
-def _index_keys(toks, inside, hit, counts, n, band, percent, frequent) -> np.ndarray:
-    """Index entries of one set in one band that another set can share."""
+def _alone(rank, tok, df, n, percent, frequent) -> np.ndarray:
+    """Index entries of a set whose slice holds enough rare tokens: those of
+    its first rare tokens that other sets have too."""
+    order = np.argsort(rank)
+    rank, tok, df = rank[order], tok[order], df[order]
+    common = df >= frequent
+    place = rank - (np.cumsum(common) - common)  # among the set's rare tokens
+    return tok[~common & (place <= allowed_missing(n, percent))]
+
+
+def _with_pairs(toks, inside, rank, df, n, band, percent, frequent) -> np.ndarray:
+    """Index entries of a set that must also use frequent tokens, in pairs."""
     first, tail = toks[:inside], toks[inside:]
-    df = np.ones(len(first), np.int64)
-    if len(hit):
-        at = np.searchsorted(first, hit)
-        ok = at < len(first)
-        ok[ok] = first[at[ok]] == hit[ok]
-        df[at[ok]] = counts[ok]
-    need = allowed_missing(n, percent) + 1
-    rare = df < frequent
-    alone, shared = first[rare], df[rare] > 1
-    if len(alone) >= need:
-        return alone[:need][shared[:need]]
-    rest = np.concatenate([first[~rare], tail])
+    count = np.ones(inside, np.int64)
+    count[rank] = df
+    rare = count < frequent
+    alone, rest = first[rare], np.concatenate([first[~rare], tail])
     kind = (mix(rest) % np.uint64(classes_of(band, percent))).astype(np.int64)
     again = np.ones(len(rest), bool)
     again[np.unique(kind, return_index=True)[1]] = False
-    stop = int(np.searchsorted(np.cumsum(again), need - len(alone))) + 1
+    stop = int(np.searchsorted(np.cumsum(again), allowed_missing(n, percent) + 1 - len(alone))) + 1
     rest, kind = rest[:stop], kind[:stop]
-    pairs = []
+    keys = [alone[count[rare] > 1]]
     for c in np.unique(kind):
         own = rest[kind == c]
         i, j = np.triu_indices(len(own), 1)
-        pairs.append(mix(own[i] * np.uint64(3) + mix(own[j])))
-    return np.concatenate([alone[shared], *pairs])
+        keys.append(mix(own[i] * np.uint64(3) + mix(own[j])))
+    return np.concatenate(keys)
+
+
+def _lists(batch, names) -> dict:
+    """For list columns, a function from the row number to its values; a null is empty."""
+    def part(column):
+        flat = column.flatten().to_numpy(zero_copy_only=False)
+        size = np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+        end = np.cumsum(size)
+        return lambda r: flat[end[r] - size[r] : end[r]]
+
+    return {c: part(batch.column(c)) for c in names}
+
+
+def _emit(entries):
+    """Record batches (b, sig, id, n) from (b, id, n, keys) tuples."""
+    entries = [e for e in entries if len(e[3])]
+    if entries:
+        sizes = [len(e[3]) for e in entries]
+        b, i, n = (np.repeat([e[k] for e in entries], sizes) for k in range(3))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(b.astype(np.int32)), pa.array(np.concatenate([e[3] for e in entries]).view(np.int64)),
+             pa.array(i.astype(np.int64)), pa.array(n.astype(np.int32))], ["b", "sig", "id", "n"])
 
 
 def _entries(sets: DataFrame, percent: int, frequent: int) -> DataFrame:
-    """Index entries (b, sig, id, n, m0..m3) of all sets in all their bands."""
-    by_band = sets.select("id", "n", "bits", "toks", F.inline("bands"))
-    occurs = by_band.select("b", F.explode(F.slice("toks", 1, F.greatest("u", F.lit(1)))).alias("tok"), "id", "u")
-    occurs = occurs.filter("u > 0").drop("u")
+    """Index entries (b, sig, id, n) of all sets in all their bands."""
+    by_band = sets.select("row", "id", "n", "toks", F.inline("bands"))
+    occurs = by_band.filter("u > 0").select("row", "b", F.posexplode(F.slice("toks", 1, F.col("u"))).alias("rank", "tok"))
     shared = publish(occurs.groupBy("b", "tok").agg(F.count("*").alias("df")).filter("df > 1"), "jaccard-df")
-    hits = (occurs.join(shared, ["b", "tok"])
-            .groupBy("id", "b").agg(F.collect_list(F.struct("tok", "df")).alias("hits")))
-    joined = by_band.join(hits, ["id", "b"], "left").select("id", "n", "bits", "toks", "b", "u", "hits.tok", "hits.df")
+    hits = (occurs.join(shared, ["b", "tok"]).groupBy("row", "b")
+            .agg(F.collect_list(F.struct("rank", "tok", "df")).alias("hits")))
+    need = F.expr(f"n - ({percent} * n + 99) div 100 + 1")
+    rare = F.expr(f"u - coalesce(size(filter(hits, h -> h.df >= {frequent})), 0)")
+    ranked = publish(by_band.drop("toks").join(hits, ["row", "b"], "left").withColumn("enough", rare >= need), "jaccard-hits")
+    parts = ["row", "id", "n", "b", "u", "hits.rank", "hits.tok", "hits.df"]
+
+    def alone(batches):
+        for batch in batches:
+            at = _lists(batch, ("rank", "tok", "df"))
+            rows = zip(*(batch.column(c).to_pylist() for c in ("b", "id", "n")))
+            yield from _emit([(b, i, n, _alone(at["rank"](r), at["tok"](r), at["df"](r), n, percent, frequent).view(np.uint64))
+                              for r, (b, i, n) in enumerate(rows)])
 
-    def run(batches):
+    def paired(batches):
         for batch in batches:
-            cols = {c: batch.column(c) for c in batch.schema.names}
-            flat = {c: cols[c].flatten().to_numpy(zero_copy_only=False) for c in ("bits", "toks", "tok", "df")}
-            ends = {c: np.concatenate([[0], np.cumsum(np.nan_to_num(
-                cols[c].value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))]) for c in flat}
-            part = lambda c, r: flat[c][ends[c][r] : ends[c][r + 1]]
-            out = {c: [] for c in ("b", "sig", "id", "n", "m")}
-            ids, ns, bs, us = (cols[c].to_pylist() for c in ("id", "n", "b", "u"))
-            for r in range(batch.num_rows):
-                keys = _index_keys(part("toks", r).view(np.uint64), us[r], part("tok", r).astype(np.int64).view(np.uint64),
-                                   part("df", r), ns[r], bs[r], percent, frequent)
-                if len(keys):
-                    out["sig"].append(keys)
-                    for c, v in (("b", bs[r]), ("id", ids[r]), ("n", ns[r])):
-                        out[c].append(np.full(len(keys), v, np.int64))
-                    out["m"].append(np.tile(part("bits", r), (len(keys), 1)))
-            if out["sig"]:
-                m = np.concatenate(out["m"])
-                cat = {c: np.concatenate(out[c]) for c in ("b", "sig", "id", "n")}
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cat["b"].astype(np.int32)), pa.array(cat["sig"].view(np.int64)), pa.array(cat["id"]),
-                     pa.array(cat["n"].astype(np.int32)), *[pa.array(np.ascontiguousarray(m[:, k])) for k in range(4)]],
-                    ["b", "sig", "id", "n", "m0", "m1", "m2", "m3"])
+            at = _lists(batch, ("rank", "df", "toks"))
+            rows = zip(*(batch.column(c).to_pylist() for c in ("b", "id", "n", "u")))
+            yield from _emit([(b, i, n, _with_pairs(at["toks"](r).view(np.uint64), u, at["rank"](r).astype(np.int64),
+                                                    at["df"](r), n, b, percent, frequent))
+                              for r, (b, i, n, u) in enumerate(rows)])
+
+    schema = "b int, sig bigint, id bigint, n int"
+    easy = ranked.filter("enough AND hits IS NOT NULL").select(*parts).mapInArrow(alone, schema)
+    hard = ranked.filter("NOT enough")
+    rows = publish(hard.select("row").distinct(), "jaccard-hard")
+    toks = filter_by_keys(sets.select("row", "toks"), rows, ["row"], "left_semi")
+    return easy.unionByName(hard.select(*parts).join(toks, "row").mapInArrow(paired, schema))
+
+
+def _size_bound(percent: int, x: str, y: str) -> str:
+    return f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})"
+
 
-    return joined.mapInArrow(run, "b int, sig bigint, id bigint, n int, m0 bigint, m1 bigint, m2 bigint, m3 bigint")
+def _parity_bound(percent: int, differing: str, x: str, y: str) -> str:
+    """Differing parity bits against the largest symmetric difference at the threshold."""
+    return f"({differing}) * {100 + percent} <= {100 - percent} * ({x} + {y})"
 
 
-def _possible(percent: int) -> str:
-    """Exact bounds on two index rows x and y: sizes, and parity bits against
-    the largest symmetric difference that the threshold allows."""
-    bits = " + ".join(f"bit_count(x.m{k} ^ y.m{k})" for k in range(4))
-    return (f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) AND "
-            f"({bits}) * {100 + percent} <= {100 - percent} * (x.n + y.n)")
+def _sketched(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that size and parity bits of the whole sets allow."""
+    one = sketches.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"))
+    two = sketches.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
+    both = pairs.join(one, "a").join(two, "b").filter(_size_bound(percent, "na", "nb"))
+    fold = "if(size({0}) > size({1}), zip_with(slice({0}, 1, size({1})), slice({0}, size({1}) + 1, size({1})), (p, q) -> p ^ q), {0})"
+    differing = f"aggregate(zip_with({fold.format('ba', 'bb')}, {fold.format('bb', 'ba')}, (p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)"
+    return both.filter(_parity_bound(percent, differing, "na", "nb")).select("a", "b").distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -213,42 +250,41 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, frequent
     """
     if not 80 <= percent <= 100:
         raise ValueError("percent must be from 80 to 100")
-    signed = publish(signatures(docs, words, percent), "jaccard-sets")
-    copies = publish(signed.filter("fp IS NOT NULL").groupBy("fp")
-                     .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-                     .filter("copies > 1").select("fp", "rep"), "jaccard-copies")
-    rows = signed.select("doc_id", "n", "fp").join(copies, "fp", "left")
-    rows = rows.withColumn("rep", F.coalesce("rep", "doc_id"))
-    others = publish(rows.filter("rep <> doc_id").select("doc_id", "fp"), "jaccard-others")
-    sets = filter_by_keys(signed.filter("size(bands) > 0 AND doc_id IS NOT NULL"), others, ["doc_id", "fp"], "left_anti")
+    signed = publish(signatures(docs, words, percent).withColumn("row", F.monotonically_increasing_id()), "jaccard-sets")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")).alias("f")
+    copies = publish(signed.filter("fp IS NOT NULL").groupBy("fp").agg(first, F.count("*").alias("copies"))
+                     .filter("copies > 1").select("fp", F.col("f.doc_id").alias("rep"), F.col("f.row").alias("kept")), "jaccard-copies")
+    rows = signed.select("doc_id", "row", "n", "fp").join(copies, "fp", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
+    others = publish(rows.filter("row <> kept").select("row"), "jaccard-others")
+    sets = filter_by_keys(signed.filter("size(bands) > 0 AND doc_id IS NOT NULL"), others, ["row"], "left_anti")
     sets = sets.withColumnRenamed("doc_id", "id")
 
     entries = publish(_entries(sets, percent, frequent), "jaccard-index")
-    record = F.struct("id", "n", "m0", "m1", "m2", "m3")
-    heads = publish(entries.groupBy("b", "sig").agg(F.min(record).alias("h"), F.count("*").alias("c"))
-                    .filter("c > 1").select("b", "sig", "h.*"), "jaccard-heads")
-    same = "x.b = y.b AND x.sig = y.sig"
-    stars = (heads.alias("x").join(entries.alias("y"), F.expr(f"{same} AND x.id < y.id AND {_possible(percent)}"))
-             .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
-    links = publish(_verified(publish(stars, "jaccard-stars"), docs, words, percent), "jaccard-links")
+    heads = publish(entries.groupBy("b", "sig").agg(F.min("id").alias("a"), F.count("*").alias("c")).filter("c > 1"), "jaccard-heads")
+    stars = publish(heads.join(entries.withColumnRenamed("id", "b_"), ["b", "sig"]).filter("a < b_")
+                    .select("a", F.col("b_").alias("b")).distinct(), "jaccard-stars")
+    stars = publish(_sketched(stars, sets, percent), "jaccard-stars")
+    links = publish(_verified(stars, docs, words, percent), "jaccard-links")
     label = publish(components(links), "jaccard-label")
 
     # What is left: entries that still hold more than one component; their rows
     # outside the entry's largest component meet the rows of other components.
-    live = entries.join(heads.select("b", "sig"), ["b", "sig"], "left_semi")
-    live = (live.join(label.withColumnRenamed("node", "id"), "id", "left")
-            .withColumn("comp", F.coalesce("component", "id")).drop("component"))
+    live = (entries.join(heads.select("b", "sig"), ["b", "sig"], "left_semi")
+            .join(label.withColumnRenamed("node", "id"), "id", "left")
+            .select("b", "sig", "id", "n", F.coalesce("component", "id").alias("comp")))
     live = publish(live, "jaccard-live")
     largest = (live.groupBy("b", "sig", "comp").agg(F.count("*").alias("c"))
                .groupBy("b", "sig").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"))
                .filter("comps > 1").select("b", "sig", "top"))
-    largest = publish(largest, "jaccard-mixed")
-    mixed = publish(live.join(largest, ["b", "sig"]), "jaccard-open")
-    small = mixed.filter("comp <> top")
-    across = (small.alias("x").join(mixed.alias("y"), F.expr(
-        f"{same} AND x.comp <> y.comp AND (y.comp = y.top OR x.id < y.id) AND {_possible(percent)}"))
+    masks = sets.select("id", *(F.col("m")[k].alias(f"m{k}") for k in range(4)))
+    mixed = publish(live.join(publish(largest, "jaccard-mixed"), ["b", "sig"]).join(masks, "id"), "jaccard-open")
+    differing = " + ".join(f"bit_count(x.m{k} ^ y.m{k})" for k in range(4))
+    across = (mixed.filter("comp <> top").alias("x").join(mixed.alias("y"), F.expr(
+        "x.b = y.b AND x.sig = y.sig AND x.comp <> y.comp AND (y.comp = y.top OR x.id < y.id) AND "
+        f"{_size_bound(percent, 'x.n', 'y.n')} AND {_parity_bound(percent, differing, 'x.n', 'y.n')}"))
         .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
-    more = publish(_verified(publish(across, "jaccard-across"), docs, words, percent), "jaccard-links")
+    across = publish(_sketched(publish(across, "jaccard-across"), sets, percent), "jaccard-across")
+    more = publish(_verified(across, docs, words, percent), "jaccard-links")
     comps = components(more.join(label.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
                        .join(label.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
                        .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
