@@ -2,4 +2,76 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_exact_top_k": """
+        WITH codes AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS code
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.code, c.code), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM codes q JOIN codes c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+        SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
+        FROM scored WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER w <= 5""",
+    "op5_embedding_near_dedup": """
+        WITH RECURSIVE valid AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+        reach AS (
+            SELECT a AS node, b AS other FROM links
+            UNION
+            SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+        direct AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+        least_of AS (SELECT node, min(other) AS m FROM reach GROUP BY node)
+        SELECT e.vec_id, coalesce(d.n, 0) AS n_links, least(e.vec_id, coalesce(l.m, e.vec_id)) AS component_id,
+               e.vec_id = least(e.vec_id, coalesce(l.m, e.vec_id)) AS kept
+        FROM embeddings e LEFT JOIN direct d ON d.a = e.vec_id LEFT JOIN least_of l ON l.node = e.vec_id""",
+    "op8_ngram_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                lambda w: w <> '') AS w FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+            FROM words),
+        tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id <> b.doc_id
+            WHERE 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        reach AS (
+            SELECT a AS node, b AS other FROM links
+            UNION
+            SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+        least_of AS (SELECT node, min(other) AS m FROM reach GROUP BY node)
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(l.m, s.doc_id)) AS component_id
+        FROM sets s LEFT JOIN least_of l ON l.node = s.doc_id""",
+    "op2_chat_formatting": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        placed AS (
+            SELECT *, row_number() OVER w AS k, lag(role) OVER w AS before,
+                   length(text) + len(regexp_extract_all(text, '[\\<#]')) + 8
+                     + length(role) + len(regexp_extract_all(role, '[\\<#:]')) + 6 AS with_header,
+                   length(role) + len(regexp_extract_all(role, '[\\<#:]')) + 6 AS header
+            FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text)),
+        said AS (
+            SELECT conv_id, count(*) AS n_turns,
+                   string_agg(role || chr(10) || text || chr(10), '' ORDER BY k) AS all_turns,
+                   coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '') AS loss,
+                   sum(with_header - CASE WHEN before IS NOT DISTINCT FROM role AND k > 1 THEN header ELSE 0 END) AS chars
+            FROM placed GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(all_turns) AS turns_sha256, length(loss) AS loss_chars,
+               sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
+        FROM said""",
+}
