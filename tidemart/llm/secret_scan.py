@@ -129,8 +129,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
     finders = [_finder(rule) for rule in rules]
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
     rest = [c for c in docs.columns if c.lower() != "secret_spans"]
-    docs = docs.select(*(F.col(f"`{c}`") for c in rest))
-    at = rest.index("text")
+    at, docs = rest.index("text"), docs.select(*(F.col(f"`{c}`") for c in rest))
+    names = [f"c{i}" for i in range(len(rest))]
 
     def run(batches):
         for batch in batches:
@@ -140,10 +140,11 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
                 for r in rows.tolist():
                     found[r] += [(start, k, end) for start, end in finders[k](texts[r].as_py())]
             spans = [[{"start": s, "kind": k, "end": e} for s, k, e in sorted(f)] for f in found]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spans, spans_type)], [*rest, "secret_spans"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spans, spans_type)], [*names, "secret_spans"])
 
+    plain = docs.toDF(*names)  # mapInArrow takes no dots in names
     added = T.StructType.fromDDL("secret_spans array<struct<start:bigint,kind:int,end:bigint>>")
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added.fields]))
+    return plain.mapInArrow(run, T.StructType([*plain.schema.fields, *added.fields])).toDF(*rest, "secret_spans")
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -172,4 +173,4 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     out = found.withColumn("_t", text)
     chars = {"n_chars": F.when(F.size("secret_spans") > 0, F.length("_t").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars"))
              } if "n_chars" in docs.columns else {}
-    return out.withColumns(chars | {"text": F.col("_t")}).select(*docs.columns)
+    return out.withColumns(chars | {"text": F.col("_t")}).select(*(F.col(f"`{c}`") for c in docs.columns))
