@@ -6,10 +6,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from tidemart.llm import packing
+from tidemart.llm.common import text_buffers
 
 PATH = __import__("public_tokenizers").path("word_bpe_49k.json")
 
@@ -59,8 +61,9 @@ def test_empty_table_and_cache_turnover(documents, monkeypatch):
     monkeypatch.setattr(packing, "CACHE_WORDS", 3)
     encode = packing.WordIds(PATH, "<u2")
     tokenizer = Tokenizer.from_file(PATH)
-    for text in ["a b c d", "e f g a", "a  b\n\nc", ""]:
-        assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    for group in [["a b c d"], ["e f g a", "", "a  b\n\nc"], [], ["x \x01 y", "\x01"], ["Don't <|endoftext|> é\u0301"]]:
+        data, offsets = text_buffers(pa.array(group, pa.string()))
+        assert [x.tolist() for x in encode(data, offsets)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in group]
 
 
 def test_costs_are_balanced():

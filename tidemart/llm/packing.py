@@ -10,6 +10,7 @@ sequence in all.  Shards keep about the same size at every input size.
 
 from __future__ import annotations
 
+import re
 import sys
 import zlib
 
@@ -17,51 +18,148 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidemart.llm.common import row_blocks, text_buffers
+from tidemart.llm.textkernel import word_bounds, word_hashes
+
 #: Bytes of text in a shard, on average.
 SHARD_BYTES = 8 << 20
 #: Distinct words whose ids a Python worker keeps; then it starts anew.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 3_000_000
+
+
+def _byte_letters() -> dict[int, int]:
+    """The byte-level alphabet: printable bytes are themselves, the others the characters from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
+class _Buffer:
+    """An array that grows by doubling."""
+
+    def __init__(self, dtype):
+        self.data, self.used = np.empty(1 << 16, dtype), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        if self.used + len(values) > len(self.data):
+            bigger = np.empty(2 * (self.used + len(values)), self.data.dtype)
+            bigger[: self.used] = self.data[: self.used]
+            self.data = bigger
+        self.data[self.used : self.used + len(values)] = values
+        self.used += len(values)
+
+
+class _Places:
+    """Numbers 64-bit keys in the order they are added: a large sorted array
+    and a small one, merged now and then."""
+
+    def __init__(self):
+        self.tiers = [(np.empty(0, np.uint64), np.empty(0, np.int64)) for _ in range(2)]
+        self.used = 0
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Number of each key, -1 if it is new."""
+        out = np.full(len(keys), -1, np.int64)
+        for own, places in self.tiers:
+            if len(own):
+                at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
+                hit = own[at] == keys
+                out[hit] = places[at[hit]]
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """New keys, sorted, get the next numbers in this order."""
+        new = (keys, self.used + np.arange(len(keys)))
+        self.used += len(keys)
+        big, small = self.tiers
+        small = self._merged(small, new)
+        if len(small[0]) > 100_000 + len(big[0]) // 8:
+            big, small = self._merged(big, small), (small[0][:0], small[1][:0])
+        self.tiers = [big, small]
+
+    @staticmethod
+    def _merged(a, b):
+        at = np.searchsorted(a[0], b[0])
+        return np.insert(a[0], at, b[0]), np.insert(a[1], at, b[1])
 
 
 class WordIds:
     """Token ids of texts, word by word, for a tokenizer that drops white space
-    and never merges across it; words seen before are looked up."""
+    and never merges across it.  Words seen before are looked up by their 64-bit hash (two of a
+    million words share one with a chance of about 3e-8)."""
+
+    #: Latin letters, then marks or none.
+    PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F]+)([.,;:!?%&$#*]*)")
 
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.dtype = Tokenizer.from_file(path), np.dtype(dtype)
+        self.tokenizer, self.dtype, self.marks = Tokenizer.from_file(path), np.dtype(dtype), {}
+        # Only a tokenizer that lowers letters and spells bytes in this alphabet has the short way.
+        samples = ["Straße", "ÉTÉ", "ñandú", "Hello", "abc", "Ångström", "ZÿŁĮ"]
+        self.direct = all(self._letters(w) == self._whole(w) and self._whole(w + ",") == self._whole(w) + self._whole(",")
+                          for w in samples)
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.flat, self.used = np.empty(1 << 20, self.dtype), 0
-        self.start, self.size = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
+        self.places, self.flat = _Places(), _Buffer(self.dtype)
+        self.start, self.size = _Buffer(np.int64), _Buffer(np.int64)
+
+    def _letters(self, word: str) -> list[int]:
+        """Ids of a word of Latin letters straight from the tokenizer's model,
+        in the byte alphabet it was made for."""
+        word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return [token.id for token in self.tokenizer.model.tokenize(word)]
+
+    def _whole(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def _learn(self, words: list[str]) -> None:
-        for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            ids, k = found.ids, len(self.place)
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), len(ids)), self.dtype)])
-            if k == len(self.start):
-                self.start, self.size = (np.concatenate([x, np.zeros(k, np.int64)]) for x in (self.start, self.size))
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.start[k], self.size[k] = self.used, len(ids)
-            self.used += len(ids)
-            self.place[word] = k
-
-    def __call__(self, text: str) -> np.ndarray:
-        words = text.replace("\n", " ").split(" ")
-        found = list(map(self.place.get, words))
-        if None in found:
-            if len(self.place) > CACHE_WORDS:
-                self.clear()
-            self._learn(list({w for w in words if w not in self.place}))
-            found = list(map(self.place.__getitem__, words))
-        at = np.array(found, np.int64)
-        size = self.size[at]
-        ends = np.cumsum(size)
-        return self.flat[np.repeat(self.start[at] - (ends - size), size) + np.arange(ends[-1])]
+        sizes, ids = [], []
+        for word in words:
+            match = self.direct and self.PLAIN.fullmatch(word)
+            if match:
+                letters, marks = match.groups()
+                found = self._letters(letters)
+                if marks:
+                    if marks not in self.marks:
+                        self.marks[marks] = self._whole(marks)
+                    found = found + self.marks[marks]
+            else:
+                found = self._whole(word)
+            sizes.append(len(found))
+            ids += found
+        sizes = np.array(sizes, np.int64)
+        self.start.extend(self.flat.used + np.cumsum(sizes) - sizes)
+        self.size.extend(sizes)
+        self.flat.extend(np.array(ids, self.dtype))
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """The ids of each text, given the UTF-8 bytes of all and their offsets."""
+        if self.places.used > CACHE_WORDS:
+            self.clear()
+        begin, end, first = word_bounds(data, offsets)
+        keys = word_hashes(data, begin, end, fold=False)
+        order = np.argsort(keys)
+        ranked = keys[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = ranked[1:] != ranked[:-1]
+        distinct, samples = ranked[new], order[new]
+        fresh = self.places.find(distinct) < 0
+        if fresh.any():
+            text = data.tobytes()
+            self.places.add(distinct[fresh])
+            self._learn([text[begin[k] : end[k]].decode() for k in samples[fresh].tolist()])
+        at = np.empty(len(keys), np.int64)
+        at[order] = self.places.find(distinct)[np.cumsum(new) - 1]
+        size = self.size.data[at]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        ids = self.flat.data[np.repeat(self.start.data[at] - ends[:-1], size) + np.arange(ends[-1])]
+        return [ids[a:b] for a, b in zip(ends[first[:-1]].tolist(), ends[first[1:]].tolist())]
 
 
 def word_ids(path: str, dtype: str) -> WordIds:
@@ -123,21 +221,20 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 2048,
     def cut(batches):
         encode, end = word_ids(tokenizer, dtype), np.array([end_id], dtype)
         for batch in batches:
-            ids, rows, size = batch.column("doc_id"), [], 0
-            texts = batch.column("text")
-            for r in range(batch.num_rows):
-                tokens = np.concatenate([encode(texts[r].as_py()), end])
-                for start in range(0, len(tokens), capacity):
-                    part = tokens[start : start + capacity]
-                    crc = zlib.crc32(part.astype("<u4").tobytes())
-                    rows.append((r, start, len(part), crc, len(tokens), part.tobytes() if len(part) < capacity else None))
-                    size += part.nbytes
-                if size > 1 << 22 or r + 1 == batch.num_rows:
-                    cols = list(zip(*rows))
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(cols[0])), *[pa.array(c, pa.int64()) for c in cols[1:5]], pa.array(cols[5], pa.binary())],
-                        ["doc_id", "start", "length", "crc", "doc_tokens", "ids"])
-                    rows, size = [], 0
+            ids = batch.column("doc_id")
+            data, offsets = text_buffers(batch.column("text"))
+            for i, j in row_blocks(offsets):
+                rows, own = [], offsets[i : j + 1]
+                for r, tokens in enumerate(encode(data[own[0] : own[-1]], own - own[0]), i):
+                    tokens = np.concatenate([tokens, end])
+                    for start in range(0, len(tokens), capacity):
+                        part = tokens[start : start + capacity]
+                        crc = zlib.crc32(part.astype("<u4").tobytes())
+                        rows.append((r, start, len(part), crc, len(tokens), part.tobytes() if len(part) < capacity else None))
+                cols = list(zip(*rows))
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(cols[0])), *[pa.array(c, pa.int64()) for c in cols[1:5]], pa.array(cols[5], pa.binary())],
+                    ["doc_id", "start", "length", "crc", "doc_tokens", "ids"])
 
     pieces = docs.mapInArrow(cut, "doc_id bigint, start bigint, length bigint, crc bigint, doc_tokens bigint, ids binary")
     shard = F.pmod(F.xxhash64("doc_id", "start", "length", "crc"), F.lit(shards).cast("bigint"))
