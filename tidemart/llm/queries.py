@@ -33,6 +33,12 @@ def op3_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.llm.lm import stupid_backoff
+
+    return stupid_backoff(table(spark, sf_dir, "documents"), order=2, alpha=0.4)
+
+
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemart.llm.covertree import near_duplicates
 
@@ -45,12 +51,31 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.llm.quality import grade_documents
+
+    return grade_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemart.llm.jaccard import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.llm.langid import identify
+
+    return identify(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+def language_id_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator with all its evidence: markup, address suffix and host."""
+    from tidemart.llm.langid import identify, page_rows
+
+    return identify(page_rows(table(spark, sf_dir, "pages")), declared="declared", host="host", keep=["page_id"])
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemart.llm.secret_scan import digests
 
@@ -61,8 +86,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_cost_balanced_packing": op3_cost_balanced_packing,
+    "op4_stupid_backoff": op4_stupid_backoff,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_mix_sources": op6_mix_sources,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+    "op9_language_id": op9_language_id,
+    "language_id_of_pages": language_id_of_pages,
     "op10_secret_scans": op10_secret_scans,
 }
