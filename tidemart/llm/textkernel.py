@@ -11,6 +11,9 @@ import numpy as np
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: All bytes but ASCII letters and those of other scripts: separates runs of letters.
+NO_LETTER = np.ones(256, bool)
+NO_LETTER[65:91] = NO_LETTER[97:123] = NO_LETTER[128:] = False
 _U = np.uint64
 # Odd 64-bit multipliers (fixed values): golden ratio and two of its mixes.
 _ODD = [_U(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -42,12 +45,12 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word, and the index of each row's first word (one
     more entry than rows).  No word spans two rows."""
     if not len(data):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~SPACE[data]
+    inside = ~space[data]
     start, end = inside.copy(), inside.copy()
     start[1:] &= ~inside[:-1]
     end[:-1] &= ~inside[1:]
@@ -59,14 +62,14 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True,
-                limit: int = 1 << 21) -> np.ndarray:
+                limit: int = 1 << 21, space: np.ndarray = SPACE) -> np.ndarray:
     """One 64-bit hash a word; a few million bytes are worked on at a time."""
     out, lengths = np.empty(len(starts), _U), ends - starts
     i, tables = 0, _TABLES[fold]
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + limit, "right")))
         block = data[starts[i] : ends[j - 1]]
-        block, size = block[~SPACE[block]], lengths[i:j]
+        block, size = block[~space[block]], lengths[i:j]
         at = np.cumsum(size) - size
         place = np.arange(len(block)) - np.repeat(at, size)
         longest = int(size.max())
