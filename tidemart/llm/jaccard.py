@@ -24,7 +24,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemart.llm.common import filter_by_keys, publish, row_blocks, text_buffers
 from tidemart.llm.components import components
@@ -297,10 +297,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, frequent
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's smallest.  Rows
-    that link with nothing stay; of repeated rows one stays, as of any copies.
-    Rows with a null doc_id go only if an equal set has a doc_id."""
+    """``docs`` with one document of each near-duplicate group: the smallest doc_id.
+
+    Documents that link with nothing stay, null and empty texts too.  Of
+    several rows of one doc_id the smallest text stays; rows with a null doc_id
+    all stay.
+    """
     found = near_duplicates(docs, words, percent)
-    gone = publish(found.filter("component_id <> coalesce(doc_id, component_id + 1)").select("doc_id").distinct(), "jaccard-gone")
-    ids = gone.filter("doc_id IS NOT NULL")
-    return filter_by_keys(docs, ids, ["doc_id"], "left_anti")
+    gone = publish(found.filter("component_id <> doc_id").select("doc_id").distinct(), "jaccard-gone")
+    left = filter_by_keys(docs, gone, ["doc_id"], "left_anti")
+    repeated = publish(left.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1")
+                       .select("doc_id"), "jaccard-repeated")
+    if not repeated.limit(1).count():
+        return left
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    one = filter_by_keys(left, repeated, ["doc_id"], "left_semi").withColumn("_place", place).filter("_place = 1").drop("_place")
+    return filter_by_keys(left, repeated, ["doc_id"], "left_anti").unionByName(one)

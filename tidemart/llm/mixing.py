@@ -14,7 +14,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemart.llm.common import WORD_PATTERN, publish
+from tidemart.llm.common import BROADCAST_ROWS, WORD_PATTERN, publish
 
 #: Budgets up to this many words, or the longest remaining document's, are left to the dynamic program.
 FIT_WORDS = 20_000
@@ -124,3 +124,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     place = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy("key", "doc_id"))
     times = F.col("passes") + (place <= F.col("take")).cast("int")
     return joined.select("doc_id", "source", "size", "source_size", "target", (times * F.col("size")).cast("bigint").alias("taken"))
+
+
+def take(docs: DataFrame, **settings) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken.
+
+    Rows of one doc_id are taken equally often, as often as the least taken of
+    them; so are rows with a null doc_id."""
+    mixed = mix(docs, **settings).filter("taken > 0")
+    times = publish(mixed.groupBy("doc_id").agg(F.min(F.expr("taken div size")).alias("_times"), F.count("*").alias("_rows")), "mixing-times")
+    rows = publish(docs.groupBy("doc_id").agg(F.count("*").alias("_all")), "mixing-rows")
+    times = publish(times.alias("t").join(rows.alias("r"), F.expr("t.doc_id <=> r.doc_id AND t._rows = r._all"))
+                    .select(F.col("t.doc_id").alias("_id"), "_times"), "mixing-times")
+    small = F.broadcast(times) if times.count() <= BROADCAST_ROWS else times
+    joined = docs.join(small, docs["doc_id"].eqNullSafe(small["_id"]))
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_times"))).select(*(docs[c] for c in docs.columns))
