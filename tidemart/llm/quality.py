@@ -47,8 +47,8 @@ def _features(batch) -> list[np.ndarray]:
     return out
 
 
-def fit_ordinal(flat: np.ndarray, offsets: np.ndarray, grades: np.ndarray, levels: int, epochs: int = 8, rate: float = 0.15,
-                decay: float = 2e-4, batch: int = 256, seed: int = 5) -> Model:
+def fit_ordinal(flat: np.ndarray, offsets: np.ndarray, grades: np.ndarray, levels: int, steps_least: int = 3000, rate: float = 0.15,
+                decay: float = 2e-4, batch: int = 64, seed: int = 5) -> Model:
     """Cumulative-link fit by AdaGrad on shuffled batches; row r has the buckets
     ``flat[offsets[r]:offsets[r + 1]]``.  Without rows the weights are 0."""
     weights, start = np.zeros(BUCKETS), np.linspace(-1, 1, levels + 1)[1:-1] * 2
@@ -56,7 +56,8 @@ def fit_ordinal(flat: np.ndarray, offsets: np.ndarray, grades: np.ndarray, level
     past, past_t = np.full(BUCKETS, 1e-2), np.full(levels - 1, 1e-2)
     rng = np.random.default_rng(seed)
     sizes = np.diff(offsets)
-    for _ in range(epochs if len(grades) else 0):
+    epochs = int(np.clip(steps_least * batch / max(len(grades), 1), 6, 60)) if len(grades) else 0
+    for _ in range(epochs):
         order = rng.permutation(len(grades))
         for s in range(0, len(order), batch):
             rows = order[s : s + batch]
