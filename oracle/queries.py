@@ -132,20 +132,23 @@ ORACLE_SQL["test_unique_combination"] = with_ctes(
 )
 ORACLE_SQL["test_relationships"] = with_ctes(_union(relationship_sql(s) for s in _of("relationships")))
 ORACLE_SQL["test_no_orphaned_order_items"] = with_ctes(
-    """SELECT oi.order_id, oi.line_item_id, oi.order_item_sk
-FROM stg_order_items oi LEFT JOIN stg_orders o ON oi.order_id = o.order_id
-WHERE o.order_id IS NULL OR o.order_status = 'cancelled'
-ORDER BY oi.order_id ASC NULLS FIRST, oi.line_item_id ASC NULLS FIRST, oi.order_item_sk ASC NULLS FIRST
-LIMIT 100"""
+    """, good AS (SELECT order_id FROM stg_orders WHERE order_status IS DISTINCT FROM 'cancelled'),
+     called_off AS (SELECT order_id FROM stg_orders WHERE order_status = 'cancelled'),
+     flagged AS (
+         SELECT order_id, line_item_id, order_item_sk FROM stg_order_items
+         WHERE order_id IS NULL OR order_id NOT IN (SELECT order_id FROM good WHERE order_id IS NOT NULL)
+            OR order_id IN (SELECT order_id FROM called_off WHERE order_id IS NOT NULL))
+SELECT * FROM flagged ORDER BY ALL ASC NULLS FIRST LIMIT 100"""
 )
 ORACLE_SQL["test_revenue_reconciliation"] = with_ctes(
-    """SELECT CAST(ROUND(l.total, 4) AS DOUBLE) AS ledger_total,
-       CAST(ROUND(f.total, 4) AS DOUBLE) AS fact_total,
-       CAST(ROUND(l.total - f.total, 4) AS DOUBLE) AS delta
-FROM (SELECT SUM(gross_revenue) AS total FROM revenue_ledger) l,
-     (SELECT SUM(order_total_amount) AS total FROM fct_orders
-      WHERE order_status IN ('paid', 'shipped', 'delivered')) f
-WHERE ABS(l.total - f.total) > 0.01"""
+    """, totals AS (
+    SELECT sum(money) FILTER (side = 'ledger') AS ledger, sum(money) FILTER (side = 'fact') AS fact
+    FROM (SELECT 'ledger' AS side, gross_revenue AS money FROM revenue_ledger
+          UNION ALL SELECT 'fact', order_total_amount FROM fct_orders
+          WHERE order_status IN (SELECT DISTINCT order_status FROM revenue_orders)))
+SELECT CAST(round(ledger, 4) AS DOUBLE) AS ledger_total, CAST(round(fact, 4) AS DOUBLE) AS fact_total,
+       CAST(round(ledger - fact, 4) AS DOUBLE) AS delta
+FROM totals WHERE abs(ledger - fact) > 0.01"""
 )
 ORACLE_SQL["test_discount_below_one"] = with_ctes(
     "SELECT order_item_sk FROM fct_order_items WHERE discount_pct >= 1.0"

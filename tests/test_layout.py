@@ -63,13 +63,27 @@ def test_build_persists_column_comments(spark, tmp_path):
 
 
 def test_shuffle_partition_sizing(spark):
-    from tidemart.session import input_bytes, shuffle_partitions_for
+    from tidemart.session import plan_bytes, shuffle_partitions_for, size_shuffles
 
-    assert shuffle_partitions_for(100 * 1024**4) == 400_000
+    assert shuffle_partitions_for(100 * 1024**4) == 409_600
+    assert shuffle_partitions_for(1000 * 1024**4) == 4_096_000  # no ceiling
     assert shuffle_partitions_for(10 * 1024**4) == 40_960
     assert shuffle_partitions_for(50 * 1024**2) == 8
-    n = input_bytes(spark, ["/root/testdata/sf0.001/lineitem.parquet"])
-    assert n > 0
+    files = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    assert 0 < plan_bytes(files) < 1024**2
+    assert plan_bytes(spark.createDataFrame([(1,)], "x int")) < 2**62
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert size_shuffles(spark, [files]) == int(before)
+
+
+def test_build_sizes_its_shuffles(spark, tmp_path, monkeypatch):
+    from tidemart.plans import build as B
+
+    called = []
+    monkeypatch.setattr(B, "size_shuffles", lambda s, inputs: called.append(len(list(inputs))))
+    B.build_testdata(spark, "/root/testdata/sf0.001", B.BuildConfig(
+        warehouse=str(tmp_path / "wh"), fact_grain="month", run_tests=False, run_snapshots=False))
+    assert called == [5]
 
 
 def test_run_log_records_failed_build(spark, tmp_path):

@@ -5,6 +5,7 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
+from tidemart.plans.catalog import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +15,7 @@ def duck():
     return duck_conn(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     from tools.compare_oracle import rows_of
 

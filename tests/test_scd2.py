@@ -101,3 +101,17 @@ def test_period_overlaps_detects_bad_history(spark):
         "id bigint, scd_id string, valid_from timestamp_ntz, valid_to timestamp_ntz",
     )
     assert sorted(r.scd_id for r in period_overlaps(bad, "id").collect()) == ["s2", "s4"]
+
+
+def test_duplicate_keys_and_earlier_snapshots_are_refused(spark):
+    import pytest
+
+    from tidemart.operators.scd2 import scd2_apply
+    from tidemart.operators.upsert import DuplicateKeyError
+
+    one = spark.createDataFrame([(1, "a")], "k int, v string")
+    with pytest.raises(DuplicateKeyError):
+        scd2_apply(None, one.unionByName(one), "k", "2001-01-02 00:00:00")
+    history = scd2_apply(None, one, "k", "2001-01-02 00:00:00")
+    with pytest.raises(ValueError):
+        scd2_apply(history, one, "k", "2001-01-01 00:00:00")

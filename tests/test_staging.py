@@ -64,3 +64,27 @@ def test_stg_sessions_open_and_anonymous(spark):
     assert out["s1"].device_type == "mobile" and out["s1"].traffic_source == "ads"
     assert out["s2"].session_duration_seconds is None and out["s2"].customer_id == 5
     assert out["s1"].session_date == dt.date(2024, 1, 1)
+
+
+def test_stg_order_items_keeps_large_and_small_values(spark):
+    raw = spark.createDataFrame(
+        [("1", "1", "5", "1", "20", "100", T), ("1", "2", "5", "1", "20", "150", T), ("1", "3", "5", "20000000000", "2", "0", T),
+         ("1", "4", "5", "1", "0.00004", "0.12345", T), ("1", "5", "5", "1", "7", "no number", T)],
+        "order_id string, line_item_id string, product_id string, quantity string, unit_price string,"
+        " discount string, _loaded_at timestamp_ntz",
+    )
+    out = {r.line_item_id: r for r in S.stg_order_items(raw, AS_OF).collect()}
+    assert out[1].discount_pct == 100 and out[2].discount_pct == 150 and out[2].line_net_amount == -2980
+    assert out[3].line_gross_amount == Decimal("40000000000")
+    assert out[4].unit_price == Decimal("0.00004") and out[4].discount_pct == Decimal("0.12345")
+    assert out[5].discount_pct == 0 and out[5].line_net_amount == 7
+
+
+def test_text_is_trimmed_of_all_white_space(spark):
+    raw = spark.createDataFrame(
+        [("1", "7", "PAID\t", "usd\n", "1", T, T, T)],
+        "order_id string, customer_id string, order_status string, currency string, total_amount string,"
+        " placed_at timestamp_ntz, updated_at timestamp_ntz, _loaded_at timestamp_ntz",
+    )
+    r = S.stg_orders(raw, AS_OF).first()
+    assert (r.order_status, r.currency) == ("paid", "USD")

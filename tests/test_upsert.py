@@ -189,11 +189,13 @@ def test_checkpoint_dir_comes_from_session_conf(spark):
 
 
 def test_checkpoint_dir_fallback_only_when_unset():
+    import pytest
+
     from tidemart import session as S
 
     class Ctx:
-        def __init__(self):
-            self.dir = None
+        def __init__(self, master):
+            self.dir, self.master = None, master
 
         def getCheckpointDir(self):
             return self.dir
@@ -201,17 +203,81 @@ def test_checkpoint_dir_fallback_only_when_unset():
         def setCheckpointDir(self, d):
             self.dir = d
 
-    class Conf:
-        def __init__(self, value):
-            self.value = value
-
-        def get(self, _k, default=None):
-            return self.value if self.value is not None else default
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key) or default
 
     class Fake:
-        def __init__(self, value):
-            self.sparkContext, self.conf = Ctx(), Conf(value)
+        def __init__(self, value, master="local[2]"):
+            self.sparkContext = Ctx(master)
+            self.conf = Conf({"spark.checkpoint.dir": value, "spark.sql.warehouse.dir": "file:/shared/wh"})
+
+    assert S.checkpoint_dir(Fake("hdfs://shared/ckpt", "yarn")) == "hdfs://shared/ckpt"
+    assert S.checkpoint_dir(Fake(None)) == "file:/shared/wh/_checkpoints"
+    with pytest.raises(RuntimeError):
+        S.checkpoint_dir(Fake(None, "yarn"))
+
+
+def _versioned(spark, tmp_path, rows):
+    from tidemart.sinks.versioned import VersionedTable
+
+    table = VersionedTable(spark, str(tmp_path / "t"), partition_by="d")
+    table.overwrite(spark.createDataFrame(rows, "k int, d date, country string, v int"), unique_key="k")
+    return table
+
+
+def test_upsert_keeps_the_null_partition(spark, tmp_path):
+    import datetime as dt
+
+    from tidemart.sinks.versioned import upsert_partitions
+
+    day = dt.date(2001, 1, 1)
+    table = _versioned(spark, tmp_path, [(1, None, "US", 1), (2, None, "CA", 2), (3, day, "MX", 3)])
+    batch = spark.createDataFrame([(1, None, "ZZ", 10)], "k int, d date, country string, v int")
+    upsert_partitions(table, batch, "k", ["v", "d"])
+    assert sorted(map(tuple, table.read().collect())) == [(1, None, "US", 10), (2, None, "CA", 2), (3, day, "MX", 3)]
+    moved = spark.createDataFrame([(1, day, "ZZ", 11)], "k int, d date, country string, v int")
+    upsert_partitions(table, moved, "k", ["v", "d"])
+    assert sorted(map(tuple, table.read().collect())) == [(1, day, "US", 11), (2, None, "CA", 2), (3, day, "MX", 3)]
+
+
+def test_first_load_rejects_duplicates_and_stray_partitions_raise(spark, tmp_path):
+    import datetime as dt
+
+    import pytest
+
+    from tidemart.operators.upsert import DuplicateKeyError
+
+    day = dt.date(2001, 1, 1)
+    with pytest.raises(DuplicateKeyError):
+        _versioned(spark, tmp_path / "a", [(1, day, "US", 1), (1, day, "US", 2)])
+    table = _versioned(spark, tmp_path / "b", [(1, day, "US", 1)])
+    rows = spark.createDataFrame([(2, dt.date(2001, 1, 2), "US", 2)], "k int, d date, country string, v int")
+    with pytest.raises(ValueError):
+        table.replace_partitions(rows, [day])
+
+
+def test_two_writers_of_one_manifest(spark, tmp_path):
+    import pytest
+
+    from tidemart.sinks import fs
+
+    fs.write_text(spark, str(tmp_path / "1.json"), "first")
+    with pytest.raises(OSError):
+        fs.write_text(spark, str(tmp_path / "1.json"), "second")
+    assert fs.read_text(spark, str(tmp_path / "1.json")) == "first"
+
+
+def test_build_after_an_empty_first_build(spark, tmp_path):
+    from tidemart.plans.build import BuildConfig, build, read_mart
+    from tidemart.sources import testdata
+
+    sf = "/root/testdata/sf0.001"
+    raw, cfg = testdata.raw_tables(spark, sf), BuildConfig(
+        warehouse=str(tmp_path / "wh"), fact_grain="month", run_tests=False, run_snapshots=False, run_log=False)
+    build(spark, {**raw, "orders": raw["orders"].limit(0)}, testdata.DEFAULT_AS_OF, cfg, testdata.funnel_orders(spark, sf))
+    assert read_mart(spark, cfg, "fct_orders").count() == 0
+    build(spark, raw, testdata.DEFAULT_AS_OF, cfg, testdata.funnel_orders(spark, sf))
+    assert read_mart(spark, cfg, "fct_orders").count() == 1500
+    assert read_mart(spark, cfg, "fct_order_items").count() > 0
 
-    assert S.checkpoint_dir(Fake("hdfs://shared/ckpt")) == "hdfs://shared/ckpt"
-    local = S.checkpoint_dir(Fake(None))
-    assert "tidemart-ckpt-" in local

@@ -46,13 +46,14 @@ SURROGATE_SEPARATOR = "||"
 LOOKBACK_DAYS = 3
 
 # ---------------------------------------------------------------------------
-# Types.  Money is decimal(18,4), fractions decimal(6,4); a quantity enters a
-# product as decimal(10,0) so qty * price * (1 - discount) stays exact as
-# decimal(37,8) instead of being cut to 6 digits (see README, decimals).
+# Types.  Totals are decimal(18,4), unit prices decimal(15,6), fractions
+# decimal(8,5); a quantity enters a product as decimal(12,0), so that
+# qty * price * (1 - discount) stays exact as decimal(38,11).
 # ---------------------------------------------------------------------------
 MONEY = DecimalType(18, 4)
-FRACTION = DecimalType(6, 4)
-QUANTITY_DEC = DecimalType(10, 0)
+UNIT_PRICE = DecimalType(15, 6)
+FRACTION = DecimalType(8, 5)
+QUANTITY_DEC = DecimalType(12, 0)
 TYPES: dict[str, DataType] = {
     "INT64": LongType(),
     "NUMERIC": MONEY,
@@ -71,6 +72,9 @@ def _col(c: Column | str) -> Column:
 def safe_cast(c: Column | str, type_name: str | DataType) -> Column:
     """Cast that yields NULL instead of failing (ANSI mode stays on)."""
     target = TYPES[type_name] if isinstance(type_name, str) else type_name
+    if target == BooleanType():  # only the two words, in any case
+        word = F.lower(_col(c).cast("string"))
+        return F.when(word == "true", True).when(word == "false", False)
     return _col(c).try_cast(target)
 
 
@@ -85,16 +89,25 @@ def surrogate_key(fields: Iterable[Column | str]) -> Column:
     return F.sha2(F.concat(*parts), 256)
 
 
+def trim_all(c: Column | str) -> Column:
+    """Leading and trailing white space of any kind removed."""
+    return F.trim(_col(c), F.lit(" \t\n\r\x0b\x0c"))
+
+
 def lower_trim(c: Column | str) -> Column:
-    return F.lower(F.trim(_col(c)))
+    return F.lower(trim_all(c))
 
 
 def upper_trim(c: Column | str) -> Column:
-    return F.upper(F.trim(_col(c)))
+    return F.upper(trim_all(c))
 
 
 def initcap_trim(c: Column | str) -> Column:
-    return F.initcap(F.trim(_col(c)))
+    """First letter of every word in upper case, the rest in lower case; words
+    end at white space and punctuation (not at an apostrophe)."""
+    parts = F.split(trim_all(c), r"(?<=[\s\[\](){}/|<>!?@\"^#$&~_,.:;*%+\-])")
+    return F.array_join(F.transform(parts, lambda w: F.concat(
+        F.upper(F.substring(w, 1, 1)), F.lower(w.substr(F.lit(2), F.length(w))))), "")
 
 
 def ts_literal(value: str) -> Column:
@@ -161,6 +174,3 @@ def exact_avg(c: Column | str, scale: int = 4) -> Column:
     c = _col(c)
     return money_ratio(F.sum(c), F.count(c), scale)
 
-
-def day_interval(days: int | Column) -> Column:
-    return F.make_dt_interval(days=days if isinstance(days, Column) else F.lit(days))

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampNTZType, StringType
 
+from tidemart.operators.upsert import assert_unique_keys
 from tidemart.functions.expressions import surrogate_key, ts_literal
 
 VALID_FROM, VALID_TO, SCD_ID = "valid_from", "valid_to", "scd_id"
@@ -68,6 +69,9 @@ def scd2_apply(
     # A row without a key cannot be tracked (it would never match its own
     # history and would be reopened on every run); it is not snapshotted.
     current = current.filter(F.col(key).isNotNull())
+    assert_unique_keys(current, key)
+    if history.filter(F.col(VALID_TO).isNull() & (F.col(VALID_FROM) > now)).limit(1).count():
+        raise ValueError(f"a snapshot at {as_of} lies before a version that is already open")
 
     closed = history.filter(F.col(VALID_TO).isNotNull())
     open_rows = history.filter(F.col(VALID_TO).isNull())

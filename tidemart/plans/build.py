@@ -31,8 +31,9 @@ from tidemart.plans import intermediate as I
 from tidemart.plans import marts as M
 from tidemart.plans.graph import ModelGraph
 from tidemart.plans.staging import BUILT_AT
+from tidemart.session import size_shuffles
 from tidemart.sinks.layout import schema_name, table_path
-from tidemart.sinks.versioned import VersionedTable, upsert_partitions
+from tidemart.sinks.versioned import VersionedTable, in_partitions, upsert_partitions
 
 
 @dataclass(frozen=True)
@@ -155,6 +156,7 @@ def build(
 
 
 def _run_steps(spark, raw, as_of, cfg: BuildConfig, funnel_orders, timings, report, versions, started) -> None:
+    size_shuffles(spark, raw.values())
     g = ModelGraph(raw, as_of)
 
     # --- facts -------------------------------------------------------------------
@@ -231,11 +233,13 @@ def _build_fct_orders(spark, g: ModelGraph, orders_t: VersionedTable, cfg: Build
     """Returns the partition values the incremental MERGE rewrote, or None
     after a full load."""
     if cfg.full_refresh or not orders_t.exists():
-        versions["fct_orders"] = orders_t.overwrite(g.fct_orders)
+        cutoff = None
+    else:
+        cutoff = lookback_cutoff(_drop_partition_helper(orders_t.read(), orders_t), BUILT_AT, cfg.lookback_days)
+    if cutoff is None:  # first run, full refresh, or a target without rows
+        versions["fct_orders"] = orders_t.overwrite(g.fct_orders, unique_key="order_sk")
         return None
     else:
-        target = _drop_partition_helper(orders_t.read(), orders_t)
-        cutoff = lookback_cutoff(target, BUILT_AT, cfg.lookback_days)
         stg_o = g.stg_orders.filter(F.col("updated_at") > value_literal(cutoff))
         items = g.stg_order_items.join(stg_o.select("order_id"), "order_id", "left_semi")
         source = M.fct_orders(I.int_orders_enriched(stg_o, items, g.stg_customers, as_of), as_of)
@@ -260,16 +264,18 @@ def _build_revenue_ledger(spark, cfg: BuildConfig, fct: DataFrame, as_of: str, t
         versions["revenue_ledger"] = table.current_version()
         return
     part = orders_t.partition_col
-    fct_touched = _drop_partition_helper(orders_t.read().filter(F.col(part).isin(*touched)), orders_t)
+    fct_touched = _drop_partition_helper(orders_t.read().filter(in_partitions(part, touched)), orders_t)
     versions["revenue_ledger"] = table.replace_partitions(M.revenue_ledger(fct_touched, as_of), touched)
 
 
 def _build_fct_order_items(g: ModelGraph, items_t: VersionedTable, cfg: BuildConfig, as_of: str, versions):
     if cfg.full_refresh or not items_t.exists():
-        versions["fct_order_items"] = items_t.overwrite(g.fct_order_items)
+        cutoff = None
+    else:
+        cutoff = lookback_cutoff(_drop_partition_helper(items_t.read(), items_t), "order_date", cfg.lookback_days)
+    if cutoff is None:
+        versions["fct_order_items"] = items_t.overwrite(g.fct_order_items, unique_key="order_item_sk")
     else:
-        target = _drop_partition_helper(items_t.read(), items_t)
-        cutoff = lookback_cutoff(target, "order_date", cfg.lookback_days)
         stg_o = g.stg_orders.filter(F.col("order_date") >= value_literal(cutoff))
         source = M.fct_order_items(g.stg_order_items, stg_o, as_of)
         versions["fct_order_items"] = upsert_partitions(items_t, source, "order_item_sk", None)

@@ -28,65 +28,24 @@ def filter_revenue_orders(orders: DataFrame, status_col: str = "order_status") -
 def order_items_rollup(stg_items: DataFrame) -> DataFrame:
     """Per order: line count, quantity, gross and net amount, distinct products.
 
-    The sums are one aggregation with map-side partial aggregation (a hot
-    order costs one row per map task), shuffled once.  The distinct product
-    count is computed apart on (order_id, product_id) only: deduplicated
-    map-side, shuffled on both columns so a hot order spreads over its
-    products, then counted per order.  The two are joined on order_id; both
-    come out hash-partitioned by it, so the join needs no further shuffle and
-    the result keeps that partitioning for the join with orders.  The wide
-    decimal sum buffers cross the network once (a single aggregate with the
-    distinct count would shuffle them per (order, product) and again per
-    order).  The line items are read by both parts; their column sets
-    overlap only in the key.
-
-    Group keys are carried as (coalesce(order_id, 0), isnull(order_id)) so
-    the NULL order id keeps its own group, as in SQL, while the join stays a
-    plain equi-join (a NULL-safe join would re-shuffle both sides).
+    One scan and two groupings: the sums by (order, product), then by order,
+    where each row is one distinct product.  Both combine map-side, and a hot
+    order spreads over its products in the first shuffle.  The NULL order id
+    is a group of its own, as in SQL.
     """
-    keyed = stg_items.select(
-        F.coalesce(F.col("order_id"), F.lit(0).cast("bigint")).alias("__k"),
-        F.col("order_id").isNull().alias("__null"),
-        "product_id", "quantity", "line_gross_amount", "line_net_amount",
+    sums = ("quantity", "line_gross_amount", "line_net_amount")
+    by_product = stg_items.groupBy("order_id", "product_id").agg(
+        F.count(F.lit(1)).alias("lines"), *(F.sum(c).alias(c) for c in sums)
     )
-    sums = keyed.groupBy("__k", "__null").agg(
-        F.count(F.lit(1)).alias("line_item_count"),
-        F.sum("quantity").alias("total_quantity"),
-        F.sum("line_gross_amount").alias("gross_amount_from_items"),
-        F.sum("line_net_amount").alias("net_amount_from_items"),
+    kind = by_product.schema
+    whole = {c: F.sum(c).cast(kind[c].dataType) for c in sums}
+    return by_product.groupBy("order_id").agg(
+        F.sum("lines").alias("line_item_count"),
+        whole["quantity"].alias("total_quantity"),
+        whole["line_gross_amount"].alias("gross_amount_from_items"),
+        whole["line_net_amount"].alias("net_amount_from_items"),
+        F.count("product_id").alias("distinct_product_count"),
     )
-    products = (
-        keyed.select("__k", "__null", "product_id")
-        .distinct()
-        .groupBy("__k", "__null")
-        .agg(F.count("product_id").alias("distinct_product_count"))
-    )
-    return sums.join(products, ["__k", "__null"], "left").select(
-        F.when(~F.col("__null"), F.col("__k")).alias("order_id"),
-        "line_item_count", "total_quantity", "gross_amount_from_items",
-        "net_amount_from_items", "distinct_product_count",
-    )
-
-
-def _order_rollup_for_join(stg_items: DataFrame) -> DataFrame:
-    """The rollup as the enriched orders consume it: a NULL order id can
-    never match an order, so those lines are dropped first and both parts
-    are keyed on order_id itself; the result stays hash-partitioned by
-    order_id, which the join with orders reuses."""
-    items = stg_items.filter(F.col("order_id").isNotNull())
-    sums = items.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("line_item_count"),
-        F.sum("quantity").alias("total_quantity"),
-        F.sum("line_gross_amount").alias("gross_amount_from_items"),
-        F.sum("line_net_amount").alias("net_amount_from_items"),
-    )
-    products = (
-        items.select("order_id", "product_id")
-        .distinct()
-        .groupBy("order_id")
-        .agg(F.count("product_id").alias("distinct_product_count"))
-    )
-    return sums.join(products, "order_id", "left")
 
 
 def int_orders_enriched(
@@ -101,7 +60,7 @@ def int_orders_enriched(
     sort-merge join with skew splitting of hot customers.
     """
     o = stg_orders.alias("o")
-    oi = _order_rollup_for_join(stg_items).alias("oi")
+    oi = order_items_rollup(stg_items.filter(F.col("order_id").isNotNull())).alias("oi")
     c = stg_customers.select(
         "customer_id", "customer_sk", "email", "country", "tier"
     ).alias("c")

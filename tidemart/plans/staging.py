@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from tidemart.functions.expressions import (
     FRACTION,
     QUANTITY_DEC,
+    UNIT_PRICE,
     initcap_trim,
     lower_trim,
     safe_cast,
     surrogate_key,
+    trim_all,
     ts_literal,
     upper_trim,
 )
@@ -62,9 +64,9 @@ def stg_products(raw: DataFrame, as_of: str) -> DataFrame:
     return raw.filter(F.col("product_id").isNotNull()).select(
         safe_cast("product_id", "INT64").alias("product_id"),
         surrogate_key(["product_id"]).alias("product_sk"),
-        F.trim("sku").alias("sku"),
-        F.trim("name").alias("product_name"),
-        F.trim("description").alias("description"),
+        trim_all("sku").alias("sku"),
+        trim_all("name").alias("product_name"),
+        trim_all("description").alias("description"),
         lower_trim("category").alias("category"),
         safe_cast("price", "NUMERIC").alias("list_price"),
         F.coalesce(safe_cast("is_active", "BOOL"), F.lit(True)).alias("is_active"),
@@ -76,8 +78,10 @@ def stg_products(raw: DataFrame, as_of: str) -> DataFrame:
 
 def stg_order_items(raw: DataFrame, as_of: str) -> DataFrame:
     qty = safe_cast("quantity", "INT64")
-    price = safe_cast("unit_price", "NUMERIC")
-    discount = F.coalesce(safe_cast("discount", FRACTION), F.lit(0).cast(FRACTION))
+    price = safe_cast("unit_price", UNIT_PRICE)
+    # Only text that is no number counts as no discount; a number out of range stays visible as NULL.
+    none = F.col("discount").try_cast("double").isNull()
+    discount = F.when(none, F.lit(0).cast(FRACTION)).otherwise(safe_cast("discount", FRACTION))
     gross = qty.try_cast(QUANTITY_DEC) * price
     return raw.filter(F.col("order_id").isNotNull() & F.col("line_item_id").isNotNull()).select(
         safe_cast("order_id", "INT64").alias("order_id"),
@@ -121,7 +125,3 @@ STAGING_MODELS = {
     "sessions": stg_sessions,
 }
 
-
-def stage_all(raw: dict[str, DataFrame], as_of: str) -> dict[str, DataFrame]:
-    """``{"stg_orders": df, ...}`` for every raw table given."""
-    return {f"stg_{name}": STAGING_MODELS[name](df, as_of) for name, df in raw.items()}

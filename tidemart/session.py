@@ -7,9 +7,9 @@ zone is still pinned to UTC for anything a user adds on top.
 
 from __future__ import annotations
 
-import tempfile
+from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the plans in this package.  AQE re-plans joins
 # from runtime sizes (broadcast only when the measured side is small),
@@ -55,7 +55,6 @@ def build_session(
 
 
 TARGET_SHUFFLE_PARTITION_BYTES = 256 * 1024**2
-MAX_SHUFFLE_PARTITIONS = 400_000
 
 
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = TARGET_SHUFFLE_PARTITION_BYTES,
@@ -65,30 +64,25 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = TARGET_SHUFFLE_
     line items).  AQE coalesces partitions that come out smaller, and splits
     skewed ones, so this is the upper bound a stage starts from.
 
-    100 TB of line items -> 409,600 partitions is capped at 400,000; 600 k
-    test rows (tens of MB) -> the minimum.
+    100 TB of line items -> 409,600 partitions; 600 k test rows (tens of MB)
+    -> the minimum.
     """
     n = -(-int(input_bytes) // int(target_bytes))
-    return max(min_partitions, min(n, MAX_SHUFFLE_PARTITIONS))
-
-
-def input_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Total size of the files under ``paths`` (listing only, no data read)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(conf)
-        if fs.exists(path):
-            total += fs.getContentSummary(path).getLength()
-    return total
-
-
-def size_shuffles(spark: SparkSession, largest_input_paths: list[str]) -> int:
-    """Set ``spark.sql.shuffle.partitions`` from the size of the largest
-    inputs (a runtime SQL setting); returns the value set."""
-    n = shuffle_partitions_for(input_bytes(spark, largest_input_paths))
+    return max(min_partitions, n)
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """Size of the files under ``df`` by the optimizer's statistics (a listing,
+    no data is read); 0 if the plan does not know its size."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return 0 if size >= int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2**62))) else size
+
+
+def size_shuffles(spark: SparkSession, inputs: Iterable[DataFrame]) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the largest input (a runtime
+    SQL setting), never below what is set; returns the value set."""
+    n = shuffle_partitions_for(max((plan_bytes(df) for df in inputs), default=0),
+                               min_partitions=int(spark.conf.get("spark.sql.shuffle.partitions")))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n
 
@@ -106,7 +100,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidemart-ckpt-"))
+    if not configured and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    sc.setCheckpointDir(configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     return sc.getCheckpointDir()
 
 

@@ -5,6 +5,8 @@ read and written by Spark."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -34,17 +36,22 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file atomically (temporary name, then rename)."""
+    """Write a small text file atomically (temporary name, then a rename that
+    fails if the file exists: of two writers one loses, and knows it)."""
     fs, p = _fs(spark, path)
     jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise OSError(f"could not publish {path}")
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.makeQualified(p).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(fs.makeQualified(tmp), fs.makeQualified(p), options)
+    except Exception as e:
+        fs.delete(tmp, False)
+        raise OSError(f"could not publish {path}: another writer was first") from e
 
 
 def read_text(spark: SparkSession, path: str) -> str:

@@ -19,8 +19,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.session import checkpoint_dir
@@ -32,6 +33,13 @@ from tidemart.sinks.layout import clustered, with_comments, with_partition_colum
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
+def in_partitions(column: str, values: Sequence) -> Column:
+    """Rows of the given partition values; NULL is a partition like any other."""
+    real = [v for v in values if v is not None]
+    found = F.col(column).isin(*real) if real else F.lit(False)
+    return found | F.col(column).isNull() if len(real) < len(values) else found
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, partition_by: str | None = None,
                  grain: str = "day", cluster_by: Sequence[str] = (), comments: dict[str, str] | None = None):
@@ -78,12 +86,16 @@ class VersionedTable:
         if m["version"] is None:
             raise FileNotFoundError(f"no published version under {self.root}")
         paths = sorted(set(m["paths"].values()))
-        from pyspark.sql.types import StructType
+        from pyspark.sql.types import IntegerType, StructType
 
         schema = StructType.fromJson(json.loads(m["schema"]))
         if not paths:
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.option("basePath", self.root).parquet(*paths)
+        plain = StructType([f for f in schema.fields if f.name != self.partition_col])
+        plain = plain.add("version", IntegerType())
+        if self.partition_col:
+            plain = plain.add(self.partition_col, schema[self.partition_col].dataType)
+        df = self.spark.read.schema(plain).option("basePath", self.root).parquet(*paths)
         cols = [c for c in df.columns if c != "version"]
         df = df.select(*cols)
         if self.partition_col and self.partition_col in df.columns:
@@ -108,18 +120,24 @@ class VersionedTable:
         if self.partition_col:
             writer.partitionBy(self.partition_col).parquet(vdir)
             return {
-                name.split("=", 1)[1]: f"{vdir}/{name}"
+                unquote(name.split("=", 1)[1]): f"{vdir}/{name}"
                 for name in fs.list_dirs(self.spark, vdir)
                 if name.startswith(f"{self.partition_col}=")
             }
         writer.parquet(vdir)
         return {"": vdir}
 
-    def overwrite(self, df: DataFrame) -> int:
-        """Full rewrite as a new version (first run or full refresh)."""
+    def overwrite(self, df: DataFrame, unique_key: str | None = None) -> int:
+        """Full rewrite as a new version (first run or full refresh).  With a
+        ``unique_key`` the written rows are checked before they are published."""
+        from tidemart.operators.upsert import assert_unique_keys
+
         df = self._prepare(df)
         version = (self.current_version() or 0) + 1
         paths = self._write_version(df, version)
+        if unique_key:
+            written = self.spark.read.schema(df.schema).parquet(f"{self.root}/version={version}")
+            assert_unique_keys(written, unique_key)
         self._publish(version, paths, df.schema.json())
         return version
 
@@ -132,10 +150,15 @@ class VersionedTable:
         df = self._prepare(df)
         current = self.manifest()
         version = (current["version"] or 0) + 1
-        touched_keys = {NULL_PARTITION if v is None else str(v) for v in touched}
+        text = [r[0] for r in self.spark.createDataFrame([(v,) for v in touched], df.select(self.partition_col).schema)
+                .select(F.col(self.partition_col).cast("string")).collect()] if touched else []
+        touched_keys = {NULL_PARTITION if v is None else v for v in text}
         new_paths = self._write_version(df, version) if touched_keys else {}
         paths = {k: v for k, v in current["paths"].items() if k not in touched_keys}
-        paths.update({k: v for k, v in new_paths.items() if k in touched_keys})
+        stray = set(new_paths) - touched_keys
+        if stray:
+            raise ValueError(f"rows for partitions that are not replaced: {sorted(stray)[:5]}")
+        paths.update(new_paths)
         self._publish(version, paths, df.schema.json())
         return version
 
@@ -197,7 +220,7 @@ def upsert_partitions(
         touched_out.extend(touched)
     if not touched:
         return table.current_version()
-    affected = target.filter(F.col(part).isin(*touched))
+    affected = target.filter(in_partitions(part, touched))
     merged = merge_frames(affected, src.select(*target.columns), key, update_columns)
     # the partition column of a row follows its merged partition source value
     if table.partition_by and table.grain != "day":
