@@ -30,7 +30,7 @@ def scratch_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not (spark.sparkContext.master + "[").startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemart-shared-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
