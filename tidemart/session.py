@@ -100,7 +100,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured and not sc.master.startswith("local"):
+    if not configured and not (sc.master + "[").startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     sc.setCheckpointDir(configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     return sc.getCheckpointDir()
