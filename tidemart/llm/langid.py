@@ -27,6 +27,12 @@ _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = _LETTER[128:] = True
 
 
+def _letters(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Number of letter bytes of each text."""
+    before = np.concatenate([[0], np.cumsum(_LETTER[_LOWER[data]])])
+    return before[offsets[1:]] - before[offsets[:-1]]
+
+
 def _trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row and bucket of each byte trigram within a text; anything but letters
     counts as one separator."""
@@ -68,13 +74,13 @@ def _model(counts: np.ndarray) -> np.ndarray:
 
 
 def _likelihoods(data, offsets, model, temper) -> tuple[np.ndarray, np.ndarray]:
-    """For each text its tempered log likelihood by language, and its number of trigrams."""
+    """For each text its tempered log likelihood by language, and its number of letter bytes."""
     n = len(offsets) - 1
     out, size = np.zeros((n, len(model))), np.zeros(n, np.int64)
     for i, j in row_blocks(offsets):
         own = offsets[i : j + 1]
         row, bucket = _trigrams(data[own[0] : own[-1]], own - own[0])
-        size[i:j] = np.bincount(row, minlength=j - i)
+        size[i:j] = _letters(data[own[0] : own[-1]], own - own[0])
         for k, logs in enumerate(model):
             out[i:j, k] = np.bincount(row, logs[bucket], minlength=j - i)
     return out * temper, size
@@ -94,7 +100,7 @@ def identify(docs: DataFrame, text: str = "text", declared: str | None = "lang",
 
     ``declared`` may hold region tags (en-US); values outside ``languages`` say
     nothing.  ``host`` is a host name whose last label is its address suffix.
-    accepted: the text has a trigram, and the declared language, or without one
+    accepted: the text has a letter, and the declared language, or without one
     the likeliest, has a probability of ``accept`` or more.  A null or empty
     text has no language and is not accepted.  Null hosts have the whole
     table's prior.  Columns of the four result names are replaced; repeated
