@@ -47,7 +47,7 @@ SELECT CAST(c_custkey AS STRING) AS customer_id,
        CASE c_custkey % 4 WHEN 0 THEN 'Bronze' WHEN 1 THEN 'SILVER ' WHEN 2 THEN 'gold' ELSE 'Platinum' END AS tier,
        CAST('1994-01-01 00:00:00' AS TIMESTAMP) + (c_custkey % 365) * INTERVAL '1' DAY AS created_at,
        CAST('1995-01-01 00:00:00' AS TIMESTAMP) + (c_custkey % 30) * INTERVAL '1' DAY AS updated_at,
-       CAST('2001-08-01 20:00:00' AS TIMESTAMP) AS _loaded_at
+       CAST('2001-08-01 20:00:00' AS TIMESTAMP) - (c_custkey % 5) * INTERVAL '1' HOUR AS _loaded_at
 FROM customer""",
     "raw_products": """
 SELECT CAST(p_partkey AS STRING) AS product_id,
@@ -58,7 +58,7 @@ SELECT CAST(p_partkey AS STRING) AS product_id,
        CAST(p_retailprice AS STRING) AS price,
        CASE p_size % 5 WHEN 0 THEN NULL WHEN 1 THEN 'false' WHEN 2 THEN 'abc' ELSE 'true' END AS is_active,
        CAST('1995-01-01 00:00:00' AS TIMESTAMP) + (p_partkey % 30) * INTERVAL '1' DAY AS updated_at,
-       CAST('2001-08-01 12:00:00' AS TIMESTAMP) AS _loaded_at
+       CAST('2001-08-01 12:00:00' AS TIMESTAMP) - (p_partkey % 5) * INTERVAL '1' HOUR AS _loaded_at
 FROM part""",
     "raw_orders": """
 SELECT CAST(o_orderkey AS STRING) AS order_id,
@@ -72,17 +72,17 @@ SELECT CAST(o_orderkey AS STRING) AS order_id,
        CAST(o_totalprice AS STRING) AS total_amount,
        CAST(o_orderdate AS TIMESTAMP) AS placed_at,
        CAST(o_orderdate AS TIMESTAMP) + (o_orderkey % 10) * INTERVAL '1' DAY AS updated_at,
-       CAST('2001-08-01 23:00:00' AS TIMESTAMP) AS _loaded_at
+       CAST('2001-08-01 23:00:00' AS TIMESTAMP) - (o_orderkey % 5) * INTERVAL '1' HOUR AS _loaded_at
 FROM orders""",
     "raw_order_items": """
 SELECT CAST(CASE WHEN l_orderkey % 500 = 3 THEN -l_orderkey ELSE l_orderkey END AS STRING) AS order_id,
-       CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
-            l_shipdate, l_extendedprice, l_quantity) AS STRING) AS line_item_id,
+       CAST(l_linenumber + 10 * (datediff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE))
+            + 10000 * (l_suppkey + 1000000 * l_partkey)) AS STRING) AS line_item_id,
        CAST(l_partkey AS STRING) AS product_id,
        CASE WHEN l_orderkey % 700 = 5 THEN 'abc' ELSE CAST(CAST(l_quantity AS BIGINT) AS STRING) END AS quantity,
        CAST(CAST(floor(l_extendedprice / l_quantity) AS BIGINT) AS STRING) AS unit_price,
        CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(l_discount AS STRING) END AS discount,
-       CAST('2001-08-01 02:00:00' AS TIMESTAMP) AS _loaded_at
+       CAST('2001-08-01 02:00:00' AS TIMESTAMP) - (l_orderkey % 5) * INTERVAL '1' HOUR AS _loaded_at
 FROM lineitem""",
     "raw_sessions": """
 SELECT CAST(event_id AS STRING) AS session_id,
@@ -93,7 +93,7 @@ SELECT CAST(event_id AS STRING) AS session_id,
        CAST(ts AS TIMESTAMP) AS started_at,
        CASE WHEN event_id % 7 = 0 THEN NULL
             ELSE CAST(ts AS TIMESTAMP) + CAST(floor(value) AS BIGINT) * INTERVAL '1' SECOND END AS ended_at,
-       CAST('2001-07-30 00:00:00' AS TIMESTAMP) AS _loaded_at
+       CAST('2001-07-30 00:00:00' AS TIMESTAMP) - (event_id % 5) * INTERVAL '1' HOUR AS _loaded_at
 FROM events WHERE event_type <> 'purchase'""",
     "funnel_orders": """
 SELECT user_id AS customer_id, CAST(ts AS DATE) AS order_date,
@@ -102,6 +102,34 @@ FROM events WHERE event_type = 'purchase'""",
 }
 
 
+# Faults for the data tests, planted by key (same values as tidemart/sources/faults.py).
+FAULTS = {
+    "raw_orders": """
+SELECT * EXCLUDE (k, copy) REPLACE (CASE WHEN k % 211 = 0 THEN NULL ELSE order_id END AS order_id,
+                  CASE WHEN k % 97 = 0 THEN 'Lost' ELSE order_status END AS order_status,
+                  CASE WHEN k % 89 = 0 THEN '-5.00' ELSE total_amount END AS total_amount,
+                  CASE WHEN k % 223 = 0 THEN NULL ELSE placed_at END AS placed_at)
+FROM (SELECT *, CAST(order_id AS BIGINT) AS k, unnest(range(CASE WHEN k % 101 = 0 THEN 2 ELSE 1 END)) AS copy FROM clean_orders)""",
+    "raw_order_items": """
+SELECT * EXCLUDE (k, copy) REPLACE (CASE WHEN k % 227 = 0 THEN NULL ELSE line_item_id END AS line_item_id,
+                  CASE WHEN k % 83 = 0 THEN '-3' ELSE quantity END AS quantity,
+                  CASE WHEN k % 79 = 0 THEN '1.5' WHEN k % 73 = 0 THEN '150' ELSE discount END AS discount)
+FROM (SELECT *, CAST(order_id AS BIGINT) AS k, unnest(range(CASE WHEN k % 103 = 0 THEN 2 ELSE 1 END)) AS copy FROM clean_order_items)""",
+    "raw_customers": """
+SELECT * EXCLUDE (k) REPLACE (CASE WHEN k % 113 = 0 THEN NULL WHEN k % 53 = 0 THEN 'shared@example.com' ELSE email END AS email,
+                  CASE WHEN k % 47 = 0 THEN NULL ELSE country END AS country,
+                  CASE WHEN k % 43 = 0 THEN 'tin' ELSE tier END AS tier)
+FROM (SELECT *, CAST(customer_id AS BIGINT) AS k FROM clean_customers)""",
+    "raw_products": """
+SELECT * EXCLUDE (k, copy) REPLACE (CASE WHEN k % 59 = 0 THEN 'SKU-0' ELSE sku END AS sku,
+                  CASE WHEN k % 61 = 0 THEN '-1.25' ELSE price END AS price)
+FROM (SELECT *, CAST(product_id AS BIGINT) AS k, unnest(range(CASE WHEN k % 67 = 0 THEN 2 ELSE 1 END)) AS copy FROM clean_products)""",
+    "raw_sessions": """
+SELECT * EXCLUDE (k, copy) REPLACE (CASE WHEN k % 127 = 0 THEN NULL ELSE started_at END AS started_at)
+FROM (SELECT *, CAST(session_id AS BIGINT) AS k, unnest(range(CASE WHEN k % 109 = 0 THEN 2 ELSE 1 END)) AS copy FROM clean_sessions)""",
+}
+
+
 def _initcap(x: str) -> str:
     # one-word values: first letter upper, rest lower
     return f"(upper(substr(trim({x}), 1, 1)) || lower(substr(trim({x}), 2)))"
@@ -160,9 +188,9 @@ SELECT TRY_CAST(order_id AS BIGINT) AS order_id,
        TRY_CAST(quantity AS BIGINT) AS quantity,
        TRY_CAST(unit_price AS DECIMAL(15,6)) AS unit_price,
        COALESCE(TRY_CAST(discount AS DECIMAL(8,5)), 0) AS discount_pct,
-       CAST(TRY_CAST(quantity AS BIGINT) AS DECIMAL(12,0)) * TRY_CAST(unit_price AS DECIMAL(15,6))
+       CAST(TRY_CAST(quantity AS BIGINT) AS DECIMAL(19,0)) * TRY_CAST(unit_price AS DECIMAL(15,6))
            AS line_gross_amount,
-       CAST(TRY_CAST(quantity AS BIGINT) AS DECIMAL(12,0)) * TRY_CAST(unit_price AS DECIMAL(15,6))
+       CAST(TRY_CAST(quantity AS BIGINT) AS DECIMAL(19,0)) * TRY_CAST(unit_price AS DECIMAL(15,6))
            * (1 - COALESCE(TRY_CAST(discount AS DECIMAL(8,5)), 0)) AS line_net_amount,
        TRY_CAST(_loaded_at AS TIMESTAMP) AS _loaded_at,
        {AS_OF} AS _built_at
@@ -311,8 +339,13 @@ FROM both_days""",
 CTES: dict[str, str] = {**RAW, **STAGING, **INTERMEDIATE, **MARTS}
 
 
-def with_ctes(final_select: str, extra: dict[str, str] | None = None) -> str:
-    ctes = dict(CTES)
+def with_ctes(final_select: str, extra: dict[str, str] | None = None, faulty: bool = False) -> str:
+    ctes = {}
+    for name, text in CTES.items():
+        if faulty and name in FAULTS:
+            ctes[name.replace("raw_", "clean_")] = text
+            text = FAULTS[name]
+        ctes[name] = text
     ctes.update(extra or {})
     body = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in ctes.items())
     return f"WITH {body}\n{final_select}"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.duckdb_sql import select_model, with_ctes
+from oracle.duckdb_sql import AS_OF, select_model, with_ctes
 
 MONEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "stg_orders": ("total_amount",),
@@ -50,130 +50,190 @@ ORACLE_SQL["recency_segment"] = with_ctes(
 
 
 # --- data tests ------------------------------------------------------------------
-# The list of test applications is the reference's declarations (data); each
-# test type is rendered from its own SQL template below.
-from tidemart.operators.quality import DECLARED_TESTS, MODEL_KEYS  # noqa: E402
-from tidemart.plans.catalog import recent_timestamp_specs, within_range_specs  # noqa: E402
-
-from oracle.duckdb_sql import AS_OF  # noqa: E402
-
-
-def _key_sql(model: str) -> str:
-    keys = MODEL_KEYS[model]
-    if len(keys) == 1:
-        return f"CAST({keys[0]} AS VARCHAR)"
-    return "concat_ws('|', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in keys) + ")"
-
-
-def _where(spec) -> str:
-    c = spec.column
-    if spec.test == "not_null":
-        return f"{c} IS NULL"
-    if spec.test == "non_negative":
-        return f"{c} < 0"
-    if spec.test == "values_in_set":
-        vals = ", ".join(f"'{v}'" for v in spec.args["values"])
-        return f"{c} IS NOT NULL AND {c} NOT IN ({vals})"
-    if spec.test == "recent_timestamp":
-        return f"{c} < {AS_OF} - INTERVAL {int(spec.args.get('max_age_days', 1))} DAY"
-    if spec.test == "within_range":
-        return f"{c} NOT BETWEEN {spec.args['min_value']} AND {spec.args['max_value']}"
-    raise ValueError(spec.test)
-
-
-def _label(spec) -> str:
-    return f"'{spec.model}' AS model, '{spec.test}' AS test_name, '{spec.column}' AS column_name"
-
-
-def row_test_sql(spec) -> str:
-    return f"SELECT {_label(spec)}, {_key_sql(spec.model)} AS row_id FROM {spec.model} WHERE {_where(spec)}"
-
-
-def duplicate_sql(spec) -> str:
-    cols = spec.column.split(",")
-    if spec.test == "unique":
-        c = cols[0]
-        return (
-            f"SELECT {_label(spec)}, CAST({c} AS VARCHAR) AS key_value, COUNT(*) AS n_rows "
-            f"FROM {spec.model} WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1"
-        )
-    kv = "concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in cols) + ")"
-    return (
-        f"SELECT {_label(spec)}, {kv} AS key_value, COUNT(*) AS n_rows "
-        f"FROM {spec.model} GROUP BY {', '.join(cols)} HAVING COUNT(*) > 1"
-    )
+# Which test applies to which column, written down here once more so
+# that a test that is forgotten in the library turns red.
+STATUSES = "placed paid shipped delivered cancelled"
+TIERS = "bronze silver gold platinum"
+NOT_NULL = """
+raw_orders: order_id customer_id placed_at _loaded_at
+raw_customers: customer_id email
+raw_order_items: order_id line_item_id
+raw_products: product_id sku
+raw_sessions: session_id started_at
+stg_orders: order_id order_sk customer_id placed_at order_date _loaded_at
+stg_customers: customer_id customer_sk email country
+stg_order_items: order_item_sk order_id line_item_id
+stg_products: product_id sku
+stg_sessions: session_sk session_id started_at
+dim_customer: customer_sk customer_id email country
+dim_product: product_sk product_id sku
+fct_orders: order_sk order_id customer_sk order_date
+fct_order_items: order_item_sk order_id product_id
+revenue_ledger: revenue_date
+customer_ltv: customer_sk
+session_funnel: funnel_date traffic_source
+"""
+UNIQUE = """
+raw_orders: order_id
+raw_customers: customer_id
+raw_products: product_id sku
+raw_sessions: session_id
+stg_orders: order_id order_sk
+stg_customers: customer_id customer_sk email
+stg_order_items: order_item_sk
+stg_products: product_id sku
+stg_sessions: session_sk session_id
+dim_customer: customer_sk customer_id
+dim_product: product_sk product_id sku
+fct_orders: order_sk order_id
+fct_order_items: order_item_sk
+customer_ltv: customer_sk
+"""
+UNIQUE_COMBINATION = """
+raw_order_items: order_id,line_item_id
+stg_order_items: order_id,line_item_id
+"""
+NON_NEGATIVE = """
+raw_orders: total_amount
+raw_order_items: quantity
+raw_products: price
+stg_orders: total_amount
+stg_order_items: quantity line_net_amount
+stg_products: list_price
+dim_customer: lifetime_order_count lifetime_gross_revenue
+dim_product: list_price
+fct_orders: order_total_amount
+fct_order_items: line_net_amount
+revenue_ledger: order_count gross_revenue net_revenue
+session_funnel: session_count
+"""
+IN_SET = [
+    ("raw_orders", "order_status", STATUSES),
+    ("stg_orders", "order_status", STATUSES),
+    ("stg_customers", "tier", TIERS),
+    ("dim_customer", "tier", TIERS),
+    ("dim_customer", "recency_segment", "never_ordered active recent dormant churned"),
+    ("customer_ltv", "ltv_segment", "whale high_value mid_value low_value non_buyer"),
+]
+PARENTS = [
+    ("stg_orders", "customer_id", "stg_customers", "customer_id"),
+    ("stg_order_items", "order_id", "stg_orders", "order_id"),
+    ("fct_orders", "customer_sk", "dim_customer", "customer_sk"),
+    ("fct_order_items", "order_id", "fct_orders", "order_id"),
+    ("fct_order_items", "product_id", "dim_product", "product_id"),
+]
+# What names a row of a model in a report.
+ROW_NAMES = {
+    "raw_orders": "order_id", "raw_customers": "customer_id", "raw_order_items": "order_id line_item_id",
+    "raw_products": "product_id", "raw_sessions": "session_id",
+    "stg_orders": "order_sk", "stg_customers": "customer_sk", "stg_order_items": "order_item_sk",
+    "stg_products": "product_sk", "stg_sessions": "session_sk", "dim_customer": "customer_sk",
+    "dim_product": "product_sk", "fct_orders": "order_sk", "fct_order_items": "order_item_sk",
+    "revenue_ledger": "revenue_date currency customer_country customer_tier", "customer_ltv": "customer_sk",
+    "session_funnel": "funnel_date traffic_source device_type",
+}
 
 
-def relationship_sql(spec) -> str:
-    col, parent, fld = spec.column, spec.args["to"], spec.args["field"]
-    return (
-        f"SELECT {_label(spec)}, {_key_sql(spec.model)} AS row_id, CAST(c.{col} AS VARCHAR) AS key_value "
-        f"FROM {spec.model} c WHERE c.{col} IS NOT NULL "
-        f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{fld} = c.{col})"
-    )
+def _applied(table: str) -> list[tuple[str, str]]:
+    lines = [line.split(":") for line in table.strip().splitlines()]
+    return [(model, column) for model, columns in lines for column in columns.split()]
 
 
-def _union(parts) -> str:
-    return "\nUNION ALL\n".join(parts)
+def _text(columns: list[str]) -> str:
+    texts = [f"CAST({c} AS VARCHAR)" for c in columns]
+    return texts[0] if len(texts) == 1 else f"concat_ws('|', {', '.join(texts)})"
 
 
-def _of(test):
-    return [s for s in DECLARED_TESTS if s.test == test]
+def _report(model: str, test: str, column: str, shown: str, rest: str) -> str:
+    return f"SELECT '{model}' AS model, '{test}' AS test_name, '{column}' AS column_name, {shown} FROM {model} {rest}"
 
 
-ORACLE_SQL["test_not_null"] = with_ctes(_union(row_test_sql(s) for s in _of("not_null")))
-ORACLE_SQL["test_non_negative"] = with_ctes(_union(row_test_sql(s) for s in _of("non_negative")))
-ORACLE_SQL["test_values_in_set"] = with_ctes(_union(row_test_sql(s) for s in _of("values_in_set")))
-ORACLE_SQL["test_recent_timestamp"] = with_ctes(_union(row_test_sql(s) for s in recent_timestamp_specs()))
-ORACLE_SQL["test_within_range"] = with_ctes(_union(row_test_sql(s) for s in within_range_specs()))
-ORACLE_SQL["test_unique"] = with_ctes(_union(duplicate_sql(s) for s in _of("unique")))
-ORACLE_SQL["test_unique_combination"] = with_ctes(
-    _union(duplicate_sql(s) for s in _of("unique_combination"))
-)
-ORACLE_SQL["test_relationships"] = with_ctes(_union(relationship_sql(s) for s in _of("relationships")))
-ORACLE_SQL["test_no_orphaned_order_items"] = with_ctes(
-    """, good AS (SELECT order_id FROM stg_orders WHERE order_status IS DISTINCT FROM 'cancelled'),
-     called_off AS (SELECT order_id FROM stg_orders WHERE order_status = 'cancelled'),
-     flagged AS (
-         SELECT order_id, line_item_id, order_item_sk FROM stg_order_items
-         WHERE order_id IS NULL OR order_id NOT IN (SELECT order_id FROM good WHERE order_id IS NOT NULL)
-            OR order_id IN (SELECT order_id FROM called_off WHERE order_id IS NOT NULL))
-SELECT * FROM flagged ORDER BY ALL ASC NULLS FIRST LIMIT 100"""
-)
-ORACLE_SQL["test_revenue_reconciliation"] = with_ctes(
-    """, totals AS (
-    SELECT sum(money) FILTER (side = 'ledger') AS ledger, sum(money) FILTER (side = 'fact') AS fact
-    FROM (SELECT 'ledger' AS side, gross_revenue AS money FROM revenue_ledger
-          UNION ALL SELECT 'fact', order_total_amount FROM fct_orders
-          WHERE order_status IN (SELECT DISTINCT order_status FROM revenue_orders)))
-SELECT CAST(round(ledger, 4) AS DOUBLE) AS ledger_total, CAST(round(fact, 4) AS DOUBLE) AS fact_total,
+def _rows(test: str, applied: list[tuple[str, str]], fails) -> list[tuple[str, str, str, str]]:
+    return [(m, test, c, _report(m, test, c, f"{_text(ROW_NAMES[m].split())} AS row_id", "WHERE " + fails(m, c)))
+            for m, c in applied]
+
+
+def _repeated(test: str, applied: list[tuple[str, str]]) -> list[tuple[str, str, str, str]]:
+    out = []
+    for m, c in applied:
+        known = f"WHERE {c} IS NOT NULL" if test == "unique" else ""
+        out.append((m, test, c, _report(m, test, c, f"{_text(c.split(','))} AS key_value, COUNT(*) AS n_rows",
+                                        f"{known} GROUP BY {c} HAVING COUNT(*) > 1")))
+    return out
+
+
+def _below_zero(model: str, column: str) -> str:
+    return f"TRY_CAST({column} AS DOUBLE) < 0" if model.startswith("raw_") else f"{column} < 0"
+
+
+def _quoted(words: str) -> str:
+    return ", ".join(f"'{w}'" for w in words.split())
+
+
+_SETS = {(m, c): words for m, c, words in IN_SET}
+TESTS = {
+    "not_null": _rows("not_null", _applied(NOT_NULL), lambda m, c: f"{c} IS NULL"),
+    "non_negative": _rows("non_negative", _applied(NON_NEGATIVE), _below_zero),
+    "values_in_set": _rows("values_in_set", list(_SETS), lambda m, c: f"{c} NOT IN ({_quoted(_SETS[m, c])})"),
+    "recent_timestamp": _rows(
+        "recent_timestamp",
+        [(f"stg_{s}", "_loaded_at") for s in ("orders", "customers", "products", "order_items", "sessions")],
+        lambda m, c: f"{c} < {AS_OF} - INTERVAL 1 DAY"),
+    "within_range": _rows("within_range", [("stg_order_items", "discount_pct")], lambda m, c: f"{c} < 0 OR {c} > 1"),
+    "unique": _repeated("unique", _applied(UNIQUE)),
+    "unique_combination": _repeated("unique_combination", _applied(UNIQUE_COMBINATION)),
+    "relationships": [
+        (m, "relationships", c, _report(
+            m, "relationships", c, f"{_text(ROW_NAMES[m].split())} AS row_id, CAST({c} AS VARCHAR) AS key_value",
+            f"WHERE {c} NOT IN (SELECT {pc} FROM {parent} WHERE {pc} IS NOT NULL)"))
+        for m, c, parent, pc in PARENTS],
+}
+_ORPHANS = """SELECT * FROM (
+    SELECT order_id, line_item_id, order_item_sk FROM stg_order_items
+    WHERE order_id IS NULL
+       OR order_id NOT IN (SELECT order_id FROM stg_orders WHERE order_id IS NOT NULL AND order_status IS DISTINCT FROM 'cancelled')
+       OR order_id IN (SELECT order_id FROM stg_orders WHERE order_status = 'cancelled'))
+ORDER BY ALL ASC NULLS FIRST LIMIT 100"""
+_DISCOUNTS = "SELECT order_item_sk FROM fct_order_items WHERE discount_pct >= 1.0"
+
+
+def _drift(ledger: str) -> str:
+    return f"""SELECT CAST(round(ledger, 4) AS DOUBLE) AS ledger_total, CAST(round(fact, 4) AS DOUBLE) AS fact_total,
        CAST(round(ledger - fact, 4) AS DOUBLE) AS delta
-FROM totals WHERE abs(ledger - fact) > 0.01"""
-)
-ORACLE_SQL["test_discount_below_one"] = with_ctes(
-    "SELECT order_item_sk FROM fct_order_items WHERE discount_pct >= 1.0"
-)
+FROM (SELECT sum(money) FILTER (side = 'ledger') AS ledger, sum(money) FILTER (side = 'fact') AS fact
+      FROM ({ledger}
+            UNION ALL SELECT 'fact', order_total_amount FROM fct_orders
+            WHERE order_status IN (SELECT DISTINCT order_status FROM revenue_orders)))
+WHERE abs(ledger - fact) > 0.01"""
 
 
-def _summary_sql() -> str:
-    specs = list(DECLARED_TESTS) + recent_timestamp_specs() + within_range_specs()
-    parts = []
-    for s in specs:
-        if s.test in ("unique", "unique_combination"):
-            inner = duplicate_sql(s)
-        elif s.test == "relationships":
-            inner = relationship_sql(s)
-        else:
-            inner = row_test_sql(s)
-        parts.append(f"SELECT {_label(s)}, COUNT(*) AS failing_rows FROM ({inner}) t")
-    return (
-        "SELECT *, CASE WHEN failing_rows = 0 THEN 'pass' ELSE 'fail' END AS status FROM (\n"
-        + _union(parts)
-        + "\n) s"
-    )
+def _union(parts) -> str:
+    return "\nUNION ALL\n".join(parts)
 
 
-ORACLE_SQL["dq_summary"] = with_ctes(_summary_sql())
+for _name in ("not_null", "non_negative", "values_in_set", "recent_timestamp", "within_range", "unique",
+              "unique_combination"):
+    ORACLE_SQL[f"test_{_name}"] = with_ctes(_union(sql for *_, sql in TESTS[_name]), faulty=True)
+ORACLE_SQL["test_relationships"] = with_ctes(_union(sql for *_, sql in TESTS["relationships"]))
+ORACLE_SQL["test_no_orphaned_order_items"] = with_ctes(_ORPHANS)
+# The ledger's last build knew the orders placed before 2001.
+ORACLE_SQL["test_revenue_reconciliation"] = with_ctes(_drift(
+    "SELECT 'ledger' AS side, total_amount AS money FROM revenue_orders WHERE order_date < DATE '2001-01-01'"))
+ORACLE_SQL["test_discount_below_one"] = with_ctes(_DISCOUNTS, faulty=True)
+
+_SINGULAR = [
+    ("stg_order_items", "no_orphaned_order_items", "order_id", _ORPHANS),
+    ("revenue_ledger", "revenue_reconciliation", "gross_revenue",
+     _drift("SELECT 'ledger' AS side, gross_revenue AS money FROM revenue_ledger")),
+    ("fct_order_items", "discount_below_one", "discount_pct", _DISCOUNTS),
+]
+ORACLE_SQL["dq_summary"] = with_ctes(
+    "SELECT *, if(failing_rows = 0, 'pass', 'fail') AS status FROM (\n"
+    + _union(f"SELECT '{m}' AS model, '{test}' AS test_name, '{c}' AS column_name, COUNT(*) AS failing_rows FROM ({sql}) t"
+             for m, test, c, sql in [entry for entries in TESTS.values() for entry in entries] + _SINGULAR)
+    + "\n) s",
+    faulty=True,
+)
 
 
 # --- freshness and run metadata ---------------------------------------------------
@@ -241,8 +301,17 @@ LEFT JOIN (SELECT order_date, {_ORDERS} AS orders, SUM(order_total_amount) AS gr
 
 
 # --- incremental upsert (UNION ALL form of MERGE) ------------------------------------
-from tidemart.plans.marts import FCT_ORDER_ITEMS_COLUMNS, FCT_ORDERS_COLUMNS  # noqa: E402
-from tidemart.operators.upsert import FCT_ORDERS_UPDATE_COLUMNS  # noqa: E402
+# The columns of both facts, and those that a matched order updates.
+FCT_ORDERS_COLUMNS = (
+    "order_sk order_id order_status currency order_total_amount items_net_amount items_gross_amount line_item_count "
+    "total_quantity distinct_product_count has_total_mismatch placed_at updated_at order_date customer_sk customer_id "
+    "customer_email customer_country customer_tier _built_at").split()
+FCT_ORDER_ITEMS_COLUMNS = (
+    "order_item_sk order_id line_item_id product_id customer_id order_date quantity unit_price discount_pct "
+    "line_gross_amount line_net_amount _built_at").split()
+FCT_ORDERS_UPDATE_COLUMNS = (
+    "order_status order_total_amount items_net_amount items_gross_amount line_item_count total_quantity "
+    "has_total_mismatch updated_at _built_at").split()
 
 _B1 = "TIMESTAMP '2001-01-01 00:00:00'"
 _B2 = "TIMESTAMP '2001-08-02 00:00:00'"
@@ -273,11 +342,15 @@ _UPSERT_CTES = {
 WHERE updated_at > (SELECT MAX(_built_at) FROM orders_batch1) - INTERVAL 3 DAY""",
     "items_batch1": f"SELECT * REPLACE ({_B1} AS _built_at) FROM fct_order_items WHERE order_date < DATE '2001-01-01'",
     "items_batch2": f"""SELECT * REPLACE (
-    CASE WHEN order_id % 20 = 0 AND line_item_id = 1 THEN quantity + 1 ELSE quantity END AS quantity,
+    CASE WHEN order_id % 20 = 0 AND line_item_id % 10 = 1 THEN quantity + 1 ELSE quantity END AS quantity,
     CASE WHEN order_id % 50 = 0 THEN order_date + 1 ELSE order_date END AS order_date,
     {_B2} AS _built_at) FROM fct_order_items""",
     "items_source": """SELECT * FROM items_batch2
 WHERE order_date >= (SELECT MAX(order_date) FROM items_batch1) - 3""",
+    "items_batch1_undated": """SELECT * REPLACE (CASE WHEN order_id % 70 = 0 THEN NULL ELSE order_date END AS order_date)
+FROM items_batch1""",
+    "items_source_undated": """SELECT * FROM items_batch2
+WHERE order_date >= (SELECT MAX(order_date) FROM items_batch1_undated) - 3""",
 }
 _UPSERT_CTES["orders_merged"] = merge_sql(
     "orders_batch1", "orders_source", "order_sk", FCT_ORDERS_COLUMNS, FCT_ORDERS_UPDATE_COLUMNS
@@ -290,6 +363,12 @@ ORACLE_SQL["fct_orders_incremental"] = with_ctes(
 ORACLE_SQL["fct_order_items_incremental"] = with_ctes(
     select_model("items_merged", MONEY_COLUMNS["fct_order_items"]), _UPSERT_CTES
 )
+_UPSERT_CTES["items_merged_undated"] = merge_sql(
+    "items_batch1_undated", "items_source_undated", "order_item_sk", FCT_ORDER_ITEMS_COLUMNS)
+ORACLE_SQL["fct_orders_published"] = ORACLE_SQL["fct_orders_incremental"]
+ORACLE_SQL["fct_order_items_published"] = with_ctes(
+    select_model("items_merged_undated", MONEY_COLUMNS["fct_order_items"]), _UPSERT_CTES
+)
 
 
 # --- SCD2 (UNION ALL form) ------------------------------------------------------------
@@ -373,7 +452,8 @@ ORACLE_SQL["snap_period_overlaps"] = with_ctes(
   SELECT customer_id, scd_id, valid_from, valid_to,
          LAG(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from, scd_id) AS prev_valid_from,
          LAG(valid_to) OVER (PARTITION BY customer_id ORDER BY valid_from, scd_id) AS prev_valid_to
-  FROM cust_h3) x
+  FROM (SELECT * REPLACE (CASE WHEN customer_id % 3 = 0 THEN valid_to + INTERVAL 40 DAY ELSE valid_to END AS valid_to)
+        FROM cust_h3)) x
 WHERE prev_valid_from IS NOT NULL AND (prev_valid_to IS NULL OR prev_valid_to > valid_from)""",
     _SCD_CTES,
 )

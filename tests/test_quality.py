@@ -60,3 +60,17 @@ def test_dq_summary_on_models(graph_small, spark):
     n, status = got[("fct_orders", "not_null", "customer_sk")]
     assert n > 0 and status == "fail"
     assert got[("stg_order_items", "relationships", "order_id")][1] == "fail"
+
+
+def test_every_kind_of_test_finds_its_planted_faults(spark):
+    from tidemart.plans.catalog import _Models
+    from tidemart.plans.graph import ModelGraph
+
+    from conftest import SF_SMALL
+
+    g = ModelGraph.from_faulty_testdata(spark, SF_SMALL)
+    failed = {(r.model, r.test_name) for r in Q.dq_summary(_Models(g), Q.DECLARED_TESTS, g.as_of).collect()
+              if r.status == "fail"}
+    assert {("raw_orders", "not_null"), ("raw_orders", "values_in_set"), ("raw_order_items", "non_negative"),
+            ("raw_order_items", "unique_combination"), ("stg_customers", "values_in_set"), ("stg_products", "unique"),
+            ("fct_order_items", "discount_below_one"), ("stg_order_items", "no_orphaned_order_items")} <= failed

@@ -88,3 +88,22 @@ def test_text_is_trimmed_of_all_white_space(spark):
     )
     r = S.stg_orders(raw, AS_OF).first()
     assert (r.order_status, r.currency) == ("paid", "USD")
+
+
+def test_offsets_and_zoned_columns_become_utc(spark):
+    from tidemart.functions.expressions import safe_cast
+
+    texts = spark.createDataFrame(
+        [(1, "2024-01-01T01:00:00+05:00"), (2, "2024-01-01 01:00:00"), (3, "2024-01-01"), (4, "2024-01-01T01:00:00.5Z"),
+         (5, "soon"), (6, None)], "id bigint, t string")
+    want = ["2023-12-31 20:00:00", "2024-01-01 01:00:00", "2024-01-01 00:00:00", "2024-01-01 01:00:00.5", None, None]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = texts.orderBy("id").select(safe_cast("t", "TIMESTAMP").cast("string").alias("t")).collect()
+            assert [r.t for r in got] == want
+            zoned = spark.sql("SELECT timestamp '2024-07-01 12:00:00+00:00' AS t")
+            assert zoned.select(safe_cast("t", "TIMESTAMP").cast("string").alias("t")).first().t == "2024-07-01 12:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

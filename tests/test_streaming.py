@@ -47,3 +47,24 @@ def test_stream_checkpoint_location_is_stable(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) == configured           # same across application restarts
     assert configured.rstrip("/") in checkpoint_dir(spark)  # RDD checkpoints below it (path is qualified)
+
+
+def test_latest_per_key_without_time(spark):
+    df = spark.createDataFrame(
+        [(1, "a", None), (1, "b", dt.datetime(2024, 1, 3)), (2, "c", None)], "k bigint, v string, ts timestamp_ntz")
+    assert rows(latest_per_key(df, "k", "ts")) == [(1, "b", dt.datetime(2024, 1, 3)), (2, "c", None)]
+
+
+def test_late_older_version_changes_nothing(spark, tmp_path):
+    from tidemart.streaming.foreach_batch import order_fact_batch
+
+    raw = testdata.raw_tables(spark, SF_SMALL)
+    table = VersionedTable(spark, str(tmp_path / "fct_orders"), "order_date", "month")
+    first = raw["orders"].filter(F.col("order_id").cast("bigint") % 50 == 0)
+    as_of = "2001-08-02 00:00:00"
+    order_fact_batch(first, raw["order_items"], raw["customers"], table, as_of)
+    before = rows(table.read(), "order_sk", "order_status", "updated_at")
+    older = first.withColumn("order_status", F.lit("placed")).withColumn(
+        "updated_at", F.timestamp_add("DAY", F.lit(-1), F.col("updated_at")))
+    order_fact_batch(older, raw["order_items"], raw["customers"], table, as_of)
+    assert rows(table.read(), "order_sk", "order_status", "updated_at") == before

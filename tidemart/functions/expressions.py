@@ -75,9 +75,25 @@ def safe_cast(c: Column | str, type_name: str | DataType) -> Column:
     if target == BooleanType():  # only the two words, in any case
         word = F.lower(_col(c).cast("string"))
         return F.when(word == "true", True).when(word == "false", False)
+    if target == TimestampNTZType():
+        return _utc_wall_clock(_col(c))
     return _col(c).try_cast(target)
 
 
+# Text that ends in a time with a zone or an offset.
+_ZONED = r"\d:\d{2}(:\d{2}(\.\d+)?)?\s*([Zz]|UTC|GMT|[+-]\d{1,2}(:?\d{2})?|[A-Za-z]+/[A-Za-z_/]+)$"
+
+
+def _utc_wall_clock(c: Column) -> Column:
+    """Text, date or timestamp as UTC wall clock: an offset in the text and a
+    zoned TIMESTAMP are converted, anything else is UTC already.  The session
+    zone plays no part, and the type test folds away at planning, so filters
+    on a TIMESTAMP_NTZ column still reach the scan."""
+    zoned = (F.typeof(c) == "timestamp") | ((F.typeof(c) == "string") & F.trim(c.cast("string")).rlike(_ZONED))
+    since_epoch = F.expr("INTERVAL '0.000001' SECOND") * F.unix_micros(c.try_cast("timestamp"))
+    return F.when(zoned, ts_literal("1970-01-01 00:00:00") + since_epoch).otherwise(c.try_cast(TimestampNTZType()))
+
+
 def surrogate_key(fields: Iterable[Column | str]) -> Column:
     """Lower-case hex SHA-256 of the fields as text, NULL as the null marker,
     joined by the separator."""

@@ -149,6 +149,11 @@ class CheckSpec:
 
 # Primary key (or grain) of each model, used to name failing rows.
 MODEL_KEYS: dict[str, tuple[str, ...]] = {
+    "raw_orders": ("order_id",),
+    "raw_customers": ("customer_id",),
+    "raw_order_items": ("order_id", "line_item_id"),
+    "raw_products": ("product_id",),
+    "raw_sessions": ("session_id",),
     "stg_orders": ("order_sk",),
     "stg_customers": ("customer_sk",),
     "stg_order_items": ("order_item_sk",),
@@ -174,7 +179,25 @@ def _specs() -> list[CheckSpec]:
             else:
                 s.append(CheckSpec(model, t, column))
 
-    # staging (source-level tests re-pointed at the staged columns)
+    # raw sources, before any row is filtered or normalised
+    add("raw_orders", "order_id", "unique", "not_null")
+    add("raw_orders", "customer_id", "not_null")
+    add("raw_orders", "order_status", ("values_in_set", {"values": ORDER_STATUSES}))
+    add("raw_orders", "total_amount", "non_negative")
+    add("raw_orders", "placed_at", "not_null")
+    add("raw_orders", "_loaded_at", "not_null")
+    add("raw_customers", "customer_id", "unique", "not_null")
+    add("raw_customers", "email", "not_null")
+    add("raw_order_items", "order_id", "not_null")
+    add("raw_order_items", "line_item_id", "not_null")
+    add("raw_order_items", "quantity", "non_negative")
+    add("raw_order_items", "order_id,line_item_id", "unique_combination")
+    add("raw_products", "product_id", "unique", "not_null")
+    add("raw_products", "sku", "unique", "not_null")
+    add("raw_products", "price", "non_negative")
+    add("raw_sessions", "session_id", "unique", "not_null")
+    add("raw_sessions", "started_at", "not_null")
+    # staging
     add("stg_orders", "order_id", "unique", "not_null")
     add("stg_orders", "order_sk", "unique", "not_null")
     add("stg_orders", "customer_id", "not_null",
@@ -236,11 +259,22 @@ def _specs() -> list[CheckSpec]:
     add("session_funnel", "funnel_date", "not_null")
     add("session_funnel", "traffic_source", "not_null")
     add("session_funnel", "session_count", "non_negative")
+    # singular tests
+    add("stg_order_items", "order_id", "no_orphaned_order_items")
+    add("revenue_ledger", "gross_revenue", "revenue_reconciliation")
+    add("fct_order_items", "discount_pct", "discount_below_one")
     return s
 
 
 DECLARED_TESTS: list[CheckSpec] = _specs()
 
+# Singular test -> failing rows from the models.
+SINGULAR_TESTS = {
+    "no_orphaned_order_items": lambda m: no_orphaned_order_items(m["stg_order_items"], m["stg_orders"]),
+    "revenue_reconciliation": lambda m: revenue_reconciliation(m["revenue_ledger"], m["fct_orders"]),
+    "discount_below_one": lambda m: discount_below_one(m["fct_order_items"]),
+}
+
 ROW_TESTS = ("not_null", "non_negative", "values_in_set", "recent_timestamp", "within_range")
 
 
@@ -250,6 +284,8 @@ def row_condition(spec: CheckSpec, as_of: str | None = None) -> Column:
     if spec.test == "not_null":
         return c.isNull()
     if spec.test == "non_negative":
+        if spec.model.startswith("raw_"):  # raw amounts are text
+            c = c.try_cast("double")
         return F.coalesce(c < 0, F.lit(False))
     if spec.test == "values_in_set":
         return c.isNotNull() & ~c.isin(*spec.args["values"])
@@ -410,9 +446,13 @@ def dq_summary(models: dict[str, DataFrame], specs: Sequence[CheckSpec] = DECLAR
             )
         )
     for sp in specs:
-        if sp.test != "relationships":
+        if sp.test == "relationships":
+            failing = orphan_keys(models, [sp])
+        elif sp.test in SINGULAR_TESTS:
+            failing = SINGULAR_TESTS[sp.test](models)
+        else:
             continue
-        n = orphan_keys(models, [sp]).agg(F.count(F.lit(1)).alias("failing_rows"))
+        n = failing.agg(F.count(F.lit(1)).alias("failing_rows"))
         parts.append(
             n.select(
                 F.lit(sp.model).alias("model"),

@@ -96,6 +96,7 @@ class BuildConfig:
     run_tests: bool = True
     run_snapshots: bool = False
     keep_versions: int = 2
+    keep_hours: float = 1.0
     version: str = "tidemart-0.1"
     grain_override: dict[str, str] = field(default_factory=dict)
 
@@ -190,7 +191,7 @@ def _run_steps(spark, raw, as_of, cfg: BuildConfig, funnel_orders, timings, repo
             _snapshots(spark, cfg, g, as_of, versions)
     with _timed(timings, "vacuum"):
         for name in MART_LAYOUT:
-            _table(spark, cfg, name).vacuum(cfg.keep_versions)
+            _table(spark, cfg, name).vacuum(cfg.keep_versions, cfg.keep_hours)
     if cfg.run_tests:
         with _timed(timings, "tests"):
             failed = _tests(spark, cfg, g, as_of, started)
@@ -206,8 +207,8 @@ def _snapshots(spark, cfg: BuildConfig, g: ModelGraph, as_of: str, versions) ->
     products = history_table(spark, table_path(cfg.warehouse, schema, "snap_products_scd2"))
     versions["snap_customers_scd2"] = snapshot_customers(customers, g.stg_customers, as_of)
     versions["snap_products_scd2"] = snapshot_products(products, g.stg_products, as_of)
-    customers.vacuum(cfg.keep_versions)
-    products.vacuum(cfg.keep_versions)
+    customers.vacuum(cfg.keep_versions, cfg.keep_hours)
+    products.vacuum(cfg.keep_versions, cfg.keep_hours)
 
 
 def _tests(spark, cfg: BuildConfig, g: ModelGraph, as_of: str, started) -> int:
@@ -218,6 +219,7 @@ def _tests(spark, cfg: BuildConfig, g: ModelGraph, as_of: str, started) -> int:
 
     models = {name: getattr(g, name) for name in
               ("stg_orders", "stg_customers", "stg_products", "stg_order_items", "stg_sessions")}
+    models.update({f"raw_{name}": df for name, df in g.raw.items()})
     models.update({name: read_mart(spark, cfg, name) for name in MART_LAYOUT})
     summary = dq_summary(models, DECLARED_TESTS, as_of).select(
         "*", value_literal(started).alias("run_started_at"),
@@ -225,7 +227,8 @@ def _tests(spark, cfg: BuildConfig, g: ModelGraph, as_of: str, started) -> int:
     )
     path = table_path(cfg.warehouse, schema_name("audit", cfg.target_name, cfg.default_schema), "dq_results")
     summary.coalesce(1).write.mode("append").partitionBy("run_date").parquet(path)
-    written = spark.read.parquet(path).filter(F.col("run_started_at") == value_literal(started))
+    written = spark.read.parquet(path).filter(F.col("run_date") == F.lit(started.date()))
+    written = written.filter(F.col("run_started_at") == value_literal(started))
     return written.filter(F.col("status") == "fail").count()
 
 

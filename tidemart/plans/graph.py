@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemart.plans import intermediate as I
 from tidemart.plans import marts as M
 from tidemart.plans import staging as S
+from tidemart.session import scratch_path
 from tidemart.sources import testdata
 
 
@@ -53,6 +54,24 @@ class ModelGraph:
             funnel_orders=lambda: testdata.funnel_orders(spark, sf_dir),
         )
 
+    @classmethod
+    def from_faulty_testdata(cls, spark: SparkSession, sf_dir: str, as_of: str = testdata.DEFAULT_AS_OF):
+        """The test tables with planted faults, for the data tests."""
+        from tidemart.sources.faults import faulty
+
+        graph = cls.from_testdata(spark, sf_dir, as_of)
+        graph.raw = faulty(graph.raw)
+        return graph
+
+    def materialize(self, *names: str) -> None:
+        """Write models to the shared folder and go on from the files: what
+        several outputs read is computed once, and a lost executor reads it again."""
+        for name in names:
+            df = self.model(name)
+            path = scratch_path(df.sparkSession, name)
+            df.write.parquet(path)
+            setattr(self, name, df.sparkSession.read.schema(df.schema).parquet(path))
+
     # staging
     @cached_property
     def stg_orders(self) -> DataFrame:
@@ -135,4 +154,5 @@ class ModelGraph:
         return M.session_funnel(self.stg_sessions, self.funnel_orders, self.as_of)
 
     def model(self, name: str) -> DataFrame:
-        return getattr(self, name)
+        """A model by name, or a raw table as ``raw_<table>``."""
+        return self.raw[name[4:]] if name.startswith("raw_") else getattr(self, name)

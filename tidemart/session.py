@@ -7,6 +7,7 @@ zone is still pinned to UTC for anything a user adds on top.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -114,3 +115,8 @@ def shared_dir(spark: SparkSession) -> str:
     back to ``checkpoint_dir`` when nothing is configured (local runs)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     return configured or checkpoint_dir(spark)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder for an intermediate table under the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"

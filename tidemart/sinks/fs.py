@@ -35,6 +35,14 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile())
 
 
+def modified(spark: SparkSession, path: str) -> dict[str, int]:
+    """Modification time of the files of a folder, in milliseconds."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(p) if s.isFile()}
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text file atomically (temporary name, then a rename that
     fails if the file exists: of two writers one loses, and knows it)."""

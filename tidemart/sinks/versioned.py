@@ -18,6 +18,7 @@ removed with ``vacuum``.
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Sequence
 from urllib.parse import unquote
 
@@ -162,25 +163,38 @@ class VersionedTable:
         self._publish(version, paths, df.schema.json())
         return version
 
-    def vacuum(self, keep_versions: int = 2) -> list[str]:
-        """Remove version directories referenced by none of the last
-        ``keep_versions`` manifests (the previous version stays readable for
-        jobs that listed it before the latest publish).  Older manifests are
-        removed with them.  Listing and deletes only; no data is read."""
+    def vacuum(self, keep_versions: int = 2, keep_hours: float = 0) -> list[str]:
+        """Remove the directories that no kept manifest lists: whole versions,
+        and single partitions of a version that is still in use.  The last
+        ``keep_versions`` manifests are kept, and so is every version that was
+        current within the last ``keep_hours`` (a reader may still be on it).
+        Listing and deletes only; no data is read."""
         versions = self.versions()
-        keep = versions[-keep_versions:] if keep_versions > 0 else versions[-1:]
-        live = set()
-        for v in keep:
-            for p in self.manifest(v)["paths"].values():
-                live.add(p.rsplit("/version=", 1)[1].split("/", 1)[0])
+        published = fs.modified(self.spark, self._manifest_dir())
+        horizon = (time.time() - keep_hours * 3600) * 1000
+        keep = set(versions[-max(keep_versions, 1):])
+        for v, successor in zip(versions, versions[1:]):
+            if published[f"{successor}.json"] >= horizon and keep_hours > 0:
+                keep.add(v)
+        live = {p.rsplit("/version=", 1)[1] for v in keep for p in self.manifest(v)["paths"].values()}
+        in_use = {p.split("/", 1)[0] for p in live}
         removed = []
         for name in fs.list_dirs(self.spark, self.root):
-            if name.startswith("version=") and name.split("=", 1)[1] not in live:
-                fs.delete(self.spark, f"{self.root}/{name}")
+            if not name.startswith("version="):
+                continue
+            n = name.split("=", 1)[1]
+            if n.isdigit() and versions and int(n) > versions[-1]:
+                continue  # being written
+            if n not in in_use:
                 removed.append(name)
-        for v in versions:
+            elif self.partition_col and n not in live:
+                removed += [f"{name}/{part}" for part in fs.list_dirs(self.spark, f"{self.root}/{name}")
+                            if part.startswith(f"{self.partition_col}=") and f"{n}/{part}" not in live]
+        for v in versions:  # manifests first: a manifest never lists what is gone
             if v not in keep:
                 fs.delete(self.spark, f"{self._manifest_dir()}/{v}.json")
+        for name in removed:
+            fs.delete(self.spark, f"{self.root}/{name}")
         return removed
 
 

@@ -60,7 +60,7 @@ def items_batch2(g: ModelGraph) -> DataFrame:
     """All lines as of 2001-08-02; first lines of every 20th order got one
     more unit, and every 50th order moved to the next day (its lines change
     date partition)."""
-    more = (F.col("order_id") % 20 == 0) & (F.col("line_item_id") == 1)
+    more = (F.col("order_id") % 20 == 0) & (F.col("line_item_id") % 10 == 1)
     moved = F.col("order_id") % 50 == 0
     return (
         g.fct_order_items.withColumn("quantity", F.when(more, F.col("quantity") + 1).otherwise(F.col("quantity")))
@@ -69,6 +69,20 @@ def items_batch2(g: ModelGraph) -> DataFrame:
     )
 
 
+def items_batch1_undated(g: ModelGraph) -> DataFrame:
+    """Batch 1 with every 70th order still without a date: its lines lie in the
+    NULL partition; the later batch dates a few of them."""
+    undated = F.col("order_id") % 70 == 0
+    return items_batch1(g).withColumn("order_date", F.when(~undated, F.col("order_date")))
+
+
+def drifted_history(history: DataFrame) -> DataFrame:
+    """A damaged history: closed rows of every third customer end 40 days late."""
+    late = F.col("customer_id") % 3 == 0
+    return history.withColumn(
+        "valid_to", F.when(late, F.timestamp_add("DAY", F.lit(40), F.col("valid_to"))).otherwise(F.col("valid_to")))
+
+
 def customers_v1(g: ModelGraph) -> DataFrame:
     from tidemart.operators.scd2 import CUSTOMER_SNAPSHOT_COLUMNS
 

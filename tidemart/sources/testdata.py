@@ -13,7 +13,7 @@ unused columns at the parquet reader.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.expressions import MONEY, ts_literal
@@ -46,6 +46,11 @@ def _add_days(ts, days):
     return F.timestamp_add("DAY", days, ts)
 
 
+def _loaded(stamp: str, key):
+    """Rows were loaded within the five hours up to ``stamp``."""
+    return F.timestamp_add("HOUR", -(key % 5), ts_literal(stamp))
+
+
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
@@ -65,7 +70,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         tier.alias("tier"),
         _add_days(ts_literal("1994-01-01 00:00:00"), key % 365).alias("created_at"),
         _add_days(ts_literal("1995-01-01 00:00:00"), key % 30).alias("updated_at"),
-        ts_literal(CUSTOMERS_LOADED_AT).alias("_loaded_at"),
+        _loaded(CUSTOMERS_LOADED_AT, key).alias("_loaded_at"),
     )
 
 
@@ -88,7 +93,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").cast("string").alias("price"),
         is_active.alias("is_active"),
         _add_days(ts_literal("1995-01-01 00:00:00"), key % 30).alias("updated_at"),
-        ts_literal(PRODUCTS_LOADED_AT).alias("_loaded_at"),
+        _loaded(PRODUCTS_LOADED_AT, key).alias("_loaded_at"),
     )
 
 
@@ -113,21 +118,17 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").cast("string").alias("total_amount"),
         placed.alias("placed_at"),
         _add_days(placed, key % 10).alias("updated_at"),
-        ts_literal(ORDERS_LOADED_AT).alias("_loaded_at"),
+        _loaded(ORDERS_LOADED_AT, key).alias("_loaded_at"),
     )
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items; the test lineitem has no unique line number, so the line id
-    is numbered per order.  The window is partitioned by order key (a handful
-    of lines each) and only prepares test input."""
+    """Line items; (order, line number) is not unique in the test lineitem, so
+    the line id is made from line number, ship day, supplier and part."""
     li = read_table(spark, sf_dir, "lineitem")
     key = F.col("l_orderkey")
-    line_no = F.row_number().over(
-        Window.partitionBy(key).orderBy(
-            "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity"
-        )
-    )
+    day = F.datediff(F.col("l_shipdate"), F.lit("1990-01-01").cast("date")).cast("bigint")
+    line_no = F.col("l_linenumber") + 10 * (day + 10_000 * (F.col("l_suppkey") + 1_000_000 * F.col("l_partkey")))
     return li.select(
         F.when(key % 500 == 3, -key).otherwise(key).cast("string").alias("order_id"),
         line_no.cast("string").alias("line_item_id"),
@@ -142,7 +143,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
         .otherwise(F.col("l_discount").cast("string"))
         .alias("discount"),
-        ts_literal(ORDER_ITEMS_LOADED_AT).alias("_loaded_at"),
+        _loaded(ORDER_ITEMS_LOADED_AT, key).alias("_loaded_at"),
     )
 
 
@@ -165,7 +166,7 @@ def raw_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Ref"), (eid % 5).cast("string"), F.lit(".Example.com")).alias("referrer_host"),
         F.col("ts").alias("started_at"),
         ended.alias("ended_at"),
-        ts_literal(SESSIONS_LOADED_AT).alias("_loaded_at"),
+        _loaded(SESSIONS_LOADED_AT, eid).alias("_loaded_at"),
     )
 
 

@@ -49,9 +49,10 @@ def _utc_now() -> str:
 
 
 def latest_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
-    """One row per key: the row with the greatest ``order_col``."""
+    """One row per key: the row with the greatest ``order_col``; a row without
+    one counts as the oldest."""
     cols = [c for c in df.columns if c != key]
-    picked = df.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(order_col)).alias("__r"))
+    picked = df.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(F.col(order_col).isNotNull(), F.col(order_col))).alias("__r"))
     return picked.select(key, *[F.col(f"__r.{c}").alias(c) for c in cols]).select(*df.columns)
 
 
@@ -62,6 +63,7 @@ def order_fact_batch(
     table: VersionedTable,
     as_of: str,
     keep_versions: int = 2,
+    keep_hours: float = 1.0,
 ) -> int:
     """Merge one batch of raw orders into the order fact; returns the
     published version."""
@@ -69,8 +71,13 @@ def order_fact_batch(
     items = S.stg_order_items(raw_items, as_of).join(stg_o.select("order_id"), "order_id", "left_semi")
     enriched = I.int_orders_enriched(stg_o, items, S.stg_customers(raw_customers, as_of), as_of)
     source = latest_per_key(M.fct_orders(enriched, as_of), "order_sk", "updated_at")
+    if table.exists():  # an older version that arrives late changes nothing
+        known = table.read().select("order_sk", F.col("updated_at").alias("known_at"))
+        newer = (source["order_sk"] == known["order_sk"]) & (
+            (F.col("known_at") > F.col("updated_at")) | (F.col("known_at").isNotNull() & F.col("updated_at").isNull()))
+        source = source.join(known, newer, "left_anti")
     version = upsert_partitions(table, source, "order_sk", FCT_ORDERS_UPDATE_COLUMNS)
-    table.vacuum(keep_versions)  # each batch publishes a version; keep the last few
+    table.vacuum(keep_versions, keep_hours)  # each batch publishes a version; readers may still be on older ones
     return version
 
 
