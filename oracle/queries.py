@@ -290,6 +290,22 @@ ORACLE_SQL["metric_revenue_by_status"] = with_ctes(
        {_GROSS} AS gross_revenue, {_ORDERS} AS orders, {_UPO} AS units_per_order
 FROM fct_orders GROUP BY CAST(date_trunc('month', order_date) AS DATE), order_status"""
 )
+
+
+def _by_period(grain: str, dimensions: dict[str, str], values: dict[str, str], where: str = "TRUE") -> str:
+    keys = {f"order_date__{grain}": f"CAST(date_trunc('{grain}', order_date) AS DATE)", **dimensions}
+    shown = ", ".join(f"{sql} AS {name}" for name, sql in {**keys, **values}.items())
+    return with_ctes(f"SELECT {shown} FROM fct_orders WHERE {where} GROUP BY {', '.join(keys.values())}")
+
+
+ORACLE_SQL["metric_weekly_gold"] = _by_period(
+    "week", {}, {"net_revenue": _NET, "average_order_value": _AOV, "units_per_order": _UPO}, "customer_tier = 'gold'")
+ORACLE_SQL["metric_quarterly_by_country"] = _by_period(
+    "quarter", {"customer_country": "customer_country"},
+    {"gross_revenue": _GROSS, "orders": _ORDERS, "item_quantity": "CAST(SUM(total_quantity) AS BIGINT)"},
+    "currency <> 'USD'")
+ORACLE_SQL["metric_yearly_by_tier"] = _by_period(
+    "year", {"tier": "customer_tier"}, {"gross_revenue": _GROSS, "average_order_value": _AOV})
 ORACLE_SQL["time_spine"] = with_ctes(
     f"""SELECT s.date_day, COALESCE(d.orders, 0) AS orders,
        CAST(ROUND(COALESCE(d.gross, 0), 4) AS DOUBLE) AS gross_revenue

@@ -58,3 +58,24 @@ def test_cost_per_model(spark):
     )
     out = [tuple(r) for r in cost_per_model(log, "2024-01-02 00:00:00").collect()]
     assert out == [("fct_orders", 10.0), ("dim_product", 2.5)]
+
+
+def test_derived_metrics_take_any_arithmetic(spark):
+    import dataclasses
+
+    import pytest
+
+    from tidemart.operators.metrics import SALES, Metric, query_metrics
+
+    fact = spark.createDataFrame(
+        [("a", "x", 10, 4, 3), ("b", "x", 20, 5, 0), ("c", "y", 7, 7, 0)],
+        "order_sk string, customer_country string, order_total_amount int, items_net_amount int, total_quantity int")
+    extra = {"margin": Metric("margin", "derived", expr="(gross_revenue - net_revenue) / (item_quantity * 2) + 1"),
+             "margin_each": Metric("margin_each", "derived", expr="margin / orders"),
+             "lost": Metric("lost", "derived", expr="orders / nothing")}
+    model = dataclasses.replace(SALES, metrics={**SALES.metrics, **extra})
+    got = {r.customer_country: (r.margin, r.margin_each)
+           for r in query_metrics(fact, ["margin", "margin_each"], ("customer_country",), model=model).collect()}
+    assert got == {"x": (4.5, 2.25), "y": (None, None)}
+    with pytest.raises(ValueError, match="nothing"):
+        query_metrics(fact, ["lost"], ("customer_country",), model=model)

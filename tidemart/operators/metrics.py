@@ -87,32 +87,40 @@ _AGGS = {
 GRAINS = ("day", "week", "month", "quarter", "year")
 
 
-def _measures_of(model: SemanticModel, metric: str, seen: set[str] | None = None) -> set[str]:
+def _inputs(model: SemanticModel, metric: str) -> list[str]:
+    """Metrics that a ratio or a derived metric is computed from."""
+    m = model.metrics[metric]
+    if m.type == "simple":
+        return []
+    names = [m.numerator, m.denominator] if m.type == "ratio" else re.findall(r"[A-Za-z_]\w*", m.expr)
+    unknown = sorted(set(names) - set(model.metrics))
+    if unknown:
+        raise ValueError(f"metric {metric!r} refers to {unknown}, which are no metrics")
+    return list(dict.fromkeys(names))
+
+
+def _measures_of(model: SemanticModel, metric: str) -> set[str]:
     m = model.metrics[metric]
     if m.type == "simple":
         return {m.measure}
-    if m.type == "ratio":
-        return _measures_of(model, m.numerator) | _measures_of(model, m.denominator)
-    # derived: the input metrics are the names used in the expression
-    names = set(re.findall(r"[A-Za-z_][A-Za-z0-9_]*", m.expr))
-    out: set[str] = set()
-    for n in names:
-        out |= _measures_of(model, n)
-    return out
+    return set().union(*(_measures_of(model, n) for n in _inputs(model, metric)))
 
 
-def _metric_column(model: SemanticModel, metric: str) -> Column:
+def _with_metric(df: DataFrame, model: SemanticModel, metric: str) -> DataFrame:
+    """``df`` (grouped measures) with the metric as column ``__v_<metric>``."""
+    if f"__v_{metric}" in df.columns:
+        return df
     m = model.metrics[metric]
+    for n in _inputs(model, metric):
+        df = _with_metric(df, model, n)
     if m.type == "simple":
-        return F.col(f"__m_{m.measure}")
-    if m.type == "ratio":
-        return money_ratio(_metric_column(model, m.numerator), _metric_column(model, m.denominator))
-    # derived "a / b": a division of two metrics is a safe division
-    left, op, right = re.fullmatch(r"\s*(\w+)\s*([/*+-])\s*(\w+)\s*", m.expr).groups()
-    a, b = _metric_column(model, left), _metric_column(model, right)
-    if op == "/":
-        return F.try_divide(a.cast("double"), b)
-    return {"*": a * b, "+": a + b, "-": a - b}[op]
+        value = F.col(f"__m_{m.measure}")
+    elif m.type == "ratio":
+        value = money_ratio(f"__v_{m.numerator}", f"__v_{m.denominator}")
+    else:  # arithmetic over metrics in double; a zero divisor gives NULL
+        safe = re.sub(r"/\s*([A-Za-z_]\w*|\d+(?:\.\d+)?|\([^()]*\))", r"/ nullif(\1, 0)", m.expr)
+        value = F.expr(re.sub(r"[A-Za-z_]\w*", lambda x: x[0] if x[0] == "nullif" else f"CAST(__v_{x[0]} AS DOUBLE)", safe))
+    return df.withColumn(f"__v_{metric}", value)
 
 
 def time_bucket(column: str, grain: str) -> Column:
@@ -161,4 +169,6 @@ def query_metrics(
         key_cols = [expr.alias(name) for name, expr in keys]
         grouped = fact.groupBy(*key_cols).agg(*aggs) if keys else fact.agg(*aggs)
     out_keys = [k for k in grouped.columns if not k.startswith("__m_")]
-    return grouped.select(*out_keys, *[_metric_column(model, m).alias(m) for m in metrics])
+    for m in metrics:
+        grouped = _with_metric(grouped, model, m)
+    return grouped.select(*out_keys, *[F.col(f"__v_{m}").alias(m) for m in metrics])

@@ -240,11 +240,11 @@ def q_last_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- metrics ----------------------------------------------------------------------
 
 
-def _metric_query(metrics, group_by=("order_date",), grain="day") -> Query:
+def _metric_query(metrics, group_by=("order_date",), grain="day", where=None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         from tidemart.operators.metrics import query_metrics
 
-        return for_compare(query_metrics(_graph(spark, sf_dir).fct_orders, metrics, group_by, grain))
+        return for_compare(query_metrics(_graph(spark, sf_dir).fct_orders, metrics, group_by, grain, where))
 
     return run
 
@@ -261,6 +261,15 @@ QUERIES["metric_revenue_by_country"] = _metric_query(
 QUERIES["metric_revenue_by_status"] = _metric_query(
     ["gross_revenue", "orders", "units_per_order"], ("order_date", "order_status"), "month"
 )
+QUERIES["metric_weekly_gold"] = _metric_query(
+    ["net_revenue", "average_order_value", "units_per_order"], ("order_date",), "week", "customer_tier = 'gold'"
+)
+QUERIES["metric_quarterly_by_country"] = _metric_query(
+    ["gross_revenue", "orders", "item_quantity"], ("order_date", "customer_country"), "quarter", "currency <> 'USD'"
+)
+QUERIES["metric_yearly_by_tier"] = _metric_query(
+    ["gross_revenue", "average_order_value"], ("order_date", "tier"), "year"
+)
 
 
 @register("time_spine")
