@@ -51,3 +51,21 @@ def test_equals_plain_counting(documents, monkeypatch, random_words, order, shar
 def test_empty_table_and_single_row(documents):
     assert lm.stupid_backoff(documents([])).collect() == []
     same(lm.stupid_backoff(documents([(1, "a b")])).collect(), plain([(1, "a b")], 2, 0.4))
+
+
+def test_registered_query_counts_trigrams(spark, documents, random_words, tmp_path):
+    from tidemart.llm.queries import op4_stupid_backoff
+
+    rng = random.Random(5)
+    rows = [(i, " ".join(random_words(rng, rng.randrange(0, 60), 8))) for i in range(40)]
+    documents(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    same(op4_stupid_backoff(spark, str(tmp_path)).collect(), plain(rows, 3, 0.4))
+
+
+def test_longer_histories_over_shards(documents, monkeypatch, random_words):
+    monkeypatch.setattr(lm, "SHARD_BYTES", 2000)
+    rng = random.Random(6)
+    passage = " ".join(random_words(rng, 30, 400))  # n-grams of other rows among words that are nobody else's
+    rows = [(i, " ".join(random_words(rng, rng.randrange(0, 60), 12))) for i in range(40)]
+    rows += [(50 + i, f"only{i} {passage} only{i} only{i} only{i}") for i in range(5)] + [(None, "w1 w2 w3 w4 w1 w2 w3 w4"), (90, None)]
+    same(lm.stupid_backoff(documents(rows), order=4).collect(), plain(rows, 4, 0.4))

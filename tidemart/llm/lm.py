@@ -7,6 +7,11 @@ answers every shard with the totals of what it sent.  Joined back to the
 shard's documents, the totals less the document's own counts give the scores,
 which are summed by document.  N-grams travel once a shard, in blocks of sorted
 hashes, never once an occurrence.
+
+From n = 3 on, each n is a round of its own: an n-gram can occur in another row
+only if both (n-1)-grams in it do, so a shard sends only those that still can.
+All rows that share an n-gram find that it can and send it; what nobody sends
+counts 0 elsewhere, so no count changes.
 """
 
 from __future__ import annotations
@@ -63,7 +68,36 @@ def _grams(texts, order: int):
     return first, place, levels
 
 
-def stupid_backoff(docs: DataFrame, order: int = 2, alpha: float = 0.4) -> DataFrame:
+def _there(n: int, place: np.ndarray, others: list) -> np.ndarray:
+    """Words at which an n-gram ends that can occur in other rows, by the counts of the shorter ones."""
+    there = place >= n - 1
+    if n > 2:
+        shorter = others[n - 2] > 0
+        there &= shorter
+        there[1:] &= shorter[:-1]
+    return np.flatnonzero(there)
+
+
+def _others(first, place, levels, answers: pa.Table) -> list[np.ndarray]:
+    """For each n and word, how often the n-gram that ends there occurs in other rows."""
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    answers = answers.sort_by([("n", "ascending"), ("part", "ascending")])
+    level_of, totals = answers.column("n").to_numpy(), answers.column("totals").to_pylist()
+    others = []
+    for n, level in enumerate(levels, 1):
+        there = _there(n, place, others)
+        keys, at = np.unique(level[there], return_inverse=True)
+        known = np.concatenate([np.empty(0, np.int64), *(_wide(totals[i]) for i in np.flatnonzero(level_of == n))])
+        # A row's own count of each n-gram: equal (row, n-gram) pairs lie together when sorted.
+        pair = row[there] * len(keys) + at
+        _, which, own = np.unique(pair, return_inverse=True, return_counts=True)
+        left = np.zeros(len(level), np.int64)
+        left[there] = known[at] - own[which]
+        others.append(left)
+    return others
+
+
+def stupid_backoff(docs: DataFrame, order: int = 3, alpha: float = 0.4) -> DataFrame:
     """(doc_id, n_words, n_backed_off, log_score) for each row of ``docs(doc_id, text)``.
 
     Words are split at ASCII white space, A-Z folded.  A word scores
@@ -84,11 +118,10 @@ def stupid_backoff(docs: DataFrame, order: int = 2, alpha: float = 0.4) -> DataF
     parts = -(-shards * order // 2)
     dealt = docs.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards).cast("bigint")))
 
-    def ask(data: pa.Table) -> pa.Table:
-        _, _, levels = _grams(data.column("text"), order)
-        shard, out = data.column("shard")[0].as_py(), {"part": [], "shard": [], "n": [], "keys": [], "counts": []}
-        for n, level in enumerate(levels, 1):
-            keys, counts = np.unique(level[level != 0] if n > 1 else level, return_counts=True)
+    def blocks_of(shard: int, grams: list[tuple[int, np.ndarray]]) -> pa.Table:
+        out = {"part": [], "shard": [], "n": [], "keys": [], "counts": []}
+        for n, level in grams:
+            keys, counts = np.unique(level, return_counts=True)
             cuts = np.searchsorted(keys, np.array([(p << 64) // parts for p in range(parts)], np.uint64))
             for p, (a, b) in enumerate(zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)])):
                 if b > a:
@@ -97,6 +130,18 @@ def stupid_backoff(docs: DataFrame, order: int = 2, alpha: float = 0.4) -> DataF
         types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
         return pa.table({c: pa.array(v, t) for (c, v), t in zip(out.items(), types)})
 
+    def ask(data: pa.Table) -> pa.Table:
+        _, place, levels = _grams(data.column("text"), min(order, 2))
+        return blocks_of(data.column("shard")[0].as_py(), [(n, level[_there(n, place, [])]) for n, level in enumerate(levels, 1)])
+
+    def ask_longer(n: int):
+        def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+            first, place, levels = _grams(texts.column("text"), n)
+            others = _others(first, place, levels[:-1], answers)
+            return blocks_of(texts.column("shard")[0].as_py(), [(n, levels[-1][_there(n, place, others)])])
+
+        return run
+
     def answer(data: pa.Table) -> pa.Table:
         blocks = [_spread(k) for k in data.column("keys").to_pylist()]
         counts = [_wide(c) for c in data.column("counts").to_pylist()]
@@ -110,26 +155,17 @@ def stupid_backoff(docs: DataFrame, order: int = 2, alpha: float = 0.4) -> DataF
                 totals[i] = _narrow(summed[np.searchsorted(keys, blocks[i])])
         return pa.table({**{c: data.column(c) for c in ("shard", "n", "part")}, "totals": pa.array(totals, pa.binary())})
 
-    asked = dealt.groupBy("shard").applyInArrow(ask, "part bigint, shard bigint, n int, keys binary, counts binary")
-    answers = asked.groupBy("part").applyInArrow(answer, "shard bigint, n int, part bigint, totals binary")
+    block, reply = "part bigint, shard bigint, n int, keys binary, counts binary", "shard bigint, n int, part bigint, totals binary"
+    answers = dealt.groupBy("shard").applyInArrow(ask, block).groupBy("part").applyInArrow(answer, reply)
+    for n in range(3, order + 1):
+        asked = dealt.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(ask_longer(n), block)
+        answers = answers.unionAll(asked.groupBy("part").applyInArrow(answer, reply))
 
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         first, place, levels = _grams(texts.column("text"), order)
         row = np.repeat(np.arange(len(first) - 1), np.diff(first))
         own_words = np.diff(first)[row]
-        answers = answers.sort_by([("n", "ascending"), ("part", "ascending")])
-        level_of, totals = answers.column("n").to_numpy(), answers.column("totals").to_pylist()
-        others = []
-        for n, level in enumerate(levels, 1):
-            there = np.flatnonzero(place >= n - 1)
-            keys, at = np.unique(level[there], return_inverse=True)
-            known = np.concatenate([np.empty(0, np.int64), *(_wide(totals[i]) for i in np.flatnonzero(level_of == n))])
-            # A row's own count of each n-gram: equal (row, n-gram) pairs lie together when sorted.
-            pair = row[there] * len(keys) + at
-            _, which, own = np.unique(pair, return_inverse=True, return_counts=True)
-            left = np.zeros(len(level), np.int64)
-            left[there] = known[at] - own[which]
-            others.append(left)
+        others = _others(first, place, levels, answers)
         # Of the words before: as often as the history occurs in other rows.
         value = np.maximum(others[0], 1) / np.maximum(words - own_words, 1)
         used = np.zeros(len(row), np.int64)

@@ -80,25 +80,34 @@ ORACLE_SQL: dict[str, str] = {
                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
                 lambda w: w <> '') AS ws FROM documents),
         toks AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM lists),
-        pairs AS (SELECT *, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS v FROM toks),
+        pairs AS (SELECT *, lag(w) OVER s AS v, lag(w, 2) OVER s AS u FROM toks WINDOW s AS (PARTITION BY doc_id ORDER BY i)),
         one AS (SELECT w, count(*) AS n FROM toks GROUP BY w),
         two AS (SELECT v, w, count(*) AS n FROM pairs WHERE v IS NOT NULL GROUP BY v, w),
+        three AS (SELECT u, v, w, count(*) AS n FROM pairs WHERE u IS NOT NULL GROUP BY u, v, w),
         own1 AS (SELECT doc_id, w, count(*) AS n FROM toks GROUP BY doc_id, w),
         own2 AS (SELECT doc_id, v, w, count(*) AS n FROM pairs WHERE v IS NOT NULL GROUP BY doc_id, v, w),
+        own3 AS (SELECT doc_id, u, v, w, count(*) AS n FROM pairs WHERE u IS NOT NULL GROUP BY doc_id, u, v, w),
         size AS (SELECT doc_id, count(*) AS n FROM toks GROUP BY doc_id),
         scored AS (
             SELECT p.doc_id, p.i,
+                   coalesce(three.n - o3.n, 0) AS c3, ctx2.n - oc2.n AS h2,
                    coalesce(two.n - o2.n, 0) AS c2, ctx.n - oc.n AS c1, one.n - o1.n AS c0,
                    (SELECT count(*) FROM toks) - size.n AS rest
             FROM pairs p JOIN one ON one.w = p.w JOIN own1 o1 ON o1.doc_id = p.doc_id AND o1.w = p.w
             JOIN size ON size.doc_id = p.doc_id
             LEFT JOIN two ON two.v = p.v AND two.w = p.w
             LEFT JOIN own2 o2 ON o2.doc_id = p.doc_id AND o2.v = p.v AND o2.w = p.w
-            LEFT JOIN one ctx ON ctx.w = p.v LEFT JOIN own1 oc ON oc.doc_id = p.doc_id AND oc.w = p.v),
+            LEFT JOIN one ctx ON ctx.w = p.v LEFT JOIN own1 oc ON oc.doc_id = p.doc_id AND oc.w = p.v
+            LEFT JOIN three ON three.u = p.u AND three.v = p.v AND three.w = p.w
+            LEFT JOIN own3 o3 ON o3.doc_id = p.doc_id AND o3.u = p.u AND o3.v = p.v AND o3.w = p.w
+            LEFT JOIN two ctx2 ON ctx2.v = p.u AND ctx2.w = p.v
+            LEFT JOIN own2 oc2 ON oc2.doc_id = p.doc_id AND oc2.v = p.u AND oc2.w = p.v),
         sums AS (
-            SELECT doc_id, count(*) AS n_words, count(*) FILTER (i > 1 AND c2 = 0) AS n_backed_off,
-                   sum(CASE WHEN i > 1 AND c2 > 0 THEN ln(c2 / c1)
-                            ELSE ln(greatest(c0, 1) / greatest(rest, 1)) + CASE WHEN i > 1 THEN ln(0.4) ELSE 0 END END) AS s
+            SELECT doc_id, count(*) AS n_words,
+                   count(*) FILTER (i > 2 AND c3 = 0 OR i = 2 AND c2 = 0) AS n_backed_off,
+                   sum(CASE WHEN i > 2 AND c3 > 0 THEN ln(c3 / h2)
+                            WHEN i > 1 AND c2 > 0 THEN ln(c2 / c1) + CASE WHEN i > 2 THEN ln(0.4) ELSE 0 END
+                            ELSE ln(greatest(c0, 1) / greatest(rest, 1)) + least(i - 1, 2) * ln(0.4) END) AS s
             FROM scored GROUP BY doc_id)
         SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_backed_off, 0) AS n_backed_off,
                coalesce(round(s, 6), 0.0) AS log_score

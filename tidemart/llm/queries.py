@@ -36,7 +36,7 @@ def op3_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemart.llm.lm import stupid_backoff
 
-    return stupid_backoff(table(spark, sf_dir, "documents"), order=2, alpha=0.4)
+    return stupid_backoff(table(spark, sf_dir, "documents"), order=3, alpha=0.4)
 
 
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
