@@ -7,7 +7,7 @@ import re
 
 import pytest
 
-from tidemart.llm.mixing import fit, mix
+from tidemart.llm.mixing import fit, mix, take
 
 
 def goals(sizes):
@@ -78,3 +78,22 @@ def test_fit_large_budget_is_exact():
     budget = sum(n * c for n, c in counts.items()) * 2 // 7
     taken = fit(counts, budget)
     assert sum(n * k for n, k in taken.items()) == budget
+
+
+def test_take_returns_each_row_as_often_as_planned(documents):
+    """Null and repeated doc_ids: rows are told apart, and every source meets its target."""
+    rng = random.Random(8)
+    text = lambda: " ".join(f"w{rng.randrange(99)}" for _ in range(rng.randrange(5, 40)))
+    given = [(None, text(), "en", f"s{i % 4}") for i in range(300)]
+    given += [(i % 30, text(), "en", f"s{i % 4}") for i in range(120)] + [(500 + i, text(), "en", f"s{i % 4}") for i in range(80)]
+    docs = documents(given)
+    out = take(docs).collect()
+    size = lambda rows, s: sum(len(r["text"].split()) for r in rows if r["source"] == s)
+    plan = mix(docs).collect()
+    for source in ("s0", "s1", "s2", "s3"):
+        assert size(out, source) == sum(r["taken"] for r in plan if r["source"] == source)
+        target = next(r["target"] for r in plan if r["source"] == source)
+        assert abs(size(out, source) - target) <= 1
+    assert any(r["doc_id"] is None for r in out)
+    times = lambda rows: sorted((str(r["doc_id"]), r["source"], len(r["text"].split())) for r in rows)
+    assert times(out) == sorted((str(r["doc_id"]), r["source"], r["size"]) for r in plan for _ in range(r["taken"] // r["size"] if r["size"] else 0))

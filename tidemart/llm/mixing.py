@@ -84,17 +84,19 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, most: floa
     return level.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, seed: int = 17) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) for each row of ``docs(doc_id, text, source)``.
+def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, seed: int = 17,
+        carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken, *carry) for each row of ``docs(doc_id, text, source)``.
 
     size is the number of words; the sources in code-point order, null last,
     weigh ``weights`` in turn and share ``share`` times all sizes, none more
     than ``most`` times its own.  taken is a multiple of size, ``most`` times
     at most.  A null or empty text has size 0 and is never taken.  Repeated rows
     are documents of their own, alike in the seeded order.  Reruns agree.
+    Columns named in ``carry`` come along and break ties of the seeded order.
     Other columns are ignored; an empty table gives an empty result.
     """
-    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), words(F.col("text").cast("string")).alias("size"))
+    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), words(F.col("text").cast("string")).alias("size"), *carry)
     sized = sized.withColumn("key", F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed)))
     sized = publish(sized.withColumn("bucket", F.pmod("key", F.lit(BUCKETS)).cast("int")), "mixing-sizes")
     counts = publish(sized.groupBy("source", "size").agg(F.count("*").alias("docs")), "mixing-lengths")
@@ -121,21 +123,22 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     cut = publish(cut, "mixing-cut")
     joined = (sized.alias("d").join(cut.alias("c"), F.expr("d.source <=> c.source AND d.size = c.size AND d.bucket = c.bucket"))
               .select("d.*", "source_size", "target", "passes", "take"))
-    place = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy("key", "doc_id"))
+    place = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy("key", "doc_id", *carry))
     times = F.col("passes") + (place <= F.col("take")).cast("int")
-    return joined.select("doc_id", "source", "size", "source_size", "target", (times * F.col("size")).cast("bigint").alias("taken"))
+    return joined.select("doc_id", "source", "size", "source_size", "target", (times * F.col("size")).cast("bigint").alias("taken"), *carry)
 
 
 def take(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken.
 
-    Rows of one doc_id are taken equally often, as often as the least taken of
-    them; so are rows with a null doc_id."""
-    mixed = mix(docs, **settings).filter("taken > 0")
-    times = publish(mixed.groupBy("doc_id").agg(F.min(F.expr("taken div size")).alias("_times"), F.count("*").alias("_rows")), "mixing-times")
-    rows = publish(docs.groupBy("doc_id").agg(F.count("*").alias("_all")), "mixing-rows")
-    times = publish(times.alias("t").join(rows.alias("r"), F.expr("t.doc_id <=> r.doc_id AND t._rows = r._all"))
-                    .select(F.col("t.doc_id").alias("_id"), "_times"), "mixing-times")
+    Rows are told apart by a number written with them, not by doc_id: null and
+    repeated doc_ids are rows of their own.  Of rows alike in the seeded order
+    those with the smaller hash of the text are taken first."""
+    whole = F.struct(*(docs[c] for c in docs.columns))
+    rows = publish(docs.select(whole.alias("doc"), F.xxhash64(docs["text"].cast("string")).alias("tie"),
+                               F.monotonically_increasing_id().alias("row")), "mixing-rows")
+    mixed = mix(rows.select("doc.doc_id", "doc.text", "doc.source", "tie", "row"), carry=("tie", "row"), **settings)
+    times = publish(mixed.filter("taken > 0").select("row", F.expr("taken div size").alias("times")), "mixing-times")
     small = F.broadcast(times) if times.count() <= BROADCAST_ROWS else times
-    joined = docs.join(small, docs["doc_id"].eqNullSafe(small["_id"]))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_times"))).select(*(docs[c] for c in docs.columns))
+    return (rows.join(small, "row").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "times")))
+            .select(*(F.col("doc").getField(c).alias(c) for c in docs.columns)))
