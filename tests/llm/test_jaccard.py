@@ -87,3 +87,21 @@ def test_empty_table_and_clashing_columns(documents, spark):
     assert sorted(map(tuple, near_duplicates(df).collect())) == [(1, 1, 1), (2, 1, 1)]
     with pytest.raises(ValueError):
         near_duplicates(df, percent=50)
+
+
+def test_keep_one_decides_by_row(documents, random_words):
+    """Repeated and null doc_ids: one row of each group, and nothing that links with nothing goes."""
+    from tidemart.llm.jaccard import keep_one
+
+    rng = random.Random(11)
+    text = lambda: " ".join(random_words(rng, 60))
+    a, b, c, d, e, f = (text() for _ in range(6))
+    near = lambda t: t + " tail"
+    given = [(1, a), (2, near(a)), (2, b),  # 2 has a copy of 1 and a text of its own
+             (5, c), (5, d),  # unrelated texts of one id
+             (None, e), (None, e), (None, near(e)),  # copies without an id
+             (None, f), (9, near(f)),  # a row with an id goes before one without
+             (None, None), (None, None), (None, ""), (7, "")]
+    got = sorted(((r["doc_id"], r["text"]) for r in keep_one(documents(given)).collect()), key=str)
+    want = [(1, a), (2, b), (5, c), (5, d), (None, min(e, near(e))), (9, near(f)), (None, None), (None, None), (None, ""), (7, "")]
+    assert got == sorted(want, key=str)

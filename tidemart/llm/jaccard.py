@@ -24,7 +24,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemart.llm.common import filter_by_keys, publish, row_blocks, text_buffers
 from tidemart.llm.components import components
@@ -297,19 +297,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, frequent
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the smallest doc_id.
+    """``docs`` with one row of each near-duplicate group: the one with the
+    smallest doc_id (null last), of these the one with the smallest text.
 
-    Documents that link with nothing stay, null and empty texts too.  Of
-    several rows of one doc_id the smallest text stays; rows with a null doc_id
-    all stay.
+    Rows are told apart by a number written with them, not by doc_id: null and
+    repeated doc_ids are rows of their own.  Rows that link with nothing stay,
+    null and empty texts too.
     """
-    found = near_duplicates(docs, words, percent)
-    gone = publish(found.filter("component_id <> doc_id").select("doc_id").distinct(), "jaccard-gone")
-    left = filter_by_keys(docs, gone, ["doc_id"], "left_anti")
-    repeated = publish(left.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1")
-                       .select("doc_id"), "jaccard-repeated")
-    if not repeated.limit(1).count():
-        return left
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    one = filter_by_keys(left, repeated, ["doc_id"], "left_semi").withColumn("_place", place).filter("_place = 1").drop("_place")
-    return filter_by_keys(left, repeated, ["doc_id"], "left_anti").unionByName(one)
+    whole = F.struct(*(docs[c] for c in docs.columns))
+    rows = publish(docs.select(whole.alias("doc"), F.monotonically_increasing_id().alias("row")), "jaccard-rows")
+    found = near_duplicates(rows.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), words, percent)
+    found = publish(found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("comp")), "jaccard-found")
+    groups = publish(found.groupBy("comp").agg(F.count("*").alias("c")).filter("c > 1").select("comp"), "jaccard-groups")
+    members = filter_by_keys(found, groups, ["comp"], "left_semi")
+    members = publish(members.join(rows.select("row", F.struct(F.col("doc.doc_id").isNull().alias("no"), "doc.doc_id").alias("id")), "row"), "jaccard-members")
+    # Rows with their group's smallest doc_id; texts are compared only where there are several.
+    least = publish(members.groupBy("comp").agg(F.min("id").alias("least")), "jaccard-least")
+    tied = publish(members.join(least, "comp").filter("id <=> least").select("comp", "row"), "jaccard-tied")
+    firsts = publish(tied.groupBy("comp").agg(F.min("row").alias("first"), F.count("*").alias("c")), "jaccard-firsts")
+    texts = filter_by_keys(tied, firsts.filter("c > 1").select("comp"), ["comp"], "left_semi").join(rows.select("row", "doc.text"), "row")
+    stay = publish(firsts.filter("c = 1").select(F.col("first").alias("row")).unionAll(
+        texts.groupBy("comp").agg(F.min(F.struct("text", "row")).alias("best")).select("best.row")), "jaccard-stay")
+    gone = publish(filter_by_keys(members.select("row"), stay, ["row"], "left_anti"), "jaccard-gone")
+    return filter_by_keys(rows, gone, ["row"], "left_anti").select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
