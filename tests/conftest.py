@@ -6,9 +6,6 @@ import pytest
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -26,12 +23,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def graph_small(spark):
+    from helpers import SF_SMALL
     from tidemart.plans.graph import ModelGraph
 
     return ModelGraph.from_testdata(spark, SF_SMALL)
-
-
-def rows(df, *cols):
-    """Sorted list of tuples (for exact comparisons in tests)."""
-    sel = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in sel.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))

@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from tidemart.plans.marts import daily_conversions, session_funnel
 
-from conftest import rows
+from helpers import rows
 
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
 SESS = "session_id string, customer_id bigint, traffic_source string, device_type string, session_date date, session_duration_seconds bigint"

@@ -4,7 +4,7 @@ from decimal import Decimal
 from tidemart.operators.freshness import cost_per_model, source_freshness, stale_sources
 from tidemart.operators.metrics import query_metrics
 
-from conftest import rows
+from helpers import rows
 
 FCT = ("order_sk string, order_date date, order_status string, customer_country string, customer_tier string,"
        " order_total_amount decimal(18,4), items_net_amount decimal(38,8), total_quantity bigint")

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 import __spark_entry__ as entry
 from tidemart.plans.catalog import QUERIES

@@ -2,7 +2,7 @@ from decimal import Decimal
 
 from tidemart.operators import quality as Q
 
-from conftest import rows
+from helpers import rows
 
 
 def test_generic_tests(spark):
@@ -66,7 +66,7 @@ def test_every_kind_of_test_finds_its_planted_faults(spark):
     from tidemart.plans.catalog import _Models
     from tidemart.plans.graph import ModelGraph
 
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
 
     g = ModelGraph.from_faulty_testdata(spark, SF_SMALL)
     failed = {(r.model, r.test_name) for r in Q.dq_summary(_Models(g), Q.DECLARED_TESTS, g.as_of).collect()

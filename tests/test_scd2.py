@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemart.operators.scd2 import overlapping_periods, scd2_apply
 
-from conftest import rows
+from helpers import rows
 
 SCHEMA = "id bigint, email string, country string, note string"
 A1, A2, A3, A4 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00", "2024-04-01 00:00:00"

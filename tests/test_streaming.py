@@ -6,7 +6,7 @@ from tidemart.sinks.versioned import VersionedTable
 from tidemart.sources import testdata
 from tidemart.streaming.foreach_batch import latest_per_key, start_order_fact_stream
 
-from conftest import SF_SMALL, rows
+from helpers import SF_SMALL, rows
 
 
 def test_latest_per_key(spark):

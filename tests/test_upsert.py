@@ -11,7 +11,7 @@ from tidemart.operators.upsert import (
 )
 from tidemart.sinks.versioned import VersionedTable, upsert_partitions
 
-from conftest import rows
+from helpers import rows
 
 SCHEMA = "k bigint, status string, country string, d date, ts timestamp_ntz"
 D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
