@@ -6,32 +6,10 @@ import random
 
 import pytest
 
+from plain_forms import brute
 from tidemart.llm.jaccard import near_duplicates
 
 
-def brute(rows, words, percent):
-    sets = {}
-    for i, text in rows:
-        w = (text or "").encode().lower().split()
-        sets.setdefault(i, set()).add(
-            frozenset(tuple(w[j:j + words]) for j in range(len(w) - words + 1)) if len(w) >= words
-            else frozenset([tuple(w)] if w else []))
-    root = {i: i for i in sets}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    ids = sorted(i for i in sets if i is not None)
-    for i in ids:
-        for j in ids:
-            if i < j and any(a and b and 100 * len(a & b) >= percent * len(a | b) for a in sets[i] for b in sets[j]):
-                a, b = sorted((find(i), find(j)))
-                root[b] = a
-    return sets, {i: find(i) for i in ids}
-
-
 def check(rows, got, words, percent):
     sets, comps = brute(rows, words, percent)
     assert len(got) == len(rows)

@@ -3,42 +3,13 @@
 from __future__ import annotations
 
 import random
-import re
 
 import pytest
 
+from plain_forms import check_mix as check
 from tidemart.llm.mixing import fit, mix, take
 
 
-def goals(sizes):
-    names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
-    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
-    full, budget = set(), 1.5 * sum(sizes.values())
-    while True:
-        rest = budget - sum(2 * sizes[s] for s in full)
-        pull = sum(weight[s] for s in names if s not in full)
-        share = {s: rest * weight[s] / pull for s in names if s not in full}
-        above = {s for s in share if share[s] > 2 * sizes[s]}
-        if not above:
-            return {s: float(2 * sizes[s]) if s in full else share[s] for s in names}
-        full |= above
-
-
-def check(rows, got, near):
-    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
-    assert sorted((str(r["doc_id"]), r["size"]) for r in got) == sorted((str(r[0]), size(r[1])) for r in rows)
-    sizes = {}
-    for r in rows:
-        sizes[r[3]] = sizes.get(r[3], 0) + size(r[1])
-    want, taken = goals(sizes), {}
-    for r in got:
-        assert r["source_size"] == sizes[r["source"]] and r["target"] == pytest.approx(want[r["source"]])
-        assert 0 <= r["taken"] <= 2 * r["size"] and (r["taken"] == 0 or r["taken"] % r["size"] == 0)
-        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
-    for s in sizes:
-        assert abs(taken[s] - want[s]) <= near, (s, taken[s], want[s])
-
-
 def test_targets_and_budgets(documents, random_words):
     rng = random.Random(2)
     rows = [(i, " ".join(random_words(rng, rng.randrange(1, 200))), "en", rng.choice(["a", "b", "b", "é", "z", "Z", None]))

@@ -3,42 +3,16 @@
 from __future__ import annotations
 
 import random
-import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from plain_forms import WORD_BPE as PATH, check_pieces as check
 from tidemart.llm import packing
 from tidemart.llm.common import text_buffers
 
-PATH = __import__("public_tokenizers").path("word_bpe_49k.json")
-
-
-def check(rows, pieces):
-    tokenizer = Tokenizer.from_file(PATH)
-    want = sorted((i is None, i or 0, [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]) for i, t in rows)
-    owned = {}
-    for p in pieces:
-        owned.setdefault(p["doc_id"], []).append(p)
-    for i in {r[0] for r in rows}:
-        docs = [ids for n, d, ids in want if (None if n else d) == i]
-        found = sorted((p["start"], p["length"], p["doc_tokens"], p["ids_crc32"]) for p in owned[i])
-        cuts = {(s, n) for s, n, _, _ in found}
-        if len(docs) == 1:
-            assert [s for s, _, _, _ in found] == [0, *np.cumsum([n for _, n, _, _ in found]).tolist()][:-1]
-            assert sum(n for _, n, _, _ in found) == len(docs[0]) and cuts
-            for s, n, total, crc in found:
-                assert total == len(docs[0]) and crc == zlib.crc32(np.array(docs[0][s:s + n], "<u4").tobytes())
-        else:
-            assert sum(n for _, n, _, _ in found) == sum(map(len, docs))
-    filled = {}
-    for p in sorted(pieces, key=lambda p: (p["sequence_id"], p["offset"])):
-        assert p["offset"] == filled.get(p["sequence_id"], 0)
-        filled[p["sequence_id"]] = p["offset"] + p["length"]
-    assert max(filled.values(), default=0) <= 2048
-    return filled
 
 
 def texts(seed, n):

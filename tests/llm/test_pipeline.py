@@ -6,9 +6,7 @@ import random
 import re
 
 import corpus_pipeline
-from test_jaccard import brute
-from test_mixing import check as check_mix
-from test_packing import check as check_pieces
+from plain_forms import brute, check_mix, check_pieces
 from tidemart.llm.secret_scan import ADDED, BASE
 
 ENGLISH = "the of and to in is that it was for on with as this are from have which their about".split()
