@@ -82,6 +82,27 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.llm.rules import judge
+
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemart.llm.runs import digests, find_runs, plant_repeats
+
+    return digests(find_runs(plant_repeats(table(spark, sf_dir, "documents")), least=24, repeats=3))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as tokenizers
+
+    from tidemart.llm.alignment import align_digests
+
+    return align_digests(table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_50k.json"),
+                         tokenizers.path("piece_bpe_32k.model"), tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_chat_formatting": op2_chat_formatting,
@@ -94,4 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "language_id_of_pages": language_id_of_pages,
     "op10_secret_scans": op10_secret_scans,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
 }

@@ -104,3 +104,13 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarr
         else:
             out.append(window_hashes(words[a:b], b - a) if b > a else whole[:0])
     return out
+
+
+def word_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    """Exact numbers of the words (equal if and only if their bytes are) and the distinct words, as Arrow binary."""
+    import pyarrow as pa
+
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[~SPACE[data]].copy())])
+    coded = words.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
