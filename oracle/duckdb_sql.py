@@ -14,20 +14,35 @@ AS_OF_DATE = "DATE '2001-08-02'"
 REVENUE = "('paid', 'shipped', 'delivered')"
 
 
-def div4(num: str, den: str) -> str:
-    """Exact num/den (num a decimal with <= 4 digits, den an integer) rounded
-    half away from zero to 4 digits, as DECIMAL(38,4); NULL if den is 0/NULL."""
-    s = f"CAST(({num}) * 10000 AS HUGEINT)"
+def div9(num: str, den: str) -> str:
+    """Exact num/den (num a decimal with <= 9 digits, den an integer) rounded
+    half away from zero to 9 digits, as DECIMAL(38,9); NULL if den is 0/NULL."""
+    s = f"CAST(({num}) * 1000000000 AS HUGEINT)"
     n = f"CAST(({den}) AS HUGEINT)"
     q = f"sign({s}) * ((2 * abs({s}) + {n}) // (2 * {n}))"
     return (
         f"(CASE WHEN ({den}) IS NULL OR ({den}) = 0 OR ({num}) IS NULL THEN NULL "
-        f"ELSE CAST({q} AS DECIMAL(38,0)) * CAST(0.0001 AS DECIMAL(5,4)) END)"
+        f"ELSE {from_units(q)} END)"
     )
 
 
-def avg4(x: str) -> str:
-    return div4(f"SUM({x})", f"COUNT({x})")
+def from_units(q: str) -> str:
+    """A count of ninth digits as DECIMAL(38,9)."""
+    return f"CAST({q} AS DECIMAL(38,0)) * CAST(0.000000001 AS DECIMAL(9,9))"
+
+
+def units(x: str) -> str:
+    """A DECIMAL(38,9) as its count of ninth digits."""
+    return f"CAST(replace(CAST({x} AS VARCHAR), '.', '') AS HUGEINT)"
+
+
+def times(a: str, b: str) -> str:
+    """Two counts of ninth digits multiplied to one, rounded half away from zero."""
+    return f"(sign({a}) * sign({b}) * ((2 * abs(({a}) * ({b})) + 1000000000) // 2000000000))"
+
+
+def avg9(x: str) -> str:
+    return div9(f"SUM({x})", f"COUNT({x})")
 
 
 def money(*cols: str) -> str:
@@ -112,8 +127,13 @@ SELECT * EXCLUDE (k, copy) REPLACE (CASE WHEN k % 211 = 0 THEN NULL ELSE order_i
 FROM (SELECT *, CAST(order_id AS BIGINT) AS k, unnest(range(CASE WHEN k % 101 = 0 THEN 2 ELSE 1 END)) AS copy FROM clean_orders)""",
     "raw_order_items": """
 SELECT * EXCLUDE (k, copy) REPLACE (CASE WHEN k % 227 = 0 THEN NULL ELSE line_item_id END AS line_item_id,
-                  CASE WHEN k % 83 = 0 THEN '-3' ELSE quantity END AS quantity,
-                  CASE WHEN k % 79 = 0 THEN '1.5' WHEN k % 73 = 0 THEN '150' ELSE discount END AS discount)
+                  CASE WHEN k % 83 = 0 THEN '-3' WHEN k % 151 = 0 THEN '1000000000000' WHEN k % 157 = 0 THEN '99999999999999999999'
+                       WHEN k % 163 = 0 THEN '1000000000000' ELSE quantity END AS quantity,
+                  CASE WHEN k % 131 = 0 THEN '1000000000' WHEN k % 137 = 0 THEN '0.0000004'
+                       WHEN k % 139 = 0 THEN '123456789012345678901234567890123' WHEN k % 163 = 0 THEN '900000000000000000.123456789'
+                       WHEN k % 149 = 0 THEN '12345678901234.000000015' ELSE unit_price END AS unit_price,
+                  CASE WHEN k % 79 = 0 THEN '1.5' WHEN k % 73 = 0 THEN '150' WHEN k % 167 = 0 THEN '1000'
+                       WHEN k % 149 = 0 THEN '0.333333333' ELSE discount END AS discount)
 FROM (SELECT *, CAST(order_id AS BIGINT) AS k, unnest(range(CASE WHEN k % 103 = 0 THEN 2 ELSE 1 END)) AS copy FROM clean_order_items)""",
     "raw_customers": """
 SELECT * EXCLUDE (k) REPLACE (CASE WHEN k % 113 = 0 THEN NULL WHEN k % 53 = 0 THEN 'shared@example.com' ELSE email END AS email,
@@ -147,7 +167,7 @@ SELECT TRY_CAST(order_id AS BIGINT) AS order_id,
        {_sk('order_id')} AS order_sk,
        lower(trim(order_status)) AS order_status,
        upper(trim(currency)) AS currency,
-       TRY_CAST(total_amount AS DECIMAL(18,4)) AS total_amount,
+       TRY_CAST(total_amount AS DECIMAL(38,9)) AS total_amount,
        TRY_CAST(placed_at AS TIMESTAMP) AS placed_at,
        TRY_CAST(updated_at AS TIMESTAMP) AS updated_at,
        CAST(TRY_CAST(placed_at AS TIMESTAMP) AS DATE) AS order_date,
@@ -174,7 +194,7 @@ SELECT TRY_CAST(product_id AS BIGINT) AS product_id,
        trim(name) AS product_name,
        trim(description) AS description,
        lower(trim(category)) AS category,
-       TRY_CAST(price AS DECIMAL(18,4)) AS list_price,
+       TRY_CAST(price AS DECIMAL(38,9)) AS list_price,
        COALESCE(TRY_CAST(is_active AS BOOLEAN), TRUE) AS is_active,
        TRY_CAST(updated_at AS TIMESTAMP) AS updated_at,
        TRY_CAST(_loaded_at AS TIMESTAMP) AS _loaded_at,
@@ -186,15 +206,15 @@ SELECT TRY_CAST(order_id AS BIGINT) AS order_id,
        TRY_CAST(product_id AS BIGINT) AS product_id,
        {_sk('order_id', 'line_item_id')} AS order_item_sk,
        TRY_CAST(quantity AS BIGINT) AS quantity,
-       TRY_CAST(unit_price AS DECIMAL(15,6)) AS unit_price,
-       COALESCE(TRY_CAST(discount AS DECIMAL(8,5)), 0) AS discount_pct,
-       CAST(TRY_CAST(quantity AS BIGINT) AS DECIMAL(19,0)) * TRY_CAST(unit_price AS DECIMAL(15,6))
-           AS line_gross_amount,
-       CAST(TRY_CAST(quantity AS BIGINT) AS DECIMAL(19,0)) * TRY_CAST(unit_price AS DECIMAL(15,6))
-           * (1 - COALESCE(TRY_CAST(discount AS DECIMAL(8,5)), 0)) AS line_net_amount,
+       TRY_CAST(unit_price AS DECIMAL(38,9)) AS unit_price,
+       COALESCE(TRY_CAST(discount AS DECIMAL(38,9)), 0) AS discount_pct,
+       TRY({from_units("gross_units")}) AS line_gross_amount,
+       TRY({from_units(times("gross_units", "left_units"))}) AS line_net_amount,
        TRY_CAST(_loaded_at AS TIMESTAMP) AS _loaded_at,
        {AS_OF} AS _built_at
-FROM raw_order_items WHERE order_id IS NOT NULL AND line_item_id IS NOT NULL""",
+FROM (SELECT *, TRY(CAST(TRY_CAST(quantity AS BIGINT) AS HUGEINT) * {units("TRY_CAST(unit_price AS DECIMAL(38,9))")}) AS gross_units,
+             1000000000 - {units("COALESCE(TRY_CAST(discount AS DECIMAL(38,9)), 0)")} AS left_units
+      FROM raw_order_items WHERE order_id IS NOT NULL AND line_item_id IS NOT NULL)""",
     "stg_sessions": f"""
 SELECT TRY_CAST(session_id AS VARCHAR) AS session_id,
        TRY_CAST(customer_id AS BIGINT) AS customer_id,
@@ -260,7 +280,7 @@ SELECT order_sk, order_id, order_status, currency, total_amount AS order_total_a
 FROM orders_looked_up""",
     "revenue_orders": f"SELECT * FROM stg_orders WHERE list_contains(list_value{REVENUE}, order_status)",
     "customer_rollup": f"""
-SELECT customer_id, n AS lifetime_order_count, money AS lifetime_gross_revenue, {div4('money', 'priced')} AS avg_order_value,
+SELECT customer_id, n AS lifetime_order_count, money AS lifetime_gross_revenue, {div9('money', 'priced')} AS avg_order_value,
        opened AS first_order_at, latest AS last_order_at,
        CAST(latest AS DATE) - CAST(opened AS DATE) AS active_days, {AS_OF_DATE} - CAST(latest AS DATE) AS days_since_last_order
 FROM (SELECT customer_id, count(*) AS n, count(total_amount) AS priced, sum(total_amount) AS money,
@@ -301,7 +321,7 @@ FROM spread""",
 SELECT order_date AS revenue_date, currency, customer_country, customer_tier, count(*) AS order_count,
        ifnull(len(list_distinct(list(customer_id) FILTER (customer_id IS NOT NULL))), 0) AS unique_customer_count,
        sum(order_total_amount) AS gross_revenue, sum(items_net_amount) AS net_revenue,
-       {avg4('order_total_amount')} AS avg_order_value,
+       {avg9('order_total_amount')} AS avg_order_value,
        ifnull(sum(order_total_amount) FILTER (order_status = 'delivered'), 0) AS delivered_revenue,
        ifnull(sum(order_total_amount) FILTER (order_status = 'cancelled'), 0) AS cancelled_revenue,
        {AS_OF} AS _built_at
@@ -331,7 +351,7 @@ WITH both_days AS (
     FROM daily_sessions a)
 SELECT * EXCLUDE (won), won.converting_customers AS converting_customers, won.gross_revenue AS gross_revenue,
        won.converting_customers / nullif(authenticated_customer_count, 0) AS conversion_rate,
-       {div4('won.gross_revenue', 'won.converting_customers')} AS avg_order_value, {AS_OF} AS _built_at
+       {div9('won.gross_revenue', 'won.converting_customers')} AS avg_order_value, {AS_OF} AS _built_at
 FROM both_days""",
 }
 

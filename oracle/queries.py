@@ -38,6 +38,13 @@ ORACLE_SQL["filter_revenue_orders"] = with_ctes(
 ORACLE_SQL["surrogate_key"] = with_ctes(
     "SELECT order_id, line_item_id, order_item_sk FROM stg_order_items"
 )
+ORACLE_SQL["line_amounts_exact"] = with_ctes(
+    "SELECT order_item_sk, CAST(quantity AS VARCHAR) AS quantity, CAST(unit_price AS VARCHAR) AS unit_price, "
+    "CAST(CAST(discount_pct AS DECIMAL(38,9)) AS VARCHAR) AS discount_pct, "
+    "CAST(line_gross_amount AS VARCHAR) AS line_gross_amount, CAST(line_net_amount AS VARCHAR) AS line_net_amount "
+    "FROM stg_order_items",
+    faulty=True,
+)
 ORACLE_SQL["order_total_mismatch"] = with_ctes(
     "SELECT order_id, CAST(ROUND(order_total_amount, 4) AS DOUBLE) AS order_total_amount, "
     "CAST(ROUND(items_net_amount, 4) AS DOUBLE) AS items_net_amount, has_total_mismatch "
@@ -122,6 +129,12 @@ PARENTS = [
     ("fct_order_items", "order_id", "fct_orders", "order_id"),
     ("fct_order_items", "product_id", "dim_product", "product_id"),
 ]
+# Numbers by the type that has to hold them, and amounts by what they are computed from.
+FITS = {("raw_order_items", "quantity"): "BIGINT", ("raw_order_items", "unit_price"): "DECIMAL(38,9)",
+        ("raw_order_items", "discount"): "DECIMAL(38,9)", ("raw_orders", "total_amount"): "DECIMAL(38,9)",
+        ("raw_products", "price"): "DECIMAL(38,9)"}
+COMPUTED = {("stg_order_items", "line_gross_amount"): "quantity + unit_price",
+            ("stg_order_items", "line_net_amount"): "line_gross_amount + discount_pct"}
 # What names a row of a model in a report.
 ROW_NAMES = {
     "raw_orders": "order_id", "raw_customers": "customer_id", "raw_order_items": "order_id line_item_id",
@@ -180,6 +193,10 @@ TESTS = {
         [(f"stg_{s}", "_loaded_at") for s in ("orders", "customers", "products", "order_items", "sessions")],
         lambda m, c: f"{c} < {AS_OF} - INTERVAL 1 DAY"),
     "within_range": _rows("within_range", [("stg_order_items", "discount_pct")], lambda m, c: f"{c} < 0 OR {c} > 1"),
+    "fits_type": _rows("fits_type", list(FITS),
+                       lambda m, c: f"TRY_CAST({c} AS DOUBLE) IS NOT NULL AND TRY_CAST({c} AS {FITS[m, c]}) IS NULL"),
+    "computed": _rows("computed", list(COMPUTED), lambda m, c: f"{c} IS NULL AND " + " AND ".join(
+        f"{i} IS NOT NULL" for i in COMPUTED[m, c].split(" + "))),
     "unique": _repeated("unique", _applied(UNIQUE)),
     "unique_combination": _repeated("unique_combination", _applied(UNIQUE_COMBINATION)),
     "relationships": [
@@ -211,7 +228,7 @@ def _union(parts) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-for _name in ("not_null", "non_negative", "values_in_set", "recent_timestamp", "within_range", "unique",
+for _name in ("not_null", "non_negative", "values_in_set", "recent_timestamp", "within_range", "fits_type", "computed", "unique",
               "unique_combination"):
     ORACLE_SQL[f"test_{_name}"] = with_ctes(_union(sql for *_, sql in TESTS[_name]), faulty=True)
 ORACLE_SQL["test_relationships"] = with_ctes(_union(sql for *_, sql in TESTS["relationships"]))
@@ -259,12 +276,12 @@ ORACLE_SQL["last_refresh"] = with_ctes(
 )
 
 # --- metrics ----------------------------------------------------------------------
-from oracle.duckdb_sql import div4  # noqa: E402
+from oracle.duckdb_sql import div9  # noqa: E402
 
 _GROSS = "CAST(ROUND(SUM(order_total_amount), 4) AS DOUBLE)"
 _NET = "CAST(ROUND(SUM(items_net_amount), 4) AS DOUBLE)"
 _ORDERS = "COUNT(DISTINCT order_sk)"
-_AOV = f"CAST(ROUND({div4('SUM(order_total_amount)', 'COUNT(DISTINCT order_sk)')}, 4) AS DOUBLE)"
+_AOV = f"CAST(ROUND({div9('SUM(order_total_amount)', 'COUNT(DISTINCT order_sk)')}, 4) AS DOUBLE)"
 _UPO = "SUM(total_quantity) / NULLIF(COUNT(DISTINCT order_sk), 0)"
 
 

@@ -30,10 +30,18 @@ def test_total_mismatch_flag_edges(spark):
         (Decimal("0"), Decimal("5")),        # zero total -> NULL ratio -> False
         (Decimal("-100"), Decimal("50")),    # negative total -> negative ratio -> False
         (None, Decimal("5")),
+        # one per cent has eleven digits here; the limits lie between two values of nine digits
+        (Decimal("0.000000149"), Decimal("0.000000148")),  # 1e-9 off, limit 1.49e-9 -> False
+        (Decimal("0.000000149"), Decimal("0.000000147")),
+        (Decimal("0.000000151"), Decimal("0.000000149")),  # 2e-9 off, limit 1.51e-9 (rounds to 2e-9) -> True
+        (Decimal("0.000000200"), Decimal("0.000000198")),  # exactly 1 % -> False
+        (Decimal("98765432109876543210987654321.000000151"), Decimal("97777777788777777778877777778")),
+        (Decimal("100"), Decimal("-99999999999999999999999999999.9")),
     ]
-    df = spark.createDataFrame(rows, "t decimal(18,4), n decimal(38,8)")
+    df = spark.createDataFrame(rows, "t decimal(38,9), n decimal(38,9)")
     got = [r[0] for r in df.select(E.total_mismatch_flag("t", "n")).collect()]
-    assert got == [True, False, False, False, False, False]
+    want = [bool(n is not None and t is not None and t > 0 and abs(t - n) * 100 > t) for t, n in rows]
+    assert got == want and want[6:9] == [False, True, True]
 
 
 def test_recency_bucket_edges(spark):
@@ -56,7 +64,9 @@ def test_money_ratio_is_exact_half_up_and_safe(spark):
         "n decimal(18,4), d bigint",
     )
     got = [r[0] for r in df.select(E.money_ratio("n", "d")).collect()]
-    assert got == [Decimal("10.0002"), None, None, Decimal("-10.0002")]
+    assert got == [Decimal("10.00015"), None, None, Decimal("-10.00015")]
+    thirds = spark.createDataFrame([(Decimal("2"), 3), (Decimal("-2"), 3)], "n decimal(38,9), d bigint")
+    assert [r[0] for r in thirds.select(E.money_ratio("n", "d")).collect()] == [Decimal("0.666666667"), Decimal("-0.666666667")]
 
 
 def test_initcap_and_trims(spark):

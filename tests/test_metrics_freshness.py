@@ -21,7 +21,7 @@ def _fct(spark):
 def test_simple_ratio_and_derived_metrics(spark):
     out = query_metrics(_fct(spark), ["gross_revenue", "orders", "average_order_value", "units_per_order"])
     assert rows(out) == [
-        (D1, Decimal("15.0001"), 2, Decimal("7.5001"), 2.0),
+        (D1, Decimal("15.0001"), 2, Decimal("7.50005"), 2.0),
         (D2, Decimal("7.0000"), 1, Decimal("7.0000"), 2.0),
     ]
 

@@ -74,3 +74,56 @@ def test_every_kind_of_test_finds_its_planted_faults(spark):
     assert {("raw_orders", "not_null"), ("raw_orders", "values_in_set"), ("raw_order_items", "non_negative"),
             ("raw_order_items", "unique_combination"), ("stg_customers", "values_in_set"), ("stg_products", "unique"),
             ("fct_order_items", "discount_below_one"), ("stg_order_items", "no_orphaned_order_items")} <= failed
+
+
+def test_colliding_hashes_are_no_duplicates(spark):
+    """Uniqueness with all hashes in one to three buckets: only equal keys count."""
+    df = spark.createDataFrame([(i, f"e{i}", i % 4 or None) for i in range(50)] + [(7, "e7", 9), (8, None, None), (8, None, None)],
+                               "id bigint, email string, part bigint")
+    specs = [Q.CheckSpec("m", "unique", "id"), Q.CheckSpec("m", "unique", "email"), Q.CheckSpec("m", "unique_combination", "email,part")]
+    want = [("m", "unique", "email", "e7", 2), ("m", "unique", "id", "7", 2), ("m", "unique", "id", "8", 3),
+            ("m", "unique_combination", "email,part", "", 2)]
+    for buckets in (1, 3, None):
+        assert rows(Q.duplicate_keys({"m": df}, specs, buckets)) == want
+    clean = spark.range(10).withColumnRenamed("id", "k")
+    assert Q.duplicate_keys({"m": clean}, [Q.CheckSpec("m", "unique", "k")]).count() == 0
+
+
+def test_uniqueness_shuffles_hashes_only(spark):
+    df = spark.createDataFrame([("a" * 50, "b")], "email string, other string")
+    plan = Q._tested_keys({"m": df}, [Q.CheckSpec("m", "unique", "email")], None, whole=False)
+    assert dict(plan.dtypes) == {"tag": "smallint", "h": "bigint"}
+
+
+def test_orphans_of_all_relationships_at_once(spark):
+    child = spark.createDataFrame([(1, 10, "x"), (2, 11, None), (3, None, "y"), (4, 11, "x")], "order_sk int, parent bigint, name string")
+    parent = spark.createDataFrame([(10, "x"), (None, None)], "pid bigint, pname string")
+    specs = [Q.CheckSpec("fct_orders", "relationships", "parent", {"to": "p", "field": "pid"}),
+             Q.CheckSpec("fct_orders", "relationships", "name", {"to": "p", "field": "pname"})]
+    models = {"fct_orders": child, "p": parent}
+    got = rows(Q.orphan_keys(models, specs))
+    assert got == [("fct_orders", "relationships", "name", "3", "y"), ("fct_orders", "relationships", "parent", "2", "11"),
+                   ("fct_orders", "relationships", "parent", "4", "11")]
+    summary = {r.column_name: r.failing_rows for r in Q.dq_summary(models, specs).collect()}
+    assert summary == {"parent": 2, "name": 1}
+    plan = Q._relation_keys(models, specs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_row_tests_counted_while_writing(spark, tmp_path):
+    """Counts observed by the writing job equal those of a scan, and the summary uses them without one."""
+    from tidemart.plans.graph import ModelGraph
+
+    from helpers import SF_SMALL
+
+    g = ModelGraph.from_faulty_testdata(spark, SF_SMALL)
+    names = ("stg_orders", "stg_customers", "stg_order_items")
+    scanned = {m: g.model(m).agg(*[c.alias(k.replace(":", "_")) for k, c in Q.row_counts(m).items()]).first() for m in names}
+    observed = g.materialize(*names, count=Q.row_counts)
+    for m in names:
+        assert list(observed[m].values()) == list(scanned[m]) and sum(observed[m].values()) > 0
+    specs = [s for s in Q.DECLARED_TESTS if s.model in names and s.test in Q.ROW_TESTS]
+    summary = Q.dq_summary({}, specs, observed=observed)
+    assert {f"{r.model}:{r.test_name}:{r.column_name}": r.failing_rows for r in summary.collect()} == {
+        f"{m}:{k}": n for m in names for k, n in observed[m].items()}
+    assert "FileScan" not in summary._jdf.queryExecution().executedPlan().toString()

@@ -2,7 +2,6 @@ from tidemart.functions.expressions import (  # noqa: F401
     CUSTOMER_TIERS,
     LOOKBACK_DAYS,
     LTV_SEGMENTS,
-    MONEY,
     ORDER_STATUSES,
     RECENCY_SEGMENTS,
     REVENUE_STATUSES,

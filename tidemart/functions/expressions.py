@@ -20,6 +20,8 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+from tidemart.functions.numeric import NUMERIC, quotient
+
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for right results.
 # ---------------------------------------------------------------------------
@@ -37,8 +39,8 @@ RECENCY_BOUNDS = ((30, "active"), (90, "recent"), (365, "dormant"))
 # >0 low_value, else non_buyer.
 LTV_SEGMENTS = ("whale", "high_value", "mid_value", "low_value", "non_buyer")
 LTV_BOUNDS = ((5000, "whale"), (1000, "high_value"), (100, "mid_value"))
-# Relative tolerance of the order-total mismatch flag (1 %).
-MISMATCH_TOLERANCE = "0.01"
+# Relative tolerance of the order-total mismatch flag: one part in a hundred.
+MISMATCH_PARTS = 100
 # Null marker and separator of the surrogate key.
 SURROGATE_NULL = "∅"
 SURROGATE_SEPARATOR = "||"
@@ -46,18 +48,12 @@ SURROGATE_SEPARATOR = "||"
 LOOKBACK_DAYS = 3
 
 # ---------------------------------------------------------------------------
-# Types.  Totals are decimal(18,4), unit prices decimal(15,6), fractions
-# decimal(8,5); a quantity enters a product as decimal(12,0), so that
-# qty * price * (1 - discount) stays exact as decimal(38,11).
+# Types.  All money, prices and fractions are NUMERIC, decimal(38,9); products
+# and differences of them are made in tidemart.functions.numeric.
 # ---------------------------------------------------------------------------
-MONEY = DecimalType(18, 4)
-UNIT_PRICE = DecimalType(15, 6)
-FRACTION = DecimalType(8, 5)
-QUANTITY_DEC = DecimalType(12, 0)
 TYPES: dict[str, DataType] = {
     "INT64": LongType(),
-    "NUMERIC": MONEY,
-    "FRACTION": FRACTION,
+    "NUMERIC": NUMERIC,
     "STRING": StringType(),
     "BOOL": BooleanType(),
     "TIMESTAMP": TimestampNTZType(),
@@ -149,14 +145,13 @@ def is_revenue_status(status: Column | str) -> Column:
 def total_mismatch_flag(total: Column | str, items_net: Column | str) -> Column:
     """|total - net| / total > 1 %, FALSE when net is NULL or total is not
     positive (a zero total gives a NULL ratio, a negative one a negative
-    ratio).  Written without a division so the decimal test is exact."""
-    total, items_net = _col(total), _col(items_net)
-    tol = F.lit(MISMATCH_TOLERANCE).cast(DecimalType(3, 2))
-    hit = (
-        items_net.isNotNull()
-        & (total > 0)
-        & (F.abs(total - items_net) > total * tol)
-    )
+    ratio).  Exact below 10**24, where a hundred times the difference fits
+    a decimal; above, the eighth fractional digit is rounded."""
+    total, items_net = _col(total).cast(NUMERIC), _col(items_net).cast(NUMERIC)
+    short = DecimalType(33, 9)
+    apart = F.abs(total.try_cast(short) - items_net.try_cast(short)) * F.lit(MISMATCH_PARTS).cast(DecimalType(3, 0))
+    wide = F.abs(total - items_net) > total / F.lit(MISMATCH_PARTS)
+    hit = items_net.isNotNull() & (total > 0) & F.coalesce(apart > total, wide)
     return F.when(hit, F.lit(True)).otherwise(F.lit(False))
 
 
@@ -177,16 +172,13 @@ def ltv_segment(lifetime_revenue: Column | str) -> Column:
     return expr.when(r > 0, F.lit("low_value")).otherwise(F.lit("non_buyer"))
 
 
-def money_ratio(numerator: Column | str, denominator: Column | str, scale: int = 4) -> Column:
-    """Exact decimal quotient rounded half-up to ``scale`` digits; NULL on a
-    zero or NULL denominator (SAFE_DIVIDE)."""
-    num, den = _col(numerator), _col(denominator)
-    quotient = num / den.cast(DecimalType(20, 0))
-    return F.when(den != 0, F.round(quotient, scale))
+def money_ratio(numerator: Column | str, denominator: Column | str) -> Column:
+    """Decimal quotient at NUMERIC's nine fractional digits, rounded half up;
+    NULL on a zero or NULL denominator (SAFE_DIVIDE)."""
+    return quotient(_col(numerator), _col(denominator))
 
 
-def exact_avg(c: Column | str, scale: int = 4) -> Column:
-    """AVG of a decimal column as an exact quotient rounded to ``scale``."""
+def exact_avg(c: Column | str) -> Column:
+    """AVG of a decimal column as the quotient of its sum and count."""
     c = _col(c)
-    return money_ratio(F.sum(c), F.count(c), scale)
-
+    return money_ratio(F.sum(c), F.count(c))

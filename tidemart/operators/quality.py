@@ -1,10 +1,10 @@
 """Data tests.  Each test returns the DataFrame of failing rows; empty = pass.
 
 Generic tests are column-level filters, group counts or anti-joins.  The
-summary runs every declared application and reports one row per test; the
-row-level tests of one model share a single aggregate pass (``count_if`` per
-test), uniqueness is one grouped count per column, relationships one
-anti-join each.
+summary runs every declared application and reports one row per test.  Row
+tests are counted while a model is written, or in one aggregate over it; all
+uniqueness tests share one count of key hashes and an exact second look at
+those that repeat; all relationships share one grouped aggregation.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.expressions import (
@@ -20,8 +20,12 @@ from tidemart.functions.expressions import (
     LTV_SEGMENTS,
     ORDER_STATUSES,
     RECENCY_SEGMENTS,
+    TYPES,
+    is_revenue_status,
     ts_literal,
 )
+from tidemart.functions.numeric import difference
+from tidemart.session import scratch_path
 
 # --- generic tests -----------------------------------------------------------
 
@@ -56,6 +60,27 @@ def within_range(df: DataFrame, column: str, min_value, max_value) -> DataFrame:
     return df.filter(~F.col(column).between(min_value, max_value))
 
 
+def fits_type(df: DataFrame, column: str, type_name: str) -> DataFrame:
+    """Rows whose raw text is a number that ``type_name`` can't hold; other text and NULL pass."""
+    return df.filter(_lost(F.col(column), type_name))
+
+
+def _lost(c: Column, type_name: str) -> Column:
+    return c.try_cast("double").isNotNull() & c.try_cast(TYPES[type_name]).isNull()
+
+
+def computed(df: DataFrame, column: str, inputs: Sequence[str]) -> DataFrame:
+    """Rows where ``column`` is NULL though all it is computed from is there: the result didn't fit."""
+    return df.filter(_uncomputed(column, inputs))
+
+
+def _uncomputed(column: str, inputs: Sequence[str]) -> Column:
+    out = F.col(column).isNull()
+    for c in inputs:
+        out = out & F.col(c).isNotNull()
+    return out
+
+
 def unique(df: DataFrame, column: str) -> DataFrame:
     """Duplicated non-NULL values with their row count.  Partial aggregation
     runs before the shuffle, so a hot value costs one row per map task."""
@@ -116,7 +141,7 @@ def revenue_reconciliation(ledger: DataFrame, fct: DataFrame, tolerance: str = "
     a conditional aggregate: no join between the two totals is needed.
     """
     ledger_rows = ledger.select(F.lit("ledger").alias("side"), F.col("gross_revenue").alias("amount"))
-    fact_rows = fct.filter(F.col("order_status").isin("paid", "shipped", "delivered")).select(
+    fact_rows = fct.filter(is_revenue_status("order_status")).select(
         F.lit("fact").alias("side"), F.col("order_total_amount").alias("amount")
     )
     both = ledger_rows.unionByName(fact_rows).agg(
@@ -126,9 +151,10 @@ def revenue_reconciliation(ledger: DataFrame, fct: DataFrame, tolerance: str = "
     out = both.select(
         "ledger_total",
         "fact_total",
-        (F.col("ledger_total") - F.col("fact_total")).alias("delta"),
+        difference(F.col("ledger_total"), F.col("fact_total")).alias("delta"),
     )
-    return out.filter(F.abs(F.col("delta")) > F.lit(tolerance).cast("decimal(10,4)"))
+    limit = F.lit(tolerance).cast("decimal(10,4)")
+    return out.filter((F.col("delta") > limit) | (F.col("delta") < -limit))
 
 
 def discount_below_one(fct_items: DataFrame) -> DataFrame:
@@ -170,6 +196,7 @@ MODEL_KEYS: dict[str, tuple[str, ...]] = {
 
 
 def _specs() -> list[CheckSpec]:
+    # Which test applies to which column of which model.
     s: list[CheckSpec] = []
 
     def add(model, column, *tests):
@@ -259,6 +286,13 @@ def _specs() -> list[CheckSpec]:
     add("session_funnel", "funnel_date", "not_null")
     add("session_funnel", "traffic_source", "not_null")
     add("session_funnel", "session_count", "non_negative")
+    # numbers that their types can't hold (this library's own)
+    for column, kind in (("quantity", "INT64"), ("unit_price", "NUMERIC"), ("discount", "NUMERIC")):
+        add("raw_order_items", column, ("fits_type", {"type": kind}))
+    add("raw_orders", "total_amount", ("fits_type", {"type": "NUMERIC"}))
+    add("raw_products", "price", ("fits_type", {"type": "NUMERIC"}))
+    add("stg_order_items", "line_gross_amount", ("computed", {"inputs": ("quantity", "unit_price")}))
+    add("stg_order_items", "line_net_amount", ("computed", {"inputs": ("line_gross_amount", "discount_pct")}))
     # singular tests
     add("stg_order_items", "order_id", "no_orphaned_order_items")
     add("revenue_ledger", "gross_revenue", "revenue_reconciliation")
@@ -275,7 +309,7 @@ SINGULAR_TESTS = {
     "discount_below_one": lambda m: discount_below_one(m["fct_order_items"]),
 }
 
-ROW_TESTS = ("not_null", "non_negative", "values_in_set", "recent_timestamp", "within_range")
+ROW_TESTS = ("not_null", "non_negative", "values_in_set", "recent_timestamp", "within_range", "fits_type", "computed")
 
 
 def row_condition(spec: CheckSpec, as_of: str | None = None) -> Column:
@@ -292,6 +326,10 @@ def row_condition(spec: CheckSpec, as_of: str | None = None) -> Column:
     if spec.test == "recent_timestamp":
         cutoff = F.timestamp_add("DAY", F.lit(-spec.args.get("max_age_days", 1)), ts_literal(as_of))
         return F.coalesce(c < cutoff, F.lit(False))
+    if spec.test == "fits_type":
+        return _lost(c, spec.args["type"])
+    if spec.test == "computed":
+        return _uncomputed(spec.column, spec.args["inputs"])
     if spec.test == "within_range":
         return F.coalesce(~c.between(spec.args["min_value"], spec.args["max_value"]), F.lit(False))
     raise ValueError(spec.test)
@@ -314,6 +352,7 @@ def failing_rows(models: dict[str, DataFrame], specs: Sequence[CheckSpec], as_of
         by_model.setdefault(spec.model, []).append(spec)
     for model, model_specs in by_model.items():
         df = models[model]
+        # An outer explode: for an inner one Spark would evaluate every test a second time, as a filter below it.
         tags = F.array(
             *[
                 F.when(
@@ -323,74 +362,110 @@ def failing_rows(models: dict[str, DataFrame], specs: Sequence[CheckSpec], as_of
                 for sp in model_specs
             ]
         )
-        hits = df.select(row_key(model).alias("row_id"), F.explode(F.array_compact(tags)).alias("t"))
+        hits = df.select(row_key(model).alias("row_id"), F.explode_outer(tags).alias("t")).filter(F.col("t").isNotNull())
         parts.append(
             hits.select(F.lit(model).alias("model"), "t.test_name", "t.column_name", "row_id")
         )
     return _union(parts)
 
 
-def duplicate_keys(models: dict[str, DataFrame], specs: Sequence[CheckSpec]) -> DataFrame:
-    """Union of ``unique`` / ``unique_combination`` failures as (model,
-    test_name, column_name, key_value, n_rows).
-
-    All uniqueness tests of one model share one aggregation: every row emits
-    one (test, key) entry per tested column set, and a single grouped count
-    over (test, key) finds the duplicates — one shuffle per model instead of
-    one per column.  Partial aggregation before the shuffle collapses hot
-    keys map-side.  The key is grouped as an array so NULLs stay distinct
-    from any text.
-    """
+def _hash(columns: Sequence[str], buckets: int | None) -> Column:
+    h = F.xxhash64(*[F.col(c) for c in columns])
+    return h if buckets is None else F.pmod(h, F.lit(buckets).cast("bigint"))
+
+
+def _tested_keys(models: dict[str, DataFrame], specs: Sequence[CheckSpec | None], buckets: int | None, whole: bool) -> DataFrame:
+    """(tag, h[, key]): for each row and uniqueness test the test's number,
+    the key's 64-bit hash and, if asked for, the key itself as an array of
+    texts (NULL stays NULL there).  A model is read once for all its tests;
+    None in place of a test leaves it out."""
     parts = []
-    by_model: dict[str, list[CheckSpec]] = {}
-    for sp in specs:
-        by_model.setdefault(sp.model, []).append(sp)
-    for model, model_specs in by_model.items():
+    by_model: dict[str, list[tuple[int, CheckSpec]]] = {}
+    for tag, sp in enumerate(specs):
+        if sp is not None:
+            by_model.setdefault(sp.model, []).append((tag, sp))
+    for model, tagged in by_model.items():
         entries = []
-        for sp in model_specs:
+        for tag, sp in tagged:
             cols = sp.column.split(",")
-            key = F.array(*[F.col(c).cast("string") for c in cols])
-            entry = F.struct(
-                F.lit(sp.test).alias("test_name"), F.lit(sp.column).alias("column_name"), key.alias("key")
-            )
+            fields = [F.lit(tag).cast("smallint").alias("tag"), _hash(cols, buckets).alias("h")]
+            if whole:
+                fields.append(F.array(*[F.col(c).cast("string") for c in cols]).alias("key"))
+            entry = F.struct(*fields)
             if sp.test == "unique":  # NULL is not a duplicate for ``unique``
                 entry = F.when(F.col(cols[0]).isNotNull(), entry)
             entries.append(entry)
-        stacked = models[model].select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        dup = (
-            stacked.groupBy("e.test_name", "e.column_name", "e.key")
-            .agg(F.count(F.lit(1)).alias("n_rows"))
-            .filter(F.col("n_rows") > 1)
-        )
-        parts.append(
-            dup.select(
-                F.lit(model).alias("model"),
-                "test_name",
-                "column_name",
-                F.concat_ws("|", F.col("key")).alias("key_value"),
-                "n_rows",
-            )
-        )
+        parts.append(models[model].select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*"))
     return _union(parts)
 
 
+#: Repeated hashes are broadcast up to so many (a test's number and 8 bytes each); beyond it they are joined by a shuffle.
+BROADCAST_HASHES = 1_000_000
+
+
+def duplicate_keys(models: dict[str, DataFrame], specs: Sequence[CheckSpec], buckets: int | None = None) -> DataFrame:
+    """Union of ``unique`` / ``unique_combination`` failures as (model,
+    test_name, column_name, key_value, n_rows), exact, in two phases.
+
+    First all tests of all models share one count of 64-bit key hashes: a hot
+    key collapses map-side, and the shuffle carries 8 bytes and a test's
+    number for each distinct value.  Equal keys have equal hashes, so only
+    the few keys whose hash repeats enter the second, exact grouping by the
+    keys themselves, where a mere collision of hashes falls out again.
+    ``buckets`` narrows the hashes (for tests of such collisions).
+    """
+    hashes = _tested_keys(models, specs, buckets, whole=False)
+    repeated = hashes.groupBy("tag", "h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("tag", "h")
+    path = scratch_path(repeated.sparkSession, "repeated-hashes")
+    repeated.write.parquet(path)
+    repeated = repeated.sparkSession.read.schema(repeated.schema).parquet(path)
+    n_hashes = repeated.count()
+    suspects = [specs[r["tag"]] for r in repeated.select("tag").distinct().collect()] if n_hashes else []
+    names = repeated.sparkSession.createDataFrame(
+        [(tag, sp.model, sp.test, sp.column) for tag, sp in enumerate(specs)],
+        "tag smallint, model string, test_name string, column_name string")
+    if not suspects:  # no model is read again
+        return names.filter("false").select("model", "test_name", "column_name", F.lit("").alias("key_value"),
+                                            F.lit(0).cast("bigint").alias("n_rows"))
+    keys = _tested_keys(models, [sp if sp in suspects else None for sp in specs], buckets, whole=True)
+    keys = keys.join(F.broadcast(repeated) if n_hashes <= BROADCAST_HASHES else repeated, ["tag", "h"], "left_semi")
+    dup = keys.groupBy("tag", "key").agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
+    return dup.join(F.broadcast(names), "tag").select(
+        "model", "test_name", "column_name", F.concat_ws("|", "key").alias("key_value"), "n_rows")
+
+
+def _relation_keys(models: dict[str, DataFrame], specs: Sequence[CheckSpec]) -> DataFrame:
+    """(tag, key, children) of all relationships without a parent: children
+    and parents of every relationship are stacked and counted in one grouped
+    aggregation by (relationship, key).  Keys collapse map-side, so a hot key
+    costs one row a map task; NULL keys take no part."""
+    parts = []
+    for tag, sp in enumerate(specs):
+        for model, column, is_parent in ((sp.model, sp.column, False), (sp.args["to"], sp.args["field"], True)):
+            parts.append(models[model].filter(F.col(column).isNotNull()).select(
+                F.lit(tag).cast("smallint").alias("tag"), F.col(column).cast("string").alias("key"),
+                F.lit(0 if is_parent else 1).cast("bigint").alias("children"), F.lit(is_parent).alias("parent")))
+    return (_union(parts).groupBy("tag", "key").agg(F.sum("children").alias("children"), F.max("parent").alias("parent"))
+            .filter(~F.col("parent")).select("tag", "key", "children"))
+
+
 def orphan_keys(models: dict[str, DataFrame], specs: Sequence[CheckSpec]) -> DataFrame:
     """Union of ``relationships`` failures as (model, test_name, column_name,
-    row_id, key_value)."""
+    row_id, key_value).  The orphans of all relationships are found together
+    (``_relation_keys``); only then are their rows looked up."""
+    orphans = _relation_keys(models, specs)
+    path = scratch_path(orphans.sparkSession, "orphan-keys")
+    orphans.write.parquet(path)
+    orphans = orphans.sparkSession.read.schema(orphans.schema).parquet(path)
+    n_keys = orphans.count()
+    small = n_keys <= BROADCAST_HASHES
     parts = []
-    for sp in specs:
-        child = models[sp.model]
-        parent = models[sp.args["to"]]
-        bad = relationships(child, sp.column, parent, sp.args["field"])
-        parts.append(
-            bad.select(
-                F.lit(sp.model).alias("model"),
-                F.lit(sp.test).alias("test_name"),
-                F.lit(sp.column).alias("column_name"),
-                row_key(sp.model).alias("row_id"),
-                F.col(sp.column).cast("string").alias("key_value"),
-            )
-        )
+    for tag, sp in enumerate(specs):
+        own = orphans.filter(F.col("tag") == tag).select(F.col("key").alias("key_value"))
+        rows = models[sp.model].select(row_key(sp.model).alias("row_id"), F.col(sp.column).cast("string").alias("key_value"))
+        parts.append(rows.join(F.broadcast(own) if small else own, "key_value").select(
+            F.lit(sp.model).alias("model"), F.lit(sp.test).alias("test_name"), F.lit(sp.column).alias("column_name"),
+            "row_id", "key_value"))
     return _union(parts)
 
 
@@ -401,67 +476,60 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def dq_summary(models: dict[str, DataFrame], specs: Sequence[CheckSpec] = DECLARED_TESTS,
-               as_of: str | None = None) -> DataFrame:
+def row_counts(model: str, specs: Sequence[CheckSpec] | None = None, as_of: str | None = None) -> dict[str, Column]:
+    """Failing rows of each row-level test of a model as aggregates, named
+    ``test:column``.  They can be observed while the model is written, so
+    that the tests cost no scan of their own."""
+    return {f"{sp.test}:{sp.column}": F.count_if(row_condition(sp, as_of))
+            for sp in (DECLARED_TESTS if specs is None else specs) if sp.model == model and sp.test in ROW_TESTS}
+
+
+def dq_summary(models: dict[str, DataFrame], specs: Sequence[CheckSpec] | None = None,
+               as_of: str | None = None, observed: dict[str, dict[str, int]] | None = None) -> DataFrame:
     """One row per declared test: (model, test_name, column_name,
-    failing_rows, status).  Row-level tests of a model share one aggregate
-    (``count_if`` per test) over a single scan of the model."""
-    parts = []
-    row_specs = [s for s in specs if s.test in ROW_TESTS]
+    failing_rows, status).
+
+    Row-level tests of a model were counted while it was written
+    (``observed``: model -> ``test:column`` -> rows, see ``row_counts``) or
+    share one aggregate over a single scan; uniqueness tests of all models
+    share the two phases of ``duplicate_keys``; all relationships share one
+    grouped aggregation; the singular tests run by themselves.
+    """
+    spark = SparkSession.getActiveSession()
+    specs = DECLARED_TESTS if specs is None else specs
+    observed = observed or {}
+    parts, known = [], []
     by_model: dict[str, list[CheckSpec]] = {}
-    for sp in row_specs:
-        by_model.setdefault(sp.model, []).append(sp)
-    for model, model_specs in by_model.items():
-        counts = models[model].agg(
-            *[F.count_if(row_condition(sp, as_of)).alias(f"c{i}") for i, sp in enumerate(model_specs)]
-        )
-        stacked = counts.select(
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(sp.test).alias("test_name"),
-                            F.lit(sp.column).alias("column_name"),
-                            F.col(f"c{i}").alias("failing_rows"),
-                        )
-                        for i, sp in enumerate(model_specs)
-                    ]
-                )
-            ).alias("r")
-        )
-        parts.append(stacked.select(F.lit(model).alias("model"), "r.*"))
-    dup_specs = [s for s in specs if s.test in ("unique", "unique_combination")]
-    if dup_specs:
-        # failing rows per test = number of duplicated keys, zero-filled
-        dups = duplicate_keys(models, dup_specs).groupBy("model", "test_name", "column_name").agg(
-            F.count(F.lit(1)).alias("failing_rows")
-        )
-        all_dup = models[dup_specs[0].model].sparkSession.createDataFrame(
-            [(s.model, s.test, s.column) for s in dup_specs], "model string, test_name string, column_name string"
-        )
-        parts.append(
-            all_dup.join(dups, ["model", "test_name", "column_name"], "left").select(
-                "model", "test_name", "column_name",
-                F.coalesce(F.col("failing_rows"), F.lit(0)).alias("failing_rows"),
-            )
-        )
     for sp in specs:
-        if sp.test == "relationships":
-            failing = orphan_keys(models, [sp])
-        elif sp.test in SINGULAR_TESTS:
-            failing = SINGULAR_TESTS[sp.test](models)
-        else:
-            continue
-        n = failing.agg(F.count(F.lit(1)).alias("failing_rows"))
-        parts.append(
-            n.select(
-                F.lit(sp.model).alias("model"),
-                F.lit(sp.test).alias("test_name"),
-                F.lit(sp.column).alias("column_name"),
-                "failing_rows",
-            )
-        )
-    out = _union(parts)
-    return out.withColumn(
-        "status", F.when(F.col("failing_rows") == 0, F.lit("pass")).otherwise(F.lit("fail"))
-    )
+        if sp.test in ROW_TESTS:
+            count = observed.get(sp.model, {}).get(f"{sp.test}:{sp.column}")
+            if count is None:
+                by_model.setdefault(sp.model, []).append(sp)
+            else:
+                known.append((sp.model, sp.test, sp.column, count))
+    for model, own in by_model.items():
+        counts = models[model].agg(*[c.alias(f"c{i}") for i, c in enumerate(row_counts(model, own, as_of).values())])
+        entries = [F.struct(F.lit(sp.test).alias("test_name"), F.lit(sp.column).alias("column_name"),
+                            F.col(f"c{i}").alias("failing_rows")) for i, sp in enumerate(own)]
+        parts.append(counts.select(F.explode(F.array(*entries)).alias("r")).select(F.lit(model).alias("model"), "r.*"))
+    counted = []  # (model, test, column) with the number of failing keys or rows, where there are any
+    unique_specs = [s for s in specs if s.test in ("unique", "unique_combination")]
+    if unique_specs:
+        duplicates = duplicate_keys(models, unique_specs)
+        counted.append(duplicates.groupBy("model", "test_name", "column_name").agg(F.count(F.lit(1)).alias("failing_rows")))
+    relations = [s for s in specs if s.test == "relationships"]
+    if relations:
+        lost = _relation_keys(models, relations).groupBy("tag").agg(F.sum("children").alias("failing_rows"))
+        names = spark.createDataFrame([(tag, s.model, s.test, s.column) for tag, s in enumerate(relations)],
+                                      "tag smallint, model string, test_name string, column_name string")
+        counted.append(names.join(lost, "tag").select("model", "test_name", "column_name", "failing_rows"))
+    for sp in specs:
+        if sp.test in SINGULAR_TESTS:
+            failing = SINGULAR_TESTS[sp.test](models).agg(F.count(F.lit(1)).alias("failing_rows"))
+            parts.append(failing.select(F.lit(sp.model).alias("model"), F.lit(sp.test).alias("test_name"),
+                                        F.lit(sp.column).alias("column_name"), "failing_rows"))
+    # Tests without a failing key have no row above: each starts from 0.
+    zero = [(s.model, s.test, s.column, 0) for s in unique_specs + relations]
+    parts.append(spark.createDataFrame(known + zero, "model string, test_name string, column_name string, failing_rows bigint"))
+    out = _union(parts + counted).groupBy("model", "test_name", "column_name").agg(F.sum("failing_rows").alias("failing_rows"))
+    return out.withColumn("status", F.when(F.col("failing_rows") == 0, F.lit("pass")).otherwise(F.lit("fail")))

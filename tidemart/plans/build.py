@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.expressions import LOOKBACK_DAYS, value_literal
-from tidemart.operators.upsert import FCT_ORDERS_UPDATE_COLUMNS, lookback_cutoff
+from tidemart.operators.quality import DECLARED_TESTS, dq_summary, row_counts
+from tidemart.operators.upsert import FCT_ORDERS_UPDATE_COLUMNS
 from tidemart.plans import intermediate as I
 from tidemart.plans import marts as M
 from tidemart.plans.graph import ModelGraph
@@ -80,6 +81,20 @@ MART_COMMENTS: dict[str, dict[str, str]] = {
     },
 }
 
+# What each mart holds; kept with every published version.
+MART_DESCRIPTIONS: dict[str, str] = {
+    "fct_orders": "one row an order with its line totals and the customer as of the build",
+    "fct_order_items": "one row a line item of a known order",
+    "dim_customer": "one row a customer with lifetime measures over revenue orders",
+    "dim_product": "one row a product",
+    "revenue_ledger": "revenue orders by day, currency, country and tier",
+    "customer_ltv": "one row a customer with its lifetime-value segment",
+    "session_funnel": "sessions and conversions by day, traffic source and device",
+}
+
+# Columns whose maximum the manifest keeps, where they are more than the build stamp: the lookback starts from them.
+MART_STAMPS: dict[str, tuple[str, ...]] = {"fct_orders": (BUILT_AT,), "fct_order_items": (BUILT_AT, "order_date")}
+
 # Retention of audit tables, in days.
 AUDIT_RETENTION_DAYS = 180
 
@@ -107,7 +122,19 @@ def _table(spark: SparkSession, cfg: BuildConfig, name: str) -> VersionedTable:
     if name.startswith("fct_") or name in ("revenue_ledger", "session_funnel"):
         grain = cfg.grain_override.get(name, cfg.fact_grain)
     path = table_path(cfg.warehouse, schema_name(lay.layer, cfg.target_name, cfg.default_schema), name)
-    return VersionedTable(spark, path, lay.partition_by, grain, lay.cluster_by, MART_COMMENTS.get(name))
+    return VersionedTable(spark, path, lay.partition_by, grain, lay.cluster_by, MART_COMMENTS.get(name),
+                          row_counts(name), MART_STAMPS.get(name, (BUILT_AT,)), MART_DESCRIPTIONS[name])
+
+
+def refreshed(spark: SparkSession, cfg: BuildConfig) -> DataFrame:
+    """(model, last_built_at, row_count) of the published marts, from their
+    manifests: no row is read."""
+    rows = []
+    for name in MART_LAYOUT:
+        t = _table(spark, cfg, name)
+        if t.exists():
+            rows.append((name, t.maximum(BUILT_AT), t.observed().get("rows")))
+    return spark.createDataFrame(rows, "model string, last_built_at timestamp_ntz, row_count bigint")
 
 
 def _drop_partition_helper(df: DataFrame, table: VersionedTable) -> DataFrame:
@@ -214,14 +241,14 @@ def _snapshots(spark, cfg: BuildConfig, g: ModelGraph, as_of: str, versions) ->
 def _tests(spark, cfg: BuildConfig, g: ModelGraph, as_of: str, started) -> int:
     """Run every declared data test against the published marts (staging
     models are evaluated from raw), append the summary to the audit layer and
-    return the number of failing tests."""
-    from tidemart.operators.quality import DECLARED_TESTS, dq_summary
-
+    return the number of failing tests.  Row-level tests of the marts were
+    counted while they were written; their manifests have the results."""
     models = {name: getattr(g, name) for name in
               ("stg_orders", "stg_customers", "stg_products", "stg_order_items", "stg_sessions")}
     models.update({f"raw_{name}": df for name, df in g.raw.items()})
     models.update({name: read_mart(spark, cfg, name) for name in MART_LAYOUT})
-    summary = dq_summary(models, DECLARED_TESTS, as_of).select(
+    observed = {name: _table(spark, cfg, name).observed() for name in MART_LAYOUT}  # also has "rows", which is no test
+    summary = dq_summary(models, DECLARED_TESTS, as_of, observed).select(
         "*", value_literal(started).alias("run_started_at"),
         F.to_date(value_literal(started)).alias("run_date"),
     )
@@ -232,13 +259,19 @@ def _tests(spark, cfg: BuildConfig, g: ModelGraph, as_of: str, started) -> int:
     return written.filter(F.col("status") == "fail").count()
 
 
+def _cutoff(table: VersionedTable, column: str, days: int):
+    """Watermark of a published table less the lookback, from its manifest; None without rows."""
+    latest = table.maximum(column)
+    return None if latest is None else latest - dt.timedelta(days=days)
+
+
 def _build_fct_orders(spark, g: ModelGraph, orders_t: VersionedTable, cfg: BuildConfig, as_of: str, versions):
     """Returns the partition values the incremental MERGE rewrote, or None
     after a full load."""
     if cfg.full_refresh or not orders_t.exists():
         cutoff = None
     else:
-        cutoff = lookback_cutoff(_drop_partition_helper(orders_t.read(), orders_t), BUILT_AT, cfg.lookback_days)
+        cutoff = _cutoff(orders_t, BUILT_AT, cfg.lookback_days)
     if cutoff is None:  # first run, full refresh, or a target without rows
         versions["fct_orders"] = orders_t.overwrite(g.fct_orders, unique_key="order_sk")
         return None
@@ -275,7 +308,7 @@ def _build_fct_order_items(g: ModelGraph, items_t: VersionedTable, cfg: BuildCon
     if cfg.full_refresh or not items_t.exists():
         cutoff = None
     else:
-        cutoff = lookback_cutoff(_drop_partition_helper(items_t.read(), items_t), "order_date", cfg.lookback_days)
+        cutoff = _cutoff(items_t, "order_date", cfg.lookback_days)
     if cutoff is None:
         versions["fct_order_items"] = items_t.overwrite(g.fct_order_items, unique_key="order_item_sk")
     else:

@@ -79,6 +79,15 @@ def q_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.stg_order_items.select("order_id", "line_item_id", "order_item_sk")
 
 
+@register("line_amounts_exact")
+def q_line_amounts_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All digits of the line amounts as text, over the lines with planted
+    prices, quantities and discounts of every size."""
+    lines = _faulty_graph(spark, sf_dir).stg_order_items
+    return lines.select("order_item_sk", *[
+        F.col(c).cast("string").alias(c) for c in ("quantity", "unit_price", "discount_pct", "line_gross_amount", "line_net_amount")])
+
+
 @register("order_total_mismatch")
 def q_order_total_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = _graph(spark, sf_dir)
@@ -156,6 +165,8 @@ QUERIES["test_not_null"] = _row_test_query("not_null")
 QUERIES["test_non_negative"] = _row_test_query("non_negative")
 QUERIES["test_values_in_set"] = _row_test_query("values_in_set")
 QUERIES["test_recent_timestamp"] = _row_test_query("recent_timestamp", recent_timestamp_specs)
+QUERIES["test_fits_type"] = _row_test_query("fits_type")
+QUERIES["test_computed"] = _row_test_query("computed")
 QUERIES["test_within_range"] = _row_test_query("within_range", within_range_specs)
 
 
@@ -208,12 +219,17 @@ def q_test_discount_below_one(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("dq_summary")
 def q_dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemart.operators.quality import DECLARED_TESTS, dq_summary
+    """Every test over the faulty tables.  Each model is written once, which
+    counts its row-level tests, and read back by the others."""
+    from tidemart.operators.quality import DECLARED_TESTS, dq_summary, row_counts
 
     g = _faulty_graph(spark, sf_dir)
-    g.materialize("stg_orders", "stg_customers", "stg_order_items", "fct_orders", "fct_order_items", "dim_customer")
     specs = list(DECLARED_TESTS) + recent_timestamp_specs() + within_range_specs()
-    return dq_summary(_Models(g), specs, g.as_of)
+    observed = g.materialize(
+        "stg_orders", "stg_customers", "stg_products", "stg_order_items", "stg_sessions", "fct_orders", "fct_order_items",
+        "dim_customer", "dim_product", "revenue_ledger", "customer_ltv", "session_funnel",
+        count=lambda model: row_counts(model, specs, g.as_of))
+    return dq_summary(_Models(g), specs, g.as_of, observed)
 
 
 # --- freshness and run metadata ---------------------------------------------------

@@ -20,12 +20,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidemart.plans import intermediate as I
 from tidemart.plans import marts as M
 from tidemart.plans import staging as S
 from tidemart.session import scratch_path
+from tidemart.sinks.observe import write_observed
 from tidemart.sources import testdata
 
 
@@ -63,14 +64,18 @@ class ModelGraph:
         graph.raw = faulty(graph.raw)
         return graph
 
-    def materialize(self, *names: str) -> None:
+    def materialize(self, *names: str, count: Callable[[str], dict[str, Column]] | None = None) -> dict[str, dict[str, int]]:
         """Write models to the shared folder and go on from the files: what
-        several outputs read is computed once, and a lost executor reads it again."""
+        several outputs read is computed once, and a lost executor reads it again.
+        ``count`` gives aggregates of a model by name; they are observed while
+        it is written, and their values are returned by model."""
+        observed = {}
         for name in names:
             df = self.model(name)
             path = scratch_path(df.sparkSession, name)
-            df.write.parquet(path)
+            observed[name] = write_observed(df, lambda out, path=path: out.write.parquet(path), count(name) if count else {})
             setattr(self, name, df.sparkSession.read.schema(df.schema).parquet(path))
+        return observed
 
     # staging
     @cached_property

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 from tidemart.functions.aggregates import agg_with_distinct_count
 from tidemart.functions.expressions import (
@@ -17,6 +16,7 @@ from tidemart.functions.expressions import (
     money_ratio,
     ts_literal,
 )
+from tidemart.functions.numeric import NUMERIC, with_product
 from tidemart.plans.intermediate import filter_revenue_orders
 from tidemart.plans.staging import BUILT_AT
 
@@ -98,7 +98,7 @@ def revenue_ledger(fct: DataFrame, as_of: str) -> DataFrame:
     filtered out first — kept as the reference defines it."""
     orders = filter_revenue_orders(fct)
     amt = F.col("order_total_amount")
-    zero = F.lit(0).cast(DecimalType(18, 4))
+    zero = F.lit(0).cast(NUMERIC)
     keys = [
         ("revenue_date", F.col("order_date")),
         ("currency", F.col("currency")),
@@ -166,15 +166,16 @@ def _session_customer_rows(stg_sessions: DataFrame, revenue_orders: DataFrame) -
         & (F.col("s.funnel_date") == F.col("d.order_date")),
         "left",
     )
-    return j.select(
+    rows = j.select(
         *[F.col(f"s.{k}").alias(k) for k in _FUNNEL_KEYS],
         F.col("s.customer_id").alias("customer_id"),
         "n_sessions",
         "duration_sum",
         "duration_n",
         F.col("d.customer_id").isNotNull().alias("converted"),
-        (F.col("d.day_revenue") * F.col("n_sessions").cast(DecimalType(10, 0))).alias("revenue"),
+        F.col("d.day_revenue").alias("day_revenue"),
     )
+    return with_product(rows, "revenue", F.col("day_revenue"), F.col("n_sessions")).drop("day_revenue")
 
 
 def _funnel_aggregates(rows: DataFrame) -> DataFrame:
@@ -185,7 +186,7 @@ def _funnel_aggregates(rows: DataFrame) -> DataFrame:
             "avg_session_duration_seconds"
         ),
         F.count(F.when(F.col("converted"), F.col("customer_id"))).alias("converting_customers"),
-        F.coalesce(F.sum("revenue"), F.lit(0).cast(DecimalType(18, 4))).alias("gross_revenue"),
+        F.coalesce(F.sum("revenue"), F.lit(0).cast(NUMERIC)).alias("gross_revenue"),
     )
 
 

@@ -11,9 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.expressions import (
-    FRACTION,
-    QUANTITY_DEC,
-    UNIT_PRICE,
     initcap_trim,
     lower_trim,
     safe_cast,
@@ -22,6 +19,7 @@ from tidemart.functions.expressions import (
     ts_literal,
     upper_trim,
 )
+from tidemart.functions.numeric import NUMERIC, difference, with_product
 
 # Name of the column every model stamps with its build time (``as_of``).
 BUILT_AT = "_built_at"
@@ -77,25 +75,26 @@ def stg_products(raw: DataFrame, as_of: str) -> DataFrame:
 
 
 def stg_order_items(raw: DataFrame, as_of: str) -> DataFrame:
-    qty = safe_cast("quantity", "INT64")
-    price = safe_cast("unit_price", UNIT_PRICE)
-    # Only text that is no number counts as no discount; a number out of range stays visible as NULL.
-    none = F.col("discount").try_cast("double").isNull()
-    discount = F.when(none, F.lit(0).cast(FRACTION)).otherwise(safe_cast("discount", FRACTION))
-    gross = qty.try_cast(QUANTITY_DEC) * price
-    return raw.filter(F.col("order_id").isNotNull() & F.col("line_item_id").isNotNull()).select(
+    """Typed lines with their amounts.  A number that doesn't fit its type is NULL (a discount: none), an amount
+    that doesn't fit is NULL; the data tests ``fits_type`` and ``computed`` report both."""
+    lines = raw.filter(F.col("order_id").isNotNull() & F.col("line_item_id").isNotNull()).select(
         safe_cast("order_id", "INT64").alias("order_id"),
         safe_cast("line_item_id", "INT64").alias("line_item_id"),
         safe_cast("product_id", "INT64").alias("product_id"),
         surrogate_key(["order_id", "line_item_id"]).alias("order_item_sk"),
-        qty.alias("quantity"),
-        price.alias("unit_price"),
-        discount.alias("discount_pct"),
-        gross.alias("line_gross_amount"),
-        (gross * (F.lit(1) - discount)).alias("line_net_amount"),
+        safe_cast("quantity", "INT64").alias("quantity"),
+        safe_cast("unit_price", "NUMERIC").alias("unit_price"),
+        F.coalesce(safe_cast("discount", "NUMERIC"), F.lit(0).cast(NUMERIC)).alias("discount_pct"),
         safe_cast("_loaded_at", "TIMESTAMP").alias("_loaded_at"),
         ts_literal(as_of).alias(BUILT_AT),
     )
+    lines = with_product(lines, "line_gross_amount", F.col("unit_price"), F.col("quantity"))
+    lines = lines.withColumn("__left", difference(F.lit(1), F.col("discount_pct")))
+    lines = with_product(lines, "line_net_amount", F.col("line_gross_amount"), F.col("__left"))
+    return lines.select(
+        "order_id", "line_item_id", "product_id", "order_item_sk", "quantity", "unit_price", "discount_pct",
+        "line_gross_amount", "line_net_amount", "_loaded_at", BUILT_AT,
+    )
 
 
 def stg_sessions(raw: DataFrame, as_of: str) -> DataFrame:

@@ -17,6 +17,7 @@ removed with ``vacuum``.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import time
 from collections.abc import Sequence
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from tidemart.session import checkpoint_dir
 from tidemart.sinks import fs
 from tidemart.sinks.layout import clustered, with_comments, with_partition_column
+from tidemart.sinks.observe import write_observed
 
 
 # Directory name Spark gives the partition of NULL values.
@@ -43,9 +45,17 @@ def in_partitions(column: str, values: Sequence) -> Column:
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, partition_by: str | None = None,
-                 grain: str = "day", cluster_by: Sequence[str] = (), comments: dict[str, str] | None = None):
+                 grain: str = "day", cluster_by: Sequence[str] = (), comments: dict[str, str] | None = None,
+                 counts: dict[str, Column] | None = None, maxima: Sequence[str] = (), description: str | None = None):
+        """``counts`` are sums over rows (such as failing rows of a test) and
+        ``maxima`` columns whose greatest value every published version
+        carries in its manifest, besides its number of rows; ``description``
+        says what the table holds."""
         self.spark = spark
         self.comments = dict(comments or {})
+        self.counts = {**(counts or {}), "rows": F.count(F.lit(1))}
+        self.maxima = tuple(maxima)
+        self.description = description
         self.root = root.rstrip("/")
         self.partition_by = partition_by
         self.grain = grain
@@ -75,8 +85,25 @@ class VersionedTable:
             return {"version": None, "paths": {}}
         return json.loads(fs.read_text(self.spark, f"{self._manifest_dir()}/{version}.json"))
 
-    def _publish(self, version: int, paths: dict[str, str], schema_json: str) -> None:
-        body = json.dumps({"version": version, "paths": paths, "schema": schema_json}, sort_keys=True)
+    def observed(self) -> dict[str, int]:
+        """Values of ``counts`` over the current version, from its manifest; {} if it was published with others."""
+        found = self.manifest().get("counts", {})
+        return found if set(found) == set(self.counts) else {}
+
+    def maximum(self, column: str) -> dt.datetime | dt.date | None:
+        """Greatest value of a date or timestamp column of the current version,
+        from its manifest if it has it (no row is read), else from the rows."""
+        m = self.manifest()
+        if column not in m.get("maxima", {}):
+            return self.read().agg(F.max(column)).first()[0]
+        text = m["maxima"][column]
+        fields = {f["name"]: f["type"] for f in json.loads(m["schema"])["fields"]}
+        kind = dt.date if fields[column] == "date" else dt.datetime
+        return None if text is None else kind.fromisoformat(text)
+
+    def _publish(self, version: int, paths: dict[str, str], schema_json: str, facts: dict) -> None:
+        body = json.dumps({"version": version, "paths": paths, "schema": schema_json, **facts,
+                           "description": self.description}, sort_keys=True)
         fs.write_text(self.spark, f"{self._manifest_dir()}/{version}.json", body)
 
     # -- read ----------------------------------------------------------------------
@@ -114,19 +141,30 @@ class VersionedTable:
             df = with_comments(df, self.comments)
         return df
 
-    def _write_version(self, df: DataFrame, version: int) -> dict[str, str]:
+    def _facts(self) -> dict[str, Column]:
+        """All aggregates of a version; maxima as text, whose order is that of the dates."""
+        return {**self.counts, **{f"max {c}": F.max(c).cast("string") for c in self.maxima}}
+
+    def _sorted(self, found: dict) -> dict:
+        return {"counts": {k: int(found[k] or 0) for k in self.counts}, "maxima": {c: found[f"max {c}"] for c in self.maxima}}
+
+    def _measured(self, df: DataFrame) -> dict:
+        row = df.agg(*[c.alias(f"v{i}") for i, c in enumerate(self._facts().values())]).first()
+        return self._sorted(dict(zip(self._facts(), row)))
+
+    def _write_version(self, df: DataFrame, version: int) -> tuple[dict[str, str], dict]:
+        """Directories of the written partitions, and the facts of the written rows."""
         vdir = f"{self.root}/version={version}"
-        df = clustered(df, self.partition_col, self.cluster_by)
-        writer = df.write.mode("overwrite")
-        if self.partition_col:
-            writer.partitionBy(self.partition_col).parquet(vdir)
-            return {
-                unquote(name.split("=", 1)[1]): f"{vdir}/{name}"
-                for name in fs.list_dirs(self.spark, vdir)
-                if name.startswith(f"{self.partition_col}=")
-            }
-        writer.parquet(vdir)
-        return {"": vdir}
+        by = [self.partition_col] if self.partition_col else []
+        facts = self._sorted(write_observed(clustered(df, self.partition_col, self.cluster_by),
+                                            lambda out: out.write.mode("overwrite").partitionBy(*by).parquet(vdir), self._facts()))
+        if not by:
+            return {"": vdir}, facts
+        return {
+            unquote(name.split("=", 1)[1]): f"{vdir}/{name}"
+            for name in fs.list_dirs(self.spark, vdir)
+            if name.startswith(f"{self.partition_col}=")
+        }, facts
 
     def overwrite(self, df: DataFrame, unique_key: str | None = None) -> int:
         """Full rewrite as a new version (first run or full refresh).  With a
@@ -135,17 +173,19 @@ class VersionedTable:
 
         df = self._prepare(df)
         version = (self.current_version() or 0) + 1
-        paths = self._write_version(df, version)
+        paths, facts = self._write_version(df, version)
         if unique_key:
             written = self.spark.read.schema(df.schema).parquet(f"{self.root}/version={version}")
             assert_unique_keys(written, unique_key)
-        self._publish(version, paths, df.schema.json())
+        self._publish(version, paths, df.schema.json(), facts)
         return version
 
     def replace_partitions(self, df: DataFrame, touched: Sequence) -> int:
         """Publish a new version where every partition value in ``touched``
         is replaced by the rows of ``df`` (which must hold the complete new
-        content of exactly those partitions)."""
+        content of exactly those partitions).  The version's counts are those
+        before, less those of the replaced partitions, plus those of the rows
+        written: only the replaced partitions are read for them."""
         if not self.partition_col:
             return self.overwrite(df)
         df = self._prepare(df)
@@ -154,15 +194,43 @@ class VersionedTable:
         text = [r[0] for r in self.spark.createDataFrame([(v,) for v in touched], df.select(self.partition_col).schema)
                 .select(F.col(self.partition_col).cast("string")).collect()] if touched else []
         touched_keys = {NULL_PARTITION if v is None else v for v in text}
-        new_paths = self._write_version(df, version) if touched_keys else {}
+        if not touched_keys:
+            self._publish(version, current["paths"], df.schema.json(),
+                          {k: current[k] for k in ("counts", "maxima") if k in current})
+            return version
+        old = self.read()
+        gone = in_partitions(self.partition_col, touched)
+        new_paths, written = self._write_version(df, version)
+        facts = self._replaced(old, gone, current, written)
         paths = {k: v for k, v in current["paths"].items() if k not in touched_keys}
         stray = set(new_paths) - touched_keys
         if stray:
             raise ValueError(f"rows for partitions that are not replaced: {sorted(stray)[:5]}")
         paths.update(new_paths)
-        self._publish(version, paths, df.schema.json())
+        self._publish(version, paths, df.schema.json(), facts)
         return version
 
+    def _replaced(self, old: DataFrame, gone: Column, current: dict, written: dict) -> dict:
+        """Facts of the next version.  A maximum that may have left with the
+        replaced partitions is looked up in those that stay."""
+        counts, maxima = current.get("counts", {}), current.get("maxima", {})
+        if set(counts) != set(self.counts) or set(maxima) != set(self.maxima):  # published by an earlier definition
+            stays = self._measured(old.filter(~F.coalesce(gone, F.lit(False))))
+            return {"counts": {k: n + written["counts"][k] for k, n in stays["counts"].items()},
+                    "maxima": {c: max(filter(None, (v, written["maxima"][c])), default=None) for c, v in stays["maxima"].items()}}
+        left = self._measured(old.filter(gone))
+        out = {"counts": {k: n - left["counts"][k] + written["counts"][k] for k, n in counts.items()}, "maxima": {}}
+        for c, before in maxima.items():
+            new, lost = written["maxima"][c], left["maxima"][c]
+            if before is None or (new is not None and new >= before):
+                out["maxima"][c] = new
+            elif lost is None or lost < before:
+                out["maxima"][c] = before
+            else:
+                rest = old.filter(~F.coalesce(gone, F.lit(False))).agg(F.max(c).cast("string")).first()[0]
+                out["maxima"][c] = max(filter(None, (rest, new)), default=None)
+        return out
+
     def vacuum(self, keep_versions: int = 2, keep_hours: float = 0) -> list[str]:
         """Remove the directories that no kept manifest lists: whole versions,
         and single partitions of a version that is still in use.  The last

@@ -1,6 +1,7 @@
 """Faults planted into the raw test tables, so that every data test has
 something to find: wrong statuses and tiers, negative amounts, discounts of
-100 % and more, missing keys and dates, repeated rows.  By key, so that they
+100 % and more, numbers near and beyond the width of their types, missing
+keys and dates, repeated rows.  By key, so that they
 grow with the tables; the oracle plants the same.
 """
 
@@ -39,8 +40,10 @@ def faulty(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
         }, twice=101),
         "order_items": _plant(raw["order_items"], "order_id", {
             "line_item_id": [(227, None)],
-            "quantity": [(83, "-3")],
-            "discount": [(79, "1.5"), (73, "150")],
+            "quantity": [(83, "-3"), (151, "1000000000000"), (157, "99999999999999999999"), (163, "1000000000000")],
+            "unit_price": [(131, "1000000000"), (137, "0.0000004"), (139, "123456789012345678901234567890123"),
+                           (163, "900000000000000000.123456789"), (149, "12345678901234.000000015")],
+            "discount": [(79, "1.5"), (73, "150"), (167, "1000"), (149, "0.333333333")],
         }, twice=103),
         "customers": _plant(raw["customers"], "customer_id", {
             "email": [(113, None), (53, "shared@example.com")],

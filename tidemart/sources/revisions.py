@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.expressions import ts_literal
+from tidemart.functions.numeric import NUMERIC
 from tidemart.plans.graph import ModelGraph
 from tidemart.plans.staging import BUILT_AT
 
@@ -42,7 +43,7 @@ def orders_batch2(g: ModelGraph) -> DataFrame:
         g.fct_orders.withColumn("order_status", F.when(hit, F.lit("delivered")).otherwise(F.col("order_status")))
         .withColumn(
             "order_total_amount",
-            F.when(hit, F.col("order_total_amount") + 1).otherwise(F.col("order_total_amount")).cast("decimal(18,4)"),
+            F.when(hit, F.col("order_total_amount") + 1).otherwise(F.col("order_total_amount")).cast(NUMERIC),
         )
         .withColumn("updated_at", F.when(hit, ts_literal(BATCH2_AS_OF)).otherwise(F.col("updated_at")))
         .withColumn("customer_country", F.lit("ZZ"))
@@ -144,7 +145,7 @@ def products_v2(g: ModelGraph) -> DataFrame:
         .otherwise(F.col("description"))
         .alias("description"),
         "category",
-        F.when(pid % 10 == 2, F.col("list_price") + 1).otherwise(F.col("list_price")).cast("decimal(18,4)")
+        F.when(pid % 10 == 2, F.col("list_price") + 1).otherwise(F.col("list_price")).cast(NUMERIC)
         .alias("list_price"),
         F.when(pid % 10 == 3, ~F.col("is_active")).otherwise(F.col("is_active")).alias("is_active"),
         F.when(pid % 10 == 4, F.timestamp_add("DAY", F.lit(1), F.col("updated_at")))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.functions.expressions import MONEY, ts_literal
+from tidemart.functions.expressions import ts_literal
 
 # Fixed values of the test mapping (must equal the oracle SQL).
 # Two-letter country codes picked by nation key modulo 23.
@@ -178,7 +178,7 @@ def funnel_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         F.col("user_id").alias("customer_id"),
         F.to_date(F.col("ts")).alias("order_date"),
-        F.col("value").cast(MONEY).alias("order_total_amount"),
+        F.col("value").cast("decimal(18,4)").alias("order_total_amount"),
     )
 
 
