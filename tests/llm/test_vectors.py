@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,17 +23,15 @@ def usable(v):
 
 
 def best(rows, is_query, k=5):
-    own = {}
-    for i, v, _ in rows:
-        if i is not None and usable(v):
-            own[i] = max(own.get(i, v), v)
-    codes = {i: [math.floor(256 * x) for x in v] for i, v in own.items()}
+    codes = [(i, [math.floor(256 * Fraction(x)) for x in v]) for i, v, _ in rows if i is not None and usable(v)]
+    held = lambda s: max(-(2**63), min(2**63 - 1, s))
     out = []
-    for q in sorted(filter(is_query, codes)):
-        scored = sorted((-sum(a * b for a, b in zip(codes[q], c)), i) for i, c in codes.items()
-                        if i != q and len(c) == len(codes[q]))
-        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
-    return out
+    for at, (q, code) in enumerate(codes):
+        if is_query(q):
+            scored = sorted((-held(sum(a * b for a, b in zip(code, c))), i) for j, (i, c) in enumerate(codes)
+                            if j != at and len(c) == len(code))
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
+    return sorted(out)
 
 
 def random_rows(seed, n, dims=20):
@@ -54,9 +53,14 @@ def test_top_k_awkward_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0], 1), (1, [1.0, None], 1), (2, None, 1), (3, [nan, 1.0], 1), (4, [inf, 1.0], 1), (5, [-1.0, 0.5], None),
             (6, [1.0, 2.0], 1), (6, [1.0, 2.0], 1), (7, [1.0], 2), (None, [9.0, 9.0], 1), (8, [], 1), (50, [1e30, 1e30], 1), (100, [], 2)]
+    wide = [(0, [1.0, 2.0], 1), (1, [1e307, -1e307], 1), (50, [1.7e308, 1.0], 1), (2, [-0.3, 7e305], 1)]  # leave the doubles when scaled
+    frame = spark.createDataFrame(wide, "vec_id bigint, embedding array<double>, label int")
+    assert sorted(map(tuple, topk.top_k(frame, F.col("vec_id") % 50 == 0).collect())) == best(wide, lambda i: i % 50 == 0)
+    again = [(0, [1.0, 2.0], 1), (1, [3.0, 1.0], 1), (1, [9.0, 1.0], 1), (1, [3.0, 1.0], 1), (0, [0.5, 0.5], 1), (50, [1.0, 1.0], 1)]
+    assert sorted(map(tuple, topk.top_k(vectors(spark, again), F.col("vec_id") % 50 == 0).collect())) == best(again, lambda i: i % 50 == 0)
     got = sorted(map(tuple, topk.top_k(vectors(spark, rows), F.col("vec_id") % 50 == 0).collect()))
     small = [(q, r, v) for q, r, v, s in got]
-    assert [x for x in small if x[0] == 0] == [(0, 1, 50), (0, 2, 6), (0, 3, 5)]
+    assert [x for x in small if x[0] == 0] == [(0, 1, 50), (0, 2, 6), (0, 3, 6), (0, 4, 5)]
     assert [x for x in got if x[0] == 100] == [(100, 1, 8, 0)]
     assert (50, 1, 0, 2**63 - 1) in got
 

@@ -5,15 +5,16 @@ from __future__ import annotations
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_top_k": """
         WITH codes AS (
-            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS code
+            SELECT vec_id, row_number() OVER () AS r,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS code
             FROM embeddings
             WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         scored AS (
-            SELECT q.vec_id AS query_id, c.vec_id,
+            SELECT q.vec_id AS query_id, q.r, c.vec_id,
                    CAST(list_sum(list_transform(list_zip(q.code, c.code), lambda p: p[1] * p[2])) AS BIGINT) AS score
-            FROM codes q JOIN codes c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+            FROM codes q JOIN codes c ON c.r <> q.r WHERE q.vec_id % 50 = 0)
         SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
-        FROM scored WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        FROM scored WINDOW w AS (PARTITION BY r ORDER BY score DESC, vec_id)
         QUALIFY row_number() OVER w <= 5""",
     "op5_embedding_near_dedup": """
         WITH RECURSIVE valid AS (
