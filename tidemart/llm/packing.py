@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import sys
+import uuid
 import zlib
 
 import numpy as np
@@ -162,12 +163,13 @@ class WordIds:
         return [ids[a:b] for a, b in zip(ends[first[:-1]].tolist(), ends[first[1:]].tolist())]
 
 
-def word_ids(path: str, dtype: str) -> WordIds:
-    """This Python worker's lookup; workers are reused, so it is kept on the interpreter."""
-    kept = vars(sys).setdefault("tidemart_word_ids", {})
-    if (path, dtype) not in kept:
-        kept[path, dtype] = WordIds(path, dtype)
-    return kept[path, dtype]
+def word_ids(path: str, dtype: str, run: str) -> WordIds:
+    """This Python worker's lookup for the tasks of one run of the operator: a worker serves several of them,
+    and what another run has learned is dropped."""
+    kept = vars(sys).get("tidemart_word_ids")
+    if kept is None or kept[0] != (path, dtype, run):
+        kept = vars(sys)["tidemart_word_ids"] = ((path, dtype, run), WordIds(path, dtype))
+    return kept[1]
 
 
 def place_pieces(lengths: np.ndarray, capacity: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int, int]]:
@@ -215,11 +217,12 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 2048,
 
     dtype = "<u2" if max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    run = uuid.uuid4().hex
     total = docs.agg(F.sum(F.octet_length("text").cast("bigint") + 64)).first()[0] or 0
     shards = -(-total // SHARD_BYTES) or 1
 
     def cut(batches):
-        encode, end = word_ids(tokenizer, dtype), np.array([end_id], dtype)
+        encode, end = word_ids(tokenizer, dtype, run), np.array([end_id], dtype)
         for batch in batches:
             ids = batch.column("doc_id")
             data, offsets = text_buffers(batch.column("text"))
@@ -237,7 +240,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 2048,
                     ["doc_id", "start", "length", "crc", "doc_tokens", "ids"])
 
     pieces = docs.mapInArrow(cut, "doc_id bigint, start bigint, length bigint, crc bigint, doc_tokens bigint, ids binary")
-    shard = F.pmod(F.xxhash64("doc_id", "start", "length", "crc"), F.lit(shards).cast("bigint"))
+    # Rows without a doc_id may be alike in all else: they are dealt by their place, so that no shard holds them all.
+    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    shard = F.pmod(F.xxhash64("doc_id", "start", "length", "crc", "place"), F.lit(shards).cast("bigint"))
 
     def fill(data: pa.Table) -> pa.Table:
         data = data.sort_by([("length", "descending"), ("doc_id", "ascending"), ("crc", "ascending"), ("start", "ascending")])
@@ -259,5 +264,5 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 2048,
             out[c] = pa.chunked_array([*full.column(c).chunks, *rest.column(c).take(take).chunks], pa.int64())
         return pa.table({c: out[c] for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")})
 
-    return pieces.withColumn("shard", shard).groupBy("shard").applyInArrow(
+    return pieces.withColumn("place", place).withColumn("shard", shard).drop("place").groupBy("shard").applyInArrow(
         fill, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint")
