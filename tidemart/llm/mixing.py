@@ -96,8 +96,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     Columns named in ``carry`` come along and break ties of the seeded order.
     Other columns are ignored; an empty table gives an empty result.
     """
-    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), words(F.col("text").cast("string")).alias("size"), *carry)
-    sized = sized.withColumn("key", F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed)))
+    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), words(F.col("text").cast("string")).alias("size"),
+                        # rows without a doc_id are dealt by their texts, so that no bucket holds them all
+                        F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), F.col("text").cast("string"))).alias("mark"), *carry)
+    sized = sized.withColumn("key", F.coalesce("mark", F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed)))).drop("mark")
     sized = publish(sized.withColumn("bucket", F.pmod("key", F.lit(BUCKETS)).cast("int")), "mixing-sizes")
     counts = publish(sized.groupBy("source", "size").agg(F.count("*").alias("docs")), "mixing-lengths")
     totals = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("docs")).alias("source_size"))
@@ -134,8 +136,8 @@ def take(docs: DataFrame, **settings) -> DataFrame:
     Rows are told apart by a number written with them, not by doc_id: null and
     repeated doc_ids are rows of their own.  Of rows alike in the seeded order
     those with the smaller hash of the text are taken first."""
-    whole = F.struct(*(docs[c] for c in docs.columns))
-    rows = publish(docs.select(whole.alias("doc"), F.xxhash64(docs["text"].cast("string")).alias("tie"),
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = publish(docs.select(whole.alias("doc"), F.xxhash64(F.col("text").cast("string")).alias("tie"),
                                F.monotonically_increasing_id().alias("row")), "mixing-rows")
     mixed = mix(rows.select("doc.doc_id", "doc.text", "doc.source", "tie", "row"), carry=("tie", "row"), **settings)
     times = publish(mixed.filter("taken > 0").select("row", F.expr("taken div size").alias("times")), "mixing-times")
