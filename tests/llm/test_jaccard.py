@@ -83,3 +83,47 @@ def test_keep_one_decides_by_row(documents, random_words):
     got = sorted(((r["doc_id"], r["text"]) for r in keep_one(documents(given)).collect()), key=str)
     want = [(1, a), (2, b), (5, c), (5, d), (None, min(e, near(e))), (9, near(f)), (None, None), (None, None), (None, ""), (7, "")]
     assert got == sorted(want, key=str)
+
+
+def test_rows_without_a_doc_id_link(documents, random_words):
+    """A near copy without a doc_id gets its component, and chains run through such rows."""
+    rng = random.Random(5)
+    words = random_words(rng, 60, 10**6)
+    step = lambda k: " ".join(words[k:] + [f"t{j}" for j in range(k)])
+    given = [(7, step(0)), (None, step(4)), (3, step(8)), (None, " ".join(random_words(rng, 50, 10**6))), (None, None), (9, "alone words here")]
+    lone = " ".join(random_words(rng, 40, 10**6))
+    given += [(None, lone), (None, lone + " tail")]
+    got = sorted(((r["doc_id"], r["component_id"]) for r in near_duplicates(documents(given)).collect()), key=str)
+    assert got == sorted([(7, 3), (None, 3), (3, 3), (None, None), (None, None), (9, 9), (None, None), (None, None)], key=str)
+
+
+def test_one_common_passage_over_many_groups(documents, random_words):
+    """Many groups under one passage, at two sizes: exact components, and candidate rows in proportion."""
+    from tidemart.llm import jaccard
+
+    counts = []
+    for groups in (12, 48):
+        rng = random.Random(3)
+        passage = random_words(rng, 60, 10**6)
+        rows = []
+        for _ in range(groups):
+            base = passage + random_words(rng, 40, 10**6)
+            for _ in range(4):
+                w = list(base)
+                for _ in range(rng.choice([1, 8])):
+                    w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+                rows.append((len(rows), " ".join(w)))
+        seen, publish = {}, jaccard.publish
+
+        def counted(df, name):
+            out = publish(df, name)
+            seen.setdefault(name, []).append(out)
+            return out
+
+        jaccard.publish = counted
+        try:
+            check(rows, near_duplicates(documents(rows)).collect(), 5, 80)
+        finally:
+            jaccard.publish = publish
+        counts.append(sum(t.count() for t in seen["jaccard-across"][:1] + seen["jaccard-stars"][1:]))
+    assert counts[1] <= 6 * counts[0]

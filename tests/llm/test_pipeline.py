@@ -6,6 +6,7 @@ import random
 import re
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from plain_forms import brute, check_mix, check_pieces
 from tidemart.llm.secret_scan import ADDED, BASE
 
@@ -93,3 +94,18 @@ def test_repeated_rows_nulls_and_extra_columns(spark, tmp_path):
     df.write.parquet(str(tmp_path / "documents.parquet"))
     ran = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in ran} <= {1, 2, None} and len(ran) > 0
+
+
+def test_columns_named_like_results_stay(spark, documents, tmp_path):
+    """Extra columns pass every stage as they are, whatever their names."""
+    given = rows()[:30]
+    extra = {"language": "mine", "language_prob": 7, "accepted": "no", "declared_prob": 1, "a.b": 3, "row": 5, "doc": "d"}
+    docs = documents(given).select("*", *(F.lit(v).alias(k) for k, v in extra.items()))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, str(tmp_path))
+        docs.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        kept = docs.collect()
+        assert kept and all(r[k] == v for r in kept for k, v in extra.items()), name
+    pieces = corpus_pipeline.STAGES[4][1](spark, docs, str(tmp_path)).collect()
+    assert pieces

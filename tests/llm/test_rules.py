@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import SF_MID, SF_SMALL
 from tidemart.llm import rules as R
@@ -108,7 +109,7 @@ def test_judge(spark, documents):
             labels.append((i, 0 if kind == 1 else 1, 1 if kind == 2 else 0))
     rows += [(900, prose(49)), (901, " ".join(["a b c"] * 30)), (902, None), (903, ""), (None, prose(80)), (None, "### " * 60), (5, rows[5][1])]
     labels += [(None, 0, 0), (7, None, 0), (8, 0, None), (5, 0, 0), (5000, 0, 1)]
-    docs = documents(rows).withColumn("kept", documents(rows).columns and __import__("pyspark.sql.functions", fromlist=["lit"]).lit("mine"))
+    docs = documents(rows).withColumn("kept", F.lit("mine"))
     table = spark.createDataFrame(labels, LABELS)
     got = R.judge(docs, table).collect()
     assert len(got) == len(rows)

@@ -244,12 +244,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, frequent
     space, A-Z folded; texts of fewer than ``words`` words are one shingle.
     component_id is the smallest doc_id reachable by links, itself included.
     Null and empty texts have n_shingles 0 and link with nothing.  Rows with a
-    null doc_id are copies at most: they get the component of an equal set, or
-    null.  Repeated rows stay; rows of one doc_id count as one document.  Other
-    columns are ignored; an empty table gives an empty result.
+    null doc_id link like any other, each for itself; a component without a
+    doc_id has the component_id null.  Repeated rows stay; rows of one doc_id
+    count as one document.  Other columns are ignored; an empty table gives an
+    empty result.  The result has classes only: rows that are in one component
+    already are not compared any more, so links aren't counted.
     """
     if not 80 <= percent <= 100:
         raise ValueError("percent must be from 80 to 100")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if docs.filter("doc_id IS NULL").limit(1).count():
+        return _with_null_ids(docs, words, percent, frequent)
     signed = publish(signatures(docs, words, percent).withColumn("row", F.monotonically_increasing_id()), "jaccard-sets")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")).alias("f")
     copies = publish(signed.filter("fp IS NOT NULL").groupBy("fp").agg(first, F.count("*").alias("copies"))
@@ -296,6 +301,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, frequent
             .select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("merged", "near").alias("component_id")))
 
 
+def _with_null_ids(docs: DataFrame, words: int, percent: int, frequent: int) -> DataFrame:
+    """``near_duplicates`` of a table with null doc_ids: those rows are written
+    once with numbers that no doc_id has, and lose them at the end."""
+    known, seed = docs.filter("doc_id IS NOT NULL"), 0
+    while True:
+        number = F.xxhash64(F.lit("no doc_id"), F.lit(seed), F.monotonically_increasing_id())
+        numbered = publish(docs.filter("doc_id IS NULL").select(number.alias("doc_id"), "text"), "jaccard-nulls")
+        own = numbered.select("doc_id")
+        taken = filter_by_keys(known.select("doc_id"), own, ["doc_id"], "left_semi")
+        if not taken.limit(1).count() and not own.groupBy("doc_id").count().filter("count > 1").limit(1).count():
+            break
+        seed += 1
+    found = publish(near_duplicates(known.unionByName(numbered), words, percent, frequent), "jaccard-numbered")
+    named = filter_by_keys(found, own, ["doc_id"], "left_anti")
+    least = named.filter("component_id IS NOT NULL").groupBy("component_id").agg(F.min("doc_id").alias("least"))
+    rows = named.select("*", F.col("doc_id").alias("id")).unionByName(
+        filter_by_keys(found, own, ["doc_id"], "left_semi").select("*", F.lit(None).cast("bigint").alias("id")))
+    return rows.join(least, "component_id", "left").select(F.col("id").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"))
+
+
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one with the
     smallest doc_id (null last), of these the one with the smallest text.
@@ -304,7 +329,7 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     repeated doc_ids are rows of their own.  Rows that link with nothing stay,
     null and empty texts too.
     """
-    whole = F.struct(*(docs[c] for c in docs.columns))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     rows = publish(docs.select(whole.alias("doc"), F.monotonically_increasing_id().alias("row")), "jaccard-rows")
     found = near_duplicates(rows.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), words, percent)
     found = publish(found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("comp")), "jaccard-found")
