@@ -18,7 +18,9 @@ from tidemart.llm.common import publish, table
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language, and the declared one if they declare one, stay."""
-    return langid.identify(docs).filter("accepted").select(*docs.columns)
+    plain = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # columns named like the operator's results stay as they are
+    found = langid.identify(docs.toDF(*plain.values()), plain["text"], plain["lang"], plain["source"])
+    return found.filter("accepted").select(*plain.values()).toDF(*docs.columns)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
