@@ -317,6 +317,16 @@ def _by_period(grain: str, dimensions: dict[str, str], values: dict[str, str], w
 
 ORACLE_SQL["metric_weekly_gold"] = _by_period(
     "week", {}, {"net_revenue": _NET, "average_order_value": _AOV, "units_per_order": _UPO}, "customer_tier = 'gold'")
+ORACLE_SQL["metric_tier_filter"] = _by_period(
+    "month", {"order_status": "order_status"}, {"gross_revenue": _GROSS, "orders": _ORDERS, "units_per_order": _UPO},
+    "customer_tier IN ('gold', 'platinum') AND currency = 'USD'")
+ORACLE_SQL["metric_nested_derived"] = with_ctes(
+    """SELECT order_status, CAST(bad AS BIGINT) AS mismatches,
+       CASE WHEN bad * placed = 0 THEN NULL ELSE CAST(units AS DOUBLE) / (2.0 * CAST(bad AS DOUBLE) * CAST(placed AS DOUBLE)) END
+           AS units_per_mismatch
+FROM (SELECT order_status, count(DISTINCT order_sk) AS placed, sum(total_quantity) AS units,
+             sum(CASE WHEN order_status = 'placed' OR NOT has_total_mismatch THEN 0 ELSE 1 END) AS bad
+      FROM fct_orders WHERE customer_tier <> 'bronze' GROUP BY order_status)""")
 ORACLE_SQL["metric_quarterly_by_country"] = _by_period(
     "quarter", {"customer_country": "customer_country"},
     {"gross_revenue": _GROSS, "orders": _ORDERS, "item_quantity": "CAST(SUM(total_quantity) AS BIGINT)"},

@@ -4,6 +4,8 @@ from decimal import Decimal
 from tidemart.operators.freshness import cost_per_model, source_freshness, stale_sources
 from tidemart.operators.metrics import query_metrics
 
+from pyspark.sql import functions as F
+
 from helpers import rows
 
 FCT = ("order_sk string, order_date date, order_status string, customer_country string, customer_tier string,"
@@ -79,3 +81,34 @@ def test_derived_metrics_take_any_arithmetic(spark):
     assert got == {"x": (4.5, 2.25), "y": (None, None)}
     with pytest.raises(ValueError, match="nothing"):
         query_metrics(fact, ["lost"], ("customer_country",), model=model)
+
+
+def test_derived_metrics_are_trees(spark):
+    """Nested divisors of zero give NULL; what is no arithmetic is refused."""
+    from dataclasses import replace
+
+    import pytest
+
+    from tidemart.operators.metrics import SALES, Metric
+
+    def value(expr, fact):
+        model = replace(SALES, metrics={**SALES.metrics, "it": Metric("it", "derived", expr=expr)})
+        return [r[0] for r in query_metrics(fact, ["it"], (), model=model).collect()]
+
+    fact = _fct(spark)
+    assert value("orders / ((item_quantity - item_quantity) * orders)", fact) == [None]
+    assert value("orders / (2 * (orders + orders)) - -1.5", fact) == [1.75]
+    assert value("1 / (orders / (orders - orders))", fact) == [None]
+    for bad in ("orders +", "abs(orders)", "orders ** 2", "'a'", "nothing / orders"):
+        with pytest.raises(ValueError):
+            value(bad, fact)
+
+
+def test_filters_name_dimensions(spark):
+    fact = _fct(spark)
+    by_name = query_metrics(fact, ["orders"], ("order_date",), where="tier = 'gold'")
+    by_column = query_metrics(fact, ["orders"], ("order_date",), where="customer_tier = 'gold'")
+    assert rows(by_name) == rows(by_column)
+    clash = fact.withColumn("tier", F.lit("of another kind"))
+    assert rows(query_metrics(clash, ["orders"], ("order_date", "tier"), where="tier = 'gold'")) == rows(
+        query_metrics(fact, ["orders"], ("order_date", "tier"), where="customer_tier = 'gold'"))

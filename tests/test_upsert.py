@@ -13,6 +13,8 @@ from tidemart.sinks.versioned import VersionedTable, upsert_partitions
 
 from helpers import rows
 
+MARTS = ("fct_orders", "fct_order_items", "dim_customer", "dim_product", "revenue_ledger", "customer_ltv", "session_funnel")
+
 SCHEMA = "k bigint, status string, country string, d date, ts timestamp_ntz"
 D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
 T0, T1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 5)
@@ -111,13 +113,13 @@ def test_build_incremental_rerun_equals_full(spark, tmp_path):
 
 
 def test_incremental_build_matches_full_build_after_changes(spark, tmp_path):
-    """Later raw batch: some orders change status. The incremental build
-    (fact MERGE + ledger recomputed only on touched partitions) must give
-    the same fact and ledger rows as a full build of the changed raw data
-    (load stamps aside)."""
+    """Later raw batch: some orders change status, sessions arrive late.  The
+    incremental build (fact MERGE, ledger and funnel recomputed only where
+    orders or sessions changed) must give the same rows as a full build of the
+    changed raw data (load stamps aside), and the same facts in the manifests."""
     import datetime as dt
 
-    from tidemart.plans.build import BuildConfig, build, read_mart
+    from tidemart.plans.build import BuildConfig, _table, build, read_mart, refreshed
     from tidemart.sources import testdata
 
     sf = "/root/testdata/sf0.001"
@@ -128,7 +130,13 @@ def test_incremental_build_matches_full_build_after_changes(spark, tmp_path):
     raw2["orders"] = raw1["orders"].withColumn(
         "order_status", F.when(hit, F.lit("cancelled")).otherwise(F.col("order_status"))
     ).withColumn("updated_at", F.when(hit, F.lit(dt.datetime(2001, 8, 4))).otherwise(F.col("updated_at")))
-    funnel = testdata.funnel_orders(spark, sf)
+    late = raw1["sessions"].filter("session_id % 11 = 0").withColumn("session_id", F.concat(F.lit("late-"), "session_id")).withColumn(
+        "_loaded_at", F.lit(dt.datetime(2001, 8, 4)).cast("timestamp_ntz"))
+    raw2["sessions"] = raw1["sessions"].unionByName(late)
+    # Sessions on the days of orders, so that the funnel's revenue comes from the fact.
+    for raw in (raw1, raw2):
+        raw["sessions"] = raw["sessions"].withColumn("started_at", F.expr("started_at - INTERVAL 25 YEARS"))
+    funnel = None
     as1, as2 = "2001-08-02 00:00:00", "2001-08-05 00:00:00"
 
     inc = BuildConfig(warehouse=str(tmp_path / "inc"), fact_grain="month", run_log=False, run_tests=False)
@@ -136,10 +144,15 @@ def test_incremental_build_matches_full_build_after_changes(spark, tmp_path):
     build(spark, raw2, as2, inc, funnel)
     full = BuildConfig(warehouse=str(tmp_path / "full"), fact_grain="month", run_log=False, run_tests=False)
     build(spark, raw2, as2, full, funnel)
-    for m in ("fct_orders", "revenue_ledger"):
+    for m in ("fct_orders", "revenue_ledger", "session_funnel"):
+        assert _table(spark, inc, m).observed() == _table(spark, full, m).observed() != {}
+        assert _table(spark, inc, m).maximum("_built_at") == read_mart(spark, inc, m).agg(F.max("_built_at")).first()[0]
         a = read_mart(spark, inc, m).drop("_built_at")
         b = read_mart(spark, full, m).drop("_built_at")
         assert rows(a) == rows(b), m
+    seen = refreshed(spark, inc)
+    assert {r.model: r.row_count for r in seen.collect()} == {m: read_mart(spark, inc, m).count() for m in MARTS}
+    assert "FileScan" not in seen._jdf.queryExecution().executedPlan().toString()
     assert read_mart(spark, inc, "fct_orders").filter(hit & (F.col("order_status") != "cancelled")).count() == 0
 
 
@@ -299,3 +312,47 @@ def test_vacuum_removes_superseded_partitions_of_a_live_version(spark, tmp_path)
     assert "version=1/d=2024-01-01" in removed and "version=2" in removed
     assert fs.list_dirs(spark, f"{t.root}/version=1") == ["d=2024-01-02"]
     assert sorted((r.k, r.v) for r in t.read().collect()) == [(1, "d"), (2, "a")]
+
+
+def test_changed_orders_filter_the_item_scan(spark):
+    """The lines of an incremental run are filtered by the changed orders before any shuffle."""
+    from tidemart.plans.graph import ModelGraph
+    from tidemart.session import runtime_filters
+
+    g = ModelGraph.from_testdata(spark, "/root/testdata/sf0.001")
+    changed = g.stg_orders.filter(F.col("updated_at") > F.lit("2001-07-29").cast("timestamp_ntz")).select("order_id")
+    lines = g.stg_order_items.select("order_id", "quantity").join(changed, "order_id", "left_semi")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with runtime_filters(spark):
+            plan = lines._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "might_contain" in plan
+    filtered = plan[plan.index("might_contain"):]
+    assert "Exchange" in plan[:plan.index("might_contain")] and "lineitem" in filtered
+
+
+def test_facts_of_a_version_follow_replaced_partitions(spark, tmp_path):
+    """Counts, rows and maxima in the manifest, after a maximum went with its partition too; the description is kept."""
+    frame = lambda *r: spark.createDataFrame(list(r), SCHEMA)
+    t = VersionedTable(spark, str(tmp_path / "t"), "d", counts={"no status": F.count_if(F.col("status").isNull())},
+                       maxima=("ts", "d"), description="orders of a test")
+    late = dt.datetime(2024, 3, 1, 12, 30, 0, 250000)
+    t.overwrite(frame((1, None, "US", D1, T0), (2, "a", "US", D2, late), (3, None, "US", D3, T1)))
+    assert t.observed() == {"no status": 2, "rows": 3} and t.maximum("ts") == late and t.maximum("d") == D3
+    t.replace_partitions(frame((2, None, "US", D2, T0), (4, "x", "US", D2, T0)), [D2])
+    assert t.observed() == {"no status": 3, "rows": 4} and t.maximum("ts") == T1 and t.maximum("d") == D3
+    t.replace_partitions(frame((9, "z", "US", D1, T0)).limit(0), [D3])
+    assert t.observed() == {"no status": 2, "rows": 3} and t.maximum("ts") == T0 and t.maximum("d") == D2
+    t.replace_partitions(frame((5, "z", "US", None, late)), [None])
+    assert t.observed() == {"no status": 2, "rows": 4} and t.maximum("ts") == late
+    assert t.manifest()["description"] == "orders of a test"
+    other = VersionedTable(spark, t.root, "d", counts={"paid": F.count_if(F.col("status") == "paid")}, maxima=("ts",))
+    assert other.observed() == {} and other.maximum("ts") == late  # published by another definition
+    other.replace_partitions(frame((1, "paid", "US", D1, T0)), [D1])
+    assert other.observed() == {"paid": 1, "rows": 4}
+    empty = VersionedTable(spark, str(tmp_path / "e"), maxima=("ts",))
+    empty.overwrite(frame((1, None, "US", D1, T0)).limit(0))
+    assert empty.observed() == {"rows": 0} and empty.maximum("ts") is None

@@ -9,7 +9,7 @@ share them.
 
 from __future__ import annotations
 
-import re
+import ast
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -92,13 +92,59 @@ def _inputs(model: SemanticModel, metric: str) -> list[str]:
     m = model.metrics[metric]
     if m.type == "simple":
         return []
-    names = [m.numerator, m.denominator] if m.type == "ratio" else re.findall(r"[A-Za-z_]\w*", m.expr)
+    names = [m.numerator, m.denominator] if m.type == "ratio" else [
+        n.id for n in ast.walk(_parsed(m.expr)) if isinstance(n, ast.Name)]
     unknown = sorted(set(names) - set(model.metrics))
+    if not names:
+        raise ValueError(f"metric {metric!r} is computed from no metric")
     if unknown:
         raise ValueError(f"metric {metric!r} refers to {unknown}, which are no metrics")
     return list(dict.fromkeys(names))
 
 
+def _parsed(expr: str) -> ast.expr:
+    try:
+        return ast.parse(expr.strip(), mode="eval").body
+    except SyntaxError as e:
+        raise ValueError(f"metric expression {expr!r} is no arithmetic") from e
+
+
+def _arithmetic(node: ast.expr, expr: str) -> Column:
+    """The expression's tree as a Column, in double: + - * / over metrics,
+    numbers and parentheses; a zero divisor, however deep, gives NULL."""
+    if isinstance(node, ast.Name):
+        return F.col(f"__v_{node.id}").cast("double")
+    if isinstance(node, ast.Constant) and type(node.value) in (int, float):
+        return F.lit(float(node.value))
+    if isinstance(node, ast.UnaryOp) and isinstance(node.op, (ast.USub, ast.UAdd)):
+        inner = _arithmetic(node.operand, expr)
+        return -inner if isinstance(node.op, ast.USub) else inner
+    if isinstance(node, ast.BinOp) and type(node.op) in _OPERATIONS:
+        return _OPERATIONS[type(node.op)](_arithmetic(node.left, expr), _arithmetic(node.right, expr))
+    raise ValueError(f"metric expression {expr!r} is no arithmetic")
+
+
+_OPERATIONS = {
+    ast.Add: lambda a, b: a + b,
+    ast.Sub: lambda a, b: a - b,
+    ast.Mult: lambda a, b: a * b,
+    ast.Div: F.try_divide,
+}
+
+
+def _filtered(fact: DataFrame, where: str | Column, model: SemanticModel) -> DataFrame:
+    """``fact`` filtered by a condition in which a name is first a dimension of
+    the model, else a column.  The dimensions stand beside the columns for the
+    filter only; Catalyst pushes it down to the columns behind them."""
+    if not isinstance(where, str):
+        return fact.filter(where)
+    own = {d: e for d, e in model.dimensions.items() if d != e}
+    named = fact.select("*", *[F.col(e).alias(f"__dimension_{d}") for d, e in own.items()])
+    hidden = {d: f"__column_{d}" for d in own if d in fact.columns}
+    named = named.withColumnsRenamed(hidden).withColumnsRenamed({f"__dimension_{d}": d for d in own})
+    return named.filter(where).drop(*own).withColumnsRenamed({v: k for k, v in hidden.items()}).select(*fact.columns)
+
+
 def _measures_of(model: SemanticModel, metric: str) -> set[str]:
     m = model.metrics[metric]
     if m.type == "simple":
@@ -117,9 +163,8 @@ def _with_metric(df: DataFrame, model: SemanticModel, metric: str) -> DataFrame:
         value = F.col(f"__m_{m.measure}")
     elif m.type == "ratio":
         value = money_ratio(f"__v_{m.numerator}", f"__v_{m.denominator}")
-    else:  # arithmetic over metrics in double; a zero divisor gives NULL
-        safe = re.sub(r"/\s*([A-Za-z_]\w*|\d+(?:\.\d+)?|\([^()]*\))", r"/ nullif(\1, 0)", m.expr)
-        value = F.expr(re.sub(r"[A-Za-z_]\w*", lambda x: x[0] if x[0] == "nullif" else f"CAST(__v_{x[0]} AS DOUBLE)", safe))
+    else:
+        value = _arithmetic(_parsed(m.expr), m.expr)
     return df.withColumn(f"__v_{metric}", value)
 
 
@@ -143,9 +188,10 @@ def query_metrics(
 
     The time dimension is bucketed to ``grain`` and named
     ``<dimension>__<grain>``; categorical dimensions keep their names.
+    ``where`` may name dimensions and columns.
     """
     if where is not None:
-        fact = fact.filter(F.expr(where) if isinstance(where, str) else where)
+        fact = _filtered(fact, where, model)
     keys: list[tuple[str, Column]] = []
     for d in group_by:
         if d == model.time_dimension:

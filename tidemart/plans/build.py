@@ -32,7 +32,7 @@ from tidemart.plans import intermediate as I
 from tidemart.plans import marts as M
 from tidemart.plans.graph import ModelGraph
 from tidemart.plans.staging import BUILT_AT
-from tidemart.session import size_shuffles
+from tidemart.session import runtime_filters, size_shuffles, together
 from tidemart.sinks.layout import schema_name, table_path
 from tidemart.sinks.versioned import VersionedTable, in_partitions, upsert_partitions
 
@@ -198,21 +198,28 @@ def _run_steps(spark, raw, as_of, cfg: BuildConfig, funnel_orders, timings, repo
 
     fct = read_mart(spark, cfg, "fct_orders")
 
-    # --- dimensions and rollups --------------------------------------------------
-    with _timed(timings, "dim_product"):
-        versions["dim_product"] = _table(spark, cfg, "dim_product").overwrite(g.dim_product)
-    with _timed(timings, "dim_customer"):
-        versions["dim_customer"] = _table(spark, cfg, "dim_customer").overwrite(g.dim_customer)
-    dim_c = read_mart(spark, cfg, "dim_customer")
-    with _timed(timings, "customer_ltv"):
-        versions["customer_ltv"] = _table(spark, cfg, "customer_ltv").overwrite(M.customer_ltv(dim_c, as_of))
-    with _timed(timings, "revenue_ledger"):
-        _build_revenue_ledger(spark, cfg, fct, as_of, touched_orders, versions)
-    orders_side = funnel_orders if funnel_orders is not None else M.fct_revenue_orders(fct)
-    with _timed(timings, "session_funnel"):
-        versions["session_funnel"] = _table(spark, cfg, "session_funnel").overwrite(
-            M.session_funnel(g.stg_sessions, orders_side, as_of)
-        )
+    # --- dimensions and rollups: independent of each other, so they run side by side ---
+    def products():
+        with _timed(timings, "dim_product"):
+            versions["dim_product"] = _table(spark, cfg, "dim_product").overwrite(stg_products)
+
+    def customers():
+        with _timed(timings, "dim_customer"):
+            versions["dim_customer"] = _table(spark, cfg, "dim_customer").overwrite(dim_customer)
+        with _timed(timings, "customer_ltv"):
+            dim_c = read_mart(spark, cfg, "dim_customer")
+            versions["customer_ltv"] = _table(spark, cfg, "customer_ltv").overwrite(M.customer_ltv(dim_c, as_of))
+
+    def ledger():
+        with _timed(timings, "revenue_ledger"):
+            _build_revenue_ledger(spark, cfg, fct, as_of, touched_orders, versions)
+
+    def funnel():
+        with _timed(timings, "session_funnel"):
+            _build_session_funnel(spark, cfg, g.stg_sessions, fct, funnel_orders, as_of, touched_orders, versions)
+
+    stg_products, dim_customer = g.dim_product, g.dim_customer
+    together([products, customers, ledger, funnel])
     if cfg.run_snapshots:
         with _timed(timings, "snapshots"):
             _snapshots(spark, cfg, g, as_of, versions)
@@ -280,9 +287,10 @@ def _build_fct_orders(spark, g: ModelGraph, orders_t: VersionedTable, cfg: Build
         items = g.stg_order_items.join(stg_o.select("order_id"), "order_id", "left_semi")
         source = M.fct_orders(I.int_orders_enriched(stg_o, items, g.stg_customers, as_of), as_of)
         touched: list = []
-        versions["fct_orders"] = upsert_partitions(
-            orders_t, source, "order_sk", FCT_ORDERS_UPDATE_COLUMNS, touched_out=touched
-        )
+        with runtime_filters(spark):  # the line items are filtered by the changed orders right at their scan
+            versions["fct_orders"] = upsert_partitions(
+                orders_t, source, "order_sk", FCT_ORDERS_UPDATE_COLUMNS, touched_out=touched
+            )
         return touched
 
 
@@ -304,6 +312,35 @@ def _build_revenue_ledger(spark, cfg: BuildConfig, fct: DataFrame, as_of: str, t
     versions["revenue_ledger"] = table.replace_partitions(M.revenue_ledger(fct_touched, as_of), touched)
 
 
+def _build_session_funnel(spark, cfg: BuildConfig, sessions: DataFrame, fct: DataFrame, funnel_orders: DataFrame | None,
+                          as_of: str, touched_orders, versions) -> None:
+    """The funnel's rows for a date depend only on that date's sessions and on
+    the revenue orders of that date.  After an incremental fact run the dates
+    recomputed are those of orders that the MERGE touched and of sessions
+    loaded since the last build less the lookback; both sides are filtered to
+    them, and their partitions are replaced.  The distinct dates, bounded by
+    the calendar, are all that reaches the driver."""
+    table = _table(spark, cfg, "session_funnel")
+    orders = funnel_orders if funnel_orders is not None else M.fct_revenue_orders(fct)
+    same_layout = table.grain == _table(spark, cfg, "fct_orders").grain
+    since = _cutoff(table, BUILT_AT, cfg.lookback_days) if table.exists() else None
+    if cfg.full_refresh or touched_orders is None or since is None or not same_layout:
+        versions["session_funnel"] = table.overwrite(M.session_funnel(sessions, orders, as_of))
+        return
+    period = (lambda c: F.col(c)) if table.grain == "day" else (lambda c: F.trunc(F.col(c), table.grain))
+    loaded = sessions.filter((F.col("_loaded_at") > value_literal(since)) | F.col("_loaded_at").isNull())
+    dates = {r[0] for r in loaded.select(period("session_date")).distinct().collect()}
+    if funnel_orders is None:
+        dates |= set(touched_orders)
+    if not dates:
+        versions["session_funnel"] = table.current_version()
+        return
+    own = lambda df, column: df.withColumn("__period", period(column)).filter(
+        in_partitions("__period", sorted(dates, key=lambda d: (d is not None, d)))).drop("__period")
+    fresh = M.session_funnel(own(sessions, "session_date"), own(orders, "order_date"), as_of)
+    versions["session_funnel"] = table.replace_partitions(fresh, sorted(dates, key=lambda d: (d is not None, d)))
+
+
 def _build_fct_order_items(g: ModelGraph, items_t: VersionedTable, cfg: BuildConfig, as_of: str, versions):
     if cfg.full_refresh or not items_t.exists():
         cutoff = None
@@ -314,7 +351,8 @@ def _build_fct_order_items(g: ModelGraph, items_t: VersionedTable, cfg: BuildCon
     else:
         stg_o = g.stg_orders.filter(F.col("order_date") >= value_literal(cutoff))
         source = M.fct_order_items(g.stg_order_items, stg_o, as_of)
-        versions["fct_order_items"] = upsert_partitions(items_t, source, "order_item_sk", None)
+        with runtime_filters(items_t.spark):
+            versions["fct_order_items"] = upsert_partitions(items_t, source, "order_item_sk", None)
 
 
 def _log(spark, cfg: BuildConfig, started, versions, success: bool = True) -> None:

@@ -225,10 +225,11 @@ def q_dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     g = _faulty_graph(spark, sf_dir)
     specs = list(DECLARED_TESTS) + recent_timestamp_specs() + within_range_specs()
-    observed = g.materialize(
-        "stg_orders", "stg_customers", "stg_products", "stg_order_items", "stg_sessions", "fct_orders", "fct_order_items",
-        "dim_customer", "dim_product", "revenue_ledger", "customer_ltv", "session_funnel",
-        count=lambda model: row_counts(model, specs, g.as_of))
+    observed = {}
+    for models in (("stg_orders", "stg_customers", "stg_products", "stg_order_items", "stg_sessions"),
+                   ("fct_orders", "fct_order_items", "dim_customer", "dim_product", "session_funnel"),
+                   ("revenue_ledger", "customer_ltv")):
+        observed |= g.materialize(*models, count=lambda model: row_counts(model, specs, g.as_of))
     return dq_summary(_Models(g), specs, g.as_of, observed)
 
 
@@ -245,12 +246,15 @@ def q_source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("last_refresh")
 def q_last_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemart.operators.freshness import last_refresh
+    """The marts are built and published; the answer comes from their
+    manifests, without reading a row of them."""
+    from tidemart.plans.build import BuildConfig, build_testdata, refreshed
+    from tidemart.session import scratch_path
 
-    g = _graph(spark, sf_dir)
-    names = ("dim_customer", "dim_product", "fct_orders", "fct_order_items", "revenue_ledger",
-             "customer_ltv", "session_funnel")
-    return last_refresh({n: g.model(n) for n in names})
+    cfg = BuildConfig(scratch_path(spark, "refresh"), fact_grain="year", run_tests=False, run_log=False,
+                      grain_override={"dim_customer": "year"})
+    build_testdata(spark, sf_dir, cfg)
+    return refreshed(spark, cfg)
 
 
 # --- metrics ----------------------------------------------------------------------
@@ -280,6 +284,27 @@ QUERIES["metric_revenue_by_status"] = _metric_query(
 QUERIES["metric_weekly_gold"] = _metric_query(
     ["net_revenue", "average_order_value", "units_per_order"], ("order_date",), "week", "customer_tier = 'gold'"
 )
+QUERIES["metric_tier_filter"] = _metric_query(
+    ["gross_revenue", "orders", "units_per_order"], ("order_date", "order_status"), "month",
+    "tier IN ('gold', 'platinum') AND currency = 'USD'"
+)
+
+
+@register("metric_nested_derived")
+def q_metric_nested_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A derived metric whose divisor is nested and is zero for one status: no division error, NULL there."""
+    from dataclasses import replace
+
+    from tidemart.operators.metrics import SALES, Measure, Metric, query_metrics
+
+    model = replace(SALES, measures={**SALES.measures, "mismatches": Measure("mismatches", "sum", "mismatch")}, metrics={
+        **SALES.metrics, "mismatches": Metric("mismatches", "simple", measure="mismatches"),
+        "units_per_mismatch": Metric("units_per_mismatch", "derived", expr="item_quantity / ((mismatches + mismatches) * orders - -0.0 * (1 + 2))")})
+    fact = _graph(spark, sf_dir).fct_orders.withColumn(
+        "mismatch", F.when(F.col("order_status") == "placed", F.lit(0)).otherwise(F.col("has_total_mismatch").cast("bigint")).cast("bigint"))
+    return for_compare(query_metrics(fact, ["mismatches", "units_per_mismatch"], ("order_status",), "day", "tier <> 'bronze'", model))
+
+
 QUERIES["metric_quarterly_by_country"] = _metric_query(
     ["gross_revenue", "orders", "item_quantity"], ("order_date", "customer_country"), "quarter", "currency <> 'USD'"
 )

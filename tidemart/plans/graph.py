@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from tidemart.plans import intermediate as I
 from tidemart.plans import marts as M
 from tidemart.plans import staging as S
-from tidemart.session import scratch_path
+from tidemart.session import scratch_path, together
 from tidemart.sinks.observe import write_observed
 from tidemart.sources import testdata
 
@@ -68,13 +68,17 @@ class ModelGraph:
         """Write models to the shared folder and go on from the files: what
         several outputs read is computed once, and a lost executor reads it again.
         ``count`` gives aggregates of a model by name; they are observed while
-        it is written, and their values are returned by model."""
-        observed = {}
-        for name in names:
-            df = self.model(name)
-            path = scratch_path(df.sparkSession, name)
-            observed[name] = write_observed(df, lambda out, path=path: out.write.parquet(path), count(name) if count else {})
-            setattr(self, name, df.sparkSession.read.schema(df.schema).parquet(path))
+        it is written, and their values are returned by model.  The models of
+        one call are written side by side, so none of them should read another."""
+        models = {name: self.model(name) for name in names}
+        paths = {name: scratch_path(df.sparkSession, name) for name, df in models.items()}
+
+        def write(name: str) -> dict[str, int]:
+            return write_observed(models[name], lambda out: out.write.parquet(paths[name]), count(name) if count else {})
+
+        observed = dict(zip(names, together([lambda name=name: write(name) for name in names])))
+        for name, df in models.items():
+            setattr(self, name, df.sparkSession.read.schema(df.schema).parquet(paths[name]))
         return observed
 
     # staging

@@ -8,10 +8,18 @@ zone is still pinned to UTC for anything a user adds on top.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+#: Independent jobs that the driver runs side by side, at most.
+MOST_JOBS = 6
+
 # Settings that matter for the plans in this package.  AQE re-plans joins
 # from runtime sizes (broadcast only when the measured side is small),
 # coalesces small shuffle partitions and splits skewed join partitions.
@@ -120,3 +128,34 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder for an intermediate table under the shared folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def together(jobs: Sequence[Callable[[], T]]) -> list[T]:
+    """Results of independent Spark jobs started side by side: the tasks of one
+    fill the cores that another, with few tasks or in its last ones, leaves idle.
+    All are waited for; the first error is raised."""
+    if len(jobs) < 2:
+        return [job() for job in jobs]
+    with ThreadPoolExecutor(max_workers=min(len(jobs), MOST_JOBS)) as pool:
+        inherit = inheritable_thread_target(SparkSession.active())
+        return [started.result() for started in [pool.submit(inherit(job)) for job in jobs]]
+
+
+@contextmanager
+def runtime_filters(spark: SparkSession, least_bytes: int = 0):
+    """Within the block, joins of a selective side with scans of ``least_bytes``
+    or more (Spark's default: 10 GB) get a Bloom filter of the selective side's
+    keys, evaluated right above the scan: rows without a partner are neither
+    shuffled nor computed any further."""
+    settings = {
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": str(least_bytes),
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
