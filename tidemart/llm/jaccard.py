@@ -30,6 +30,8 @@ from tidemart.llm.common import filter_by_keys, publish, row_blocks, text_buffer
 from tidemart.llm.components import components
 from tidemart.llm.textkernel import mix, shingle_sets
 
+#: Longs of the folded parity bits that every candidate pair is tried with.
+MASK = 16
 SIGNATURE = ("n int, fp binary, bits array<bigint>, m array<bigint>, toks array<bigint>, "
              "bands array<struct<b:int,u:int>>")
 
@@ -71,8 +73,9 @@ def _band_regions(tokens: np.ndarray, percent: int) -> tuple[int, list[dict]]:
 
 
 def _parity(tokens: np.ndarray) -> np.ndarray:
-    """Parity bits as longs; at least 256 bits, and at least half as many as tokens."""
-    width = max(256, 1 << (len(tokens).bit_length() - 1))
+    """Parity bits as longs; at least 1,024 bits, and at least as many as tokens: sets somewhat below the
+    threshold differ in clearly more bits than linked ones may."""
+    width = max(64 * MASK, 1 << len(tokens).bit_length())
     odd = np.bincount((tokens & np.uint64(width - 1)).astype(np.int64), minlength=width).astype(np.uint8) & 1
     return np.packbits(odd).view(np.int64)
 
@@ -93,7 +96,7 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     rows["fp"].append(xxhash.xxh3_128_digest(tokens.tobytes()) if len(tokens) else None)
                     bits = _parity(tokens) if keep else None
                     rows["bits"].append(bits)
-                    rows["m"].append(np.bitwise_xor.reduce(bits.reshape(-1, 4)) if keep else None)
+                    rows["m"].append(np.bitwise_xor.reduce(bits.reshape(-1, MASK)) if keep else None)
                     rows["toks"].append(tokens[:keep].view(np.int64))
                     rows["bands"].append(bands)
                 yield pa.RecordBatch.from_arrays(
@@ -281,9 +284,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, frequent
     largest = (live.groupBy("b", "sig", "comp").agg(F.count("*").alias("c"))
                .groupBy("b", "sig").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"))
                .filter("comps > 1").select("b", "sig", "top"))
-    masks = sets.select("id", *(F.col("m")[k].alias(f"m{k}") for k in range(4)))
+    masks = sets.select("id", *(F.col("m")[k].alias(f"m{k}") for k in range(MASK)))
     mixed = publish(live.join(publish(largest, "jaccard-mixed"), ["b", "sig"]).join(masks, "id"), "jaccard-open")
-    differing = " + ".join(f"bit_count(x.m{k} ^ y.m{k})" for k in range(4))
+    differing = " + ".join(f"bit_count(x.m{k} ^ y.m{k})" for k in range(MASK))
     across = (mixed.filter("comp <> top").alias("x").join(mixed.alias("y"), F.expr(
         "x.b = y.b AND x.sig = y.sig AND x.comp <> y.comp AND (y.comp = y.top OR x.id < y.id) AND "
         f"{_size_bound(percent, 'x.n', 'y.n')} AND {_parity_bound(percent, differing, 'x.n', 'y.n')}"))
