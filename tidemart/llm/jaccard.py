@@ -16,7 +16,8 @@ are verified on the whole sets.
 
 Exact copies are one set.  Groups of near copies are not expanded: first each
 index entry is tried against its smallest document only, and after connecting
-what is verified, only documents that are still in different components meet.
+what is verified, only documents that are still in different components meet,
+and those that share many entries in few of them.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from tidemart.llm.textkernel import mix, shingle_sets
 
 #: Longs of the folded parity bits that every candidate pair is tried with.
 MASK = 16
+#: Open entries of a row in which it may meet a partner before others are passed over.
+EARLY = 16
 SIGNATURE = ("n int, fp binary, bits array<bigint>, m array<bigint>, toks array<bigint>, "
              "bands array<struct<b:int,u:int>>")
 
@@ -284,12 +287,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, frequent
     largest = (live.groupBy("b", "sig", "comp").agg(F.count("*").alias("c"))
                .groupBy("b", "sig").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"))
                .filter("comps > 1").select("b", "sig", "top"))
+    open_ = publish(live.join(publish(largest, "jaccard-mixed"), ["b", "sig"]), "jaccard-open")
+    # Two rows that share many entries meet in the first of them only: an entry is passed over if both rows'
+    # lists of their first open entries hold an earlier one, where they meet as well (or in one before).
+    early = open_.groupBy("id", "b").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, EARLY).alias("early"))
     masks = sets.select("id", *(F.col("m")[k].alias(f"m{k}") for k in range(MASK)))
-    mixed = publish(live.join(publish(largest, "jaccard-mixed"), ["b", "sig"]).join(masks, "id"), "jaccard-open")
+    mixed = publish(open_.join(early, ["id", "b"]).join(masks, "id"), "jaccard-open")
     differing = " + ".join(f"bit_count(x.m{k} ^ y.m{k})" for k in range(MASK))
     across = (mixed.filter("comp <> top").alias("x").join(mixed.alias("y"), F.expr(
         "x.b = y.b AND x.sig = y.sig AND x.comp <> y.comp AND (y.comp = y.top OR x.id < y.id) AND "
-        f"{_size_bound(percent, 'x.n', 'y.n')} AND {_parity_bound(percent, differing, 'x.n', 'y.n')}"))
+        f"{_size_bound(percent, 'x.n', 'y.n')} AND {_parity_bound(percent, differing, 'x.n', 'y.n')} AND "
+        "coalesce(array_min(array_intersect(x.early, y.early)), x.sig) >= x.sig"))
         .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
     across = publish(_sketched(publish(across, "jaccard-across"), sets, percent), "jaccard-across")
     more = publish(_verified(across, docs, words, percent), "jaccard-links")
