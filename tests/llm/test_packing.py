@@ -40,6 +40,16 @@ def test_empty_table_and_cache_turnover(documents, monkeypatch):
         assert [x.tolist() for x in encode(data, offsets)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in group]
 
 
+def test_words_of_one_hash(monkeypatch):
+    """Words that share a hash, of equal and of other lengths, in one block and over blocks."""
+    hashes = packing.word_hashes
+    monkeypatch.setattr(packing, "word_hashes", lambda *a, **k: hashes(*a, **k) & np.uint64(3))
+    encode, tokenizer = packing.WordIds(PATH, "<u2"), Tokenizer.from_file(PATH)
+    for group in [["one two six ten", "alpha beta gamma delta"], [""], ["ten six two one", "été, l'hôtel 😀 x1y2 one one"], texts(9, 1)]:
+        data, offsets = text_buffers(pa.array(group, pa.string()))
+        assert [x.tolist() for x in encode(data, offsets)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in group]
+
+
 def test_costs_are_balanced():
     rng = np.random.default_rng(0)
     lengths = np.sort(rng.integers(1, 600, 3000))[::-1]

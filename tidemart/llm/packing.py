@@ -88,8 +88,9 @@ class _Places:
 
 class WordIds:
     """Token ids of texts, word by word, for a tokenizer that drops white space
-    and never merges across it.  Words seen before are looked up by their 64-bit hash (two of a
-    million words share one with a chance of about 3e-8)."""
+    and never merges across it.  Words seen before are looked up by their 64-bit
+    hash and compared byte by byte; a word that only shares a known word's hash
+    is encoded on its own."""
 
     #: Latin letters, then marks or none.
     PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F]+)([.,;:!?%&$#*]*)")
@@ -107,6 +108,7 @@ class WordIds:
     def clear(self) -> None:
         self.places, self.flat = _Places(), _Buffer(self.dtype)
         self.start, self.size = _Buffer(np.int64), _Buffer(np.int64)
+        self.spelled, self.spelled_at = _Buffer(np.uint8), _Buffer(np.int64)
 
     def _letters(self, word: str) -> list[int]:
         """Ids of a word of Latin letters straight from the tokenizer's model,
@@ -119,9 +121,12 @@ class WordIds:
     def _whole(self, word: str) -> list[int]:
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
+        lengths = np.array([len(word) for word in words], np.int64)
+        self.spelled_at.extend(self.spelled.used + np.cumsum(lengths) - lengths)
+        self.spelled.extend(np.frombuffer(b"".join(words), np.uint8))
         sizes, ids = [], []
-        for word in words:
+        for word in map(bytes.decode, words):
             match = self.direct and self.PLAIN.fullmatch(word)
             if match:
                 letters, marks = match.groups()
@@ -139,6 +144,20 @@ class WordIds:
         self.size.extend(sizes)
         self.flat.extend(np.array(ids, self.dtype))
 
+    def _others(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Places of the words that aren't spelled like the known word ``at``."""
+        length = end - begin
+        known_end = np.append(self.spelled_at.data[1 : self.spelled_at.used], self.spelled.used)[at]
+        first = self.spelled_at.data[at]
+        other = known_end - first != length
+        length = np.where(other, 0, length)
+        ends = np.cumsum(length)
+        place = np.arange(ends[-1] if len(ends) else 0)
+        unlike = data[np.repeat(begin - ends + length, length) + place] != self.spelled.data[np.repeat(first - ends + length, length) + place]
+        if unlike.any():
+            other[np.searchsorted(ends, np.flatnonzero(unlike), "right")] = True
+        return np.flatnonzero(other)
+
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         """The ids of each text, given the UTF-8 bytes of all and their offsets."""
         if self.places.used > CACHE_WORDS:
@@ -154,9 +173,14 @@ class WordIds:
         if fresh.any():
             text = data.tobytes()
             self.places.add(distinct[fresh])
-            self._learn([text[begin[k] : end[k]].decode() for k in samples[fresh].tolist()])
+            self._learn([text[begin[k] : end[k]] for k in samples[fresh].tolist()])
         at = np.empty(len(keys), np.int64)
         at[order] = self.places.find(distinct)[np.cumsum(new) - 1]
+        others = self._others(data, begin, end, at)
+        if len(others):
+            at[others] = self.places.used + np.arange(len(others))  # numbers without a key
+            self.places.used += len(others)
+            self._learn([data[begin[k] : end[k]].tobytes() for k in others.tolist()])
         size = self.size.data[at]
         ends = np.concatenate([[0], np.cumsum(size)])
         ids = self.flat.data[np.repeat(self.start.data[at] - ends[:-1], size) + np.arange(ends[-1])]
