@@ -95,6 +95,9 @@ MART_DESCRIPTIONS: dict[str, str] = {
 # Columns whose maximum the manifest keeps, where they are more than the build stamp: the lookback starts from them.
 MART_STAMPS: dict[str, tuple[str, ...]] = {"fct_orders": (BUILT_AT,), "fct_order_items": (BUILT_AT, "order_date")}
 
+# Keys of the facts that upserts look up; their partitions are indexed.
+MART_KEYS = {"fct_orders": "order_sk", "fct_order_items": "order_item_sk"}
+
 # Retention of audit tables, in days.
 AUDIT_RETENTION_DAYS = 180
 
@@ -123,7 +126,7 @@ def _table(spark: SparkSession, cfg: BuildConfig, name: str) -> VersionedTable:
         grain = cfg.grain_override.get(name, cfg.fact_grain)
     path = table_path(cfg.warehouse, schema_name(lay.layer, cfg.target_name, cfg.default_schema), name)
     return VersionedTable(spark, path, lay.partition_by, grain, lay.cluster_by, MART_COMMENTS.get(name),
-                          row_counts(name), MART_STAMPS.get(name, (BUILT_AT,)), MART_DESCRIPTIONS[name])
+                          row_counts(name), MART_STAMPS.get(name, (BUILT_AT,)), MART_DESCRIPTIONS[name], MART_KEYS.get(name))
 
 
 def refreshed(spark: SparkSession, cfg: BuildConfig) -> DataFrame:

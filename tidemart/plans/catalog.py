@@ -381,7 +381,7 @@ def q_fct_orders_published(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     g = _graph(spark, sf_dir)
     g.materialize("fct_orders")
-    table = VersionedTable(spark, scratch_path(spark, "fct_orders"), "order_date", "month")
+    table = VersionedTable(spark, scratch_path(spark, "fct_orders"), "order_date", "month", index_key="order_sk")
     return _published(table, "order_sk", R.orders_batch1(g), R.orders_batch2(g), FCT_ORDERS_UPDATE_COLUMNS,
                       "updated_at", BUILT_AT, False)
 
@@ -396,7 +396,7 @@ def q_fct_order_items_published(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     g = _graph(spark, sf_dir)
     g.materialize("fct_order_items")
-    table = VersionedTable(spark, scratch_path(spark, "fct_order_items"), "order_date", "month")
+    table = VersionedTable(spark, scratch_path(spark, "fct_order_items"), "order_date", "month", index_key="order_item_sk")
     return _published(table, "order_item_sk", R.items_batch1_undated(g), R.items_batch2(g), None,
                       "order_date", "order_date", True)
 

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemart.session import checkpoint_dir
 from tidemart.sinks import fs
+from tidemart.sinks.key_index import MAX_APPENDS, KeyIndex, buckets_for
 from tidemart.sinks.layout import clustered, with_comments, with_partition_column
 from tidemart.sinks.observe import write_observed
 
@@ -46,16 +47,19 @@ def in_partitions(column: str, values: Sequence) -> Column:
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, partition_by: str | None = None,
                  grain: str = "day", cluster_by: Sequence[str] = (), comments: dict[str, str] | None = None,
-                 counts: dict[str, Column] | None = None, maxima: Sequence[str] = (), description: str | None = None):
+                 counts: dict[str, Column] | None = None, maxima: Sequence[str] = (), description: str | None = None,
+                 index_key: str | None = None):
         """``counts`` are sums over rows (such as failing rows of a test) and
         ``maxima`` columns whose greatest value every published version
         carries in its manifest, besides its number of rows; ``description``
-        says what the table holds."""
+        says what the table holds.  With an ``index_key`` a partitioned table
+        keeps an index of that key's partitions for its upserts."""
         self.spark = spark
         self.comments = dict(comments or {})
         self.counts = {**(counts or {}), "rows": F.count(F.lit(1))}
         self.maxima = tuple(maxima)
         self.description = description
+        self.index_key = index_key if partition_by else None
         self.root = root.rstrip("/")
         self.partition_by = partition_by
         self.grain = grain
@@ -177,15 +181,45 @@ class VersionedTable:
         if unique_key:
             written = self.spark.read.schema(df.schema).parquet(f"{self.root}/version={version}")
             assert_unique_keys(written, unique_key)
+        if self.index_key:
+            written = self.spark.read.schema(df.schema).parquet(f"{self.root}/version={version}")
+            index = self._new_index(self.index_key, version, facts["counts"]["rows"])
+            index.add(written)
+            facts["keys"] = index.facts()
         self._publish(version, paths, df.schema.json(), facts)
         return version
 
-    def replace_partitions(self, df: DataFrame, touched: Sequence) -> int:
+    def _new_index(self, key: str, version: int, rows: int) -> KeyIndex:
+        """An empty index of a version; what a failed run left in its place is removed."""
+        path = f"{self.root}/keys/{version}"
+        fs.delete(self.spark, path)
+        return KeyIndex(self.spark, path, key, self.partition_col, buckets_for(rows))
+
+    def key_index(self, key: str) -> KeyIndex | None:
+        """The current version's index of ``key``; a table that should have one
+        and was published without gets it now, from its key and partition columns."""
+        if key != self.index_key:
+            return None
+        current = self.manifest()
+        found = current.get("keys")
+        version = current["version"] + 1
+        if found and found["key"] == key and fs.exists(self.spark, found["path"]):
+            index = KeyIndex(self.spark, found["path"], key, self.partition_col, found["buckets"], found["appends"])
+            if index.appends < MAX_APPENDS:
+                return index
+            fs.delete(self.spark, f"{self.root}/keys/{version}")
+            return index.compacted(f"{self.root}/keys/{version}")
+        index = self._new_index(key, version, current.get("counts", {}).get("rows", 0))
+        index.add(self.read())
+        return index
+
+    def replace_partitions(self, df: DataFrame, touched: Sequence, index: KeyIndex | None = None) -> int:
         """Publish a new version where every partition value in ``touched``
         is replaced by the rows of ``df`` (which must hold the complete new
         content of exactly those partitions).  The version's counts are those
         before, less those of the replaced partitions, plus those of the rows
-        written: only the replaced partitions are read for them."""
+        written: only the replaced partitions are read for them.  ``index``
+        holds the keys of ``df`` already; without it the version has none."""
         if not self.partition_col:
             return self.overwrite(df)
         df = self._prepare(df)
@@ -196,7 +230,7 @@ class VersionedTable:
         touched_keys = {NULL_PARTITION if v is None else v for v in text}
         if not touched_keys:
             self._publish(version, current["paths"], df.schema.json(),
-                          {k: current[k] for k in ("counts", "maxima") if k in current})
+                          {k: current[k] for k in ("counts", "maxima", "keys") if k in current})
             return version
         old = self.read()
         gone = in_partitions(self.partition_col, touched)
@@ -207,6 +241,8 @@ class VersionedTable:
         if stray:
             raise ValueError(f"rows for partitions that are not replaced: {sorted(stray)[:5]}")
         paths.update(new_paths)
+        if index:
+            facts["keys"] = index.facts()
         self._publish(version, paths, df.schema.json(), facts)
         return version
 
@@ -261,6 +297,9 @@ class VersionedTable:
         for v in versions:  # manifests first: a manifest never lists what is gone
             if v not in keep:
                 fs.delete(self.spark, f"{self._manifest_dir()}/{v}.json")
+        kept = {m["keys"]["path"].rsplit("/", 1)[1] for m in map(self.manifest, sorted(keep)) if "keys" in m}
+        removed += [f"keys/{n}" for n in fs.list_dirs(self.spark, f"{self.root}/keys")
+                    if n not in kept and versions and int(n) <= versions[-1]]
         for name in removed:
             fs.delete(self.spark, f"{self.root}/{name}")
         return removed
@@ -277,9 +316,9 @@ def upsert_partitions(
     the partitions the source touches (their values are appended to
     ``touched_out`` when given, for downstream incremental work).
 
-    The touched partition values are found from the target's key and
-    partition columns only; the merge then reads just those partitions
-    (partition pruning) and the new version replaces them.
+    The touched partition values are found in the table's key index, or else
+    from the target's key and partition columns; the merge then reads just
+    those partitions (partition pruning) and the new version replaces them.
     """
     from tidemart.operators.upsert import assert_unique_keys, merge_frames, touched_partitions
 
@@ -297,7 +336,8 @@ def upsert_partitions(
     assert_unique_keys(src, key)
     target = table.read()
     part = table.partition_col
-    touched = touched_partitions(target, src, key, part)
+    index = table.key_index(key)
+    touched = index.upsert(src) if index else touched_partitions(target, src, key, part)
     if touched_out is not None:
         touched_out.extend(touched)
     if not touched:
@@ -307,4 +347,4 @@ def upsert_partitions(
     # the partition column of a row follows its merged partition source value
     if table.partition_by and table.grain != "day":
         merged = merged.withColumn(part, F.trunc(F.col(table.partition_by), table.grain))
-    return table.replace_partitions(merged, touched)
+    return table.replace_partitions(merged, touched, index)
