@@ -127,3 +127,33 @@ def test_one_common_passage_over_many_groups(documents, random_words):
             jaccard.publish = publish
         counts.append(sum(t.count() for t in seen["jaccard-across"][:1] + seen["jaccard-stars"][1:]))
     assert counts[1] <= 6 * counts[0]
+
+
+def test_dense_group_whose_smallest_documents_are_far(documents, random_words):
+    """A group of near copies whose index entries lead to texts outside it, at two sizes: exact components,
+    and verified pairs in proportion to its size."""
+    from tidemart.llm import jaccard
+
+    counts = []
+    for size in (60, 240):
+        rng = random.Random(4)
+        base = random_words(rng, 150, 10**6)
+        rows = []
+        for i in range(size):
+            w = list(base)
+            for _ in range(12 if i < size // 3 else 2):  # the smaller doc_ids miss the threshold
+                w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+            rows.append((i, " ".join(w)))
+        seen, verified = [], jaccard._verified
+
+        def counted(pairs, *args):
+            seen.append(pairs.count())
+            return verified(pairs, *args)
+
+        jaccard._verified = counted
+        try:
+            check(rows, near_duplicates(documents(rows)).collect(), 5, 80)
+        finally:
+            jaccard._verified = verified
+        counts.append(sum(seen))
+    assert counts[1] <= 6 * counts[0], counts

@@ -15,9 +15,12 @@ bitmap, whose differing bits bound the symmetric difference from below) and
 are verified on the whole sets.
 
 Exact copies are one set.  Groups of near copies are not expanded: first each
-index entry is tried against its smallest document only, and after connecting
-what is verified, only documents that are still in different components meet,
-and those that share many entries in few of them.
+index entry is tried against its smallest document only.  Where that leaves
+several components in an entry of many documents, these meet in small random
+cells, dealt anew as long as that connects many of them, so a dense group
+becomes one component by a number of pairs in proportion to its size.  Then
+only documents that are still in different components meet, each with all
+others, and those that share many entries in few of them.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemart.llm.common import filter_by_keys, publish, row_blocks, text_buffers
+from tidemart.llm.common import discard, filter_by_keys, publish, row_blocks, text_buffers
 from tidemart.llm.components import components
 from tidemart.llm.textkernel import mix, shingle_sets
 
@@ -35,6 +38,9 @@ from tidemart.llm.textkernel import mix, shingle_sets
 MASK = 16
 #: Open entries of a row in which it may meet a partner before others are passed over.
 EARLY = 16
+#: Rows beyond which an open entry's rows first meet in random cells, the rows of a cell on average,
+#: and in how many of its entries a row is dealt to one.
+CROWD, CELL, DEALT = 32, 8, 4
 SIGNATURE = ("n int, fp binary, bits array<bigint>, m array<bigint>, toks array<bigint>, "
              "bands array<struct<b:int,u:int>>")
 
@@ -197,7 +203,10 @@ def _entries(sets: DataFrame, percent: int, frequent: int) -> DataFrame:
     hard = ranked.filter("NOT enough")
     rows = publish(hard.select("row").distinct(), "jaccard-hard")
     toks = filter_by_keys(sets.select("row", "toks"), rows, ["row"], "left_semi")
-    return easy.unionByName(hard.select(*parts).join(toks, "row").mapInArrow(paired, schema))
+    entries = publish(easy.unionByName(hard.select(*parts).join(toks, "row").mapInArrow(paired, schema)), "jaccard-index")
+    for done in (shared, ranked, rows):
+        discard(done)
+    return entries
 
 
 def _size_bound(percent: int, x: str, y: str) -> str:
@@ -242,6 +251,56 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
             .filter(F.expr(f"100 * common >= {percent} * (total - common)")).select("a", "b"))
 
 
+def _mixed(live: DataFrame) -> DataFrame:
+    """(b, sig, top, c): largest component and number of rows of each entry that holds several components."""
+    return (live.groupBy("b", "sig", "comp").agg(F.count("*").alias("c"))
+            .groupBy("b", "sig").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.sum("c").alias("c"), F.count("*").alias("comps"))
+            .filter("comps > 1").drop("comps"))
+
+
+def _merged(links: DataFrame, label: DataFrame) -> DataFrame:
+    """(node, component) of the components in ``label`` that ``links`` connect."""
+    ends = (links.join(label.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
+            .join(label.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left"))
+    return publish(components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))), "jaccard-merged")
+
+
+def _relabeled(rows: DataFrame, merged: DataFrame) -> DataFrame:
+    new = merged.select(F.col("node").alias("comp"), "component")
+    return rows.join(new, "comp", "left").withColumn("comp", F.coalesce("component", "comp")).drop("component")
+
+
+def _cell_links(live: DataFrame, label: DataFrame, sets: DataFrame, masks: DataFrame, bounds: str,
+                docs: DataFrame, words: int, percent: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Verified links (a, b) between rows of different components that fall into one cell of a crowded
+    entry, and what they merge; None if no entry is crowded.  The pairs this misses are left to the
+    comparison of all."""
+    crowded = publish(_mixed(live).filter(f"c > {CROWD}").select("b", "sig"), "jaccard-crowded")
+    if not crowded.limit(1).count():
+        return None, None
+    dealt = (live.join(crowded, ["b", "sig"], "left_semi").groupBy("id", "b", "n", "comp")
+             .agg(F.slice(F.array_sort(F.collect_set("sig")), 1, DEALT).alias("sigs")))
+    crowd = publish(dealt.select("id", "b", "n", "comp", F.explode("sigs").alias("sig")), "jaccard-crowd")
+    links, merged, known, now, seed = None, None, 0, crowd, 0
+    while True:
+        cell = F.pmod(F.xxhash64("id", "sig", F.lit(seed)), F.ceil(F.col("c") / CELL))
+        cells = publish(now.join(_mixed(now), ["b", "sig"]).withColumn("cell", cell).join(masks, "id"), "jaccard-cells")
+        rows = cells.select("id").distinct().count()
+        if not rows:
+            return links, merged
+        pairs = (cells.alias("x").join(cells.alias("y"), F.expr(
+            f"x.b = y.b AND x.sig = y.sig AND x.cell = y.cell AND x.comp <> y.comp AND x.id < y.id AND {bounds}"))
+            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
+        pairs = publish(_sketched(publish(pairs, "jaccard-met"), sets, percent), "jaccard-met")
+        new = publish(_verified(pairs, docs, words, percent), "jaccard-links")
+        links = new if links is None else links.unionByName(new)
+        merged = _merged(links, label)
+        nodes = merged.count()
+        if 10 * (nodes - known) < rows:
+            return links, merged
+        known, now, seed = nodes, _relabeled(crowd, merged), seed + 1
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, frequent: int = 24) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs(doc_id, text)``.
 
@@ -270,7 +329,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, frequent
     sets = filter_by_keys(signed.filter("size(bands) > 0 AND doc_id IS NOT NULL"), others, ["row"], "left_anti")
     sets = sets.withColumnRenamed("doc_id", "id")
 
-    entries = publish(_entries(sets, percent, frequent), "jaccard-index")
+    entries = _entries(sets, percent, frequent)
     heads = publish(entries.groupBy("b", "sig").agg(F.min("id").alias("a"), F.count("*").alias("c")).filter("c > 1"), "jaccard-heads")
     stars = publish(heads.join(entries.withColumnRenamed("id", "b_"), ["b", "sig"]).filter("a < b_")
                     .select("a", F.col("b_").alias("b")).distinct(), "jaccard-stars")
@@ -284,27 +343,25 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, frequent
             .join(label.withColumnRenamed("node", "id"), "id", "left")
             .select("b", "sig", "id", "n", F.coalesce("component", "id").alias("comp")))
     live = publish(live, "jaccard-live")
-    largest = (live.groupBy("b", "sig", "comp").agg(F.count("*").alias("c"))
-               .groupBy("b", "sig").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"))
-               .filter("comps > 1").select("b", "sig", "top"))
-    open_ = publish(live.join(publish(largest, "jaccard-mixed"), ["b", "sig"]), "jaccard-open")
+    masks = sets.select("id", *(F.col("m")[k].alias(f"m{k}") for k in range(MASK)))
+    differing = " + ".join(f"bit_count(x.m{k} ^ y.m{k})" for k in range(MASK))
+    bounds = f"{_size_bound(percent, 'x.n', 'y.n')} AND {_parity_bound(percent, differing, 'x.n', 'y.n')}"
+    met, merged = _cell_links(live, label, sets, masks, bounds, docs, words, percent)
+    if met is not None:
+        live = publish(_relabeled(live, merged), "jaccard-live")
+    open_ = publish(live.join(publish(_mixed(live).drop("c"), "jaccard-mixed"), ["b", "sig"]), "jaccard-open")
     # Two rows that share many entries meet in the first of them only: an entry is passed over if both rows'
     # lists of their first open entries hold an earlier one, where they meet as well (or in one before).
     early = open_.groupBy("id", "b").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, EARLY).alias("early"))
-    masks = sets.select("id", *(F.col("m")[k].alias(f"m{k}") for k in range(MASK)))
     mixed = publish(open_.join(early, ["id", "b"]).join(masks, "id"), "jaccard-open")
-    differing = " + ".join(f"bit_count(x.m{k} ^ y.m{k})" for k in range(MASK))
     across = (mixed.filter("comp <> top").alias("x").join(mixed.alias("y"), F.expr(
         "x.b = y.b AND x.sig = y.sig AND x.comp <> y.comp AND (y.comp = y.top OR x.id < y.id) AND "
-        f"{_size_bound(percent, 'x.n', 'y.n')} AND {_parity_bound(percent, differing, 'x.n', 'y.n')} AND "
+        f"{bounds} AND "
         "coalesce(array_min(array_intersect(x.early, y.early)), x.sig) >= x.sig"))
         .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
     across = publish(_sketched(publish(across, "jaccard-across"), sets, percent), "jaccard-across")
     more = publish(_verified(across, docs, words, percent), "jaccard-links")
-    comps = components(more.join(label.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
-                       .join(label.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-                       .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-    comps = publish(comps, "jaccard-merged")
+    comps = _merged(more if met is None else more.unionByName(met), label)
 
     found = (rows.join(label.withColumnRenamed("node", "rep"), "rep", "left")
              .select("doc_id", "n", F.coalesce("component", "rep").alias("near")))
