@@ -69,3 +69,22 @@ def test_longer_histories_over_shards(documents, monkeypatch, random_words):
     rows = [(i, " ".join(random_words(rng, rng.randrange(0, 60), 12))) for i in range(40)]
     rows += [(50 + i, f"only{i} {passage} only{i} only{i} only{i}") for i in range(5)] + [(None, "w1 w2 w3 w4 w1 w2 w3 w4"), (90, None)]
     same(lm.stupid_backoff(documents(rows), order=4).collect(), plain(rows, 4, 0.4))
+
+
+def test_texts_and_counts_travel_small(random_words):
+    """What is shuffled beside the hashes: a text in 6 bits a byte at most, and small counts in 2 bits."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    texts = [" ".join(random_words(rng, 400, 500)) for _ in range(20)] + [None, "", "é w1"]
+    given = pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "shard": pa.array([0] * len(texts), pa.int64()), "text": texts})
+    sent = pa.Table.from_batches(lm._packed(given.to_batches(max_chunksize=7)))
+    data, offsets = lm._unpacked(sent)
+    assert [bytes(data[a:b]).decode() for a, b in zip(offsets[:-1], offsets[1:])] == [t or "" for t in texts]
+    assert sum(map(len, sent.column("packed").to_pylist())) < 0.75 * len(data)
+
+    counts = np.array([rng.random() < 0.05 for _ in range(100_000)], np.int64)
+    assert (lm._wide(lm._narrow(counts)) == counts).all() and len(lm._narrow(counts)) < 25_000
+    for odd in (np.empty(0, np.int64), np.array([0, 255, 256, 1 << 40])):
+        assert (lm._wide(lm._narrow(odd)) == odd).all()

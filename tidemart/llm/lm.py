@@ -3,15 +3,17 @@
 Documents are dealt to shards of bounded size.  A shard sends its distinct
 n-grams, as hashes with counts, to the n-gram count tables, which are
 partitioned by hash; each partition adds up its n-grams over all shards and
-answers every shard with the totals of what it sent.  Joined back to the
-shard's documents, the totals less the document's own counts give the scores,
-which are summed by document.  N-grams travel once a shard, in blocks of sorted
-hashes, never once an occurrence.
+answers every shard with the counts of what it sent in all other shards.  Joined
+back to the shard's documents, these and the shard's own counts less the
+document's give the scores, which are summed by document.  N-grams travel once a
+shard, in blocks of sorted hashes, never once an occurrence; texts and counts
+travel compressed.
 
 From n = 3 on, each n is a round of its own: an n-gram can occur in another row
 only if both (n-1)-grams in it do, so a shard sends only those that still can.
 All rows that share an n-gram find that it can and send it; what nobody sends
-counts 0 elsewhere, so no count changes.
+counts 0 elsewhere, so no count changes.  For this they are told only whether
+other shards have the shorter ones, not how often.
 """
 
 from __future__ import annotations
@@ -38,19 +40,39 @@ def _spread(data: bytes) -> np.ndarray:
 
 
 def _narrow(counts: np.ndarray) -> bytes:
-    """Counts with the fewest bytes that hold them; the first byte says how many."""
+    """Counts with the fewest bytes that hold them, compressed; before them, how many bytes and counts there are."""
     width = next(w for w in (1, 2, 4, 8) if not len(counts) or int(counts.max()) < 1 << 8 * w)
-    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+    return bytes([width]) + len(counts).to_bytes(8, "little") + pa.compress(counts.astype(f"<u{width}").tobytes(), codec="zstd", asbytes=True)
 
 
 def _wide(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+    width, size = data[0], int.from_bytes(data[1:9], "little")
+    return np.frombuffer(pa.decompress(data[9:], width * size, codec="zstd", asbytes=True), f"<u{width}").astype(np.int64)
 
 
-def _grams(texts, order: int):
+def _packed(batches):
+    """The rows with their texts compressed: UTF-8 bytes and how many they are."""
+    codec = pa.Codec("zstd")
+    for batch in batches:
+        data, offsets = text_buffers(batch.column("text"))
+        bounds = offsets.tolist()
+        packed = [codec.compress(data[a:b], asbytes=True) if b > a else b"" for a, b in zip(bounds, bounds[1:])]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("shard"), pa.array(np.diff(offsets)), pa.array(packed, pa.binary())],
+            ["doc_id", "shard", "size", "packed"])
+
+
+def _unpacked(texts: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of all texts and the offsets of the rows."""
+    codec, sizes = pa.Codec("zstd"), texts.column("size").to_numpy()
+    data = b"".join(codec.decompress(p.as_buffer(), n, asbytes=True) for p, n in zip(texts.column("packed"), sizes.tolist()) if n)
+    return np.frombuffer(data, np.uint8), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
+def _grams(texts: pa.Table, order: int):
     """Word index of each text's start, and for each n the hashes of the
     n-grams that end at each word (0 where the text has fewer words before)."""
-    data, offsets = text_buffers(texts)
+    data, offsets = _unpacked(texts)
     words, first = [], [0]
     for i, j in row_blocks(offsets, 1 << 22):
         own = offsets[i : j + 1]
@@ -78,16 +100,17 @@ def _there(n: int, place: np.ndarray, others: list) -> np.ndarray:
     return np.flatnonzero(there)
 
 
-def _others(first, place, levels, answers: pa.Table) -> list[np.ndarray]:
-    """For each n and word, how often the n-gram that ends there occurs in other rows."""
+def _others(first, place, levels, answers: pa.Table, least: int = 1) -> list:
+    """For each n and word, how often the n-gram that ends there occurs in other rows; nothing for n < ``least``.
+    Answers that only say whether other shards have it leave only whether other rows do."""
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     answers = answers.sort_by([("n", "ascending"), ("part", "ascending")])
-    level_of, totals = answers.column("n").to_numpy(), answers.column("totals").to_pylist()
-    others = []
-    for n, level in enumerate(levels, 1):
+    level_of, elsewhere = answers.column("n").to_numpy(), answers.column("elsewhere").to_pylist()
+    others = [None] * (least - 1)
+    for n, level in enumerate(levels[least - 1 :], least):
         there = _there(n, place, others)
-        keys, at = np.unique(level[there], return_inverse=True)
-        known = np.concatenate([np.empty(0, np.int64), *(_wide(totals[i]) for i in np.flatnonzero(level_of == n))])
+        keys, at, known = np.unique(level[there], return_inverse=True, return_counts=True)
+        known = known + np.concatenate([np.empty(0, np.int64), *(_wide(elsewhere[i]) for i in np.flatnonzero(level_of == n))])
         # A row's own count of each n-gram: equal (row, n-gram) pairs lie together when sorted.
         pair = row[there] * len(keys) + at
         _, which, own = np.unique(pair, return_inverse=True, return_counts=True)
@@ -117,6 +140,7 @@ def stupid_backoff(docs: DataFrame, order: int = 3, alpha: float = 0.4) -> DataF
     shards = -(-total // SHARD_BYTES) or 1
     parts = -(-shards * order // 2)
     dealt = docs.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards).cast("bigint")))
+    dealt = dealt.select("doc_id", "shard", "text").mapInArrow(_packed, "doc_id bigint, shard bigint, size bigint, packed binary")
 
     def blocks_of(shard: int, grams: list[tuple[int, np.ndarray]]) -> pa.Table:
         out = {"part": [], "shard": [], "n": [], "keys": [], "counts": []}
@@ -131,38 +155,45 @@ def stupid_backoff(docs: DataFrame, order: int = 3, alpha: float = 0.4) -> DataF
         return pa.table({c: pa.array(v, t) for (c, v), t in zip(out.items(), types)})
 
     def ask(data: pa.Table) -> pa.Table:
-        _, place, levels = _grams(data.column("text"), min(order, 2))
+        _, place, levels = _grams(data, min(order, 2))
         return blocks_of(data.column("shard")[0].as_py(), [(n, level[_there(n, place, [])]) for n, level in enumerate(levels, 1)])
 
     def ask_longer(n: int):
         def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-            first, place, levels = _grams(texts.column("text"), n)
-            others = _others(first, place, levels[:-1], answers)
+            first, place, levels = _grams(texts, n)
+            others = _others(first, place, levels[:-1], answers, least=2)
             return blocks_of(texts.column("shard")[0].as_py(), [(n, levels[-1][_there(n, place, others)])])
 
         return run
 
-    def answer(data: pa.Table) -> pa.Table:
-        blocks = [_spread(k) for k in data.column("keys").to_pylist()]
-        counts = [_wide(c) for c in data.column("counts").to_pylist()]
-        levels, totals = data.column("n").to_numpy(), [b""] * len(blocks)
-        for n in np.unique(levels):
-            own = np.flatnonzero(levels == n).tolist()
-            keys, at = np.unique(np.concatenate([blocks[i] for i in own]), return_inverse=True)
-            summed = np.zeros(len(keys), np.int64)
-            np.add.at(summed, at, np.concatenate([counts[i] for i in own]))
-            for i in own:
-                totals[i] = _narrow(summed[np.searchsorted(keys, blocks[i])])
-        return pa.table({**{c: data.column(c) for c in ("shard", "n", "part")}, "totals": pa.array(totals, pa.binary())})
-
-    block, reply = "part bigint, shard bigint, n int, keys binary, counts binary", "shard bigint, n int, part bigint, totals binary"
-    answers = dealt.groupBy("shard").applyInArrow(ask, block).groupBy("part").applyInArrow(answer, reply)
+    def answer(most: int | None = None):
+        def run(data: pa.Table) -> pa.Table:
+            blocks = [_spread(k) for k in data.column("keys").to_pylist()]
+            counts = [_wide(c) for c in data.column("counts").to_pylist()]
+            levels, elsewhere = data.column("n").to_numpy(), [b""] * len(blocks)
+            for n in np.unique(levels):
+                own = np.flatnonzero(levels == n).tolist()
+                keys, at = np.unique(np.concatenate([blocks[i] for i in own]), return_inverse=True)
+                summed = np.zeros(len(keys), np.int64)
+                np.add.at(summed, at, np.concatenate([counts[i] for i in own]))
+                for i in own:
+                    left = summed[np.searchsorted(keys, blocks[i])] - counts[i]
+                    elsewhere[i] = _narrow(left if most is None else np.minimum(left, most))
+            return pa.table({**{c: data.column(c) for c in ("shard", "n", "part")}, "elsewhere": pa.array(elsewhere, pa.binary())})
+
+        return run
+
+    block, reply = "part bigint, shard bigint, n int, keys binary, counts binary", "shard bigint, n int, part bigint, elsewhere binary"
+    asked = dealt.groupBy("shard").applyInArrow(ask, block)
+    answers = asked.groupBy("part").applyInArrow(answer(), reply)
+    known = asked.groupBy("part").applyInArrow(answer(1), reply).filter("n > 1")
     for n in range(3, order + 1):
-        asked = dealt.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(ask_longer(n), block)
-        answers = answers.unionAll(asked.groupBy("part").applyInArrow(answer, reply))
+        asked = dealt.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(ask_longer(n), block)
+        answers = answers.unionAll(asked.groupBy("part").applyInArrow(answer(), reply))
+        known = known.unionAll(asked.groupBy("part").applyInArrow(answer(1), reply))
 
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        first, place, levels = _grams(texts.column("text"), order)
+        first, place, levels = _grams(texts, order)
         row = np.repeat(np.arange(len(first) - 1), np.diff(first))
         own_words = np.diff(first)[row]
         others = _others(first, place, levels, answers)
