@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemart.llm.common import discard, filter_by_keys, publish, row_blocks, text_buffers
+from tidemart.llm.common import bound_batches, discard, filter_by_keys, publish, row_blocks, text_buffers
 from tidemart.llm.components import components
 from tidemart.llm.textkernel import mix, shingle_sets
 
@@ -115,6 +115,7 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
                      pa.array(rows["bands"], pa.list_(pa.struct([("b", pa.int32()), ("u", pa.int32())])))],
                     ["doc_id", *rows])
 
+    bound_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(run, f"doc_id bigint, {SIGNATURE}")
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemart.llm.common import BROADCAST_ROWS, publish, row_blocks, text_buffers
+from tidemart.llm.common import BROADCAST_ROWS, bound_batches, publish, row_blocks, text_buffers
 
 #: Hash buckets of byte trigrams: the model is languages x buckets, whatever the input's size.
 BUCKETS = 1 << 13
@@ -115,6 +115,7 @@ def identify(docs: DataFrame, text: str = "text", declared: str | None = "lang",
     suffix = F.substring_index(place, ".", -1)
     rows = docs.select(*(F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)), label.alias("declared"), place.alias("host"),
                        suffix.alias("suffix"), F.col(f"`{text}`").cast("string").alias("text"))
+    bound_batches(docs.sparkSession)
     model = _model(_counts(rows, languages))
     size = len(languages)
 
@@ -143,10 +144,12 @@ def identify(docs: DataFrame, text: str = "text", declared: str | None = "lang",
     small = priors.count() <= BROADCAST_ROWS // 10
     joined = rows.drop("suffix").join(F.broadcast(priors) if small else priors, "host", "left")
     carried = [f"k{i}" for i in range(len(keep))]
+    # A text that is kept is sent once.
+    own_text = f"k{keep.index(text)}" if text in keep and dict(docs.dtypes)[text] == "string" else "text"
 
     def decide(batches):
         for batch in batches:
-            logs, grams = _likelihoods(*text_buffers(batch.column("text")), model, temper)
+            logs, grams = _likelihoods(*text_buffers(batch.column(own_text)), model, temper)
             own = batch.column("prior").to_pylist()
             logs += np.log(np.array([p or whole for p in own]).reshape(-1, size))
             said = batch.column("declared").to_pylist()
@@ -165,7 +168,7 @@ def identify(docs: DataFrame, text: str = "text", declared: str | None = "lang",
                  pa.array(top, mask=none), pa.array(at, mask=none | (which < 0)),
                  pa.array(~none & (np.where(which >= 0, at, top) >= accept))], [*carried, *names])
 
-    joined = joined.select(*carried, "declared", "prior", "text")
+    joined = joined.select(*carried, "declared", "prior", *(["text"] if own_text == "text" else []))
     added = T.StructType.fromDDL("language string, language_prob double, declared_prob double, accepted boolean")
     out = joined.mapInArrow(decide, T.StructType([*joined.select(*carried).schema.fields, *added.fields]))
     return out.toDF(*keep, *names)

@@ -19,13 +19,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemart.llm.common import row_blocks, text_buffers
+from tidemart.llm.common import bound_batches, row_blocks, text_buffers
 from tidemart.llm.textkernel import word_bounds, word_hashes
 
 #: Bytes of text in a shard, on average.
 SHARD_BYTES = 8 << 20
-#: Distinct words whose ids a Python worker keeps; then it starts anew.
-CACHE_WORDS = 3_000_000
+#: Distinct words, and bytes of them, whose ids a Python worker keeps; beyond, those not seen again go.
+CACHE_WORDS = 800_000
+CACHE_BYTES = 16 << 20
 
 
 def _byte_letters() -> dict[int, int]:
@@ -57,7 +58,7 @@ class _Places:
     and a small one, merged now and then."""
 
     def __init__(self):
-        self.tiers = [(np.empty(0, np.uint64), np.empty(0, np.int64)) for _ in range(2)]
+        self.tiers = [(np.empty(0, np.uint64), np.empty(0, np.int32)) for _ in range(2)]
         self.used = 0
 
     def find(self, keys: np.ndarray) -> np.ndarray:
@@ -72,7 +73,7 @@ class _Places:
 
     def add(self, keys: np.ndarray) -> None:
         """New keys, sorted, get the next numbers in this order."""
-        new = (keys, self.used + np.arange(len(keys)))
+        new = (keys, (self.used + np.arange(len(keys))).astype(np.int32))
         self.used += len(keys)
         big, small = self.tiers
         small = self._merged(small, new)
@@ -86,6 +87,12 @@ class _Places:
         return np.insert(a[0], at, b[0]), np.insert(a[1], at, b[1])
 
 
+def _spans(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The indices from each ``begin`` on, ``size`` many."""
+    ends = np.cumsum(size)
+    return np.repeat(begin - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class WordIds:
     """Token ids of texts, word by word, for a tokenizer that drops white space
     and never merges across it.  Words seen before are looked up by their 64-bit
@@ -106,9 +113,37 @@ class WordIds:
         self.clear()
 
     def clear(self) -> None:
-        self.places, self.flat = _Places(), _Buffer(self.dtype)
-        self.start, self.size = _Buffer(np.int64), _Buffer(np.int64)
-        self.spelled, self.spelled_at = _Buffer(np.uint8), _Buffer(np.int64)
+        """No words.  The word at a place has the ids start[place] to start[place + 1] of flat, and its bytes likewise."""
+        self.places, self.seen = _Places(), _Buffer(bool)
+        self.flat, self.start = _Buffer(self.dtype), _Buffer(np.uint32)
+        self.spelled, self.spelled_at = _Buffer(np.uint8), _Buffer(np.uint32)
+        for bounds in (self.start, self.spelled_at):
+            bounds.extend(np.zeros(1, np.uint32))
+
+    def _append(self, flat: _Buffer, bounds: _Buffer, values: np.ndarray, sizes: np.ndarray) -> None:
+        bounds.extend(flat.used + np.cumsum(sizes))
+        flat.extend(values)
+
+    @staticmethod
+    def _bounds(bounds: _Buffer, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and size of what belongs to each place."""
+        begin = bounds.data[at].astype(np.int64)
+        return begin, bounds.data[at + 1] - begin
+
+    def _trim(self) -> None:
+        """Keeps the words that were seen in several blocks since the last time, if these are few enough, or none."""
+        keys, at = (np.concatenate(part) for part in zip(*self.places.tiers))
+        again = self.seen.data[at]
+        keys, at = keys[again], at[again]
+        order = np.argsort(keys)
+        keys, at = keys[order], at[order]
+        parts = [(flat.data, *self._bounds(bounds, at)) for flat, bounds in ((self.flat, self.start), (self.spelled, self.spelled_at))]
+        self.clear()
+        if len(keys) <= CACHE_WORDS // 2 and parts[1][2].sum() <= CACHE_BYTES // 2:
+            self.places.add(keys)
+            self.seen.extend(np.zeros(len(keys), bool))
+            for flat, bounds, (data, begin, size) in zip((self.flat, self.spelled), (self.start, self.spelled_at), parts):
+                self._append(flat, bounds, data[_spans(begin, size)], size)
 
     def _letters(self, word: str) -> list[int]:
         """Ids of a word of Latin letters straight from the tokenizer's model,
@@ -122,9 +157,8 @@ class WordIds:
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def _learn(self, words: list[bytes]) -> None:
-        lengths = np.array([len(word) for word in words], np.int64)
-        self.spelled_at.extend(self.spelled.used + np.cumsum(lengths) - lengths)
-        self.spelled.extend(np.frombuffer(b"".join(words), np.uint8))
+        self.seen.extend(np.zeros(len(words), bool))
+        self._append(self.spelled, self.spelled_at, np.frombuffer(b"".join(words), np.uint8), np.array([len(word) for word in words], np.int64))
         sizes, ids = [], []
         for word in map(bytes.decode, words):
             match = self.direct and self.PLAIN.fullmatch(word)
@@ -139,29 +173,22 @@ class WordIds:
                 found = self._whole(word)
             sizes.append(len(found))
             ids += found
-        sizes = np.array(sizes, np.int64)
-        self.start.extend(self.flat.used + np.cumsum(sizes) - sizes)
-        self.size.extend(sizes)
-        self.flat.extend(np.array(ids, self.dtype))
+        self._append(self.flat, self.start, np.array(ids, self.dtype), np.array(sizes, np.int64))
 
     def _others(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Places of the words that aren't spelled like the known word ``at``."""
-        length = end - begin
-        known_end = np.append(self.spelled_at.data[1 : self.spelled_at.used], self.spelled.used)[at]
-        first = self.spelled_at.data[at]
-        other = known_end - first != length
-        length = np.where(other, 0, length)
-        ends = np.cumsum(length)
-        place = np.arange(ends[-1] if len(ends) else 0)
-        unlike = data[np.repeat(begin - ends + length, length) + place] != self.spelled.data[np.repeat(first - ends + length, length) + place]
+        first, known = self._bounds(self.spelled_at, at)
+        other = known != end - begin
+        length = np.where(other, 0, known)
+        unlike = data[_spans(begin, length)] != self.spelled.data[_spans(first, length)]
         if unlike.any():
-            other[np.searchsorted(ends, np.flatnonzero(unlike), "right")] = True
+            other[np.searchsorted(np.cumsum(length), np.flatnonzero(unlike), "right")] = True
         return np.flatnonzero(other)
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         """The ids of each text, given the UTF-8 bytes of all and their offsets."""
-        if self.places.used > CACHE_WORDS:
-            self.clear()
+        if self.places.used > CACHE_WORDS or self.spelled.used > CACHE_BYTES:
+            self._trim()
         begin, end, first = word_bounds(data, offsets)
         keys = word_hashes(data, begin, end, fold=False)
         order = np.argsort(keys)
@@ -169,7 +196,9 @@ class WordIds:
         new = np.ones(len(keys), bool)
         new[1:] = ranked[1:] != ranked[:-1]
         distinct, samples = ranked[new], order[new]
-        fresh = self.places.find(distinct) < 0
+        found = self.places.find(distinct)
+        fresh = found < 0
+        self.seen.data[found[~fresh]] = True
         if fresh.any():
             text = data.tobytes()
             self.places.add(distinct[fresh])
@@ -181,15 +210,14 @@ class WordIds:
             at[others] = self.places.used + np.arange(len(others))  # numbers without a key
             self.places.used += len(others)
             self._learn([data[begin[k] : end[k]].tobytes() for k in others.tolist()])
-        size = self.size.data[at]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        ids = self.flat.data[np.repeat(self.start.data[at] - ends[:-1], size) + np.arange(ends[-1])]
+        start, size = self._bounds(self.start, at)
+        ids, ends = self.flat.data[_spans(start, size)], np.concatenate([[0], np.cumsum(size)])
         return [ids[a:b] for a, b in zip(ends[first[:-1]].tolist(), ends[first[1:]].tolist())]
 
 
 def word_ids(path: str, dtype: str, run: str) -> WordIds:
     """This Python worker's lookup for the tasks of one run of the operator: a worker serves several of them,
-    and what another run has learned is dropped."""
+    and what another run has learned is dropped.  ``fill`` drops it when the run needs it no more."""
     kept = vars(sys).get("tidemart_word_ids")
     if kept is None or kept[0] != (path, dtype, run):
         kept = vars(sys)["tidemart_word_ids"] = ((path, dtype, run), WordIds(path, dtype))
@@ -242,6 +270,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 2048,
     dtype = "<u2" if max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     run = uuid.uuid4().hex
+    bound_batches(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("text").cast("bigint") + 64)).first()[0] or 0
     shards = -(-total // SHARD_BYTES) or 1
 
@@ -269,6 +298,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 2048,
     shard = F.pmod(F.xxhash64("doc_id", "start", "length", "crc", "place"), F.lit(shards).cast("bigint"))
 
     def fill(data: pa.Table) -> pa.Table:
+        vars(sys).pop("tidemart_word_ids", None)  # all texts are encoded
         data = data.sort_by([("length", "descending"), ("doc_id", "ascending"), ("crc", "ascending"), ("start", "ascending")])
         whole = int((data.column("length").to_numpy() >= capacity).sum())
         rest, base = data.slice(whole), data.column("shard")[0].as_py() << 32

@@ -18,6 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tidemart.llm.common import bound_batches
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -142,6 +144,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
             spans = [[{"start": s, "kind": k, "end": e} for s, k, e in sorted(f)] for f in found]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spans, spans_type)], [*names, "secret_spans"])
 
+    bound_batches(docs.sparkSession)
     plain = docs.toDF(*names)  # mapInArrow takes no dots in names
     added = T.StructType.fromDDL("secret_spans array<struct<start:bigint,kind:int,end:bigint>>")
     return plain.mapInArrow(run, T.StructType([*plain.schema.fields, *added.fields])).toDF(*rest, "secret_spans")
