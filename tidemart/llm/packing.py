@@ -14,6 +14,7 @@ import re
 import sys
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,9 @@ SHARD_BYTES = 8 << 20
 #: Distinct words, and bytes of them, whose ids a Python worker keeps; beyond, those not seen again go.
 CACHE_WORDS = 800_000
 CACHE_BYTES = 16 << 20
+#: Words, and bytes of words, that are worked on at a time.
+STEP_WORDS = 1 << 15
+STEP_BYTES = 1 << 18
 
 
 def _byte_letters() -> dict[int, int]:
@@ -159,7 +163,7 @@ class WordIds:
     def _learn(self, words: list[bytes]) -> None:
         self.seen.extend(np.zeros(len(words), bool))
         self._append(self.spelled, self.spelled_at, np.frombuffer(b"".join(words), np.uint8), np.array([len(word) for word in words], np.int64))
-        sizes, ids = [], []
+        sizes, ids = array("q"), array("I")
         for word in map(bytes.decode, words):
             match = self.direct and self.PLAIN.fullmatch(word)
             if match:
@@ -172,7 +176,7 @@ class WordIds:
             else:
                 found = self._whole(word)
             sizes.append(len(found))
-            ids += found
+            ids.extend(found)
         self._append(self.flat, self.start, np.array(ids, self.dtype), np.array(sizes, np.int64))
 
     def _others(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -190,7 +194,7 @@ class WordIds:
         if self.places.used > CACHE_WORDS or self.spelled.used > CACHE_BYTES:
             self._trim()
         begin, end, first = word_bounds(data, offsets)
-        keys = word_hashes(data, begin, end, fold=False)
+        keys = word_hashes(data, begin, end, fold=False, limit=STEP_BYTES)
         order = np.argsort(keys)
         ranked = keys[order]
         new = np.ones(len(keys), bool)
@@ -205,13 +209,15 @@ class WordIds:
             self._learn([text[begin[k] : end[k]] for k in samples[fresh].tolist()])
         at = np.empty(len(keys), np.int64)
         at[order] = self.places.find(distinct)[np.cumsum(new) - 1]
-        others = self._others(data, begin, end, at)
+        steps = [slice(i, i + STEP_WORDS) for i in range(0, len(at), STEP_WORDS)]
+        others = np.concatenate([at[:0], *(s.start + self._others(data, begin[s], end[s], at[s]) for s in steps)])
         if len(others):
             at[others] = self.places.used + np.arange(len(others))  # numbers without a key
             self.places.used += len(others)
             self._learn([data[begin[k] : end[k]].tobytes() for k in others.tolist()])
         start, size = self._bounds(self.start, at)
-        ids, ends = self.flat.data[_spans(start, size)], np.concatenate([[0], np.cumsum(size)])
+        ids = np.concatenate([self.flat.data[:0], *(self.flat.data[_spans(start[s], size[s])] for s in steps)])
+        ends = np.concatenate([[0], np.cumsum(size)])
         return [ids[a:b] for a, b in zip(ends[first[:-1]].tolist(), ends[first[1:]].tolist())]
 
 
