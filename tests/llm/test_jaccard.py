@@ -157,3 +157,60 @@ def test_dense_group_whose_smallest_documents_are_far(documents, random_words):
             jaccard._verified = verified
         counts.append(sum(seen))
     assert counts[1] <= 6 * counts[0], counts
+
+
+def test_tables_go_once_they_are_used(documents, random_words):
+    """Of the tables that grow with the texts only the copy of the rows is left at the end; signatures are gone
+    before candidates meet, and tokens are counted in slices of about one size."""
+    from pathlib import Path
+
+    from tidemart.llm import jaccard
+
+    rng = random.Random(6)
+    base = [random_words(rng, 400, 10**6) for _ in range(40)]
+    rows = [(i, " ".join([f"x{i}", *base[i % 40]])) for i in range(120)]
+    paths, counts, at, publish = [], {}, {}, jaccard.publish
+
+    def there():
+        return {name for name, path in paths if Path(path.removeprefix("file:")).exists()}
+
+    def seen(df, name, *more):
+        out = publish(df, name, *more)
+        paths.append((name, out.scratch_path))
+        counts.setdefault(name, []).append(out.count())
+        at[name] = there()
+        return out
+
+    jaccard.publish = seen
+    try:
+        kept = jaccard.keep_one(documents(rows)).collect()
+    finally:
+        jaccard.publish = publish
+    assert sorted(r["doc_id"] for r in kept) == list(range(40))
+    assert "jaccard-rows" in there()
+    assert not {"jaccard-sets", "jaccard-hits", "jaccard-shared"} & at["jaccard-heads"]
+    assert not {"jaccard-index", "jaccard-heads"} & at["jaccard-across"]
+    assert not {"jaccard-sets", "jaccard-sketches", "jaccard-index", "jaccard-live", "jaccard-open"} & there()
+    slices = counts["jaccard-shared"]
+    assert len(slices) == jaccard.SLICES and max(slices) <= 1.5 * sum(slices) / len(slices)
+
+
+def test_shuffle_files_of_a_written_table_go(spark, monkeypatch):
+    """Tables are written under Spark's cleanup of shuffle files at a query's end; the session's own setting stays."""
+    from pyspark.sql import DataFrameWriter, functions as F
+
+    from tidemart.llm.common import publish
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    seen, parquet = [], DataFrameWriter.parquet
+
+    def noted(self, *args, **kw):
+        seen.append(spark.conf.get(setting, None))
+        return parquet(self, *args, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    had = spark.conf.get(setting, None)
+    assert len(publish(spark.range(2_000).groupBy(F.expr("id % 100")).count(), "shuffled").collect()) == 100
+    with pytest.raises(Exception):
+        publish(spark.range(1).select(F.raise_error(F.lit("no"))), "refused")
+    assert seen == ["true", "true"] and spark.conf.get(setting, None) == had

@@ -25,6 +25,8 @@ others, and those that share many entries in few of them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -41,6 +43,8 @@ EARLY = 16
 #: Rows beyond which an open entry's rows first meet in random cells, the rows of a cell on average,
 #: and in how many of its entries a row is dealt to one.
 CROWD, CELL, DEALT = 32, 8, 4
+#: Slices of the tokens (by hash) that are counted one after another: the shuffles of one lie on disk at a time.
+SLICES = 4
 SIGNATURE = ("n int, fp binary, bits array<bigint>, m array<bigint>, toks array<bigint>, "
              "bands array<struct<b:int,u:int>>")
 
@@ -176,12 +180,19 @@ def _entries(sets: DataFrame, percent: int, frequent: int) -> DataFrame:
     """Index entries (b, sig, id, n) of all sets in all their bands."""
     by_band = sets.select("row", "id", "n", "toks", F.inline("bands"))
     occurs = by_band.filter("u > 0").select("row", "b", F.posexplode(F.slice("toks", 1, F.col("u"))).alias("rank", "tok"))
-    shared = publish(occurs.groupBy("b", "tok").agg(F.count("*").alias("df")).filter("df > 1"), "jaccard-df")
-    hits = (occurs.join(shared, ["b", "tok"]).groupBy("row", "b")
+    found = []
+    for k in range(SLICES):
+        part = occurs.filter(F.pmod("tok", F.lit(SLICES)) == k)
+        shared = publish(part.groupBy("b", "tok").agg(F.count("*").alias("df")).filter("df > 1"), "jaccard-df")
+        found.append(publish(part.join(shared, ["b", "tok"]).select("row", "b", "rank", "tok", "df"), "jaccard-shared"))
+        discard(shared)
+    hits = (reduce(DataFrame.unionByName, found).groupBy("row", "b")
             .agg(F.collect_list(F.struct("rank", "tok", "df")).alias("hits")))
     need = F.expr(f"n - ({percent} * n + 99) div 100 + 1")
     rare = F.expr(f"u - coalesce(size(filter(hits, h -> h.df >= {frequent})), 0)")
     ranked = publish(by_band.drop("toks").join(hits, ["row", "b"], "left").withColumn("enough", rare >= need), "jaccard-hits")
+    for done in found:
+        discard(done)
     parts = ["row", "id", "n", "b", "u", "hits.rank", "hits.tok", "hits.df"]
 
     def alone(batches):
@@ -205,7 +216,7 @@ def _entries(sets: DataFrame, percent: int, frequent: int) -> DataFrame:
     rows = publish(hard.select("row").distinct(), "jaccard-hard")
     toks = filter_by_keys(sets.select("row", "toks"), rows, ["row"], "left_semi")
     entries = publish(easy.unionByName(hard.select(*parts).join(toks, "row").mapInArrow(paired, schema)), "jaccard-index")
-    for done in (shared, ranked, rows):
+    for done in (ranked, rows):
         discard(done)
     return entries
 
@@ -248,8 +259,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     both = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a")
             .join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b"))
     common = F.size(F.array_intersect("sa", "sb"))
-    return (both.select("a", "b", common.alias("common"), (F.size("sa") + F.size("sb")).alias("total"))
-            .filter(F.expr(f"100 * common >= {percent} * (total - common)")).select("a", "b"))
+    linked = publish(both.select("a", "b", common.alias("common"), (F.size("sa") + F.size("sb")).alias("total"))
+                     .filter(F.expr(f"100 * common >= {percent} * (total - common)")).select("a", "b"), "jaccard-links")
+    for done in (ids, sets):
+        discard(done)
+    return linked
 
 
 def _mixed(live: DataFrame) -> DataFrame:
@@ -292,8 +306,11 @@ def _cell_links(live: DataFrame, label: DataFrame, sets: DataFrame, masks: DataF
         pairs = (cells.alias("x").join(cells.alias("y"), F.expr(
             f"x.b = y.b AND x.sig = y.sig AND x.cell = y.cell AND x.comp <> y.comp AND x.id < y.id AND {bounds}"))
             .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
-        pairs = publish(_sketched(publish(pairs, "jaccard-met"), sets, percent), "jaccard-met")
-        new = publish(_verified(pairs, docs, words, percent), "jaccard-links")
+        near = publish(pairs, "jaccard-met")
+        pairs = publish(_sketched(near, sets, percent), "jaccard-met")
+        for done in (cells, near):
+            discard(done)
+        new = _verified(pairs, docs, words, percent)
         links = new if links is None else links.unionByName(new)
         merged = _merged(links, label)
         nodes = merged.count()
@@ -325,17 +342,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, frequent
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")).alias("f")
     copies = publish(signed.filter("fp IS NOT NULL").groupBy("fp").agg(first, F.count("*").alias("copies"))
                      .filter("copies > 1").select("fp", F.col("f.doc_id").alias("rep"), F.col("f.row").alias("kept")), "jaccard-copies")
-    rows = signed.select("doc_id", "row", "n", "fp").join(copies, "fp", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
+    rows = publish(signed.select("doc_id", "row", "n", "fp").join(copies, "fp", "left")
+                   .select("doc_id", "row", "n", F.coalesce("rep", "doc_id").alias("rep"), "kept"), "jaccard-reps")
     others = publish(rows.filter("row <> kept").select("row"), "jaccard-others")
     sets = filter_by_keys(signed.filter("size(bands) > 0 AND doc_id IS NOT NULL"), others, ["row"], "left_anti")
     sets = sets.withColumnRenamed("doc_id", "id")
 
     entries = _entries(sets, percent, frequent)
+    sketches = publish(sets.select("id", "n", "bits", "m"), "jaccard-sketches")
+    for done in (signed, copies, others):
+        discard(done)
     heads = publish(entries.groupBy("b", "sig").agg(F.min("id").alias("a"), F.count("*").alias("c")).filter("c > 1"), "jaccard-heads")
-    stars = publish(heads.join(entries.withColumnRenamed("id", "b_"), ["b", "sig"]).filter("a < b_")
-                    .select("a", F.col("b_").alias("b")).distinct(), "jaccard-stars")
-    stars = publish(_sketched(stars, sets, percent), "jaccard-stars")
-    links = publish(_verified(stars, docs, words, percent), "jaccard-links")
+    led = publish(heads.join(entries.withColumnRenamed("id", "b_"), ["b", "sig"]).filter("a < b_")
+                  .select("a", F.col("b_").alias("b")).distinct(), "jaccard-stars")
+    stars = publish(_sketched(led, sketches, percent), "jaccard-stars")
+    discard(led)
+    links = _verified(stars, docs, words, percent)
     label = publish(components(links), "jaccard-label")
 
     # What is left: entries that still hold more than one component; their rows
@@ -344,24 +366,34 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, frequent
             .join(label.withColumnRenamed("node", "id"), "id", "left")
             .select("b", "sig", "id", "n", F.coalesce("component", "id").alias("comp")))
     live = publish(live, "jaccard-live")
-    masks = sets.select("id", *(F.col("m")[k].alias(f"m{k}") for k in range(MASK)))
+    for done in (entries, heads):
+        discard(done)
+    masks = sketches.select("id", *(F.col("m")[k].alias(f"m{k}") for k in range(MASK)))
     differing = " + ".join(f"bit_count(x.m{k} ^ y.m{k})" for k in range(MASK))
     bounds = f"{_size_bound(percent, 'x.n', 'y.n')} AND {_parity_bound(percent, differing, 'x.n', 'y.n')}"
-    met, merged = _cell_links(live, label, sets, masks, bounds, docs, words, percent)
+    met, merged = _cell_links(live, label, sketches, masks, bounds, docs, words, percent)
     if met is not None:
-        live = publish(_relabeled(live, merged), "jaccard-live")
-    open_ = publish(live.join(publish(_mixed(live).drop("c"), "jaccard-mixed"), ["b", "sig"]), "jaccard-open")
+        old, live = live, publish(_relabeled(live, merged), "jaccard-live")
+        discard(old)
+    mixed = publish(_mixed(live).drop("c"), "jaccard-mixed")
+    open_ = publish(live.join(mixed, ["b", "sig"]), "jaccard-open")
+    for done in (live, mixed):
+        discard(done)
     # Two rows that share many entries meet in the first of them only: an entry is passed over if both rows'
     # lists of their first open entries hold an earlier one, where they meet as well (or in one before).
     early = open_.groupBy("id", "b").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, EARLY).alias("early"))
     mixed = publish(open_.join(early, ["id", "b"]).join(masks, "id"), "jaccard-open")
+    discard(open_)
     across = (mixed.filter("comp <> top").alias("x").join(mixed.alias("y"), F.expr(
         "x.b = y.b AND x.sig = y.sig AND x.comp <> y.comp AND (y.comp = y.top OR x.id < y.id) AND "
         f"{bounds} AND "
         "coalesce(array_min(array_intersect(x.early, y.early)), x.sig) >= x.sig"))
         .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
-    across = publish(_sketched(publish(across, "jaccard-across"), sets, percent), "jaccard-across")
-    more = publish(_verified(across, docs, words, percent), "jaccard-links")
+    across = publish(across, "jaccard-across")
+    discard(mixed)
+    across = publish(_sketched(across, sketches, percent), "jaccard-across")
+    discard(sketches)
+    more = _verified(across, docs, words, percent)
     comps = _merged(more if met is None else more.unionByName(met), label)
 
     found = (rows.join(label.withColumnRenamed("node", "rep"), "rep", "left")
@@ -399,7 +431,7 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     null and empty texts too.
     """
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    rows = publish(docs.select(whole.alias("doc"), F.monotonically_increasing_id().alias("row")), "jaccard-rows")
+    rows = publish(docs.select(whole.alias("doc"), F.monotonically_increasing_id().alias("row")), "jaccard-rows", "zstd")
     found = near_duplicates(rows.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), words, percent)
     found = publish(found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("comp")), "jaccard-found")
     groups = publish(found.groupBy("comp").agg(F.count("*").alias("c")).filter("c > 1").select("comp"), "jaccard-groups")
