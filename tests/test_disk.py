@@ -1,7 +1,9 @@
 """What lies on disk while tables are built and merged."""
 
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import SF_SMALL, rows
@@ -56,6 +58,27 @@ def test_first_load_leaves_its_table_only(spark, tmp_path, monkeypatch):
     assert all(".zstd." in f for f in next(iter(spark.read.parquet(p).inputFiles() for p in table.manifest()["paths"].values())))
 
 
+@pytest.mark.parametrize("update_columns", [None, ("v",)])
+def test_sliced_versions_equal_plain_ones(spark, tmp_path, monkeypatch, update_columns):
+    """Null keys, repeated target keys, rows without a day, rows that move between partitions."""
+    schema = "k string, v bigint, d date"
+    rng = random.Random(7)
+    first = [(f"k{i % 50}" if i % 9 else None, i, rng.choice([*DAYS, None])) for i in range(60)]
+    batch = [(f"k{i}", 1000 + i, rng.choice([*DAYS, None])) for i in range(0, 70, 3)] + [(None, 2000, DAYS[0])]
+    got = {}
+    for size in (10**6, 7):
+        monkeypatch.setattr("tidemart.sinks.versioned.SLICE_ROWS", size)
+        t = VersionedTable(spark, str(tmp_path / str(size)), "d", "month", index_key="k", maxima=("d",))
+        t.overwrite(spark.createDataFrame(first, schema), stored=True)
+        assert rows(t.read().select("k", "v", "d")) == sorted(first, key=lambda r: tuple((x is None, str(x)) for x in r))
+        if size == 7:
+            assert len(t.slices(t.read())) > 2
+        upsert_partitions(t, spark.createDataFrame(batch, schema), "k", update_columns)
+        m = t.manifest()
+        got[size] = rows(t.read()), m["counts"], m["maxima"], sorted(m["paths"])
+    assert got[7] == got[10**6]
+
+
 def test_long_keys_are_indexed_by_hash(spark, tmp_path):
     t = VersionedTable(spark, str(tmp_path / "t"), "d", index_key="k")
     keys = [f"{i:064d}" for i in range(40)]
