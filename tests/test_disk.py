@@ -88,3 +88,10 @@ def test_long_keys_are_indexed_by_hash(spark, tmp_path):
         assert entries.agg(F.max(F.length("k"))).first()[0] <= 16 and entries.count() == 40
     upsert_partitions(t, spark.createDataFrame([(keys[3], 2, DAYS[5]), ("x" * 64, 3, DAYS[0])], "k string, v bigint, d date"), "k")
     assert rows(t.read().filter("v > 1")) == [(keys[3], 2, DAYS[5]), ("x" * 64, 3, DAYS[0])] and t.read().count() == 41
+
+
+def test_order_lines_are_shuffled_once_and_keys_not_at_all(spark):
+    plan = ModelGraph.from_testdata(spark, SF_SMALL).fct_orders._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert shuffles and not any("product_id" in s or "order_sk" in s for s in shuffles)
+    assert any("hashpartitioning(order_id" in s for s in shuffles)
