@@ -10,6 +10,7 @@ from helpers import SF_SMALL, rows
 from tidemart.functions.derived import with_digests, without_digests
 from tidemart.functions.expressions import surrogate_key
 from tidemart.plans import build as B
+from tidemart.plans.catalog import QUERIES
 from tidemart.plans.graph import ModelGraph
 from tidemart.session import SHUFFLE_CLEANUP, shuffles_released
 from tidemart.sinks import key_index
@@ -95,3 +96,9 @@ def test_order_lines_are_shuffled_once_and_keys_not_at_all(spark):
     shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert shuffles and not any("product_id" in s or "order_sk" in s for s in shuffles)
     assert any("hashpartitioning(order_id" in s for s in shuffles)
+
+
+def test_dq_summary_shuffles_nothing_when_it_is_read(spark):
+    summary = QUERIES["dq_summary"](spark, SF_SMALL)
+    assert "Exchange" not in summary._jdf.queryExecution().executedPlan().toString()
+    assert all("/dq-summary-" in f for f in summary.inputFiles())
